@@ -11,16 +11,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, drop_table, materialize, maybe_broadcast, session_of, text_of
 from .kernel import U, mix, shingles
+from .pq import roots
 
 ROWS, TABLES = 3, 10
-#: Rounds that compare each bucket with one pivot before the pairs that are still apart are listed.
-PIVOT_ROUNDS = 2
+#: Documents of a block on average, and shingles of one slice of a membership matrix.
+BLOCK, SLICE = 256, 4096
 
 
 def signatures(docs: DataFrame, words: int, rows: int = ROWS, tables: int = TABLES) -> DataFrame:
@@ -69,39 +71,94 @@ def _minima(flat: np.ndarray, start: np.ndarray, factor: np.ndarray, shift: np.n
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the distinct 64-bit shingle hashes of each text."""
+    """(doc_id, shingles): the distinct 64-bit shingle hashes of each text, packed."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = list(shingles(b.column(1), words))
-            offsets = np.append(0, np.cumsum([len(s) for s in sets])).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, U), *sets]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "shingles"])
-
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, shingles array<long>")
-
-
-def _fit(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, na, b, nb) whose sizes allow the similarity."""
-    return pairs.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-
-
-def verify(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets.
-
-    Only texts that a pair names are hashed again, and each pair moves its two sets once.
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "shingles"])
+
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, shingles binary")
+
+
+def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sorted sets, by products of membership matrices in slices."""
+    if len(a) * len(b) <= 16:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in b] for x in a])
+    flat = np.concatenate(a + b)
+    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in a + b])
+    distinct, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    keep = times[column] > 1
+    number = np.cumsum(times > 1) - 1
+    row, column = row[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for lo in range(0, int(number[-1]) + 1 if len(number) else 0, SLICE):
+        at = slice(*np.searchsorted(column, [lo, lo + SLICE]))
+        m = np.zeros((len(a) + len(b), SLICE), np.float32)
+        m[row[at], column[at] - lo] = 1
+        out += m[: len(a)] @ m[len(a) :].T
+    return np.rint(out).astype(np.int64)
+
+
+def _cell_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> list[tuple]:
+    """Edges that span what is linked between two blocks."""
+    a, b = ([np.frombuffer(x, np.int64) for x in side["shingles"]] for side in (left, right))
+    c = _counts(a, b)
+    union = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - c
+    i, j = np.nonzero(100 * c >= percent * union)
+    ids = [*left["doc_id"], *right["doc_id"]]
+    root = roots(i, j + len(a), len(ids))
+    return list({(ids[k], ids[root[k]]) for k in range(len(ids)) if ids[k] != ids[root[k]]})
+
+
+def links_within(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): edges that span the linked pairs among those that share a bucket of `members` (key, rep).
+
+    Documents gather around the smallest id that their buckets lead to, and each gathering is cut into
+    blocks of at most about BLOCK.  Blocks whose gatherings share a bucket are compared as a whole, in
+    matrices, so candidate pairs are never listed, and a document moves once for each block it meets.
     """
-    ids = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(), "named")
-    named = docs.select("doc_id", "text").join(maybe_broadcast(ids, 8), "doc_id", "left_semi")
-    sets = materialize(shingle_sets(named, words), "sets")
-    left = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    right = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    linked = pairs.select("a", "b").join(left, "b").join(right, "a").where(both * 100 >= (F.size("sa") + F.size("sb") - both) * percent).select("a", "b").distinct()
-    out = materialize(linked, "linked")
-    drop_table(sets)
-    return out
+    home = members.groupBy("key").agg(F.min("rep").alias("low"))
+    for _ in range(2):
+        near = members.join(home, "key").groupBy("rep").agg(F.min("low").alias("home"))
+        near = materialize(near, "home")
+        home = members.join(near, "rep").groupBy("key").agg(F.min("home").alias("low"))
+    size = materialize(near.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "sizes")
+    at = materialize(members.join(near, "rep").select("key", "home").distinct(), "homes")
+    mixed = at.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    at = at.join(mixed, "key", "left_semi")
+    apart = at.select("key", F.col("home").alias("h1")).join(at.select("key", F.col("home").alias("h2")), "key").where("h1 < h2").select("h1", "h2").distinct()
+    pairs = size.select(F.col("home").alias("h1"), F.col("home").alias("h2")).unionByName(apart)
+    pairs = pairs.join(size.select(F.col("home").alias("h1"), F.col("blocks").alias("n1")), "h1").join(size.select(F.col("home").alias("h2"), F.col("blocks").alias("n2")), "h2")
+    pairs = materialize(pairs, "pairs")
+    placed = near.join(size, "home").select("rep", "home", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block"))
+    other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = placed.join(pairs.withColumnRenamed("h1", "home"), "home").withColumn("o", other("n2"))
+    same = F.col("home") == F.col("h2")
+    one = one.select("rep", F.col("home").alias("h1"), "h2", F.when(same, F.least("block", "o")).otherwise(F.col("block")).alias("i"), F.when(same, F.greatest("block", "o")).otherwise(F.col("o")).alias("j"), (same & (F.col("block") > F.col("o"))).alias("right"))
+    two = placed.join(pairs.where("h1 < h2").withColumnRenamed("h2", "home"), "home").withColumn("o", other("n1")).select("rep", "h1", F.col("home").alias("h2"), F.col("o").alias("i"), F.col("block").alias("j"), F.lit(True).alias("right"))
+    cells = materialize(one.unionByName(two), "cells")
+    bundles = max(1, -(-cells.count() // BLOCK))
+    named = materialize(near.select(F.col("rep").alias("doc_id")), "named")
+    texts = docs.select("doc_id", "text").join(maybe_broadcast(named, 8), "doc_id", "left_semi")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = shingle_sets(texts, words).join(cells.withColumnRenamed("rep", "doc_id"), "doc_id")
+    rows = rows.withColumn("bundle", F.pmod(F.xxhash64("h1", "h2", "i", "j"), F.lit(bundles)))
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        for (h1, h2, i, j), cell in pdf.groupby(["h1", "h2", "i", "j"]):
+            left, right = cell[~cell["right"]], cell[cell["right"]]
+            if h1 == h2 and i == j:
+                right = left
+            if len(left) and len(right):
+                out += _cell_links(left, right, percent)
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return materialize(rows.groupBy("bundle").applyInPandas(work, f"a {kind}, b {kind}"), "linked")
 
 
 def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = ROWS, tables: int = TABLES) -> DataFrame:
@@ -112,9 +169,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int =
     or blank texts have none and link with nothing.  Rows that repeat a doc_id are one document with
     several texts; a row without doc_id links with nothing, has no component and is kept.
 
-    Equal sets collapse to one representative first.  A bucket is compared with one pivot at a time,
-    which joins what is alike in a linear number of pairs; then pairs of a bucket that are still in
-    different components are all compared, so no link between components is lost.
+    Equal sets collapse to one representative first.  Every pair of representatives that shares a
+    bucket is then compared on full sets, in blocks.
     """
     session_of(docs)
     sig = materialize(signatures(docs, words, rows, tables), "signatures")
@@ -134,27 +190,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int =
     edges = sig.where("n > 0 and doc_id is not null").join(reps.select(*key, "rep"), key).select("doc_id", "rep")
     ties = edges.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
     classes = materialize(edges.distinct(), "classes")
-    links = materialize(ties.unionByName(classes.where("doc_id <> rep").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))).distinct(), "links")
-    comp = components(links)
-    for turn in range(PIVOT_ROUNDS + 1):
-        apart = _apart(members, comp)
-        if turn < PIVOT_ROUNDS:
-            pivot = apart.groupBy("key").agg(F.min_by(F.struct("rep", "n", "comp"), F.xxhash64("rep", F.lit(turn))).alias("p"))
-            pairs = apart.join(pivot, "key").where("comp <> p.comp").select(F.col("p.rep").alias("a"), F.col("p.n").alias("na"), F.col("rep").alias("b"), F.col("n").alias("nb"))
-        else:
-            other = apart.select("key", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
-            pairs = apart.join(other, "key").where("rep < b and comp <> cb").select(F.col("rep").alias("a"), F.col("n").alias("na"), "b", "nb")
-        pairs = materialize(_fit(pairs, percent).select("a", "b").distinct(), "pairs")
-        if turn:
-            pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if turn < PIVOT_ROUNDS:
-                continue
-            break
-        found = verify(docs, pairs, words, percent)
-        tested = pairs if not turn else tested.unionByName(pairs)
-        links = links.unionByName(found)
-        comp = components(links)
+    links = ties.unionByName(classes.where("doc_id <> rep").join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    comp = components(links.unionByName(links_within(docs, members, words, percent)))
     comp = comp.select(F.col("node").alias("rep"), "component")
     of_class = classes.join(comp, "rep", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     out = sig.select("doc_id", F.col("n").alias("n_shingles")).join(of_class, "doc_id", "left")
@@ -162,14 +199,6 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int =
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _apart(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members (key, rep, n, comp) of buckets that hold more than one component."""
-    named = members.join(comp.select(F.col("node").alias("rep"), F.col("component").alias("c")), "rep", "left").select("key", "rep", "n", F.coalesce("c", "rep").alias("comp"))
-    named = materialize(named, "named")
-    mixed = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    return materialize(named.join(mixed, "key", "left_semi"), "apart")
-
-
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one document of each near-duplicate group; all columns stay."""
     gone = materialize(near_groups(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__pf_id")).distinct(), "near")

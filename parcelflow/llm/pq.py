@@ -88,7 +88,7 @@ class Codebook:
         return out
 
 
-def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest node of each node's component."""
     root = np.arange(n)
     while True:
@@ -126,7 +126,7 @@ def block_links(book: Codebook, cosine: float, home: int, res: pd.DataFrame, vis
         for c, k in zip(cls[n > 0], n[n > 0], strict=True):
             count[int(c)] = count.get(int(c), 0) + int(k)
     reps = np.concatenate([vis["rep"].to_numpy(), res["rep"].to_numpy()])
-    root = _roots(i, j + len(x), len(reps))
+    root = roots(i, j + len(x), len(reps))
     at = np.unique(np.concatenate([i, j + len(x)]))
     return count, [(int(reps[a]), int(reps[root[a]])) for a in at if reps[a] != reps[root[a]]]
 
