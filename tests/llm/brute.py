@@ -90,7 +90,7 @@ def _luhn(v):
 
 def _valid(kind, v):
     n = len(re.sub("[^0-9]", "", v))
-    return {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in v.split(".")), "card": 13 <= n <= 19 and _luhn(v), "phone": 9 <= n <= 15}[kind]
+    return {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in v.split(".")), "card": kind == "card" and 13 <= n <= 19 and _luhn(v), "phone": 9 <= n <= 15}[kind]
 
 
 def pii(text):
