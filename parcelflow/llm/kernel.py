@@ -16,7 +16,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: Bytes or characters that are worked on at once.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 
 
@@ -239,7 +239,7 @@ class PieceEncoder:
     `encode` gives the ids of distinct pieces; at most `most` pieces are kept, then all are forgotten.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 1 << 20) -> None:
+    def __init__(self, encode: Callable[[list[str]], list], most: int = 1 << 18) -> None:
         self.encode, self.most = encode, most
         self._forget()
 
