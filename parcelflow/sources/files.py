@@ -30,7 +30,9 @@ def write_index(df: DataFrame, path: str) -> None:
 
 def read_labels(spark: SparkSession, folder: str) -> DataFrame:
     """(file, line_no, text): every line of every label file, also of empty files."""
-    rows = spark.read.format("binaryFile").load(folder).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.col("content").cast("string"), "\n")).alias("k", "text"))
+    sc = spark.sparkContext  # file sources of DataFrames skip files of no length, which mark tiles without instances
+    whole = sc.wholeTextFiles(folder, sc.defaultParallelism).toDF("path string, value string")
+    rows = whole.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.posexplode(F.split("value", "\n")).alias("k", "text"))
     return rows.select("file", (F.col("k") + 1).cast("long").alias("line_no"), "text")
 
 
