@@ -175,7 +175,7 @@ def band_histogram(s: SparkSession, d: str) -> DataFrame:
 
 @_query
 def stretch_params(s: SparkSession, d: str) -> DataFrame:
-    return raster.stretch_params(raster.histogram(t.pixels(s, d))).select("scene", "band", F.round("p_lo", 6).alias("p_lo"), F.round("p_hi", 6).alias("p_hi"))
+    return raster.stretch_params(raster.histogram(t.pixels(s, d))).select("scene", "band", *((F.round(F.col(c) * 1e6) / 1e6).alias(c) for c in ("p_lo", "p_hi")))
 
 
 @_query
