@@ -150,6 +150,24 @@ def test_toxicity(spark, none):
     assert toxicity.score_documents(docs, empty).count() == 601 and toxicity.score_documents(none, empty).count() == 0
 
 
+def test_toxicity_rare_words():
+    """A word of 8 contexts, all in toxic texts, has weight; texts that hold it are told apart."""
+    rng = random.Random(5)
+    some = lambda n: [rng.choice(WORDS) + str(rng.randint(0, 40)) for _ in range(n)]
+    code = lambda w: np.array([hash_of[x] for x in w], np.uint64)
+    rows = [([*some(40), "vermin", *some(20)] if i < 8 else some(61), int(i < 8 or i % 4 == 0)) for i in range(400)]
+    hash_of = {w: h for w, h in zip(sorted({x for w, _ in rows for x in w}), np.random.default_rng(1).integers(1, 1 << 62, 5000), strict=False)}
+    model = toxicity.fit_texts([(code(w), y) for w, y in rows], 0.27)
+    plain = [w for w in some(61) if w in hash_of]
+    marked = [*plain[:30], "vermin", *plain[30:]]
+    first = np.array([0, len(plain), len(plain) + len(marked)])
+    low, high = model.score(code(plain + marked), first)
+    assert high > low + 0.02
+    index, value, *_ = model.tables[1]
+    at = index.get(code(["vermin"]))
+    assert at[0] >= 0 and value[at][0] > 1
+
+
 def test_warc(spark):
     rng = random.Random(8)
     big = "".join(chr(rng.randint(32, 900)) for _ in range(200_000))
