@@ -1,10 +1,11 @@
 """Near-duplicate vectors by product quantisation.
 
 Vectors go to the inverted list of their nearest coarse centroid; residuals are coded by subspace.
-Each vector visits the lists nearest to it, table lookups give its inner product with every coded
-vector there, and whatever may reach the bound is reranked by the exact cosine.  The lookup keeps a
-pair unless its estimate plus the coding error of that vector stays below the bound, so only the
-choice of lists can miss a link.
+Each vector visits every list that can hold a neighbour: one is left out only where the plane between
+its centroid and another one lies farther away than neighbours do.  Table lookups give the inner product
+with every coded vector there, and whatever may reach the bound is reranked by the exact cosine.  The
+lookup keeps a pair unless its estimate plus the coding error of that vector stays below the bound, so
+no link is missed.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from .common import components, materialize, session_of
 LIST, LISTS = 100, 4096
 #: Centroids and codebooks are fitted on at most so many vectors, in the order of a hash.
 SAMPLE = 40_000
-#: Lists that a vector visits besides its own.
-PROBES = 12
+#: Centroids near a vector whose planes are tried against each list.
+PLANES = 6
 #: Width of a subspace and codewords of each.
 SUBSPACE, WORDS = 4, 32
-#: Vectors on each side of one block of work.
-BLOCK = 2048
+#: Vectors on each side of one block of work, lists that share a block, and visitors compared at once.
+BLOCK, STEP = 4096, 512
+GROUP = BLOCK // LIST
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -69,20 +71,36 @@ class Codebook:
         self.cuts = list(range(0, self.width, SUBSPACE))
         self.words = [_kmeans(rest[:, a : a + SUBSPACE], min(WORDS, len(rest)), 6) for a in self.cuts]
 
-    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Home list, lists to visit besides it, codes, and the length of what the codes leave out."""
+    def visits(self, near: np.ndarray, home: np.ndarray, cosine: float) -> np.ndarray:
+        """Lists from the home list on that may hold a vector of that cosine to x; near: x @ centre - |centre|^2 / 2.
+
+        A vector of list h is no farther from centroid h than from centroid j, so it lies beyond the
+        plane between them, and x is (near_j - near_h) / |centre_j - centre_h| away from that plane.
+        """
+        k = min(PLANES, near.shape[1])
+        order = np.argpartition(-near, k - 1, axis=1)[:, :k]
+        reach = np.sqrt(max(2 - 2 * cosine, 0)) + 1e-6
+        norm = (self.centre**2).sum(1)
+        out = np.arange(near.shape[1])[None, :] >= home[:, None]
+        for j in order.T:
+            apart = np.sqrt(np.maximum(norm[j][:, None] + norm[None, :] - 2 * self.centre[j] @ self.centre.T, 0))
+            out &= near[np.arange(len(j)), j][:, None] - near <= reach * apart + 1e-6
+        return out
+
+    def assign(self, x: np.ndarray, cosine: float) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """Home list, groups of lists to visit, codes, and the length of what the codes leave out."""
         near = x @ self.centre.T - (self.centre**2).sum(1) / 2
         home = near.argmax(1)
-        k = min(PROBES + 1, near.shape[1])
-        order = np.argpartition(-near, k - 1, axis=1)[:, :k]
+        groups = [np.unique(np.flatnonzero(v) // GROUP) for v in self.visits(near, home, cosine)]
         rest = x - self.centre[home]
         codes = np.stack([_nearest(np.ascontiguousarray(rest[:, a : a + SUBSPACE]), w) for a, w in zip(self.cuts, self.words, strict=True)], 1).astype(np.uint8)
         coded = np.concatenate([w[codes[:, m]] for m, w in enumerate(self.words)], 1)
-        return home, order, codes, np.linalg.norm(rest - coded, axis=1)
+        return home, groups, codes, np.linalg.norm(rest - coded, axis=1)
 
-    def lookup(self, x: np.ndarray, home: int, codes: np.ndarray) -> np.ndarray:
-        """Estimated inner products of x with coded vectors of one list: one table a subspace."""
-        out = np.repeat((x @ self.centre[home])[:, None], len(codes), 1)
+    def lookup(self, x: np.ndarray, home: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Estimated inner products of x with coded vectors of some lists: one table a subspace."""
+        lists, at = np.unique(home, return_inverse=True)
+        out = (x @ self.centre[lists].T)[:, at]
         for m, (a, w) in enumerate(zip(self.cuts, self.words, strict=True)):
             out += (x[:, a : a + SUBSPACE] @ w.T)[:, codes[:, m]]
         return out
@@ -102,24 +120,26 @@ def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = new
 
 
-def block_links(book: Codebook, cosine: float, home: int, res: pd.DataFrame, vis: pd.DataFrame) -> tuple[dict, list]:
-    """Links of visitors with residents of one list: linked rows of each class, and edges that span what is connected."""
+def block_links(book: Codebook, cosine: float, res: pd.DataFrame, vis: pd.DataFrame) -> tuple[dict, list]:
+    """Links of visitors with residents of one group of lists: linked rows of each class, and edges that span what is connected."""
     y, ydim = _units(list(res["vec"]), book.width)
     x, xdim = _units(list(vis["vec"]), book.width)
     codes = np.frombuffer(b"".join(res["code"]), np.uint8).reshape(len(res), -1)
-    ok = book.lookup(x, home, codes) >= cosine - res["err"].to_numpy()[None, :] - 1e-9
-    ok &= xdim[:, None] == ydim[None, :]
-    # each pair once: in a shared list by order, else where the other side does not see it too
     xcls, ycls = vis["cls"].to_numpy(), res["cls"].to_numpy()
-    xhome = vis["home"].to_numpy()
-    own = xhome == home
-    ok[own] &= xcls[own][:, None] < ycls[None, :]
-    probes = np.stack(list(res["probes"]))
-    for h in np.unique(xhome[xhome > home]):
-        ok[np.ix_(xhome == h, (probes == h).any(1))] = False
-    i, j = np.nonzero(ok)
-    keep = np.concatenate([np.zeros(0, bool), *(np.einsum("ij,ij->i", x[i[k : k + 65536]], y[j[k : k + 65536]]) >= cosine for k in range(0, len(i), 65536))])
-    i, j = i[keep], j[keep]
+    xhome, yhome = vis["home"].to_numpy(), res["home"].to_numpy()
+    least = cosine - res["err"].to_numpy()[None, :] - 1e-9
+    ends: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for s in range(0, len(x), STEP):
+        c = slice(s, s + STEP)
+        ok = book.lookup(x[c], yhome, codes) >= least
+        ok &= xdim[c, None] == ydim[None, :]
+        # each pair once: from the lower list, and in a shared list by order
+        ok &= (xhome[c, None] < yhome[None, :]) | ((xhome[c, None] == yhome[None, :]) & (xcls[c, None] < ycls[None, :]))
+        i, j = np.nonzero(ok)
+        i += s
+        keep = np.concatenate([np.zeros(0, bool), *(np.einsum("ij,ij->i", x[i[k : k + 65536]], y[j[k : k + 65536]]) >= cosine for k in range(0, len(i), 65536))])
+        ends.append((i[keep], j[keep]))
+    i, j = (np.concatenate(e) for e in zip(*ends, strict=True))
     xs, ys = vis["rows"].to_numpy(), res["rows"].to_numpy()
     count: dict = {}
     for cls, n in ((xcls, np.bincount(i, ys[j], len(x))), (ycls, np.bincount(j, xs[i], len(y)))):
@@ -195,33 +215,34 @@ def _links(spark, classes: DataFrame, book: Codebook, cosine: float) -> DataFram
         for b in batches:
             if not b.num_rows:
                 continue
-            home, probes, codes, err = book.assign(_units(b.column(1).to_pylist(), book.width)[0])
-            offsets = pa.array(np.arange(len(home) + 1, dtype=np.int32) * probes.shape[1])
+            home, groups, codes, err = book.assign(_units(b.column(1).to_pylist(), book.width)[0], cosine)
+            offsets = pa.array(np.append(0, np.cumsum([len(g) for g in groups])).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(4)), pa.array(home.astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(probes.astype(np.int32).ravel())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(err)],
-                ["cls", "vec", "rep", "rows", "home", "probes", "code", "err"],
+                [*(b.column(i) for i in range(4)), pa.array(home.astype(np.int32)), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(groups).astype(np.int32))), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(err)],
+                ["cls", "vec", "rep", "rows", "home", "groups", "code", "err"],
             )
 
-    kinds = "cls long, vec binary, rep long, rows long, home int, probes array<int>, code binary, err double"
+    kinds = "cls long, vec binary, rep long, rows long, home int, groups array<int>, code binary, err double"
     table = materialize(classes.select("cls", "vec", "rep", "rows").mapInArrow(assign, kinds), "assigned")
-    visits = table.withColumn("list", F.explode(F.array_distinct(F.concat("probes", F.array("home")))))
-    here = table.groupBy("home").agg(F.count("*").alias("nr")).withColumnRenamed("home", "list")
+    visits = table.withColumn("list", F.explode("groups")).drop("groups")
+    table = table.withColumn("list", F.floor(F.col("home") / GROUP).cast("int")).drop("groups")
+    here = table.groupBy("list").agg(F.count("*").alias("nr"))
     there = visits.groupBy("list").agg(F.count("*").alias("nv"))
     size = materialize(here.join(there, "list").select("list", F.ceil(F.col("nr") / BLOCK).cast("int").alias("nr"), F.ceil(F.col("nv") / BLOCK).cast("int").alias("nv")), "lists")
-    size = F.broadcast(size)  # at most LISTS rows
+    size = F.broadcast(size)  # at most LISTS / GROUP rows
     part = lambda n: F.pmod(F.col("cls"), F.col(n)).cast("int")
     cells = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    shape = ["list", "rb", "vb", "resident", "cls", "vec", "rep", "rows", "home", "probes", "code", "err"]
-    res = table.withColumn("list", F.col("home")).join(size, "list").withColumn("rb", part("nr")).withColumn("vb", cells("nv")).withColumn("resident", F.lit(True))
+    shape = ["list", "rb", "vb", "resident", "cls", "vec", "rep", "rows", "home", "code", "err"]
+    res = table.join(size, "list").withColumn("rb", part("nr")).withColumn("vb", cells("nv")).withColumn("resident", F.lit(True))
     vis = visits.join(size, "list").withColumn("vb", part("nv")).withColumn("rb", cells("nr")).withColumn("resident", F.lit(False))
-    vis = vis.withColumn("probes", F.lit(None).cast("array<int>")).withColumn("code", F.lit(None).cast("binary"))
+    vis = vis.withColumn("code", F.lit(None).cast("binary"))
 
     def cell(pdf: pd.DataFrame) -> pd.DataFrame:
         on = pdf["resident"].to_numpy(bool)
         res, vis = pdf[on], pdf[~on]
         if not len(res) or not len(vis):
             return pd.DataFrame({"cls": [], "links": [], "rep": [], "other": []})
-        count, edges = block_links(restore(), cosine, int(pdf["list"].iloc[0]), res, vis)
+        count, edges = block_links(restore(), cosine, res, vis)
         one = pd.DataFrame({"cls": pd.array(list(count), "Int64"), "links": pd.array(list(count.values()), "Int64"), "rep": pd.array([None] * len(count), "Int64"), "other": pd.array([None] * len(count), "Int64")})
         two = pd.DataFrame({"cls": pd.array([None] * len(edges), "Int64"), "links": pd.array([None] * len(edges), "Int64"), "rep": pd.array([e[0] for e in edges], "Int64"), "other": pd.array([e[1] for e in edges], "Int64")})
         return pd.concat([one, two])

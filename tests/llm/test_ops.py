@@ -131,6 +131,21 @@ def test_vectors(spark):
     assert all(got[i].n_links == 0 and got[i].kept for i in range(900, 906))
 
 
+def test_vectors_far_lists(spark, monkeypatch):
+    """Pairs just at the bound in lists far from each other: with 150 lists of 4 vectors none may be missed."""
+    monkeypatch.setattr(pq, "LIST", 4)
+    rng = np.random.default_rng(12)
+    a = rng.standard_normal((300, 24))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((300, 24))
+    b -= (a * b).sum(1, keepdims=True) * a
+    v = np.concatenate([a, 0.6005 * a + np.sqrt(1 - 0.6005**2) * b / np.linalg.norm(b, axis=1, keepdims=True)])
+    got = {r.vec_id: r for r in pq.near_vectors(spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>"), 0.6).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    near = (u @ u.T >= 0.6).sum(1) - 1
+    assert near.sum() >= 600 and all(got[i].n_links == near[i] for i in range(len(v)))
+
+
 def test_toxicity(spark, none):
     rng = random.Random(4)
     rows, labels = [], []
