@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import session_of, text_of
-from .kernel import HashIndex, PieceEncoder, U, worker_cache
+from .common import small, text_of
+from .kernel import HashIndex, PieceEncoder, U, classes, runs_of, worker_cache
 
-#: Pieces of more bytes are merged with a heap: a round of the matrix costs a whole row for one merge.
-MATRIX_BYTES = 512
+#: Pieces of more bytes are matrices of one row, which merges all places of its least pair in a round.
+ROW_BYTES = 512
 #: Cells of one matrix.
 CELLS = 1 << 20
 _NONE = np.int32(0x7FFFFFFF)
@@ -83,31 +82,28 @@ class Merges:
                     rank[r, c] = self.rank(ids[r, c], ids[r, c + 1])
         return out
 
-    def _heap(self, piece: bytes) -> np.ndarray:
-        """The same merges for one very long piece, with a heap over a linked list."""
-        ids = self.byte[np.frombuffer(piece, np.uint8)].tolist()
-        n, lookup, tokens = len(ids), self.ranks.get, self.tokens
-        after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
-
-        def push(i: int) -> None:
-            j = after[i]
-            if j < n and (r := lookup(tokens[ids[i]] + tokens[ids[j]])) is not None:
-                heapq.heappush(heap, (r, i, ids[i], ids[j]))
-
-        for i in range(n):
-            push(i)
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j], after[i] = r, -1, after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            push(i)
-            if before[i] >= 0:
-                push(before[i])
-        return np.array([x for x in ids if x >= 0], np.int32)
+    def _row(self, piece: bytes) -> np.ndarray:
+        """The same merges for one long piece: a round merges every place of the minimum-rank pair, from the
+        left, up to the first whose merge makes a pair of lower rank, which must come next."""
+        ids = self.byte[np.frombuffer(piece, np.uint8)]
+        rank = self.rank(ids[:-1], ids[1:])
+        while len(rank) and (best := rank.min()) != _NONE:
+            at = np.flatnonzero(rank == best)
+            n = np.arange(len(at))
+            run = np.maximum.accumulate(np.where(np.append(True, np.diff(at) != 1), n, 0))
+            at = at[(n - run) % 2 == 0]  # of places that share a token the left one
+            left, right = np.where(at > 0, ids[at - 1], -1), np.where(at + 2 < len(ids), ids[np.minimum(at + 2, len(ids) - 1)], -1)
+            left[1:][np.diff(at) == 2] = best
+            merged = np.full(len(at), best)
+            lower = np.flatnonzero((self.rank(left, merged) < best) | (self.rank(merged, right) < best))
+            at = at[: lower[0] + 1] if len(lower) else at
+            ids[at] = best
+            ids, rank = np.delete(ids, at + 1), np.delete(rank, at)
+            new = at - np.arange(len(at))
+            for side in (new - 1, new):
+                side = side[(side >= 0) & (side < len(rank))]
+                rank[side] = self.rank(ids[side], ids[side + 1])
+        return ids
 
     def encode_pieces(self, texts: list[str]) -> list[np.ndarray]:
         """ids of pieces that the pattern has cut."""
@@ -118,8 +114,8 @@ class Merges:
             whole = self.ranks.get(p)
             if whole is not None:
                 out[i] = np.array([whole], np.int32)
-            elif len(p) > MATRIX_BYTES:
-                out[i] = self._heap(p)
+            elif len(p) > ROW_BYTES:
+                out[i] = self._row(p)
             else:
                 buckets.setdefault(-(-len(p) // 4) if len(p) <= 16 else 16 + len(p).bit_length(), []).append(i)
         for rows in buckets.values():
@@ -138,18 +134,28 @@ def merges(path: str) -> Merges:
     return worker_cache(("merges", path), lambda: Merges(path))
 
 
-def encoder(path: str) -> PieceEncoder:
-    return worker_cache(("encoder", path), lambda: PieceEncoder(merges(path).encode_pieces))
+def encoder(path: str, kinds: tuple) -> PieceEncoder:
+    return worker_cache(("encoder", path), lambda: PieceEncoder(merges(path).encode_pieces, np.repeat(kinds[1], kinds[0])))
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Character classes of the library's own regex engine, probed once by the driver: text that a pattern leaves out makes no tokens."""
+    import tiktoken
+
+    def members(regex: str, text: str) -> str:
+        only = tiktoken.Encoding("kinds", pat_str=regex + "+", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+        return only.decode_bytes(only.encode_ordinary(text)).decode()
+
+    return worker_cache("regex kinds", lambda: runs_of(classes(members)))
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids): token ids of each whole text (null: empty) as little-endian 32-bit integers."""
-    session_of(docs)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    id_type, kinds = docs.schema["doc_id"].dataType.simpleString(), _kinds()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = [x.astype("<u4").tobytes() for x in encoder(path)(b.column(1).to_pylist())]
+        for b in small(batches):
+            ids = [x.astype("<u4").tobytes() for x in encoder(path, kinds)(b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, ids binary")
@@ -160,7 +166,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     id_type = encoded.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out = [merges(path).decode(np.frombuffer(x, "<u4")) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "bytes"])
 
@@ -173,12 +179,11 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     Every row is answered alone, so ties, repeated rows and null ids need no rule; null or empty texts
     have no ids.  Text and ids never leave the Arrow batch.
     """
-    session_of(docs)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    id_type, kinds = docs.schema["doc_id"].dataType.simpleString(), _kinds()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, enc = merges(path), encoder(path)
-        for b in batches:
+        m, enc = merges(path), encoder(path, kinds)
+        for b in small(batches):
             n, ids_sha, text_sha = [], [], []
             for ids in enc(b.column(1).to_pylist()):
                 n.append(len(ids))

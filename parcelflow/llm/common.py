@@ -1,34 +1,41 @@
-"""What the operators share: shared storage, size-checked broadcasts, components."""
+"""What the operators share: shared storage, numbered rows, size-checked broadcasts, components."""
 
 from __future__ import annotations
 
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A side of a join is broadcast only if its rows were counted and times their width stay below this.
 BROADCAST_BYTES = 8 << 20
-#: Rows of one Arrow batch; texts are long, so batches are short.
-ARROW_ROWS = 1000
+#: What a row costs in a broadcast table besides its own values.
+ROW_OVERHEAD = 64
+#: Bytes of an Arrow batch that a task works on at once.
+BATCH_BYTES = 2 << 20
 
 _written: list[tuple[SparkSession, str]] = []
 
 
-def session_of(df: DataFrame) -> SparkSession:
-    """The session of a frame, with Arrow batches short enough for long texts."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return spark
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of about BATCH_BYTES, so what a task holds doesn't depend on session settings."""
+    for b in batches:
+        step = max(1, b.num_rows * BATCH_BYTES // max(b.nbytes, 1))
+        for i in range(0, b.num_rows, step):
+            yield b.slice(i, step)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own on a single machine."""
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir") or spark.conf.get("parcelflow.shared.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="parcelflow-")
         spark.conf.set("parcelflow.shared.dir", base)
         _written.append((spark, base))
@@ -77,16 +84,23 @@ def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
 
     `df` must be cheap to count: a table that `materialize` wrote.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    return F.broadcast(df) if df.count() * (row_bytes + ROW_OVERHEAD) <= BROADCAST_BYTES else df
 
 
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
-    """A key that is never null; rows that repeat both id and text share it."""
-    return F.xxhash64(F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.coalesce(F.col(text), F.lit("")))
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that the frame doesn't have."""
+    while name.lower() in map(str.lower, df.columns):
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder with a long that tells its rows apart, also rows that are equal."""
+    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
 def _star(edges: DataFrame) -> DataFrame:

@@ -14,14 +14,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, session_of, text_of
+from .common import fresh, materialize, maybe_broadcast, new_path, numbered, small, text_of
+from .kernel import mix
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Keys that one filter holds on average; more keys mean more shards.
-SHARD_KEYS = 200_000
+#: Keys that one filter holds on average, and the fewest shards; more keys mean more shards.
+SHARD_KEYS, SHARDS = 50_000, 16
 _U = np.uint64
 
 
@@ -30,14 +31,6 @@ def normalised(name: str = "text") -> Column:
     return F.translate(text_of(name), UPPER, LOWER)
 
 
-def _mix(x: np.ndarray, seed: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = x + _U(seed)
-        x = (x ^ (x >> _U(33))) * _U(0xFF51AFD7ED558CCD)
-        x = (x ^ (x >> _U(33))) * _U(0xC4CEB9FE1A85EC53)
-        return x ^ (x >> _U(33))
-
-
 def _shape(n: int) -> tuple[int, int]:
     """Segment length and number of starting segments for n keys."""
     length = 4 if n < 2 else min(1 << 18, 1 << int(np.floor(np.log(n) / np.log(3.33) + 2.25)))
@@ -46,7 +39,7 @@ def _shape(n: int) -> tuple[int, int]:
 
 
 def _slots(keys: np.ndarray, seed: int, length: int, count: int) -> tuple[np.ndarray, np.ndarray]:
-    h = _mix(keys, seed)
+    h = mix(keys, seed)
     mask = _U(length - 1)
     a = ((h >> _U(32)) * _U(count * length)) >> _U(32)
     b = (a + _U(length)) ^ ((h >> _U(18)) & mask)
@@ -103,9 +96,9 @@ def digests(docs: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             # bytes.lower() changes A-Z only
-            out = [hashlib.sha256(t.encode().lower()).digest() for t in b.column(1).to_pylist()]
+            out = [hashlib.sha256(t.encode("utf-8", "surrogatepass").lower()).digest() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["doc_id", "digest"])
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, digest binary")
@@ -148,14 +141,31 @@ def _grouped(rows: DataFrame, *key: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
 
 
-def merge_batch(snapshot: DataFrame, batch: DataFrame, shards: int) -> DataFrame:
-    """Groups (digest, keep_id, group_size) of a snapshot and a new batch together."""
-    filters = materialize(build_filters(snapshot, shards), "filters")
-    seen = materialize(screen(batch, filters, shards), "screened")
-    hits = seen.where("maybe").drop("maybe")
-    merged = snapshot.select("digest", "keep_id", "group_size").unionByName(hits)
-    merged = merged.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    return merged.unionByName(seen.where("not maybe").drop("maybe"))
+class Snapshot:
+    """An immutable set of known texts in a folder: exact buckets (digest, keep_id, group_size) and a filter a shard."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        """Opens what `write` has written."""
+        self.groups, self.filters = spark.read.parquet(f"{path}/groups"), spark.read.parquet(f"{path}/filters")
+        self.shards = spark.read.parquet(f"{path}/shape").first()["shards"]
+
+    @classmethod
+    def write(cls, groups: DataFrame, path: str, shards: int | None = None) -> Snapshot:
+        """Writes a snapshot of distinct digests; a later batch opens it by its path, and its filters are not built again."""
+        spark = groups.sparkSession
+        groups.select("digest", "keep_id", "group_size").write.parquet(f"{path}/groups")
+        stored = spark.read.parquet(f"{path}/groups")
+        shards = shards or max(SHARDS, -(-stored.count() // SHARD_KEYS))
+        build_filters(stored, shards).write.parquet(f"{path}/filters")
+        spark.createDataFrame([(shards,)], "shards int").write.parquet(f"{path}/shape")
+        return cls(spark, path)
+
+    def merged(self, batch: DataFrame) -> DataFrame:
+        """Groups (digest, keep_id, group_size) of the snapshot and a new batch of groups together."""
+        seen = materialize(screen(batch, self.filters, self.shards), "screened")
+        hits = seen.where("maybe").drop("maybe")
+        both = self.groups.unionByName(hits).groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+        return both.unionByName(seen.where("not maybe").drop("maybe"))
 
 
 def exact_groups(docs: DataFrame) -> DataFrame:
@@ -167,10 +177,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     immutable snapshot, the others the incoming batch: the answer doesn't depend on that split.  A
     digest that a third of all rows share is reduced to one row per task before it moves.
     """
-    session_of(docs)
     rows = materialize(digests(docs).withColumn("old", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests")
-    shards = max(4, -(-rows.count() // SHARD_KEYS))
-    groups = materialize(merge_batch(_grouped(rows.where("old"), "digest"), _grouped(rows.where("not old"), "digest"), shards), "groups")
+    snapshot = Snapshot.write(_grouped(rows.where("old"), "digest"), new_path(docs.sparkSession, "snapshot"))
+    groups = materialize(snapshot.merged(_grouped(rows.where("not old"), "digest")), "groups")
     out = rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
     out = materialize(out, "exact")
     if not _differing(docs, out).isEmpty():  # two texts with one SHA-256: group by the bytes themselves
@@ -192,6 +201,17 @@ def _differing(docs: DataFrame, out: DataFrame) -> DataFrame:
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:
-    """`docs` without the rows that an equal text with a larger doc_id replaces; all columns stay."""
-    gone = materialize(exact_groups(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__pf_id")), "dropped")
-    return docs.join(maybe_broadcast(gone, 8), F.col("doc_id") == F.col("__pf_id"), "left_anti")
+    """`docs` with one row of each group of equal texts: the one with the largest doc_id; all columns stay.
+
+    The decision is made for each row, not for each doc_id: of rows that repeat id and text one stays, an
+    id that stands for two texts keeps both, and where no row of a group has an id one of them stays.
+    Empty and null texts are equal.
+    """
+    row = fresh("__pf_row", docs)
+    rows = numbered(docs, row)
+    found = exact_groups(rows.select(F.col(row).alias("doc_id"), "text")).where("group_size > 1").select(F.col("doc_id").alias("r"), F.col("keep_id").alias("g"))
+    found = materialize(found.join(rows.select(F.col(row).alias("r"), "doc_id"), "r"), "copies")
+    best = found.groupBy("g").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "r")).alias("best"))
+    stays = materialize(best.select(F.col("best.r").alias("r")), "stays")
+    gone = materialize(found.select("r").join(maybe_broadcast(stays, 8), "r", "left_anti").select(F.col("r").alias(row)), "dropped")
+    return rows.join(maybe_broadcast(gone, 8), row, "left_anti").select(docs.columns)

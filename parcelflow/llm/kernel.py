@@ -1,14 +1,15 @@
 """Vectorised text kernels that run inside Arrow batches on executors.
 
-Nothing here loops over characters or words in Python.  Buffers are cut into segments of about
-`SEGMENT` characters, so memory stays bounded for texts of any length.
+Nothing here loops over characters or words in Python, but for words of hundreds of bytes.  Buffers are
+cut into segments of about `SEGMENT` characters; only a longer run of one kind of character stays whole.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 import sys
 import types
-import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -80,27 +81,52 @@ def _byte_table() -> tuple[np.ndarray, np.ndarray]:
     code[65:91] += 32
     space = np.zeros(256, bool)
     space[[9, 10, 11, 12, 13, 32]] = True
-    return mix(code.astype(U), 0x51ED270B), space
+    return code, space
+
+
+#: Longer words are hashed whole.
+_LONG = 256
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], U)
+
+
+def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each span, eight bytes a step; spans of one length up to 8 never collide."""
+    size = end - start
+    eight = np.ndarray(len(data), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]).tobytes(), 0, (1,))
+    out = mix(size.astype(U) * U(0xD6E8FEB86659FD93), seed)
+    at, k = np.flatnonzero(size <= _LONG), 0
+    while len(at := at[size[at] > k]):
+        out[at] = mix(out[at] ^ (eight[start[at] + k] & _MASKS[np.minimum(size[at] - k, 8)]), seed)
+        k += 8
+    for i in np.flatnonzero(size > _LONG):
+        raw = hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8, key=seed.to_bytes(8, "little"))
+        out[i] = int.from_bytes(raw.digest(), "little")
+    return out
+
 
+#: One seed for each lane of a word's hash.
+LANES = (0x243F6A8885A308D3, 0x13198A2E03707344)
 
-def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word in order, first word of each text and then the number of words).
+
+def words(col: pa.Array, lanes: int = 1) -> tuple[np.ndarray, ...]:
+    """(64-bit hash of each word in order, a second independent one with lanes=2, first word of each text and then the number of words).
 
     A word is a maximal run of characters other than blanks and U+0009 to U+000D; A-Z count as a-z.
     """
     data, offsets = buffers(col)
-    value, space = worker_cache("bytes", _byte_table)
-    at, hashes, where = 0, [np.zeros(0, U)], [np.zeros(0, np.int64)]
+    lower, space = worker_cache("bytes", _byte_table)
+    at, where = 0, [np.zeros(0, np.int64)]
+    hashes: list[list[np.ndarray]] = [[np.zeros(0, U)] for _ in range(lanes)]
     while at < len(data):
         stop = min(at + SEGMENT, len(data))
         if stop < len(data):  # cut at a blank; a longer word is taken whole
             gap = np.flatnonzero(space[data[at:stop]])
+            while not len(gap) and stop < len(data):
+                more = min(stop + SEGMENT, len(data))
+                gap, stop = np.flatnonzero(space[data[stop:more]]) + stop - at, more
             if len(gap):
                 stop = at + int(gap[-1]) + 1
-            else:
-                while stop < len(data) and not space[data[stop]]:
-                    stop += 1
-        part = data[at:stop]
+        part = lower[data[at:stop]]
         inside = np.zeros(len(part) + 2, bool)
         inside[1:-1] = ~space[part]
         cuts = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop, "right")] - at
@@ -108,31 +134,46 @@ def words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         cut[cuts] = True
         start = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
         end = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
-        hashes.append(span_hashes(value[part], start, end))
+        for out, seed in zip(hashes, LANES[:lanes], strict=True):
+            out.append(_hashed(part, start, end, seed))
         where.append(start + at)
         at = stop
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(where), offsets)
+    return *map(np.concatenate, hashes), np.searchsorted(np.concatenate(where), offsets)
+
+
+def distinct(pairs: np.ndarray) -> np.ndarray:
+    """Sorted distinct rows of an array of two columns."""
+    pairs = pairs[np.argsort(pairs[:, 0])]
+    same = pairs[1:, 0] == pairs[:-1, 0]
+    if (pairs[1:, 1] != pairs[:-1, 1])[same].any():  # one first hash, two second ones
+        pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+        same = (pairs[1:] == pairs[:-1]).all(1)
+    return pairs[np.append(True, ~same)[: len(pairs)]]
 
 
 def shingles(col: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """For each text, the sorted distinct hashes of its runs of `size` words.
+    """For each text, the distinct 128-bit hashes of its runs of `size` words: two columns, sorted.
 
     A text of fewer words gives its whole sequence as one shingle; a text without words gives none.
     """
-    hashed, first = words(col)
-    runs = mix(hashed, size)
-    for j in range(1, size):
-        runs = mix(runs[: max(0, len(hashed) - j)] + hashed[j:], size + j)
+    *lanes, first = words(col, 2)
+    runs = []
+    for hashed, seed in zip(lanes, LANES, strict=True):
+        run = mix(hashed, seed + size)
+        for j in range(1, size):
+            run = mix(run[: max(0, len(hashed) - j)] ^ mix(hashed[j:], seed + j), seed)
+        runs.append(run)
+    both = np.stack(runs, 1) if len(runs[0]) else np.zeros((0, 2), U)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= size:
-            yield np.unique(runs[a : b - size + 1])
+            yield distinct(both[a : b - size + 1])
         elif b > a:
-            x = U(b - a)
-            for h in hashed[a:b]:
-                x = mix(np.array([x ^ h], U), 77)[0]
-            yield np.array([x], U)
+            x = np.full(2, b - a, U)
+            for k in range(a, b):
+                x = mix(x ^ np.array([lane[k] for lane in lanes], U), LANES[0])
+            yield x[None, :]
         else:
-            yield np.zeros(0, U)
+            yield np.zeros((0, 2), U)
 
 
 class HashIndex:
@@ -181,26 +222,37 @@ class HashIndex:
             keys, values, slot = keys[left], values[left], (slot[left] + U(1)) & mask
 
 
-#: The characters with the Unicode property White_Space.
-WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _OTHER, _LETTER, _NUMBER, _WHITE = 0, 1, 2, 3
 
 
-def _classes() -> np.ndarray:
-    kind = {"L": _LETTER, "N": _NUMBER}
-    out = np.array([kind.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x110000)], np.uint8)
-    out[WHITE] = _WHITE
+def classes(members: Callable[[str, str], str]) -> np.ndarray:
+    """The kind of each code point, as the engine that defines a vocabulary's pattern sees it.
+
+    members(regex, text) gives the characters of a text that match; surrogates, which no text holds,
+    count as other signs.
+    """
+    out = np.zeros(0x110000, np.uint8)
+    for at in range(0, len(out), 1 << 12):
+        text = "".join(chr(c) for c in range(at, at + (1 << 12)) if not 0xD800 <= c < 0xE000)
+        for kind, regex in ((_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"), (_WHITE, r"\s")):
+            out[np.frombuffer(members(regex, text).encode("utf-32-le"), np.uint32)] = kind
     return out
 
 
-def _starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
+def runs_of(kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and values of runs of equal values: what a driver that has probed an engine sends to its workers."""
+    at = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1]))
+    return np.diff(np.append(at, len(kinds))), kinds[at]
+
+
+def _starts(cp: np.ndarray, first: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     """Where the pieces begin that the pattern of the public byte-level vocabularies cuts.
 
     The pattern takes contractions, runs of letters, of numbers and of other signs, each with one
     blank before it, and white space.  `first` has the places where texts begin.
     """
     n = len(cp)
-    kind = worker_cache("classes", _classes)[cp]
+    kind = kinds[cp]
     new = np.zeros(n + 1, bool)
     new[first] = True
     new[n] = True
@@ -236,88 +288,127 @@ def _starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """Token ids of whole texts, by pieces whose ids are kept once they are known.
 
-    `encode` gives the ids of distinct pieces; at most `most` pieces are kept, then all are forgotten.
+    `encode` gives the ids of distinct pieces; `kinds` are the character classes of the pattern; `special`
+    are strings that are one id wherever they stand.  At most `most` pieces are kept, then all are
+    forgotten.  A kept piece is found by its hash and compared by its characters.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 1 << 18) -> None:
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[list[str]], list], kinds: np.ndarray, special: dict[str, int] | None = None, most: int = 1 << 18) -> None:
+        self.encode, self.kinds, self.special, self.most = encode, kinds, special or {}, most
+        self.cuts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if special else None
         self._forget()
 
     def _forget(self) -> None:
-        self.index, self.count, self.used = HashIndex(18), 0, 0
-        self.start, self.length, self.flat = np.zeros(1 << 17, np.int64), np.zeros(1 << 17, np.int32), np.zeros(1 << 19, np.int32)
+        self.index, self.count = HashIndex(18), 0
+        # of each piece its ids and its characters, one after the other
+        self.ids, self.chars = _Runs(np.int32), _Runs(np.uint32)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = self.encode(pieces)
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        total, n = int(lengths.sum()), len(got)
-        while self.count + n > len(self.start):
-            self.start, self.length = np.concatenate([self.start, self.start]), np.concatenate([self.length, self.length])
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate([self.flat, self.flat])
-        ends = np.cumsum(lengths)
-        self.start[self.count : self.count + n] = self.used + ends - lengths
-        self.length[self.count : self.count + n] = lengths
-        if total:
-            self.flat[self.used : self.used + total] = np.concatenate([np.asarray(g, np.int32) for g in got])
-        self.index.add(keys, np.arange(self.count, self.count + n))
-        self.count, self.used = self.count + n, self.used + total
+    def _store(self, pieces: list[str]) -> np.ndarray:
+        """Numbers of new entries."""
+        self.ids.add([np.asarray(g, np.int32) for g in self.encode(pieces)])
+        self.chars.add([np.frombuffer(p.encode("utf-32-le", "surrogatepass"), np.uint32) for p in pieces])
+        self.count += len(pieces)
+        return np.arange(self.count - len(pieces), self.count)
 
     def _part(self, text: str, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of a segment, and how many each of its texts has."""
         cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        start = _starts(cp, first)
+        start = _starts(cp, first, self.kinds)
         end = np.append(start[1:], len(cp))
-        value = mix(cp.astype(U), 0x1B873593)
-        keys = span_hashes(value, start, end)
+        keys = span_hashes(mix(cp.astype(U), 0x1B873593), start, end)
         keys[keys == 0] = 1
         if self.count > self.most:
             self._forget()
+        taken = lambda at: [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
         found = self.index.get(keys)
         new = np.flatnonzero(found < 0)
         if len(new):
-            distinct, at = np.unique(keys[new], return_index=True)
-            at = new[at]
-            self._learn(distinct, [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
+            distinct_, at = np.unique(keys[new], return_index=True)
+            self.index.add(distinct_, self._store(taken(new[at])))
             found[new] = self.index.get(keys[new])
-        lengths = self.length[found].astype(np.int64)
+        # pieces whose hash is that of other characters get entries of their own
+        place = np.minimum(np.repeat(self.chars.start[found] - start, end - start) + np.arange(len(cp)), len(self.chars.flat) - 1)
+        same = np.logical_and.reduceat(self.chars.flat[place] == cp, start) & (self.chars.length[found] == end - start) if len(start) else np.zeros(0, bool)
+        if not same.all():
+            found[~same] = self._store(taken(np.flatnonzero(~same)))
+        lengths = self.ids.length[found].astype(np.int64)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.start[found] - (ends - lengths), lengths) + np.arange(total)]
+        ids = self.ids.flat[np.repeat(self.ids.start[found] - (ends - lengths), lengths) + np.arange(total)]
         upto = np.append(0, ends)[np.searchsorted(start, np.append(first, len(cp)))]
         return ids, np.diff(upto)
 
+    def _cut(self, text: str) -> Iterator[str | int]:
+        """Parts of a text and special ids, in order."""
+        at = 0
+        for m in self.cuts.finditer(text) if self.cuts else ():
+            yield text[at : m.start()]
+            yield self.special[m.group()]
+            at = m.end()
+        yield text[at:] if at else text
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[list[np.ndarray]] = [[] for _ in texts]
-        batch: list[tuple[int, str]] = []
+        out: list[list] = [[] for _ in texts]
+        batch: list[tuple[int, int, str]] = []
         held = 0
 
         def flush() -> None:
-            sizes = np.array([len(t) for _, t in batch], np.int64)
-            ids, counts = self._part("".join(t for _, t in batch), np.cumsum(sizes) - sizes)
-            for (i, _), part in zip(batch, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
-                out[i].append(part)
+            sizes = np.array([len(t) for _, _, t in batch], np.int64)
+            ids, counts = self._part("".join(t for _, _, t in batch), np.cumsum(sizes) - sizes)
+            for (i, k, _), part in zip(batch, np.split(ids, np.cumsum(counts)[:-1]), strict=True):
+                out[i][k] = part
             batch.clear()
 
         for i, text in enumerate(texts):
-            for part in safe_parts(text):
-                batch.append((i, part))
-                held += len(part)
-                if held >= SEGMENT:
-                    flush()
-                    held = 0
+            for piece in self._cut(text):
+                if isinstance(piece, int):
+                    out[i].append(np.array([piece], np.int32))
+                    continue
+                for part in safe_parts(piece, self.kinds):
+                    batch.append((i, len(out[i]), part))
+                    out[i].append(None)
+                    held += len(part)
+                    if held >= SEGMENT:
+                        flush()
+                        held = 0
         if batch:
             flush()
         return [np.concatenate(x) if len(x) != 1 else x[0] for x in (y or [np.zeros(0, np.int32)] for y in out)]
 
 
-def safe_parts(text: str) -> Iterator[str]:
-    """A text in parts of about SEGMENT characters, cut where a blank follows another sign: there a piece begins."""
+class _Runs:
+    """Arrays of different lengths kept one after the other."""
+
+    def __init__(self, kind: type) -> None:
+        self.start, self.length, self.flat = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, kind)
+        self.count = self.used = 0
+
+    def add(self, runs: list[np.ndarray]) -> None:
+        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+        total, n = int(lengths.sum()), len(runs)
+        while self.count + n > len(self.start):
+            self.start, self.length = np.concatenate([self.start, self.start]), np.concatenate([self.length, self.length])
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, self.flat])
+        self.start[self.count : self.count + n] = self.used + np.cumsum(lengths) - lengths
+        self.length[self.count : self.count + n] = lengths
+        if total:
+            self.flat[self.used : self.used + total] = np.concatenate(runs)
+        self.count, self.used = self.count + n, self.used + total
+
+
+def safe_parts(text: str, kinds: np.ndarray) -> Iterator[str]:
+    """A text in parts of about SEGMENT characters, cut where a run of letters or numbers ends: there a piece begins."""
     at = 0
     while len(text) - at > SEGMENT:
         cut = at + SEGMENT
-        while cut < len(text) and not (text[cut] == " " and ord(text[cut - 1]) not in WHITE):
-            cut += 1
+        while cut < len(text):
+            near = kinds[np.frombuffer(text[cut - 1 : cut + SEGMENT].encode("utf-32-le", "surrogatepass"), np.uint32)]
+            ends = np.flatnonzero(((near[:-1] == _LETTER) | (near[:-1] == _NUMBER)) & (near[1:] != near[:-1]))
+            if len(ends):
+                cut += int(ends[0])
+                break
+            cut += len(near) - 1
         yield text[at:cut]
         at = cut
     if at < len(text):

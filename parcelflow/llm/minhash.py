@@ -13,10 +13,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop_table, materialize, maybe_broadcast, session_of, text_of
+from .common import components, drop_table, fresh, materialize, maybe_broadcast, numbered, small, text_of
 from .kernel import U, mix, shingles
 from .pq import roots
 
@@ -33,17 +33,17 @@ def signatures(docs: DataFrame, words: int, rows: int = ROWS, tables: int = TABL
     shift = rng.integers(0, 1 << 63, 2 * rows * tables, dtype=np.int64).astype(U)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             sets = list(shingles(b.column(1), words))
             size = np.fromiter(map(len, sets), np.int64, len(sets))
             full = np.flatnonzero(size)
-            flat = np.concatenate(sets) if sets else np.zeros(0, U)
+            flat = np.concatenate(sets) if sets else np.zeros((0, 2), U)
             start = (np.cumsum(size) - size)[full]
             low = np.zeros((len(sets), 2 * rows * tables), U)
             s1, s2 = np.zeros(len(sets), U), np.zeros(len(sets), U)
             if len(full):
-                s1[full], s2[full] = np.add.reduceat(mix(flat, 1), start), np.bitwise_xor.reduceat(mix(flat, 2), start)
-                low[full] = _minima(flat, start, factor, shift)
+                s1[full], s2[full] = (np.add.reduceat(mix(flat[:, k].copy(), k + 1), start) for k in (0, 1))
+                low[full] = _minima(flat[:, 0].copy(), start, factor, shift)
             band = np.zeros((len(sets), 2 * tables), U)
             for r in range(rows):
                 band = mix(band ^ low[:, r::rows], r + 1)
@@ -71,24 +71,34 @@ def _minima(flat: np.ndarray, start: np.ndarray, factor: np.ndarray, shift: np.n
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the distinct 64-bit shingle hashes of each text, packed."""
+    """(doc_id, shingles): the distinct 128-bit shingle hashes of each text, packed."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             sets = list(shingles(b.column(1), words))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "shingles"])
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, shingles binary")
 
 
+def _numbers(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Sets of 128-bit hashes as sets of small numbers, alike where the hashes are."""
+    flat = np.concatenate(sets)
+    _, at, code = np.unique(flat[:, 0], return_index=True, return_inverse=True)
+    if (flat[at[code], 1] != flat[:, 1]).any():  # one first hash, two second ones
+        code = np.unique(flat, axis=0, return_inverse=True)[1].ravel()
+    return np.split(code, np.cumsum([len(x) for x in sets])[:-1])
+
+
 def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two lists of sorted sets, by products of membership matrices in slices."""
+    """Sizes of all intersections of two lists of sets, by products of membership matrices in slices."""
+    both = _numbers(a + b)
     if len(a) * len(b) <= 16:
-        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in b] for x in a])
-    flat = np.concatenate(a + b)
-    row = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in a + b])
-    distinct, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in both[len(a) :]] for x in both[: len(a)]])
+    column = np.concatenate(both)
+    row = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    times = np.bincount(column)
     keep = times[column] > 1
     number = np.cumsum(times > 1) - 1
     row, column = row[keep], number[column[keep]]
@@ -97,7 +107,7 @@ def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(a), len(b)), np.float32)
     for lo in range(0, int(number[-1]) + 1 if len(number) else 0, SLICE):
         at = slice(*np.searchsorted(column, [lo, lo + SLICE]))
-        m = np.zeros((len(a) + len(b), SLICE), np.float32)
+        m = np.zeros((len(both), SLICE), np.float32)
         m[row[at], column[at] - lo] = 1
         out += m[: len(a)] @ m[len(a) :].T
     return np.rint(out).astype(np.int64)
@@ -105,7 +115,7 @@ def _counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 def _cell_links(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> list[tuple]:
     """Edges that span what is linked between two blocks."""
-    a, b = ([np.frombuffer(x, np.int64) for x in side["shingles"]] for side in (left, right))
+    a, b = ([np.frombuffer(x, U).reshape(-1, 2) for x in side["shingles"]] for side in (left, right))
     c = _counts(a, b)
     union = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :] - c
     i, j = np.nonzero(100 * c >= percent * union)
@@ -119,7 +129,9 @@ def links_within(docs: DataFrame, members: DataFrame, words: int, percent: int)
 
     Documents gather around the smallest id that their buckets lead to, and each gathering is cut into
     blocks of at most about BLOCK.  Blocks whose gatherings share a bucket are compared as a whole, in
-    matrices, so candidate pairs are never listed, and a document moves once for each block it meets.
+    matrices, so candidate pairs are never listed.  Each block meets itself and the first block of each
+    gathering first; other cells are skipped where all their documents are connected by then, so a huge
+    group of near copies costs its size and not the square of it.
     """
     home = members.groupBy("key").agg(F.min("rep").alias("low"))
     for _ in range(2):
@@ -134,19 +146,42 @@ def links_within(docs: DataFrame, members: DataFrame, words: int, percent: int)
     pairs = size.select(F.col("home").alias("h1"), F.col("home").alias("h2")).unionByName(apart)
     pairs = pairs.join(size.select(F.col("home").alias("h1"), F.col("blocks").alias("n1")), "h1").join(size.select(F.col("home").alias("h2"), F.col("blocks").alias("n2")), "h2")
     pairs = materialize(pairs, "pairs")
-    placed = near.join(size, "home").select("rep", "home", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block"))
-    other = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = placed.join(pairs.withColumnRenamed("h1", "home"), "home").withColumn("o", other("n2"))
-    same = F.col("home") == F.col("h2")
-    one = one.select("rep", F.col("home").alias("h1"), "h2", F.when(same, F.least("block", "o")).otherwise(F.col("block")).alias("i"), F.when(same, F.greatest("block", "o")).otherwise(F.col("o")).alias("j"), (same & (F.col("block") > F.col("o"))).alias("right"))
-    two = placed.join(pairs.where("h1 < h2").withColumnRenamed("h2", "home"), "home").withColumn("o", other("n1")).select("rep", "h1", F.col("home").alias("h2"), F.col("o").alias("i"), F.col("block").alias("j"), F.lit(True).alias("right"))
-    cells = materialize(one.unionByName(two), "cells")
-    bundles = max(1, -(-cells.count() // BLOCK))
+    placed = materialize(near.join(size, "home").select("rep", "home", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block")), "placed")
     named = materialize(near.select(F.col("rep").alias("doc_id")), "named")
     texts = docs.select("doc_id", "text").join(maybe_broadcast(named, 8), "doc_id", "left_semi")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = shingle_sets(texts, words).join(cells.withColumnRenamed("rep", "doc_id"), "doc_id")
-    rows = rows.withColumn("bundle", F.pmod(F.xxhash64("h1", "h2", "i", "j"), F.lit(bundles)))
+    sets = materialize(shingle_sets(texts, words), "sets")
+    # first every block with itself and with the first block of each gathering that it meets ...
+    same, upto = F.col("h1") == F.col("h2"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    zero = F.lit(0)
+    own = F.concat(F.transform(upto("n1"), lambda k: cell(k, k)), F.transform(upto("n1"), lambda k: cell(zero, k)))
+    apart = F.concat(F.transform(upto("n2"), lambda k: cell(zero, k)), F.transform(upto("n1"), lambda k: cell(k, zero)))
+    cells = pairs.select("h1", "h2", F.explode(F.array_distinct(F.when(same, own).otherwise(apart))).alias("c")).select("h1", "h2", "c.i", "c.j")
+    found = _compared(sets, placed, materialize(cells, "cells"), percent)
+    # ... then the cells that are left, unless all that they hold is connected by now
+    if pairs.where("n1 > 1 and n2 > 1").isEmpty():
+        return found
+    comp = components(found)
+    root = placed.join(comp, F.col("rep") == F.col("node"), "left").withColumn("root", F.coalesce("component", "rep"))
+    blocks = materialize(root.groupBy("home", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "blocks")
+    ends = lambda t, x, *keys: t.select(*(F.col(k).alias(n) for k, n in keys), F.col("lo").alias(f"lo{x}"), F.col("hi").alias(f"hi{x}"))
+    homes = blocks.groupBy("home").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    mixed = F.least("lo1", "lo2") < F.greatest("hi1", "hi2")
+    rest = pairs.where("n1 > 1 and n2 > 1").select("h1", "h2").join(ends(homes, 1, ("home", "h1")), "h1").join(ends(homes, 2, ("home", "h2")), "h2").where(mixed).select("h1", "h2")
+    rest = rest.join(ends(blocks, 1, ("home", "h1"), ("block", "i")), "h1").join(ends(blocks, 2, ("home", "h2"), ("block", "j")), "h2")
+    rest = rest.where(mixed & (F.col("i") > 0) & (F.col("j") > 0) & (~same | (F.col("i") < F.col("j")))).select("h1", "h2", "i", "j")
+    return found.unionByName(_compared(sets, placed, materialize(rest, "rest"), percent))
+
+
+def _compared(sets: DataFrame, placed: DataFrame, cells: DataFrame, percent: int) -> DataFrame:
+    """(a, b): edges that span what is linked within each cell, block i of h1 against block j of h2, on full sets."""
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    at = placed.select(F.col("rep").alias("doc_id"), "home", "block")
+    left = cells.join(at, (F.col("h1") == F.col("home")) & (F.col("i") == F.col("block"))).withColumn("right", F.lit(False))
+    right = cells.where("h1 <> h2 or i <> j").join(at, (F.col("h2") == F.col("home")) & (F.col("j") == F.col("block"))).withColumn("right", F.lit(True))
+    rows = materialize(left.unionByName(right).drop("home", "block"), "met")
+    bundles = max(1, -(-rows.count() // BLOCK))
+    rows = sets.join(rows, "doc_id").withColumn("bundle", F.pmod(F.xxhash64("h1", "h2", "i", "j"), F.lit(bundles)))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
@@ -172,7 +207,6 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int =
     Equal sets collapse to one representative first.  Every pair of representatives that shares a
     bucket is then compared on full sets, in blocks.
     """
-    session_of(docs)
     sig = materialize(signatures(docs, words, rows, tables), "signatures")
     key = ["n", "s1", "s2"]
     reps = materialize(sig.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "reps")
@@ -200,6 +234,19 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int =
 
 
 def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """`docs` with one document of each near-duplicate group; all columns stay."""
-    gone = materialize(near_groups(docs, words, percent).where("not kept").select(F.col("doc_id").alias("__pf_id")).distinct(), "near")
-    return docs.join(maybe_broadcast(gone, 8), F.col("doc_id") == F.col("__pf_id"), "left_anti")
+    """`docs` with one row of each near-duplicate group: the one with the smallest doc_id; all columns stay.
+
+    Every row is a document of its own, so an id that stands for two texts keeps both unless another row
+    is near each; of rows that repeat id and text one stays, and rows without id stay only where no row
+    of their group has one.  Texts without words are near nothing and stay.
+    """
+    row = fresh("__pf_row", docs)
+    rows = numbered(docs, row)
+    groups = near_groups(rows.select(F.col(row).alias("doc_id"), "text"), words, percent)
+    many = materialize(groups.select(F.col("doc_id").alias("r"), F.col("component_id").alias("g")), "near")
+    shared = many.where("r <> g").select("g").distinct()
+    found = many.join(shared, "g", "left_semi").join(rows.select(F.col(row).alias("r"), "doc_id"), "r")
+    found = materialize(found, "groups")
+    stays = found.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "r")).alias("best")).select(F.col("best.r").alias("r"))
+    gone = found.select("r").join(maybe_broadcast(materialize(stays, "stays"), 8), "r", "left_anti").select(F.col("r").alias(row))
+    return rows.join(maybe_broadcast(materialize(gone, "dropped"), 8), row, "left_anti").select(docs.columns)

@@ -15,26 +15,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, session_of, text_of
-from .kernel import PieceEncoder, worker_cache
+from .common import materialize, maybe_broadcast, small, text_of
+from .kernel import PieceEncoder, classes, runs_of, worker_cache
 
 LENGTH, END = 2048, 1
 #: Bins of the hashed vector, dimensions and bits a dimension of the curve.
 BINS, DIMS, BITS = 256, 4, 15
 
 
-def _encoder(path: str) -> PieceEncoder:
+def _encoder(path: str, kinds: tuple) -> PieceEncoder:
     def make() -> PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
-        return PieceEncoder(lambda pieces: [e.ids for e in t.encode_batch_fast(pieces, add_special_tokens=False)])
+        t, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        plain.encode_special_tokens = True
+        added = t.get_added_tokens_decoder()
+        if any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added.values()):
+            raise ValueError("added tokens that depend on their surroundings are not known here")
+        return PieceEncoder(lambda pieces: [e.ids for e in plain.encode_batch_fast(pieces, add_special_tokens=False)], np.repeat(kinds[1], kinds[0]), {a.content: i for i, a in added.items()})
 
     return worker_cache(("tokenizers", path), make)
 
 
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Character classes of the library's own regex engine, probed once by the driver."""
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    return worker_cache("onig kinds", lambda: runs_of(classes(lambda regex, text: "".join(t for t, _ in Split(Regex(regex + "+"), "removed", invert=True).pre_tokenize_str(text)))))
+
+
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     """Index along the Hilbert curve of points with integer coordinates below 2**bits (Skilling, 2004)."""
     x = points.astype(np.int64).T.copy()
@@ -73,11 +84,11 @@ def _curve_keys(vectors: np.ndarray) -> np.ndarray:
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, n, curve): ids with the end id as little-endian 32-bit integers, their number, the Hilbert key."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    id_type, kinds = docs.schema["doc_id"].dataType.simpleString(), _kinds()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
-        for b in batches:
+        encode = _encoder(path, kinds)
+        for b in small(batches):
             ids = encode(b.column(1).to_pylist())
             bag = np.zeros((len(ids), BINS))
             for k, x in enumerate(ids):
@@ -112,14 +123,13 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool = True
     the end id alone.  Rows follow the Hilbert key, then doc_id, then their place in the input; each
     sequence of `length` is full but the last.
     """
-    session_of(docs)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     table = materialize(tokenised(docs, path).withColumn("row", F.monotonically_increasing_id()), "tokens")
     at = materialize(positions(table), "positions")
     rows = table.join(maybe_broadcast(at, 24), "row").select("doc_id", "ids", "at")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc, raw, first in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 total, start = len(raw) // 4, 0

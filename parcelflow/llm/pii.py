@@ -1,9 +1,9 @@
 """Personal data: patterns for what is direct, corpus co-occurrence for what reveals it.
 
 Following information-theoretic sanitisation (Sanchez and Batet), a term discloses a protected entity
-as far as their pointwise mutual information reaches the information content of the entity.  Terms
-near a mention whose share passes a threshold are generalised, or removed where the entity is certain.
-All stages are SQL functions.
+as far as their pointwise mutual information reaches the information content of the entity.  In the
+documents that hold the entity, terms whose share passes a threshold are generalised at all their
+places, or removed where the entity is certain.  All stages are SQL functions.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, row_key, text_of
+from .common import fresh, materialize, maybe_broadcast, numbered, text_of
 from .spans import labelled, replaced, with_spans
 
-#: Shares of an entity's information from which a term is generalised or removed, and documents that must show both.
-GENERALISE, REMOVE, SUPPORT = 0.85, 0.999, 2
-#: Words on each side of a mention, within so many characters.
-NEAR, REACH = 5, 160
+#: Shares of an entity's information from which a term is generalised or removed, and documents that must show
+#: both: one document alone is no estimate, nor are copies of a passage, so the term must first follow
+#: different words in two of them.  What generalises a term tells less than it, and at least LEAST.
+GENERALISE, REMOVE, LEAST, SUPPORT = 0.85, 0.999, 0.5, 2
 KINDS = ["email", "ip", "card", "phone"]
 #: The base patterns, so written that no start is tried twice within a run: possessive where what follows
 #: cannot be part of the run, and cards only as whole chains of 13 to 19 digits.
@@ -55,66 +55,81 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def _mentions(based: DataFrame) -> DataFrame:
-    """(key, entity, term, start, end): the words around each mention, clear of all base spans."""
-    def tagged(kind: str) -> Column:
-        return F.transform(kind, lambda s: F.struct(s["start"], s["end"], F.concat(F.lit(f"{kind}:"), F.lower(s["value"])).alias("entity")))
-
-    every = F.flatten(F.array(*map(tagged, KINDS)))
-    rows = based.withColumn("every", every).where(F.size("every") > 0).select("key", "body", "every", F.explode("every").alias("at"))
-    lo, hi = F.greatest(F.col("at.start") - REACH, F.lit(0)), F.col("at.end")
-    rows = rows.withColumns({"left": F.substring("body", lo + 1, F.col("at.start") - lo), "right": F.substring("body", hi + 1, F.lit(REACH)), "lo": lo, "n": F.length("body")})
-    rows = with_spans(rows.drop("body"), "before", "left", TERM)
-    rows = with_spans(rows, "after", "right", TERM)
-    # words that the reach cuts are left out
-    before = F.filter("before", lambda s: (s["start"] > 0) | (F.col("lo") == 0))
-    before = F.slice(before, F.greatest(F.size(before) - NEAR + 1, F.lit(1)), F.lit(NEAR))
-    after = F.slice(F.filter("after", lambda s: (s["end"] < REACH) | (F.col("at.end") + s["end"] == F.col("n"))), 1, NEAR)
-    moved = lambda a, by: F.transform(a, lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), F.lower(s["value"]).alias("value")))
-    words = F.concat(moved(before, F.col("lo")), moved(after, F.col("at.end")))
-    rows = rows.select("key", "every", F.col("at.entity").alias("entity"), F.explode(words).alias("w"))
-    rows = rows.where(~F.exists("every", lambda b: (b["start"] < F.col("w.end")) & (F.col("w.start") < b["end"])))
-    return rows.select("key", "entity", F.col("w.value").alias("term"), F.col("w.start").alias("start"), F.col("w.end").alias("end"))
-
-
-def disclosures(docs: DataFrame, based: DataFrame) -> DataFrame:
-    """(key, start, end, removed): terms that disclose an entity beside them.
-
-    Counts are of documents and cover the whole corpus: n(entity), n(term, entity) near each other, and
-    n(term) anywhere for every term that stands near some entity.  Each row of `docs` is a document.
+def _entities(based: DataFrame) -> DataFrame:
+    """(row, entity): each base match of a row once, as kind:value in lower case."""
+    tagged = lambda kind: F.transform(kind, lambda s: F.concat(F.lit(f"{kind}:"), F.lower(s["value"])))
+    return based.select("row", F.explode(F.array_distinct(F.flatten(F.array(*map(tagged, KINDS))))).alias("entity"))
+
+
+def _free(words: Column) -> Column:
+    """Spans that no base span overlaps."""
+    base = F.flatten(F.array(*(F.transform(k, lambda s: F.struct(s["start"], s["end"])) for k in KINDS)))
+    return F.filter(words, lambda w: ~F.exists(base, lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
+
+
+def disclosures(bodies: DataFrame, based: DataFrame) -> DataFrame:
+    """(row, terms): for rows that hold an entity, the terms that disclose it, each with what stands for it.
+
+    Every row of `bodies` is a document; counts cover all of them: n(entity), n(term) and n(term, entity)
+    are numbers of documents.  A share of at least s asks for n(term) <= n(term, entity) * (n / n(entity)) ** (1 - s)
+    and n(term, entity) is at most n(entity), so terms that are too frequent for every entity of a row are
+    left out before pairs are made; that loses nothing.  A term is generalised by the most telling term of
+    the entity's documents that discloses too little and is in more documents; `put` is empty where it is
+    removed, and the mark [TERM] where there is no such term.
     """
-    near = materialize(_mentions(based), "mentions")
-    pairs = near.groupBy("term", "entity", "key").agg(F.count("*").alias("c")).groupBy("term", "entity").agg(F.count("*").alias("both")).where(F.col("both") >= SUPPORT)
-    pairs = materialize(pairs, "pairs")
-    terms = materialize(pairs.select("term").distinct(), "terms")
-    corpus = docs.select(F.explode(F.array_distinct(F.split(F.lower("body"), r"[^\p{L}\p{M}]+"))).alias("term"))
-    spread = corpus.join(maybe_broadcast(terms, 64), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    entities = near.select("entity", "key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    total = F.lit(docs.count())
+    total = bodies.count()
+    held = _entities(based)
+    n_entity = held.groupBy("entity").agg(F.count("*").alias("n_entity")).where((F.col("n_entity") >= SUPPORT) & (F.col("n_entity") < total))
+    n_entity = materialize(n_entity, "entities")
+    held = materialize(held.join(maybe_broadcast(n_entity, 48), "entity"), "held")
+    most = F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - LEAST))
+    rows = held.groupBy("row").agg(F.max(most).alias("most"))
+    words = with_spans(based.join(rows, "row"), "words", "body", TERM)
+    words = words.withColumn("words", F.transform(_free(F.col("words")), lambda w: F.lower(w["value"])))
+    first = F.transform("words", lambda w, i: F.struct(w.alias("term"), i.alias("at"), F.xxhash64(F.when(i > 0, F.get("words", i - 1))).alias("before")))
+    words = words.select("row", "most", F.explode(first).alias("w")).groupBy("row", "most", F.col("w.term").alias("term"))
+    words = materialize(words.agg(F.min_by("w.before", "w.at").alias("before")), "words")
+    spread = bodies.select(F.explode(F.array_distinct(F.split(F.lower("body"), r"[^\p{L}\p{M}]+"))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    near = words.groupBy("term").agg(F.count("*").alias("c"), F.max("most").alias("m")).where(F.col("c") >= SUPPORT)
+    spread = materialize(near.join(spread, "term").where("n_term <= m").select("term", "n_term"), "spread")
+    words = words.join(spread, "term").where("n_term <= most").select("row", "term", "n_term", "before")
+    pairs = materialize(words.join(held, "row").where(F.col("n_term") <= most), "pairs")
     share = F.log(F.col("both") * total / (F.col("n_term") * F.col("n_entity"))) / -F.log(F.col("n_entity") / total)
-    found = pairs.join(spread, "term").join(entities, "entity").where(F.col("n_entity") < total)
-    found = materialize(found.withColumn("share", share).where(F.col("share") >= GENERALISE).select("term", "entity", (F.col("share") >= REMOVE).alias("removed")), "disclosing")
-    return near.join(maybe_broadcast(found, 96), ["term", "entity"]).groupBy("key", "start", "end").agg(F.max("removed").alias("removed"))
+    found = pairs.groupBy("term", "entity", "n_term", "n_entity").agg(F.count("*").alias("both"), F.min("before").alias("lo"), F.max("before").alias("hi")).where((F.col("both") >= SUPPORT) & (F.col("lo") < F.col("hi"))).withColumn("share", share).where(F.col("share") >= LEAST)
+    found = materialize(found, "shares")
+    general = found.where(F.col("share") < GENERALISE).groupBy("entity").agg(F.max(F.struct("share", "n_term", "term")).alias("g"))
+    told = found.where(F.col("share") >= GENERALISE).join(general, "entity", "left")
+    put = F.when(F.col("share") >= REMOVE, F.lit("")).when(F.col("g.n_term") > F.col("n_term"), F.col("g.term")).otherwise(F.lit("[TERM]"))
+    told = materialize(told.select("term", "entity", put.alias("put")), "disclosing")
+    hit = pairs.select("row", "term", "entity").join(maybe_broadcast(told, 96), ["term", "entity"]).groupBy("row", "term").agg(F.min("put").alias("put"))
+    return hit.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("term", "put"))).alias("told"))
 
 
-def analysed(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, one column of spans for each kind, terms): one row per row of `docs`.
+def analysed(bodies: DataFrame) -> DataFrame:
+    """(row, doc_id, one column of spans for each kind, terms) of (row, doc_id, body): one row per row.
 
-    Null text counts as empty.  Rows that repeat id and text have the same spans.  Only places leave
-    this stage, not texts.
+    Only places and what replaces them leave this stage, not texts.
     """
-    bodies = docs.select("doc_id", row_key().alias("key"), text_of().alias("body"))
     based = base_spans(bodies)
     whole = materialize(based.withColumn("body", F.when(F.size(F.concat(*KINDS)) > 0, F.col("body"))), "based")
-    terms = disclosures(bodies, whole.where("body is not null").dropDuplicates(["key"]))
-    terms = materialize(terms.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")), "terms")
-    out = whole.drop("body").join(maybe_broadcast(terms, 256), "key", "left")
-    return out.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,removed:boolean>>")))
+    mentioned = whole.where("body is not null")
+    told = materialize(disclosures(bodies, mentioned), "told")
+    rows = with_spans(mentioned.join(told, "row"), "words", "body", TERM)
+    hits = F.filter(_free(F.col("words")), lambda w: F.map_contains_key("told", F.lower(w["value"])))
+    terms = F.transform(hits, lambda w: F.struct(w["start"], w["end"], F.col("told")[F.lower(w["value"])].alias("put")))
+    rows = materialize(rows.select("row", terms.alias("terms")), "terms")
+    out = whole.drop("body").join(maybe_broadcast(rows, 256), "row", "left")
+    return out.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,put:string>>")))
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term): one row per row of `docs`."""
-    rows = analysed(docs)
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term): one row per row of `docs`.
+
+    Null text counts as empty.  Every row is a document, also one that repeats another or has no id; an
+    empty table gives no rows.  Texts of any length are read whole.  Matches of different kinds may
+    overlap; terms never overlap a match.  Columns other than doc_id and text are not read.
+    """
+    rows = analysed(numbered(docs.select("doc_id", text_of().alias("body")), "row"))
     base = F.flatten(F.array(*(labelled(k, F.col(k)) for k in KINDS)))
     every = F.concat(base, labelled("term", F.col("terms")))
     return rows.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"), F.size("terms").cast("long").alias("n_term"))
@@ -123,15 +138,19 @@ def digest(docs: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame) -> DataFrame:
     """`docs` with personal data masked by kind, disclosing terms generalised or removed, all else as it was.
 
-    n_chars follows the new text where there is such a column.  Null texts stay null.
+    n_chars follows the new text where there is such a column.  Null texts stay null; rows that repeat an
+    id are edited each by itself.
     """
-    rows = analysed(docs)
+    row = fresh("__pf_row", docs)
+    whole = numbered(docs, row)
+    rows = analysed(whole.select(F.col(row).alias("row"), "doc_id", text_of().alias("body")))
     put = lambda spans, what: F.transform(spans, lambda s: F.struct(s["start"], s["end"], what(s).alias("put")))
     mask = lambda kind: put(F.col(kind), lambda s: F.lit(f"[{kind.upper()}]"))
-    every = F.concat(*map(mask, KINDS), put(F.col("terms"), lambda s: F.when(s["removed"], "").otherwise("[TERM]")))
-    table = materialize(rows.select(F.col("key").alias("__pf_key"), every.alias("__pf_spans")).where(F.size("__pf_spans") > 0).dropDuplicates(["__pf_key"]), "spans")
-    out = docs.join(maybe_broadcast(table, 512), row_key() == F.col("__pf_key"), "left")
-    out = out.withColumn("text", F.when(F.col("__pf_spans").isNull(), F.col("text")).otherwise(replaced(text_of(), F.col("__pf_spans"))))
+    every = F.concat(*map(mask, KINDS), put(F.col("terms"), lambda s: s["put"]))
+    spans = fresh("__pf_spans", docs)
+    table = materialize(rows.select(F.col("row").alias(row), every.alias(spans)).where(F.size(spans) > 0), "spans")
+    out = whole.join(maybe_broadcast(table, 512), row, "left")
+    out = out.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(replaced(text_of(), F.col(spans))))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__pf_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return out.select(docs.columns)

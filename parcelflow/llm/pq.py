@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, session_of
+from .common import components, materialize, numbered, small
 
 #: Vectors that an inverted list holds on average, and the most lists.  Beyond LISTS * LIST vectors lists grow.
 LIST, LISTS = 100, 4096
@@ -157,7 +157,7 @@ def packed(vectors: DataFrame) -> DataFrame:
     id_type = rows.schema["vec_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out = []
             for v in b.column(1):
                 a = v.values.to_numpy(zero_copy_only=False).astype(np.float64) if v.is_valid else np.zeros(0)
@@ -176,10 +176,15 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     lengths or rows without vec_id.  Equal vectors are one class, so repeats make no pairs; rows that
     repeat a vec_id belong to one component.  Long lists are split into blocks on both sides.
     """
-    spark = session_of(vectors)
-    rows = materialize(packed(vectors).withColumn("cls", F.xxhash64("vec")), "vectors")
+    spark = vectors.sparkSession
+    rows = numbered(packed(vectors), "r").withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit("second"), "vec")})
     real = rows.where("vec is not null and vec_id is not null")
-    classes = materialize(real.groupBy("cls", "vec").agg(F.min("vec_id").cast("long").alias("rep"), F.count("*").alias("rows")), "classes")
+    # a class is named by one of its rows, and its rows find it by a 128-bit hash
+    classes = real.groupBy("h1", "h2", "vec").agg(F.min("r").alias("cls"), F.min("vec_id").cast("long").alias("rep"), F.count("*").alias("rows"))
+    classes = materialize(classes, "classes")
+    named = classes.select("h1", "h2", "cls")
+    real = real.drop("vec").join(named, ["h1", "h2"])
+    rows = rows.select("vec_id", F.when(F.col("vec").isNotNull() & F.col("vec_id").isNotNull(), F.col("h1")).alias("h1"), "h2").join(named, ["h1", "h2"], "left")
     total = classes.count()
     counts = classes.select("cls", "rep", "rows")
     if total > 1:
@@ -196,7 +201,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     else:
         counts = counts.withColumns({"links": F.lit(0).cast("long"), "component": F.col("rep")})
     counts = materialize(counts.select("cls", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("links"), F.coalesce("component", "rep").alias("component")), "counts")
-    out = rows.select("vec_id", F.when(F.col("vec").isNotNull() & F.col("vec_id").isNotNull(), F.col("cls")).alias("cls")).join(counts, "cls", "left")
+    out = rows.join(counts, "cls", "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", F.col("vec_id").cast("long")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
@@ -212,7 +217,7 @@ def _links(spark, classes: DataFrame, book: Codebook, cosine: float) -> DataFram
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = restore()
-        for b in batches:
+        for b in small(batches):
             if not b.num_rows:
                 continue
             home, groups, codes, err = book.assign(_units(b.column(1).to_pylist(), book.width)[0], cosine)

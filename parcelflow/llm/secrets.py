@@ -8,7 +8,7 @@ import re._parser as P
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, row_key, text_of
+from .common import materialize, maybe_broadcast, numbered, text_of
 from .exact import LOWER, UPPER
 from .spans import SPAN, labelled, with_spans
 
@@ -84,51 +84,72 @@ def trigram_query(pattern: str) -> list[list[list[str]]]:
     return out
 
 
+def _any_of(grams: list[str]) -> str:
+    """A regex that is empty before any of some trigrams and captures it, branching letter by letter."""
+    tree: dict[str, dict[str, list[str]]] = {}
+    for a, b, c in sorted(set(grams)):
+        tree.setdefault(a, {}).setdefault(b, []).append(c)
+    quoted = lambda chars: "[" + "".join("\\" + c if not c.isalnum() else c for c in chars) + "]"
+    deep = [quoted(a) + "(?:" + "|".join(quoted(b) + quoted(cs) for b, cs in sub.items()) + ")" for a, sub in tree.items()]
+    return f"(?=({'|'.join(deep)}))" + quoted(tree)
+
+
 def build_index(bodies: DataFrame, grams: list[str]) -> DataFrame:
-    """Postings (gram, key) of the trigrams that some query names; letters A-Z count as a-z."""
-    folded = bodies.select("key", F.translate("body", UPPER, LOWER).alias("folded"))
-    held = F.array_compact(F.array(*(F.when(F.contains("folded", F.lit(g)), F.lit(g)) for g in grams)))
-    return folded.select("key", F.explode(held).alias("gram"))
+    """Postings (gram, row) of the trigrams that some query names, each once a row; letters A-Z count as a-z.
+
+    One pass over each text.  The table can be written and given to `secrets` again and again.
+    """
+    folded = F.translate("body", UPPER, LOWER)
+    return bodies.select("row", F.explode(F.array_distinct(F.regexp_extract_all(folded, F.lit(_any_of(grams)), F.lit(1)))).alias("gram"))
+
+
+def named_grams(rules: dict) -> list[str]:
+    """Trigrams that the queries of some rules name."""
+    return sorted({gram for pattern, _ in rules.values() for strings in trigram_query(pattern) for grams in strings for gram in grams})
 
 
 def candidates(index: DataFrame, queries: dict[str, list[list[list[str]]]]) -> DataFrame:
-    """(key, rules): documents whose postings satisfy the query of each rule.
+    """(row, rules): documents whose postings satisfy the query of each rule.
 
     Postings of a document are counted per string before they move, so a trigram of every document is
     no hot key.
     """
     terms = [(rule, g, s, gram, len(grams), len(query)) for rule, query in queries.items() for g, strings in enumerate(query) for s, grams in enumerate(strings) for gram in grams]
     table = index.sparkSession.createDataFrame(terms, "rule string, g int, s int, gram string, need int, groups int")
-    hits = index.distinct().join(F.broadcast(table), "gram")  # as many rows as the rules have trigrams
-    strings = hits.groupBy("key", "rule", "g", "s", "need", "groups").agg(F.count("*").alias("c")).where("c = need")
-    held = strings.groupBy("key", "rule", "groups").agg(F.count_distinct("g").alias("c")).where("c = groups")
-    return held.groupBy("key").agg(F.sort_array(F.collect_set("rule")).alias("rules"))
+    hits = index.join(F.broadcast(table), "gram")  # as many rows as the rules have trigrams
+    strings = hits.groupBy("row", "rule", "g", "s", "need", "groups").agg(F.count("*").alias("c")).where("c = need")
+    held = strings.groupBy("row", "rule", "groups").agg(F.count_distinct("g").alias("c")).where("c = groups")
+    return held.groupBy("row").agg(F.sort_array(F.collect_set("rule")).alias("rules"))
 
 
-def secrets(docs: DataFrame, rules: dict | None = None) -> DataFrame:
-    """(doc_id, one column of spans for each rule): one row per row of `docs`; null text counts as empty.
+def secrets(bodies: DataFrame, rules: dict | None = None, index: DataFrame | None = None) -> DataFrame:
+    """(row, doc_id, one column of spans for each rule) of (row, doc_id, body): one row per row.
 
-    Rules with a query verify its candidates only, the others scan every text.  Rows that repeat id and
-    text share their spans.
+    Rules with a query verify its candidates only, the others scan every text.  `index` is what
+    `build_index` gave for these rows and the rules' trigrams; without it the index is built here.
     """
     rules = rules or RULES
     queries = {name: q for name, (pattern, _) in rules.items() if (q := trigram_query(pattern))}
-    bodies = docs.select("doc_id", row_key().alias("key"), text_of().alias("body"))
     out = bodies
     for name, (pattern, valid) in rules.items():
         if name not in queries:
             out = with_spans(out, name, "body", pattern, valid)
     out = out.drop("body")
     if queries:
-        grams = sorted({gram for q in queries.values() for strings in q for grams in strings for gram in grams})
-        found = materialize(candidates(build_index(bodies, grams), queries), "candidates")
-        rows = bodies.join(maybe_broadcast(found, 64), "key")
+        index = materialize(build_index(bodies, named_grams(rules)), "postings") if index is None else index
+        found = materialize(candidates(index, queries), "candidates")
+        rows = bodies.join(maybe_broadcast(found, 64), "row")
         for name in queries:
             rows = with_spans(rows, name, "body", rules[name][0], rules[name][1], F.array_contains("rules", name))
-        hit = rows.where(F.size(F.concat(*queries)) > 0).select("key", *queries).dropDuplicates(["key"])
-        out = out.join(maybe_broadcast(materialize(hit, "verified"), 512), "key", "left")
+        hit = rows.where(F.size(F.concat(*queries)) > 0).select("row", *queries)
+        out = out.join(maybe_broadcast(materialize(hit, "verified"), 512), "row", "left")
         out = out.withColumns({name: F.coalesce(name, F.array().cast(SPAN)) for name in queries})
-    return out.select("doc_id", *rules)
+    return out.select("row", "doc_id", *rules)
+
+
+def bodies_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, body, row) in the shared folder: null texts are empty, and rows are told apart by number."""
+    return numbered(docs.select("doc_id", text_of().alias("body")), "row")
 
 
 def _ordered(names: list[str]) -> Column:
@@ -142,10 +163,15 @@ def _ordered(names: list[str]) -> Column:
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans): one row per row of `docs`."""
-    return secrets(docs).select("doc_id", *(F.size(n).cast("long").alias(f"n_{n}") for n in BASE), F.sha2(_ordered(BASE), 256).alias("base_sha256"), _ordered(list(RULES)).alias("spans"))
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans): one row per row of `docs`.
+
+    Null text counts as empty.  Every row is a document, also one that repeats another or has no id; an
+    empty table gives no rows.  Texts of any length are read whole.  Matches of different rules may
+    overlap and are all listed.  Columns other than doc_id and text are not read.
+    """
+    return secrets(bodies_of(docs)).select("doc_id", *(F.size(n).cast("long").alias(f"n_{n}") for n in BASE), F.sha2(_ordered(BASE), 256).alias("base_sha256"), _ordered(list(RULES)).alias("spans"))
 
 
 def masked(docs: DataFrame) -> DataFrame:
     """(doc_id, labels): kind:start:end of each secret as an array, for callers that rewrite texts."""
-    return secrets(docs).select("doc_id", F.concat(*(labelled(n, F.col(n)) for n in RULES)).alias("labels"))
+    return secrets(bodies_of(docs)).select("doc_id", F.concat(*(labelled(n, F.col(n)) for n in RULES)).alias("labels"))

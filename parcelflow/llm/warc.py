@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, session_of
+from .common import materialize, maybe_broadcast, small
 
 #: Bytes of payload after which a new archive begins.
 ARCHIVE_BYTES = 4 << 20
@@ -129,14 +129,14 @@ def read_records(read) -> Iterator[tuple[dict[str, str], bytes]]:  # noqa: ANN00
 def plan(pages: DataFrame, least: int = 0) -> DataFrame:
     """(digest, payload_bytes, first) of payloads that several rows share and that have `least` bytes: the smallest page_id.
 
-    Equal payloads are reduced per task before they move, so one payload of a third of all rows is no
+    Payloads are told apart by SHA-256, since pages with one SHA-1 and two payloads can be made.  Equal payloads are reduced per task before they move, so one payload of a third of all rows is no
     hot key.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             raw = [t.encode("utf-8", "surrogatepass") for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([hashlib.sha1(t).digest() for t in raw], pa.binary()), pa.array(list(map(len, raw)), pa.int64())], ["page_id", "digest", "payload_bytes"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([hashlib.sha256(t).digest() for t in raw], pa.binary()), pa.array(list(map(len, raw)), pa.int64())], ["page_id", "digest", "payload_bytes"])
 
     id_type = pages.schema["page_id"].dataType.simpleString()
     rows = pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).mapInArrow(work, f"page_id {id_type}, digest binary, payload_bytes long")
@@ -149,10 +149,9 @@ def write_archives(pages: DataFrame, least: int = 0) -> DataFrame:
     The archives are rows of a table in the shared folder, so no executor needs a local file.  Of rows
     that share a payload and the smallest page_id, every one is a response.
     """
-    session_of(pages)
     first = materialize(plan(pages, least), "payloads")
     html = F.coalesce("html", F.lit(""))
-    keyed = pages.select("page_id", "url", html.alias("html"), F.unhex(F.sha1(html.cast("binary"))).alias("digest"))
+    keyed = pages.select("page_id", "url", html.alias("html"), F.unhex(F.sha2(html.cast("binary"), 256)).alias("digest"))
     rows = keyed.join(maybe_broadcast(first, 48), "digest", "left").select("page_id", "url", "html", "first")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +161,7 @@ def write_archives(pages: DataFrame, least: int = 0) -> DataFrame:
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().hex + ".warc.gz"]), pa.array([b"".join(held)], pa.binary())], ["archive", "content"])
 
-        for b in batches:
+        for b in small(batches):
             for page, url, html, first in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 payload = html.encode("utf-8", "surrogatepass")
                 again = first is not None and page != first
@@ -184,7 +183,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import io
 
-        for b in batches:
+        for b in small(batches):
             for content in b.column(0).to_pylist():
                 rows: list[tuple] = []
                 for head, payload in read_records(io.BytesIO(content).read):
@@ -198,7 +197,6 @@ def read_archives(archives: DataFrame) -> DataFrame:
         kinds = [pa.string(), pa.string(), pa.binary(), pa.string(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "payload_digest", "payload", "record_type", "refers_to"])
 
-    archives.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     return archives.select("content").mapInArrow(work, "page_id string, payload_digest string, payload binary, record_type string, refers_to string")
 
 
@@ -218,9 +216,10 @@ def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
     rows = read_archives(write_archives(pages, least))
     rows = rows.select("page_id", F.octet_length("payload").cast("long").alias("n"), "payload_digest", "record_type", "refers_to")
     rows = materialize(rows, "records")
-    whole = rows.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("n").alias("size"))
-    named = materialize(rows.where("record_type = 'revisit'").select("payload_digest").distinct().join(whole, "payload_digest"), "revisited")
-    out = rows.join(maybe_broadcast(named, 64), "payload_digest", "left")
+    key = ["payload_digest", "refers_to"]
+    whole = rows.where("record_type = 'response'").groupBy("payload_digest", F.col("page_id").alias("refers_to")).agg(F.max("n").alias("size"))
+    named = materialize(rows.where("record_type = 'revisit'").select(key).distinct().join(whole, key), "revisited")
+    out = rows.join(maybe_broadcast(named, 96), key, "left")
     size = F.when(F.col("record_type") == "revisit", F.col("size")).otherwise(F.col("n"))
     page = F.when(F.col("page_id") != "", F.col("page_id"))
     return out.select(page.cast(kind).alias("page_id"), size.alias("payload_bytes"), "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
+from collections import Counter
 
 
 def crc_pieces(rows, ids_of, length=2048):
@@ -132,3 +134,63 @@ def warc(pages):
         again = first[raw] != i
         out[i] = (len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", first[raw] if again else None)
     return out
+
+
+def kneser_ney(texts, discount=0.75):
+    """({word: ratio}, {(before, word): ratio}) of (words, label) pairs; a bigram's ratio is what it says besides its word."""
+    n = [Counter(), Counter()]
+    for w, y in texts:
+        n[y].update(set(zip([None, *w], w, strict=False)))
+    pairs = set(n[0]) | set(n[1])
+    vocab = {w for _, w in pairs}
+    kinds = [Counter(w for _, w in n[c]) for c in (0, 1)]
+    total = [max(1, sum(k.values())) for k in kinds]
+    spread = discount * sum(map(len, kinds)) / sum(total) / (len(vocab) + 1)
+    uni = [{w: max(kinds[c][w] - discount, 0) / total[c] + spread for w in vocab} for c in (0, 1)]
+    seen = [Counter(), Counter()]
+    for c in (0, 1):
+        for (v, _), k in n[c].items():
+            seen[c][v] += k
+    types = Counter(v for v, _ in pairs)
+    single = {w: math.log(uni[1][w] / uni[0][w]) for w in vocab}
+    double = {}
+    for v, w in pairs:
+        back = discount * types[v] / (seen[0][v] + seen[1][v])
+        full = [max(n[c][v, w] - discount, 0) / max(seen[c][v], 1) + back * uni[c][w] for c in (0, 1)]
+        if n[0][v, w] + n[1][v, w] > 1:
+            double[v, w] = math.log(full[1] / full[0]) - single[w]
+    return single, double
+
+
+def disclosing(texts, generalise=0.85, remove=0.999, least=0.5, support=2):
+    """{row: [(start, end, put)]} of the terms that disclose an entity of their row."""
+    held, words, n_term, n_entity, first = {}, {}, Counter(), Counter(), {}
+    for row, text in texts.items():
+        _, spans = pii(text)
+        at = [(int(a), int(b), k) for k, a, b in (s.split(":") for s in spans)]
+        held[row] = {f"{k}:{text[a:b].lower()}" for a, b, k in at}
+        n_entity.update(held[row])
+        n_term.update(set(re.findall(r"[^\W\d_]+", (text or "").lower())))
+        found = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{3,}", text or "")]
+        words[row] = [w for w in found if not any(a < w[1] and w[0] < b for a, b, _ in at)]
+        for k, (_, _, term) in enumerate(words[row]):
+            first.setdefault((row, term), words[row][k - 1][2] if k else None)
+    n, share = len(texts), {}
+    for entity in n_entity:
+        if support <= n_entity[entity] < n:
+            rows = [r for r in held if entity in held[r]]
+            for term, both in Counter(t for r in rows for t in {w[2] for w in words[r]}).items():
+                follows = {first[r, term] for r in rows if (r, term) in first}
+                if both >= support and len(follows) > 1:
+                    share[term, entity] = math.log(both * n / (n_term[term] * n_entity[entity])) / -math.log(n_entity[entity] / n)
+    out = {}
+    for row in texts:
+        put = {}
+        for (term, entity), s in share.items():
+            if entity in held[row] and s >= generalise:
+                safe = [(t, n_term[w], w) for (w, e), t in share.items() if e == entity and least <= t < generalise]
+                best = max(safe, default=None)
+                new = "" if s >= remove else best[2] if best and best[1] > n_term[term] else "[TERM]"
+                put[term] = min(put.get(term, new), new)
+        out[row] = [(a, b, put[w]) for a, b, w in words[row] if w in put]
+    return out

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from parcelflow.llm import bpe, chat, exact, kernel, minhash, pack, pii, pq, secrets, toxicity, warc
@@ -55,13 +56,48 @@ def test_pii(docs):
         counts, spans = brute.pii(want[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts and r.base_sha256 == brute.sha(spans)
         assert r.spans.startswith(",".join(spans))
-    found = {want[r.doc_id][int(a) : int(b)] for r in pii.digest(docs).collect() for k, a, b in (s.split(":") for s in r.spans.split(",") if s) if k == "term"}
-    assert "Xyloville" in found
+    told = brute.disclosing(want)
+    for r in pii.digest(docs).collect():
+        assert [s for s in r.spans.split(",") if s.startswith("term")] == [f"term:{a}:{b}" for a, b, _ in told[r.doc_id]]
+    assert "Xyloville" in {want[i][a:b] for i, t in told.items() for a, b, _ in t}
     clean = {r.doc_id: r.text for r in pii.sanitised(docs).collect()}
     assert "Xyloville" not in clean[15] and "[EMAIL]" in clean[15] and clean[5] == want[5] and clean[0] is None
     assert clean[33 + 6] == "[EMAIL] " * 300
 
 
+def test_disclosure(spark):
+    """Generalised, removed and marked terms against brute force; a term in copies of one passage is no evidence."""
+    rng = random.Random(9)
+    names = ["Ondine", "Bartholo", "Quillan"]
+    common = [f"word{c}" for c in "abcdefghij"]
+    body = lambda n: [rng.choice(common) + rng.choice("xyz") for _ in range(n)]
+    rows = [" ".join(body(12)) for _ in range(150)]
+    for i in range(12):
+        who = i % 3
+        extra = [names[who], "harbour" if i % 2 else "river", f"user{who}@corp.example.com"]
+        w = body(10) + extra * (1 + i % 2)
+        rng.shuffle(w)
+        rows.append(" ".join(w))
+    rows += ["the harbour and " + names[2]] * 2 + [None, "", "copy of Zanzibar mail zan@corp.example.com now"] + ["copy of Zanzibar mail zan@corp.example.com now"]
+    want = {i: t for i, t in enumerate(rows)}
+    docs = spark.createDataFrame(list(want.items()), "doc_id long, text string")
+    told = brute.disclosing(want)
+    got = {r.doc_id: [(t.start, t.end, t.put) for t in r.terms] for r in pii.analysed(secrets.bodies_of(docs)).collect()}
+    assert got == told
+    puts = {p for t in told.values() for *_, p in t}
+    assert "" in puts and len(puts) > 1
+    assert not any("Zanzibar" in rows[i][a:b] for i, t in told.items() for a, b, _ in t)
+
+
+@pytest.mark.parametrize("use", [pii.digest, secrets.digest, lambda d: bpe.digests(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))])
+def test_odd_rows(use, odd, none):
+    """Repeated rows, null ids, clashing columns and an empty table."""
+    rows = use(odd).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in rows) == [(False, 1), (False, 1), (False, 2), (False, 3), (True, 0)]
+    assert len({tuple(r)[1:] for r in rows if r.doc_id == 1}) == 1
+    assert use(none).count() == 0
+
+
 def test_secrets(docs):
     want = dict(enumerate(texts()))
     for r in secrets.digest(docs).collect():
@@ -69,6 +105,16 @@ def test_secrets(docs):
         assert [r.n_assign, r.n_access, r.n_hex] == counts and r.base_sha256 == brute.sha(spans)
     assert secrets.trigram_query(secrets.RULES["hex"][0]) == []
     assert [["api", "pik", "ike", "key"]] != secrets.trigram_query(secrets.RULES["assign"][0])
+    bodies = secrets.bodies_of(docs)
+    index = secrets.build_index(bodies, secrets.named_grams(secrets.RULES)).cache()
+    grams = set(secrets.named_grams(secrets.RULES))
+    text_of = {r.row: r.body for r in bodies.collect()}
+    fold = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    assert {(r.row, r.gram) for r in index.collect()} == {(k, t[i : i + 3]) for k, t in ((k, fold(t)) for k, t in text_of.items()) for i in range(len(t) - 2) if t[i : i + 3] in grams}
+    again = secrets.secrets(bodies, None, index)
+    assert sorted(map(str, again.drop("row").collect())) == sorted(map(str, secrets.secrets(bodies).drop("row").collect()))
+    labels = {r.doc_id: r.labels for r in secrets.masked(docs).collect()}
+    assert all(set(brute.secrets(want[i])[1]) <= set(labels[i]) for i in want)
     assert secrets.trigram_query("AKIA[A-Z0-9]{16,}") == [[["aki", "kia"]]]
 
 
@@ -82,14 +128,55 @@ def test_bpe(docs):
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(want[r.doc_id] or "")
     assert all(r.bytes == (want[r.doc_id] or "").encode() for r in bpe.decode(coded, path).collect())
     m = bpe.merges(path)
-    piece = ("abcé" * 300).encode()
-    assert m._heap(piece).tolist() == m._matrix([piece])[0].tolist()
+    rng = random.Random(2)
+    for letters in ("ab", "abcé", "aeinrst", "=-"):
+        piece = "".join(rng.choice(letters) for _ in range(700)).encode()
+        assert m._row(piece).tolist() == m._matrix([piece])[0].tolist()
+
+
+def thue_morse():
+    """Two words of 1024 letters whose polynomial hashes modulo 2 ** 64 agree."""
+    x = "a"
+    for _ in range(10):
+        x += x.translate({97: 98, 98: 97})
+    return x, x.translate({97: 98, 98: 97})
+
+
+def test_identity_of_pieces(spark):
+    """Words that collide under a weak hash, and every code point, as the libraries encode them."""
+    x, y = thue_morse()
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"{x} {y}", y, x, *("".join(f"a{c}b {c}1'{c}  {c}\n" for c in chars[i : i + 40000]) for i in range(0, len(chars), 40000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in bpe.encode(docs, path).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(texts[r.doc_id])
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in pack.tokenised(docs, public_tokenizers.path("byte_bpe_50k.json")).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == [*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 1]
+
+
+def test_identity_of_words(spark):
+    x, y = thue_morse()
+    docs = spark.createDataFrame([(1, x), (2, y), (3, f"{x} {y} {x}"), (4, f"{y} {x} {y}"), (5, x)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_groups(docs, 3, 85).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_encoder_with_one_hash(monkeypatch):
+    """Where all pieces share a hash they are still told apart."""
+    monkeypatch.setattr(kernel, "span_hashes", lambda v, a, b: np.ones(len(a), np.uint64))
+    kinds = np.repeat(*reversed(bpe._kinds()))
+    enc = kernel.PieceEncoder(lambda pieces: [[len(p), ord(p[-1])] for p in pieces], kinds)
+    assert enc(["ab cd", "ab e"])[0].tolist() == [2, 98, 3, 100] and enc(["ab e"])[0].tolist() == [2, 98, 2, 101]
 
 
 def test_packing(docs, odd, none):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    odd_text = "end<|endoftext|> of <|endoftext|><|endoftext|>'s text <|endof"
+    assert list(pack._encoder(path, pack._kinds())([odd_text])[0]) == t.encode(odd_text, add_special_tokens=False).ids
     rows = [r.asDict() for r in pack.pack(docs, path).collect()]
     brute.crc_pieces(rows, {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in enumerate(texts())})
     assert pack.pack(odd, path).count() == 5 and pack.pack(none, path).count() == 0
@@ -102,12 +189,51 @@ def test_exact(docs, odd, none):
     rows = {r.doc_id: r for r in exact.exact_groups(docs).collect()}
     assert rows[5].keep_id == rows[6].keep_id == rows[7].keep_id == 7 and rows[5].group_size == 3 and not rows[5].kept and rows[7].kept
     assert rows[0].keep_id == 1 and exact.exact_groups(odd).count() == 5 and exact.exact_groups(none).count() == 0
-    assert exact.drop_exact(odd).columns == odd.columns
+    assert exact.drop_exact(odd).columns == odd.columns and exact.drop_exact(none).count() == 0
+    assert sorted(r.doc_id for r in exact.drop_exact(odd).collect()) == [2, 3]
     keys = np.random.default_rng(1).integers(1, 1 << 62, 5000).astype(np.uint64)
     f = exact.fuse_build(np.unique(keys))
     assert exact.fuse_contains(f, keys).all() and exact.fuse_contains(f, keys + np.uint64(1)).mean() < 0.02
 
 
+def test_rows_that_share_an_id(spark):
+    """Copies go row by row: a text without a copy stays, whatever its id."""
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (1, "x y z w v u t"), (3, "only one"), (3, "only one"), (None, "no id"), (None, "no id"), (None, "A b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted((r.doc_id or 0, r.text) for r in exact.drop_exact(docs).collect())
+    assert left == [(0, "no id"), (1, "x y z w v u t"), (2, "a b c d e f g"), (3, "only one")]
+    left = sorted((r.doc_id or 0, r.text) for r in minhash.drop_near(docs, 3, 80).collect())
+    assert left == [(0, "no id"), (1, "a b c d e f g"), (1, "x y z w v u t"), (3, "only one")]
+    assert minhash.drop_near(docs.limit(0)).count() == 0
+
+
+def test_stored_snapshot(spark, tmp_path):
+    """A snapshot that is written once serves later batches."""
+    code = lambda rows: exact._grouped(exact.digests(spark.createDataFrame(rows, "doc_id long, text string")), "digest")
+    exact.Snapshot.write(code([(i, f"text {i}") for i in range(500)]), f"file://{tmp_path}/snap")
+    snap = exact.Snapshot(spark, f"file://{tmp_path}/snap")
+    batch = code([(1000 + i, f"text {i}") for i in range(480, 520)])
+    assert exact.screen(batch, snap.filters, snap.shards).where("maybe").count() < 40
+    sizes = {r.keep_id: r.group_size for r in snap.merged(batch).collect()}
+    assert len(sizes) == 520 and all(sizes[1000 + i] == 2 for i in range(480, 500)) and all(sizes[1000 + i] == 1 for i in range(500, 520))
+
+
+def test_huge_gathering(spark, monkeypatch):
+    """Blocks of one document: cells that are skipped lose no link."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = random.Random(7)
+    base = [rng.choice(WORDS) + str(rng.randint(0, 9)) for _ in range(60)]
+    rows = []
+    for i in range(70):
+        w = list(base)
+        for _ in range(rng.randint(0, 6)):
+            w[rng.randrange(60)] = f"x{rng.randint(0, 99)}"
+        rows.append((i, " ".join(w)))
+    want = brute.near(dict(rows), 3, 85)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == want and len({c for _, c in want.values()}) > 1
+
+
 @pytest.mark.parametrize(("size", "percent"), [(3, 85), (5, 80)])
 def test_minhash(docs, odd, none, size, percent):
     want = brute.near(dict(enumerate(texts())), size, percent)
@@ -165,22 +291,35 @@ def test_toxicity(spark, none):
     assert toxicity.score_documents(docs, empty).count() == 601 and toxicity.score_documents(none, empty).count() == 0
 
 
-def test_toxicity_rare_words():
-    """A word of 8 contexts, all in toxic texts, has weight; texts that hold it are told apart."""
+def test_toxicity_model(spark):
+    """Ratios of words and bigrams against brute force; labels of any type, null, repeated or of unknown rows."""
     rng = random.Random(5)
-    some = lambda n: [rng.choice(WORDS) + str(rng.randint(0, 40)) for _ in range(n)]
-    code = lambda w: np.array([hash_of[x] for x in w], np.uint64)
-    rows = [([*some(40), "vermin", *some(20)] if i < 8 else some(61), int(i < 8 or i % 4 == 0)) for i in range(400)]
-    hash_of = {w: h for w, h in zip(sorted({x for w, _ in rows for x in w}), np.random.default_rng(1).integers(1, 1 << 62, 5000), strict=False)}
-    model = toxicity.fit_texts([(code(w), y) for w, y in rows], 0.27)
-    plain = [w for w in some(61) if w in hash_of]
-    marked = [*plain[:30], "vermin", *plain[30:]]
-    first = np.array([0, len(plain), len(plain) + len(marked)])
-    low, high = model.score(code(plain + marked), first)
-    assert high > low + 0.02
-    index, value, *_ = model.tables[1]
-    at = index.get(code(["vermin"]))
-    assert at[0] >= 0 and value[at][0] > 1
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 40)))) for i in range(80)]
+    y = {i: int(i % 3 == 0) for i, _ in rows}
+    pairs = toxicity.pair_counts(spark.createDataFrame([(y[i], t) for i, t in rows], "y int, text string"))
+    single, double = toxicity.ratios(pairs)
+    import pyarrow as pa
+
+    code = {w: int(toxicity._codes(pa.array([w]))[0][0]) for w in WORDS} | {None: int(toxicity._START)}
+    one, two = brute.kneser_ney([(t.split(), y[i]) for i, t in rows])
+    got = {r.key: r.ratio for r in single.collect()}
+    assert got == {code[w]: pytest.approx(v, abs=1e-9) for w, v in one.items()}
+    got = {r.key & (1 << 64) - 1: r.ratio for r in double.collect()}
+    assert got == {code[v] << 32 | code[w]: pytest.approx(x, abs=1e-9) for (v, w), x in two.items()}
+    labels = spark.createDataFrame([*y.items(), (0, 0), (7, None), (None, 1), (12345, 1), (8, 9)], "doc_id long, toxic long")
+    docs = spark.createDataFrame([*rows, (1, rows[1][1]), (None, "a null id"), (500, "")], "doc_id long, text string")
+    out = toxicity.score_documents(docs, labels).collect()
+    assert len(out) == 83 and len({r.score for r in out if r.doc_id == 1}) == 1 and all(0 <= r.score <= 1 for r in out)
+    kept = toxicity.drop_toxic(docs.select(F.lit("z").alias("score"), "text", "doc_id"), labels)
+    assert kept.columns == ["score", "text", "doc_id"] and kept.count() == sum(r.score < toxicity.THRESHOLD for r in out)
+
+
+def test_toxicity_bound(spark):
+    """Beyond its bound a table keeps the entries of the most standard errors."""
+    table = spark.range(1000).select(F.col("id").alias("key"), F.lit(1.0).alias("ratio"), (F.col("id") / 100).alias("z"))
+    assert sorted(toxicity._strongest(table, 2.0, 10000)["key"].to_pylist()) == list(range(200, 1000))
+    got = sorted(toxicity._strongest(table, 2.0, 100)["key"].to_pylist())
+    assert got == list(range(got[0], 1000)) and 90 <= len(got) <= 107
 
 
 def test_warc(spark):
@@ -190,6 +329,10 @@ def test_warc(spark):
     pages = spark.createDataFrame([(i, f"http://x/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
     got = {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect()}
     assert got == brute.warc(dict(enumerate(html)))
+    odd = spark.createDataFrame([(None, "u", "<p>"), (4, None, "<p>"), (4, "v", "<p>"), (5, "w", "<i>")], "page_id long, url string, html string")
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to) for r in warc.round_trip(odd).collect()) == [(0, "revisit", 4), (4, "response", None), (4, "response", None), (5, "response", None)]
+    assert warc.round_trip(odd.limit(0)).count() == 0
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
     one = warc.record("response", 1, "u", b"abc")
     assert gzip.decompress(one).startswith(b"WARC/1.1\r\nWARC-Type: response")
     with pytest.raises(ValueError, match="digest"):
@@ -213,7 +356,7 @@ def test_kernel():
 
     rng = random.Random(6)
     col = pa.array(["".join(rng.choice("aB \té\n") for _ in range(rng.randint(0, 30))) for _ in range(300)] + ["q" * 3_000_000])
-    _, first = kernel.words(col)
+    *_, first = kernel.words(col)
     import re
 
     assert np.diff(first).tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for t in col.to_pylist()]
