@@ -37,12 +37,16 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Models and signatures have no SQL form; tests hold the stages against brute-force versions.
+#: Models and signatures have no SQL form; tests/llm/test_pipeline.py holds each stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each returns is written to the shared folder and read again."""
+    """All stages over documents; what each returns is written to the shared folder and read again.
+
+    An empty table gives no pieces.  Every stage decides row by row, so rows that repeat an id or have none
+    are documents like others.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), name)
