@@ -135,7 +135,11 @@ def merges(path: str) -> Merges:
 
 
 def encoder(path: str, kinds: tuple) -> PieceEncoder:
-    return worker_cache(("encoder", path), lambda: PieceEncoder(merges(path).encode_pieces, np.repeat(kinds[1], kinds[0])))
+    def ids_of(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = merges(path).encode_pieces(pieces)
+        return np.concatenate(got), np.fromiter(map(len, got), np.int64, len(got))
+
+    return worker_cache(("encoder", path), lambda: PieceEncoder(ids_of, np.repeat(kinds[1], kinds[0])))
 
 
 def _kinds() -> tuple[np.ndarray, np.ndarray]:

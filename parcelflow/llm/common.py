@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ ROW_OVERHEAD = 64
 BATCH_BYTES = 2 << 20
 
 _written: list[tuple[SparkSession, str]] = []
+_folders: list[tuple[SparkSession, str]] = []
 
 
 def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="parcelflow-")
         spark.conf.set("parcelflow.shared.dir", base)
-        _written.append((spark, base))
+        _folders.append((spark, base))
     return base.rstrip("/")
 
 
@@ -56,13 +58,42 @@ def remove(spark: SparkSession, path: str) -> None:
 
 @atexit.register
 def _clean() -> None:
-    for spark, path in _written:
+    for spark, path in _written + _folders:
         try:
             remove(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone; the folder is temporary
             return
 
 
+@contextmanager
+def temporary() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Deletes the tables that are written inside when it ends, but for those that are passed to what it gives."""
+    start, kept = len(_written), set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._parcelflow_path)
+        return df
+
+    yield keep
+    for at in _written[start:]:
+        if at[1] not in kept:
+            remove(*at)
+            _written.remove(at)
+
+
+def written() -> list[tuple[SparkSession, str]]:
+    """Tables of this process in the shared folder, in the order of writing."""
+    return list(_written)
+
+
+def forget(tables: list[tuple[SparkSession, str]]) -> None:
+    """Deletes tables that nothing will read again."""
+    for at in tables:
+        if at in _written:
+            remove(*at)
+            _written.remove(at)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it again: lineage ends, lost executors lose nothing."""
     spark = df.sparkSession

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, maybe_broadcast, new_path, numbered, small, text_of
+from .common import fresh, materialize, maybe_broadcast, new_path, numbered, small, temporary, text_of
 from .kernel import mix
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -177,12 +177,14 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     immutable snapshot, the others the incoming batch: the answer doesn't depend on that split.  A
     digest that a third of all rows share is reduced to one row per task before it moves.
     """
-    rows = materialize(digests(docs).withColumn("old", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests")
-    snapshot = Snapshot.write(_grouped(rows.where("old"), "digest"), new_path(docs.sparkSession, "snapshot"))
-    groups = materialize(snapshot.merged(_grouped(rows.where("not old"), "digest")), "groups")
-    out = rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
-    out = materialize(out, "exact")
-    if not _differing(docs, out).isEmpty():  # two texts with one SHA-256: group by the bytes themselves
+    with temporary() as keep:
+        rows = materialize(digests(docs).withColumn("old", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests")
+        snapshot = Snapshot.write(_grouped(rows.where("old"), "digest"), new_path(docs.sparkSession, "snapshot"))
+        groups = materialize(snapshot.merged(_grouped(rows.where("not old"), "digest")), "groups")
+        out = rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+        out = keep(materialize(out, "exact"))
+        differ = not _differing(docs, out).isEmpty()
+    if differ:  # two texts with one SHA-256: group by the bytes themselves
         texts = docs.select("doc_id", normalised().alias("norm"))
         by_text = _grouped(texts, "norm")
         out = texts.join(by_text, "norm").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.unhex(F.sha2("norm", 256)).alias("digest"))
@@ -209,9 +211,10 @@ def drop_exact(docs: DataFrame) -> DataFrame:
     """
     row = fresh("__pf_row", docs)
     rows = numbered(docs, row)
-    found = exact_groups(rows.select(F.col(row).alias("doc_id"), "text")).where("group_size > 1").select(F.col("doc_id").alias("r"), F.col("keep_id").alias("g"))
-    found = materialize(found.join(rows.select(F.col(row).alias("r"), "doc_id"), "r"), "copies")
-    best = found.groupBy("g").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "r")).alias("best"))
-    stays = materialize(best.select(F.col("best.r").alias("r")), "stays")
-    gone = materialize(found.select("r").join(maybe_broadcast(stays, 8), "r", "left_anti").select(F.col("r").alias(row)), "dropped")
+    with temporary() as keep:
+        found = exact_groups(rows.select(F.col(row).alias("doc_id"), "text")).where("group_size > 1").select(F.col("doc_id").alias("r"), F.col("keep_id").alias("g"))
+        found = materialize(found.join(rows.select(F.col(row).alias("r"), "doc_id"), "r"), "copies")
+        best = found.groupBy("g").agg(F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "r")).alias("best"))
+        stays = materialize(best.select(F.col("best.r").alias("r")), "stays")
+        gone = keep(materialize(found.select("r").join(maybe_broadcast(stays, 8), "r", "left_anti").select(F.col("r").alias(row)), "dropped"))
     return rows.join(maybe_broadcast(gone, 8), row, "left_anti").select(docs.columns)

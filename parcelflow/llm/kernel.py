@@ -288,12 +288,12 @@ def _starts(cp: np.ndarray, first: np.ndarray, kinds: np.ndarray) -> np.ndarray:
 class PieceEncoder:
     """Token ids of whole texts, by pieces whose ids are kept once they are known.
 
-    `encode` gives the ids of distinct pieces; `kinds` are the character classes of the pattern; `special`
+    `encode` gives the ids of pieces, one after the other, and how many each has; `kinds` are the character classes of the pattern; `special`
     are strings that are one id wherever they stand.  At most `most` pieces are kept, then all are
     forgotten.  A kept piece is found by its hash and compared by its characters.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list], kinds: np.ndarray, special: dict[str, int] | None = None, most: int = 1 << 18) -> None:
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kinds: np.ndarray, special: dict[str, int] | None = None, most: int = 1 << 19) -> None:
         self.encode, self.kinds, self.special, self.most = encode, kinds, special or {}, most
         self.cuts = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if special else None
         self._forget()
@@ -303,12 +303,14 @@ class PieceEncoder:
         # of each piece its ids and its characters, one after the other
         self.ids, self.chars = _Runs(np.int32), _Runs(np.uint32)
 
-    def _store(self, pieces: list[str]) -> np.ndarray:
-        """Numbers of new entries."""
-        self.ids.add([np.asarray(g, np.int32) for g in self.encode(pieces)])
-        self.chars.add([np.frombuffer(p.encode("utf-32-le", "surrogatepass"), np.uint32) for p in pieces])
-        self.count += len(pieces)
-        return np.arange(self.count - len(pieces), self.count)
+    def _store(self, text: str, cp: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Numbers of new entries for text[start:end]; `cp` has the code points of the text."""
+        ids, lengths = self.encode([text[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+        self.ids.add(ids, lengths)
+        size = end - start
+        self.chars.add(cp[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())], size)
+        self.count += len(start)
+        return np.arange(self.count - len(start), self.count)
 
     def _part(self, text: str, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of a segment, and how many each of its texts has."""
@@ -319,18 +321,17 @@ class PieceEncoder:
         keys[keys == 0] = 1
         if self.count > self.most:
             self._forget()
-        taken = lambda at: [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
         found = self.index.get(keys)
         new = np.flatnonzero(found < 0)
         if len(new):
             distinct_, at = np.unique(keys[new], return_index=True)
-            self.index.add(distinct_, self._store(taken(new[at])))
+            self.index.add(distinct_, self._store(text, cp, start[new[at]], end[new[at]]))
             found[new] = self.index.get(keys[new])
         # pieces whose hash is that of other characters get entries of their own
         place = np.minimum(np.repeat(self.chars.start[found] - start, end - start) + np.arange(len(cp)), len(self.chars.flat) - 1)
         same = np.logical_and.reduceat(self.chars.flat[place] == cp, start) & (self.chars.length[found] == end - start) if len(start) else np.zeros(0, bool)
         if not same.all():
-            found[~same] = self._store(taken(np.flatnonzero(~same)))
+            found[~same] = self._store(text, cp, start[~same], end[~same])
         lengths = self.ids.length[found].astype(np.int64)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
@@ -383,17 +384,15 @@ class _Runs:
         self.start, self.length, self.flat = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), np.zeros(1 << 14, kind)
         self.count = self.used = 0
 
-    def add(self, runs: list[np.ndarray]) -> None:
-        lengths = np.fromiter(map(len, runs), np.int64, len(runs))
-        total, n = int(lengths.sum()), len(runs)
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        total, n = len(flat), len(lengths)
         while self.count + n > len(self.start):
             self.start, self.length = np.concatenate([self.start, self.start]), np.concatenate([self.length, self.length])
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, self.flat])
         self.start[self.count : self.count + n] = self.used + np.cumsum(lengths) - lengths
         self.length[self.count : self.count + n] = lengths
-        if total:
-            self.flat[self.used : self.used + total] = np.concatenate(runs)
+        self.flat[self.used : self.used + total] = flat
         self.count, self.used = self.count + n, self.used + total
 
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop_table, fresh, materialize, maybe_broadcast, numbered, small, text_of
+from .common import components, drop_table, fresh, materialize, maybe_broadcast, numbered, small, temporary, text_of
 from .kernel import U, mix, shingles
 from .pq import roots
 
@@ -149,7 +149,7 @@ def links_within(docs: DataFrame, members: DataFrame, words: int, percent: int)
     placed = materialize(near.join(size, "home").select("rep", "home", F.pmod(F.xxhash64("rep"), "blocks").cast("int").alias("block")), "placed")
     named = materialize(near.select(F.col("rep").alias("doc_id")), "named")
     texts = docs.select("doc_id", "text").join(maybe_broadcast(named, 8), "doc_id", "left_semi")
-    sets = materialize(shingle_sets(texts, words), "sets")
+    sets = shingle_sets(texts, words)
     # first every block with itself and with the first block of each gathering that it meets ...
     same, upto = F.col("h1") == F.col("h2"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     cell = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
@@ -207,6 +207,11 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80, rows: int =
     Equal sets collapse to one representative first.  Every pair of representatives that shares a
     bucket is then compared on full sets, in blocks.
     """
+    with temporary() as keep:
+        return keep(materialize(_near_groups(docs, words, percent, rows, tables), "near"))
+
+
+def _near_groups(docs: DataFrame, words: int, percent: int, rows: int, tables: int) -> DataFrame:
     sig = materialize(signatures(docs, words, rows, tables), "signatures")
     key = ["n", "s1", "s2"]
     reps = materialize(sig.where("n > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "reps")
@@ -242,11 +247,12 @@ def drop_near(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """
     row = fresh("__pf_row", docs)
     rows = numbered(docs, row)
-    groups = near_groups(rows.select(F.col(row).alias("doc_id"), "text"), words, percent)
-    many = materialize(groups.select(F.col("doc_id").alias("r"), F.col("component_id").alias("g")), "near")
-    shared = many.where("r <> g").select("g").distinct()
-    found = many.join(shared, "g", "left_semi").join(rows.select(F.col(row).alias("r"), "doc_id"), "r")
-    found = materialize(found, "groups")
-    stays = found.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "r")).alias("best")).select(F.col("best.r").alias("r"))
-    gone = found.select("r").join(maybe_broadcast(materialize(stays, "stays"), 8), "r", "left_anti").select(F.col("r").alias(row))
-    return rows.join(maybe_broadcast(materialize(gone, "dropped"), 8), row, "left_anti").select(docs.columns)
+    with temporary() as keep:
+        many = near_groups(rows.select(F.col(row).alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("r"), F.col("component_id").alias("g"))
+        shared = many.where("r <> g").select("g").distinct()
+        found = many.join(shared, "g", "left_semi").join(rows.select(F.col(row).alias("r"), "doc_id"), "r")
+        found = materialize(found, "groups")
+        stays = found.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "r")).alias("best")).select(F.col("best.r").alias("r"))
+        gone = found.select("r").join(maybe_broadcast(materialize(stays, "stays"), 8), "r", "left_anti").select(F.col("r").alias(row))
+        gone = keep(materialize(gone, "dropped"))
+    return rows.join(maybe_broadcast(gone, 8), row, "left_anti").select(docs.columns)

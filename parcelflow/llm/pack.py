@@ -33,7 +33,12 @@ def _encoder(path: str, kinds: tuple) -> PieceEncoder:
         added = t.get_added_tokens_decoder()
         if any(a.lstrip or a.rstrip or a.single_word or a.normalized for a in added.values()):
             raise ValueError("added tokens that depend on their surroundings are not known here")
-        return PieceEncoder(lambda pieces: [e.ids for e in plain.encode_batch_fast(pieces, add_special_tokens=False)], np.repeat(kinds[1], kinds[0]), {a.content: i for i, a in added.items()})
+
+        def ids_of(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            got = plain.encode(pieces, is_pretokenized=True, add_special_tokens=False)  # each piece a word of its own
+            return np.array(got.ids, np.int32), np.bincount(np.array(got.word_ids, np.int64), minlength=len(pieces))
+
+        return PieceEncoder(ids_of, np.repeat(kinds[1], kinds[0]), {a.content: i for i, a in added.items()})
 
     return worker_cache(("tokenizers", path), make)
 

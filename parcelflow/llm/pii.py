@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize, maybe_broadcast, numbered, text_of
+from .common import fresh, materialize, maybe_broadcast, numbered, temporary, text_of
 from .spans import labelled, replaced, with_spans
 
 #: Shares of an entity's information from which a term is generalised or removed, and documents that must show
@@ -110,16 +110,18 @@ def analysed(bodies: DataFrame) -> DataFrame:
 
     Only places and what replaces them leave this stage, not texts.
     """
-    based = base_spans(bodies)
-    whole = materialize(based.withColumn("body", F.when(F.size(F.concat(*KINDS)) > 0, F.col("body"))), "based")
-    mentioned = whole.where("body is not null")
-    told = materialize(disclosures(bodies, mentioned), "told")
-    rows = with_spans(mentioned.join(told, "row"), "words", "body", TERM)
-    hits = F.filter(_free(F.col("words")), lambda w: F.map_contains_key("told", F.lower(w["value"])))
-    terms = F.transform(hits, lambda w: F.struct(w["start"], w["end"], F.col("told")[F.lower(w["value"])].alias("put")))
-    rows = materialize(rows.select("row", terms.alias("terms")), "terms")
-    out = whole.drop("body").join(maybe_broadcast(rows, 256), "row", "left")
-    return out.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,put:string>>")))
+    with temporary() as keep:
+        based = base_spans(bodies)
+        whole = materialize(based.withColumn("body", F.when(F.size(F.concat(*KINDS)) > 0, F.col("body"))), "based")
+        mentioned = whole.where("body is not null")
+        told = materialize(disclosures(bodies, mentioned), "told")
+        rows = with_spans(mentioned.join(told, "row"), "words", "body", TERM)
+        hits = F.filter(_free(F.col("words")), lambda w: F.map_contains_key("told", F.lower(w["value"])))
+        terms = F.transform(hits, lambda w: F.struct(w["start"], w["end"], F.col("told")[F.lower(w["value"])].alias("put")))
+        rows = materialize(rows.select("row", terms.alias("terms")), "terms")
+        out = whole.drop("body").join(maybe_broadcast(rows, 256), "row", "left")
+        out = out.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,put:string>>")))
+        return keep(materialize(out, "analysed"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -129,7 +131,8 @@ def digest(docs: DataFrame) -> DataFrame:
     empty table gives no rows.  Texts of any length are read whole.  Matches of different kinds may
     overlap; terms never overlap a match.  Columns other than doc_id and text are not read.
     """
-    rows = analysed(numbered(docs.select("doc_id", text_of().alias("body")), "row"))
+    with temporary() as keep:
+        rows = keep(analysed(numbered(docs.select("doc_id", text_of().alias("body")), "row")))
     base = F.flatten(F.array(*(labelled(k, F.col(k)) for k in KINDS)))
     every = F.concat(base, labelled("term", F.col("terms")))
     return rows.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS), F.sha2(F.array_join(base, ","), 256).alias("base_sha256"), F.array_join(every, ",").alias("spans"), F.size("terms").cast("long").alias("n_term"))

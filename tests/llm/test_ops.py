@@ -143,13 +143,16 @@ def thue_morse():
 
 
 def test_identity_of_pieces(spark):
-    """Words that collide under a weak hash, and every code point, as the libraries encode them."""
+    """Words that collide under a weak hash, and code points of all kinds, as the libraries encode them."""
     x, y = thue_morse()
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    texts = [f"{x} {y}", y, x, *("".join(f"a{c}b {c}1'{c}  {c}\n" for c in chars[i : i + 40000]) for i in range(0, len(chars), 40000))]
+    kinds = [np.repeat(*reversed(k)) for k in (bpe._kinds(), pack._kinds())]
+    edge = {int(c) + d for k in kinds for c in np.flatnonzero(np.diff(k)) for d in (0, 1)}  # where one kind ends and the next begins
+    edge |= set(np.random.default_rng(4).integers(0, 0x110000, 20000).tolist())
+    chars = [chr(c) for c in sorted(edge) if not 0xD800 <= c < 0xE000]
+    texts = [f"{x} {y}", y, x, *("".join(f"a{c}b {c}1'{c}  {c}\n" for c in chars[i : i + 4000]) for i in range(0, len(chars), 4000))]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in bpe.encode(docs, path).collect():
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(texts[r.doc_id])
@@ -168,7 +171,7 @@ def test_encoder_with_one_hash(monkeypatch):
     """Where all pieces share a hash they are still told apart."""
     monkeypatch.setattr(kernel, "span_hashes", lambda v, a, b: np.ones(len(a), np.uint64))
     kinds = np.repeat(*reversed(bpe._kinds()))
-    enc = kernel.PieceEncoder(lambda pieces: [[len(p), ord(p[-1])] for p in pieces], kinds)
+    enc = kernel.PieceEncoder(lambda pieces: (np.array([x for p in pieces for x in (len(p), ord(p[-1]))]), np.full(len(pieces), 2)), kinds)
     assert enc(["ab cd", "ab e"])[0].tolist() == [2, 98, 3, 100] and enc(["ab e"])[0].tolist() == [2, 98, 2, 101]
 
 
