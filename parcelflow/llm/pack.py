@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, maybe_broadcast, small, text_of
+from .common import materialize, small, temporary, text_of
 from .kernel import PieceEncoder, classes, runs_of, worker_cache
 
 LENGTH, END = 2048, 1
@@ -88,8 +89,10 @@ def _curve_keys(vectors: np.ndarray) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, n, curve): ids with the end id as little-endian 32-bit integers, their number, the Hilbert key."""
+    """(doc_id, ids, n, curve): ids with the end id as little-endian 16-bit integers, or 32-bit where the
+    vocabulary is larger, their number, the Hilbert key."""
     id_type, kinds = docs.schema["doc_id"].dataType.simpleString(), _kinds()
+    kind = _id_type(path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(path, kinds)
@@ -98,27 +101,42 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
             bag = np.zeros((len(ids), BINS))
             for k, x in enumerate(ids):
                 bag[k] = np.bincount((x * 40503 >> 4) % BINS, minlength=BINS)
-            raw = [np.append(x, END).astype("<u4").tobytes() for x in ids]
+            raw = [np.append(x, END).astype(kind).tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array(_curve_keys(bag))], ["doc_id", "ids", "n", "curve"])
 
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, ids binary, n long, curve long")
 
 
-def positions(table: DataFrame) -> DataFrame:
-    """(row, at): the first token of each row in the order of the curve, over all rows.
+def _id_type(path: str) -> str:
+    from tokenizers import Tokenizer
 
-    Ranges of the curve are summed one by one, and only one number a range goes to the driver.
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def along_curve(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, ids, range, run) in ranges of the curve, with the tokens before each in its range, and
+    (range, base), the tokens before each range.
+
+    Documents move once, to the range they belong to; each range is summed as it streams by, and only one
+    number a range goes to the driver.
     """
+    kind = table.schema["doc_id"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, before = TaskContext.get().partitionId(), 0
+        for b in batches:
+            upto = before + np.cumsum(b.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(np.full(len(upto), at, np.int32)), pa.array(upto - b.column(2).to_numpy())], ["doc_id", "ids", "n", "range", "run"])
+            before = int(upto[-1]) if len(upto) else before
+
     order = ["curve", "doc_id", "row"]
-    ranged = materialize(table.select("row", "curve", "doc_id", "n").repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranged")
-    totals = sorted((r["range"], r["t"]) for r in ranged.groupBy("range").agg(F.sum("n").alias("t")).collect())
+    sorted_ = table.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "ids", "n")
+    ranged = materialize(sorted_.mapInArrow(work, f"doc_id {kind}, ids binary, n long, range int, run long"), "ranged")
     base, offsets = 0, []
-    for k, t in totals:
+    for k, t in sorted((r["range"], r["t"]) for r in ranged.groupBy("range").agg(F.sum("n").alias("t")).collect()):
         offsets.append((k, base))
         base += t
-    offsets = ranged.sparkSession.createDataFrame(offsets, "range int, base long")
-    run = F.sum("n").over(Window.partitionBy("range").orderBy(*order)) - F.col("n")
-    return ranged.withColumn("run", run).join(F.broadcast(offsets), "range").select("row", (F.col("base") + F.col("run")).alias("at"))
+    return ranged, ranged.sparkSession.createDataFrame(offsets, "range int, base long")
 
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
@@ -126,22 +144,26 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool = True
 
     Every row of `docs` is a document, also one that repeats an id or has none; null or empty texts are
     the end id alone.  Rows follow the Hilbert key, then doc_id, then their place in the input; each
-    sequence of `length` is full but the last.
+    sequence of `length` is full but the last.  ids are little-endian 32-bit integers.  Columns other than
+    doc_id and text are not read.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    table = materialize(tokenised(docs, path).withColumn("row", F.monotonically_increasing_id()), "tokens")
-    at = materialize(positions(table), "positions")
-    rows = table.join(maybe_broadcast(at, 24), "row").select("doc_id", "ids", "at")
+    id_type, kind = docs.schema["doc_id"].dataType.simpleString(), _id_type(path)
+    with temporary() as keep:
+        table = materialize(tokenised(docs, path).withColumn("row", F.monotonically_increasing_id()), "tokens")
+        ranged, bases = along_curve(table)
+        keep(ranged)
+    rows = ranged.join(F.broadcast(bases), "range").select("doc_id", "ids", (F.col("base") + F.col("run")).alias("at"))  # a row a range
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             out: list[list] = [[] for _ in range(8)]
             for doc, raw, first in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                total, start = len(raw) // 4, 0
+                ids = np.frombuffer(raw, kind).astype("<u4").tobytes()
+                total, start = len(ids) // 4, 0
                 while start < total:
                     offset = (first + start) % length
                     size = min(length - offset, total - start)
-                    piece = raw[4 * start : 4 * (start + size)]
+                    piece = ids[4 * start : 4 * (start + size)]
                     for column, value in zip(out, (doc, start, size, zlib.crc32(piece), total, (first + start) // length, offset, piece if with_ids else None), strict=True):
                         column.append(value)
                     start += size

@@ -158,7 +158,7 @@ def test_identity_of_pieces(spark):
         assert np.frombuffer(r.ids, "<u4").tolist() == enc.encode_ordinary(texts[r.doc_id])
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for r in pack.tokenised(docs, public_tokenizers.path("byte_bpe_50k.json")).collect():
-        assert np.frombuffer(r.ids, "<u4").tolist() == [*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 1]
+        assert np.frombuffer(r.ids, "<u2").tolist() == [*t.encode(texts[r.doc_id], add_special_tokens=False).ids, 1]
 
 
 def test_identity_of_words(spark):
