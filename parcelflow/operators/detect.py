@@ -50,8 +50,14 @@ def conflicts(cands: DataFrame, iou: float = 0.70, edge_iou: float | None = 0.50
     confidence alone.  `scope` names columns within which conflicts arise, none for the whole table.
     """
     use = cands.select("cand_id", "is_edge", "confidence", "area", "xmin", "ymin", "xmax", "ymax", *scope)
-    key = lambda p: F.struct(*([F.col(f"{p}is_edge")] if edge_iou is not None else []), -F.col(f"{p}confidence"), *([-F.col(f"{p}area")] if edge_iou is not None else []), F.col(f"{p}cand_id"))
-    pairs = box_join(use, use, CELL, key("b_") < key("a_"), equal=scope).withColumn("iou", box_iou())
+    parts = ["is_edge", "-confidence", "-area", "cand_id"] if edge_iou is not None else ["-confidence", "cand_id"]
+    part = lambda p, c: -F.col(p + c[1:]) if c[0] == "-" else F.col(p + c)
+    key = lambda p: F.struct(*(part(p, c) for c in parts))
+    # the order of key("b_") and key("a_") column by column, which compiles where that of structs does not
+    earlier = F.lit(False)
+    for c in reversed(parts):
+        earlier = (part("b_", c) < part("a_", c)) | ((part("b_", c) == part("a_", c)) & earlier)
+    pairs = box_join(use, use, CELL, earlier, equal=scope).withColumn("iou", box_iou())
     hit = F.col("iou") > iou if strict else F.col("iou") >= iou
     kind = F.when(hit, "nms_dropped")
     if edge_iou is not None:

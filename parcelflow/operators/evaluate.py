@@ -10,6 +10,7 @@ from .spatial import box_join
 from ..functions.geom import box_iou
 from ..plans.storage import cut
 
+#: Fixed values of the reports.
 THRESHOLDS = [0.35, 0.50, 0.65, 0.75]
 
 
@@ -41,28 +42,26 @@ def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5) -> DataFrame:
     return pairs.where(F.col("iou") >= least).select(F.col("a_image").alias("image"), F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), "iou")
 
 
-def greedy_matches(pairs: DataFrame) -> DataFrame:
-    """Pairs taken by IoU down, then prediction, then truth, where both sides are free."""
-    pairs = cut(pairs.withColumn("id", F.struct(-F.col("iou"), "p", "g")))
+def greedy_matches(pairs: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
+    """Pairs taken by IoU down, then prediction, then truth, where both sides are free; `by` names columns that part separate matchings."""
+    pairs = cut(pairs.withColumn("id", F.struct(*by, -F.col("iou"), "p", "g")))
     edges = []
     for side in ("p", "g"):
-        a = pairs.select("image", side, F.col("id").alias("late"))
-        b = pairs.select("image", side, F.col("id").alias("early"))
-        edges.append(a.join(b, ["image", side]).where("early < late").select("late", "early"))
+        a = pairs.select(*by, "image", side, F.col("id").alias("late"))
+        b = pairs.select(*by, "image", side, F.col("id").alias("early"))
+        edges.append(a.join(b, [*by, "image", side]).where("early < late").select("late", "early"))
     gone = greedy_dropped(edges[0].unionByName(edges[1])).select(F.col("late").alias("id"))
-    return pairs.join(gone, "id", "left_anti").select("image", "p", "g", "iou")
+    return pairs.join(gone, "id", "left_anti").select(*by, "image", "p", "g", "iou")
 
 
 def scores(pred: DataFrame, gt: DataFrame, least: float = 0.5) -> DataFrame:
     """(threshold, tp, fp, fn, precision, recall, f1) over all images."""
-    pairs = cut(iou_pairs(pred, gt, least).join(pred.select(F.col("cand_id").alias("p"), "confidence"), "p"))
-    total = gt.agg(F.count("*").alias("n_gt"))
-    out = None
-    for t in THRESHOLDS:
-        tp = greedy_matches(pairs.where(F.col("confidence") >= t).drop("confidence")).agg(F.count("*").alias("tp"))
-        n = pred.where(F.col("confidence") >= t).agg(F.count("*").alias("n_pred"))
-        row = tp.join(n).join(total).select(F.lit(t).alias("threshold"), "tp", (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_gt") - F.col("tp")).alias("fn"))
-        out = row if out is None else out.unionByName(row)
+    pairs = thresholds(iou_pairs(pred, gt, least).join(pred.select(F.col("cand_id").alias("p"), "confidence"), "p"))
+    tp = greedy_matches(pairs.drop("confidence"), ["threshold"]).groupBy("threshold").agg(F.count("*").alias("tp"))
+    n = thresholds(pred).groupBy("threshold").agg(F.count("*").alias("n_pred"))
+    rows = pred.sparkSession.createDataFrame([(t,) for t in THRESHOLDS], "threshold double")
+    rows = rows.join(tp, "threshold", "left").join(n, "threshold", "left").join(gt.agg(F.count("*").alias("n_gt"))).na.fill(0)
+    out = rows.select("threshold", "tp", (F.col("n_pred") - F.col("tp")).alias("fp"), (F.col("n_gt") - F.col("tp")).alias("fn"))
     p, r = F.col("tp") / F.greatest(F.lit(1), F.col("tp") + F.col("fp")), F.col("tp") / F.greatest(F.lit(1), F.col("tp") + F.col("fn"))
     out = out.withColumns({"precision": p, "recall": r})
     return out.withColumn("f1", F.when(F.col("precision") + F.col("recall") == 0, 0.0).otherwise(2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))))

@@ -24,11 +24,17 @@ def grid(scenes: DataFrame, clamped: bool) -> DataFrame:
     return scenes.where((F.col("height") >= TILE) & (F.col("width") >= TILE)).withColumn("row", F.explode(at(F.col("height")))).withColumn("col", F.explode(at(F.col("width")))).select("scene", "row", "col")
 
 
-def centre_out(grid_: DataFrame, length: int, most: int = 60) -> DataFrame:
-    """Row offsets of each scene nearest to the middle first, at most `most` of them."""
-    rows = grid_.select("scene", "row").distinct()
-    rank = F.row_number().over(Window.partitionBy("scene").orderBy(F.abs(F.col("row") - length / 2), "row"))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= most)
+def centre_out(grid_: DataFrame, most: int = 60) -> DataFrame:
+    """(scene, axis, place, rank): row and column offsets of each scene, those nearest to the middle one first, at most `most` of each.
+
+    The middle is the offset at position n // 2 of a scene's n offsets in order.
+    """
+    both = [grid_.select("scene", F.lit(axis).alias("axis"), F.col(axis).alias("place")).distinct() for axis in ("row", "col")]
+    by = Window.partitionBy("scene", "axis")
+    rows = both[0].unionByName(both[1]).withColumn("k", F.row_number().over(by.orderBy("place")) - 1).withColumn("n", F.count("*").over(by))
+    rows = rows.withColumn("middle", F.max(F.when(F.col("k") == F.floor(F.col("n") / 2), F.col("place"))).over(by))
+    rank = F.row_number().over(by.orderBy(F.abs(F.col("place") - F.col("middle")), "place"))
+    return rows.withColumn("rank", rank).where(F.col("rank") <= most).select("scene", "axis", "place", "rank")
 
 
 def band_range(pixels: DataFrame) -> DataFrame:
@@ -56,4 +62,4 @@ def stretched(pixels: DataFrame, params: DataFrame) -> DataFrame:
     """`pixels` with v8 from 0 to 255, truncated; 0 where the range is nothing."""
     width = F.col("p_hi") - F.col("p_lo")
     scaled = F.least(F.greatest((F.col("value") - F.col("p_lo")) / width * 255.0, F.lit(0.0)), F.lit(255.0))
-    return pixels.join(F.broadcast(params), ["scene", "band"]).withColumn("v8", F.when(width < 1e-6, 0).otherwise(F.floor(scaled).cast("int")))
+    return pixels.join(params, ["scene", "band"]).withColumn("v8", F.when(width < 1e-6, 0).otherwise(F.floor(scaled).cast("int")))

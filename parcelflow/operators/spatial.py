@@ -12,7 +12,8 @@ def _celled(df: DataFrame, prefix: str, cell: float) -> DataFrame:
     at = lambda c: F.floor(F.col(c) / cell)
     named = df.select(*(F.col(c).alias(prefix + c) for c in df.columns))
     span = lambda lo, hi: F.explode(F.sequence(at(prefix + lo), at(prefix + hi)))
-    return named.withColumn("cx", span("xmin", "xmax")).withColumn("cy", span("ymin", "ymax"))
+    low = {f"{prefix}cx": at(prefix + "xmin"), f"{prefix}cy": at(prefix + "ymin")}
+    return named.withColumns(low).withColumn("cx", span("xmin", "xmax")).withColumn("cy", span("ymin", "ymax"))
 
 
 def box_join(a: DataFrame, b: DataFrame, cell: float, on: Column | None = None, closed: bool = False, equal: list[str] = []) -> DataFrame:  # noqa: B006
@@ -28,9 +29,9 @@ def box_join(a: DataFrame, b: DataFrame, cell: float, on: Column | None = None,
     keys = ["cx", "cy", *(f"k{i}" for i in range(len(equal)))]
     meet = (lambda lo, hi: F.col(lo) <= F.col(hi)) if closed else (lambda lo, hi: F.col(lo) < F.col(hi))
     hit = meet("a_xmin", "b_xmax") & meet("b_xmin", "a_xmax") & meet("a_ymin", "b_ymax") & meet("b_ymin", "a_ymax")
-    owner = (F.col("cx") == F.floor(F.greatest("a_xmin", "b_xmin") / cell)) & (F.col("cy") == F.floor(F.greatest("a_ymin", "b_ymin") / cell))
-    out = left.join(right, keys).where(owner & hit)
-    return (out if on is None else out.where(on)).drop(*keys)
+    owner = (F.col("cx") == F.greatest("a_cx", "b_cx")) & (F.col("cy") == F.greatest("a_cy", "b_cy"))
+    out = left.join(right, keys).where(hit & owner)
+    return (out if on is None else out.where(on)).drop(*keys, "a_cx", "a_cy", "b_cx", "b_cy")
 
 
 def overlaps(df: DataFrame, key: str, cell: float, on: Column, least: float = 1.0) -> DataFrame:

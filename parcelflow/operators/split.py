@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .spatial import box_join, overlaps
 from ..functions.geom import overlap_area
+from ..plans.storage import cut
 from ..plans.tables import TILE
 
 #: Shares aimed at, and the weight of dropped tiles.
@@ -59,23 +60,47 @@ def source_split(tiles: DataFrame) -> DataFrame:
 def band_cuts(tiles: DataFrame) -> DataFrame:
     """One row: the best pair of cuts (k1, k2, c1, c2), counts of each band, and the score.
 
-    Tiles are counted by centre first.  Every cut pair reads prefix sums of that small table, so the
-    search is one theta join of centres.
+    Tiles are counted by centre.  Each cut knows from running totals how many tiles end at or before it or begin at or after it, so a pair of cuts is scored from its two ends;
+    tiles that cross both cuts are counted by pair.
     """
-    centres = tiles.groupBy(((F.col("xmin") + F.col("xmax")) / 2).alias("c"), ((F.col("xmax") - F.col("xmin")) / 2).alias("hw")).agg(F.count("*").alias("n"), F.count_if(F.col("is_negative") == 0).alias("pos"))
-    order = centres.select("c").distinct().withColumn("k", F.row_number().over(Window.orderBy("c")) - 1)
-    many = F.count("*").over(Window.partitionBy())
-    order = order.withColumn("many", many)
-    one = order.select(F.col("k").alias("k1"), F.col("c").alias("c1"), "many")
-    two = order.select(F.col("k").alias("k2"), F.col("c").alias("c2"))
-    cuts = one.join(two, (F.col("k2") >= F.col("k1") + 2) & (F.col("k1") >= 1) & (F.col("k1") < F.col("many") - 3) & (F.col("k2") < F.col("many") - 1))
-    crosses = lambda cut: (F.col("c") - F.col("hw") < F.col(cut)) & (F.col("c") + F.col("hw") > F.col(cut))
-    joined = cuts.join(F.broadcast(centres)).withColumn("dropped", crosses("c1") | crosses("c2"))
-    band = F.when(F.col("c") < F.col("c1"), 0).when(F.col("c") < F.col("c2"), 1).otherwise(2)
-    kept = lambda b, v: F.sum(F.when(~F.col("dropped") & (band == b), F.col(v)).otherwise(0))
-    scored = joined.groupBy("k1", "k2", "c1", "c2").agg(*(kept(b, "n").alias(f"n{b}") for b in range(3)), *(kept(b, "pos").alias(f"pos{b}") for b in range(3)), F.sum(F.when(F.col("dropped"), F.col("n")).otherwise(0)).alias("dropped"), F.sum("n").alias("n"))
+    half = (F.col("xmax") - F.col("xmin")) / 2
+    centres = tiles.groupBy(((F.col("xmin") + F.col("xmax")) / 2).alias("c"), half.alias("hw")).agg(F.count("*").alias("n"), F.count_if(F.col("is_negative") == 0).alias("pos"))
+    centres = cut(centres)
+    order = centres.select("c").distinct().withColumn("k", F.row_number().over(Window.orderBy("c")) - 1).withColumn("many", F.count("*").over(Window.partitionBy()))
+    order = cut(order)  # one row a distinct centre
+    ends = F.array(
+        F.struct((F.col("c") - F.col("hw")).alias("x"), F.lit(1).alias("kind"), "n", "pos"),
+        F.struct((F.col("c") + F.col("hw")).alias("x"), F.lit(2).alias("kind"), "n", "pos"),
+    )
+    marks = centres.select(F.explode(ends).alias("e")).select("e.*")
+    asked = order.select(F.col("c").alias("x"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("pos"))
+    marks = marks.unionByName(asked)
+    # strictly before the cut: tiles that begin; at or before it: tiles that end
+    upto = lambda kind, v, by: F.sum(F.when(F.col("kind") == kind, F.col(v)).otherwise(0)).over(by)
+    below = Window.orderBy("x").rangeBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy("x")
+    strict = lambda kind, v: upto(kind, v, below) - upto(kind, v, here)
+    at = marks.select("x", "kind", *(strict(1, v).alias(f"begun_{v}") for v in ("n", "pos")), *(upto(2, v, below).alias(f"ended_{v}") for v in ("n", "pos")))
+    at = cut(order.join(at.where("kind = 0").drop("kind").withColumnRenamed("x", "c"), "c"))
+    stats = [c for c in at.columns if "_" in c]
+    one, two = (at.select(F.col("k").alias(f"k{i}"), F.col("c").alias(f"c{i}"), *(F.col(c).alias(f"{c}{i}") for c in stats), *(["many"] if i == 1 else [])) for i in (1, 2))
+    pairs = one.join(two, (F.col("k2") >= F.col("k1") + 2) & (F.col("k1") >= 1) & (F.col("k1") < F.col("many") - 3) & (F.col("k2") < F.col("many") - 1))
+    # tiles that cross both cuts of a pair are few: only centres between lie as near to both
+    crossing = lambda x: (F.col("c") - F.col("hw") < F.col(x)) & (F.col("c") + F.col("hw") > F.col(x))
+    both = order.select(F.col("k").alias("k1"), F.col("c").alias("c1")).join(centres, crossing("c1")).join(order.select(F.col("k").alias("k2"), F.col("c").alias("c2")), crossing("c2") & (F.col("k2") > F.col("k1")))
+    both = both.groupBy("k1", "k2").agg(*(F.sum(v).alias(f"b_{v}") for v in ("n", "pos")))
+    total = centres.agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
+    rows = pairs.join(both, ["k1", "k2"], "left").na.fill(0).join(F.broadcast(total))  # one row
+    scored = rows
+    for v in ("n", "pos"):
+        crosses1, crosses2 = (F.col(f"begun_{v}{i}") - F.col(f"ended_{v}{i}") for i in (1, 2))
+        dropped = crosses1 + crosses2 - F.col(f"b_{v}")
+        # a band's tiles: before the first cut those that end by it, after the second those that begin there
+        scored = scored.withColumns({f"{v}0": F.col(f"ended_{v}1"), f"{v}2": F.col(f"all_{v}") - F.col(f"begun_{v}2"), f"dropped_{v}": dropped})
+        scored = scored.withColumn(f"{v}1", F.col(f"all_{v}") - F.col(f"{v}0") - F.col(f"{v}2") - F.col(f"dropped_{v}"))
+    scored = scored.withColumnRenamed("dropped_n", "dropped")
     total = F.col("n0") + F.col("n1") + F.col("n2")
-    score = sum((F.abs(F.col(f"n{b}") / total - SHARES[b]) for b in range(3)), F.lit(0.0)) + DROP_WEIGHT * F.col("dropped") / F.col("n")
+    score = sum((F.abs(F.col(f"n{b}") / total - SHARES[b]) for b in range(3)), F.lit(0.0)) + DROP_WEIGHT * F.col("dropped") / F.col("all_n")
     good = scored.where("pos1 > 0 and pos2 > 0 and n0 > 0 and n1 > 0 and n2 > 0").withColumn("score", score)
     return good.orderBy("score", "k1", "k2").limit(1)
 

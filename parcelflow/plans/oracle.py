@@ -120,8 +120,11 @@ def oracle_sql() -> dict[str, str]:
         "shared_keys": f"WITH {CUTS} SELECT source FROM asg WHERE split = 'train' INTERSECT SELECT source FROM asg WHERE split = 'val'",
         "tile_grid_clamped": _grid(True),
         "tile_grid_truncated": _grid(False),
-        "grid_centre_out": f"WITH g AS ({_grid(False)}), d AS (SELECT DISTINCT scene, row FROM g) SELECT *, row_number() OVER (PARTITION BY scene ORDER BY abs(row - 1024), row) AS rank FROM d QUALIFY rank <= 3",
-        "tile_polygon_join": f"WITH {TILES}, {CANDS} SELECT a.tile_id, b.cand_id, {INTER} AS inter, {INTER} / b.area AS visible FROM tiles a JOIN cands b ON {MEET} WHERE a.ymin < 50000",
+        "grid_centre_out": f"""WITH g AS ({_grid(False)}), d AS (SELECT DISTINCT scene, 'row' AS axis, row AS place FROM g UNION ALL SELECT DISTINCT scene, 'col' AS axis, col AS place FROM g),
+ o AS (SELECT *, row_number() OVER (PARTITION BY scene, axis ORDER BY place) - 1 AS k, count(*) OVER (PARTITION BY scene, axis) AS n FROM d),
+ m AS (SELECT scene, axis, place AS middle FROM o WHERE k = n // 2)
+ SELECT d.scene, d.axis, d.place, row_number() OVER (PARTITION BY d.scene, d.axis ORDER BY abs(d.place - middle), d.place) AS rank FROM d JOIN m USING (scene, axis) QUALIFY rank <= 60""",
+        "tile_polygon_join": f"WITH {TILES}, {CANDS} SELECT a.tile_id, b.cand_id, {INTER} AS inter, {INTER} / b.area AS visible FROM tiles a JOIN cands b ON {MEET}",
         "tile_decision": f"WITH {DECIDED} SELECT tile_id, n_labels, decision FROM dec",
         "tile_quota": f"WITH {TILES} SELECT tile_id, source, row_number() OVER (PARTITION BY source ORDER BY is_negative, ymin, xmin, tile_id) AS rank FROM tiles QUALIFY rank <= 40",
         "band_minmax": f"WITH {PIXELS} SELECT scene, band, min(value) AS lo, max(value) AS hi, count(*) AS n FROM px GROUP BY ALL",
@@ -143,7 +146,7 @@ def oracle_sql() -> dict[str, str]:
         "border_flags": f"WITH {CANDS}, q AS (SELECT cand_id, xmin % 641 AS x, ymin % 641 AS y, side / 10 AS s FROM cands) SELECT cand_id, x < 10 OR y < 10 OR x + s > 630 OR y + s > 630 AS is_edge, x <= 3 OR y <= 3 OR x + s >= 637 OR y + s >= 637 AS touches FROM q",
         "shape_metrics": f"WITH {CANDS} SELECT cand_id, side * side AS area, 4 * side AS perimeter, round(4 * pi() * (side * side) / (4 * side * 4 * side), 9) AS compactness FROM cands",
         "affine_roundtrip": f"WITH {CANDS} SELECT cand_id, 500000.0::DOUBLE + 10 * xmin AS gx, 4400000.0::DOUBLE - 10 * ymin AS gy, true AS same FROM cands",
-        "label_format": f"""WITH {CANDS}, q AS (SELECT cand_id, printf('%.6f', least(xmin / 640, 1)) AS a, printf('%.6f', least(ymin / 640, 1)) AS b, printf('%.6f', least(xmax / 640, 1)) AS c, printf('%.6f', least(ymax / 640, 1)) AS d FROM cands WHERE xmin < 1000)
+        "label_format": f"""WITH {CANDS}, q AS (SELECT cand_id, printf('%.6f', least(xmin / 640, 1)) AS a, printf('%.6f', least(ymin / 640, 1)) AS b, printf('%.6f', least(xmax / 640, 1)) AS c, printf('%.6f', least(ymax / 640, 1)) AS d FROM cands)
  SELECT cand_id, concat_ws(' ', '0', a, b, c, b, c, d, a, d) AS text FROM q""",
         "quality_filter_reasons": f"WITH {QUALITY.replace('$', '0.65')} SELECT coalesce(reason, 'kept') AS reason, count(*) AS n FROM q GROUP BY 1",
         "quality_filter_v2": f"WITH {QUALITY.replace('$', '0.35')} SELECT cand_id FROM q WHERE reason IS NULL",
@@ -157,7 +160,7 @@ def oracle_sql() -> dict[str, str]:
         "threshold_counts": f"WITH {CANDS}, {THRESHOLDS} SELECT threshold, count(*) AS n, {_bins()} FROM cands JOIN th ON confidence >= threshold GROUP BY threshold",
         "threshold_summary": f"WITH {CANDS}, {THRESHOLDS} SELECT threshold, count(*) AS n, min(area) AS min_area, max(area) AS max_area, median(area) AS median_area, median(confidence) AS median_confidence, round(avg(area), 6) AS mean_area FROM cands JOIN th ON confidence >= threshold GROUP BY threshold",
         "summary_distribution": f"WITH {CANDS} SELECT count(*) AS n, min(area) AS min_area, max(area) AS max_area, median(area) AS median_area, min(confidence) AS min_confidence, max(confidence) AS max_confidence, median(confidence) AS median_confidence, avg(is_edge) AS edge_share FROM cands",
-        "per_image_counts": f"WITH {CANDS}, {THRESHOLDS}, g AS (SELECT range AS image, threshold FROM range(60), th), c AS (SELECT g.threshold, g.image, count(cand_id) AS c FROM g LEFT JOIN cands ON cands.image = g.image AND confidence >= threshold AND cands.image % 7 <> 0 GROUP BY ALL) SELECT threshold, avg(c) AS mean, median(c) AS median, max(c) AS most FROM c GROUP BY threshold",
+        "per_image_counts": f"WITH {CANDS}, {THRESHOLDS}, g AS (SELECT range AS image, threshold FROM range(60), th), c AS (SELECT g.threshold, g.image, count(cand_id) AS c FROM g LEFT JOIN cands ON cands.image = g.image AND confidence >= threshold GROUP BY ALL) SELECT threshold, avg(c) AS mean, median(c) AS median, max(c) AS most FROM c GROUP BY threshold",
         "iou_pairs": f"WITH {MATCH.replace('$', '0.5')} SELECT image, p, g, round(iou, 9) AS iou FROM m",
         "greedy_match": _matched(0) + " SELECT image, p, g FROM r WHERE r NOT IN (SELECT r FROM gone)",
         "eval_prf": _prf(),

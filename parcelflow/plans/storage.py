@@ -11,5 +11,8 @@ def cut(df: DataFrame) -> DataFrame:
     """An eager checkpoint: a lost executor loses nothing of it."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="parcelflow-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="parcelflow-"))
     return df.checkpoint()
