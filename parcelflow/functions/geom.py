@@ -45,6 +45,24 @@ def ring_perimeter(ring: Column) -> Column:
     return F.aggregate(step, F.lit(0.0), lambda s, c: s + c)
 
 
+def exterior(rings: Column, tolerance: float = 1e-6) -> Column:
+    """The outer ring of a polygon's rings, without holes and without the closing point."""
+    ring = rings[0]
+    last = F.element_at(ring, -1)
+    closed = (F.size(ring) > 1) & (F.abs(ring[0]["x"] - last["x"]) <= tolerance) & (F.abs(ring[0]["y"] - last["y"]) <= tolerance)
+    return F.when(closed, F.slice(ring, 1, F.size(ring) - 1)).otherwise(ring)
+
+
+def ring_centroid(ring: Column) -> Column:
+    """Centre of mass (x, y); null where the ring has no area."""
+    rest = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
+    each = F.zip_with(ring, rest, lambda p, q: F.struct((p["x"] * q["y"] - q["x"] * p["y"]).alias("c"), (p["x"] + q["x"]).alias("x"), (p["y"] + q["y"]).alias("y")))
+    total = lambda f: F.aggregate(each, F.lit(0.0), lambda s, e: s + f(e))
+    area = total(lambda e: e["c"])
+    at = lambda k: F.when(area != 0, total(lambda e: e["c"] * e[k]) / (3 * area))
+    return F.struct(at("x").alias("x"), at("y").alias("y"))
+
+
 def compactness(area: Column, perimeter: Column) -> Column:
     """1 for a circle; 0 without a perimeter."""
     return F.when(perimeter > 0, 4 * math.pi * area / (perimeter * perimeter)).otherwise(0.0)

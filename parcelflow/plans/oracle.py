@@ -30,6 +30,9 @@ q AS (SELECT scene, band, lo, hi, min(bin) FILTER (cum >= 0.02) AS a, min(bin) F
 par AS (SELECT scene, band, lo + a * (hi - lo) / 2048 AS p_lo, lo + b * (hi - lo) / 2048 AS p_hi FROM q)"""
 
 
+VALID = """px AS (SELECT l_orderkey % 7 AS scene, l_orderkey % 211 AS "window", l_orderkey // 211 AS pixel, bool_and(l_discount > 0.01) AS valid FROM lineitem GROUP BY ALL), w AS (SELECT scene, "window", avg(valid::INTEGER) AS share FROM px GROUP BY ALL)"""
+
+
 def _digits(n: int) -> str:
     return f"('0.' || lpad((event_id * {n} % 80)::VARCHAR, 2, '0'))"
 
@@ -166,5 +169,32 @@ def oracle_sql() -> dict[str, str]:
         "eval_prf": _prf(),
         "polygon_iou": f"WITH {MATCH.replace('$', '-1')} SELECT p, g, round(iou, 6) AS iou, 1.0::DOUBLE AS aspect FROM m",
         "infer_stub": f"WITH g AS ({_grid(False)}), k AS (SELECT *, ((row // 512 * 31 + col // 512 * 17) % 100)::DOUBLE AS k FROM g) SELECT scene::VARCHAR AS scene, row::INTEGER AS row, col::INTEGER AS col, k / 100 AS confidence, 10 + k AS xmin, 20 + k AS ymin, 110 + k AS xmax, 100 + k AS ymax FROM k",
+        "attribute_projection": f"WITH {CANDS}, q AS (SELECT *, printf('%.4f', round(4 * pi() * area / (16 * side * side), 4)) AS c FROM cands) SELECT cand_id, round(confidence, 4) AS confidence, round(area, 2) AS area_m2, round(4 * side, 2) AS perimeter, c AS compactness, c AS circularity, 4 AS vertex_count, is_edge::INTEGER AS is_edge FROM q",
+        "least_area": f"WITH {CANDS} SELECT count(*) FILTER (area / 1000 >= 100) AS v1, count(*) FILTER (area / 1000 >= 1) AS v2 FROM cands",
+        "surrogate_ids": f"WITH {CANDS} SELECT row_number() OVER (ORDER BY confidence, cand_id) - 1 AS id, cand_id FROM cands",
+        "utm_check": f"WITH {TILES} SELECT xmin > 1e5 AND xmin < 1.5e6 AND ymin > 0 AND ymin < 1e7 AS plausible, count(*) AS n FROM tiles GROUP BY 1",
+        "valid_pixel_share": f"WITH {VALID} SELECT scene, \"window\", share, share >= 0.2 AS used FROM w",
+        "scene_pixel_totals": f"""WITH {VALID}, m AS (SELECT o_orderkey % 7 AS scene, o_orderkey % 211 AS "window", count(*) FILTER (o_orderkey % 3 = 0) AS n FROM orders GROUP BY ALL)
+ SELECT scene, count(*) AS windows, count(*) FILTER (share >= 0.2) AS valid, count(*) FILTER (share >= 0.2 AND coalesce(n, 0) > 0) AS with_masks, coalesce(sum(n) FILTER (share >= 0.2), 0)::BIGINT AS candidates FROM w LEFT JOIN m USING (scene, "window") GROUP BY scene""",
+        "window_bounds": f"WITH g AS ({_grid(True)}), b AS (SELECT *, 500000.0::DOUBLE + 5120 * scene + 10 * col AS xmin, 4400000.0::DOUBLE - 5120 * scene - 10 * row AS ymax FROM g) SELECT scene, row, col, xmin, ymax - 6400 AS ymin, xmin + 6400 AS xmax, ymax FROM b",
+        "tile_names": f"WITH g AS ({_grid(True)}) SELECT scene, row, col, printf('t%02d_scene-%d_r%05d_c%05d', scene % 100, scene, row, col) AS name FROM g",
+        "first_per_source": f"WITH {TILES} SELECT tile_id, source, row_number() OVER (PARTITION BY source ORDER BY tile_id) AS rank FROM tiles QUALIFY rank <= 5",
+        "qc_sample": f"WITH {SPLIT} SELECT split, tile_id AS image, row_number() OVER (PARTITION BY split ORDER BY md5(tile_id::VARCHAR || ':42'), tile_id) AS rank FROM rs WHERE is_negative = 0 QUALIFY rank <= CASE split WHEN 'train' THEN 20 ELSE 15 END",
+        "yield_stop": f"""WITH g AS ({_grid(False)}), h AS (SELECT *, (row + col) % 1024 = 0 AS has_mask FROM g),
+ b AS (SELECT *, coalesce(sum(has_mask::INTEGER) OVER (PARTITION BY scene ORDER BY row, col ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM h) SELECT scene, row, col, has_mask FROM b WHERE before < 5""",
+        "vertex_thinning": f"WITH {CANDS}, k AS (SELECT cand_id, cand_id % 40 + 3 AS n FROM cands) SELECT cand_id, least(n, 12)::INTEGER AS n, array_to_string(CASE WHEN n > 12 THEN list_transform(range(12), lambda i : i * (n - 1) // 11) ELSE range(n) END, ' ') AS points FROM k",
+        "shape_parts": f"""WITH {CANDS}, p AS (SELECT *, 0 AS part, 0.0::DOUBLE AS shift FROM cands WHERE cand_id % 7 <> 0 UNION ALL SELECT *, 1 AS part, 1000.0::DOUBLE AS shift FROM cands WHERE cand_id % 3 = 0)
+ SELECT cand_id AS shape_id, part, 4 AS n_points, area, xmin + shift + side / 2 AS cx, ymin + side / 2 AS cy FROM p""",
+        "conservation": f"WITH {SPLIT} SELECT count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val, count(*) AS n_rows, count(DISTINCT tile_id) AS n_tiles, (SELECT count(*) FROM orders) AS n_total, true AS whole FROM rs",
+        "paired_audit": """WITH i AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, doc_id AS a FROM documents), l AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'val' ELSE 'train' END AS split, doc_id AS b FROM labels),
+ n AS (SELECT split, count(a) AS images, count(b) AS labels, count(*) FILTER (a IS NOT NULL AND b IS NOT NULL) AS paired FROM i FULL JOIN l USING (doc_id, split) GROUP BY split) SELECT *, CASE WHEN images = paired AND labels = paired THEN 'PASS' ELSE 'FAIL' END AS verdict FROM n""",
+        "split_mode": f"""WITH {TILES}, s AS ({stats}), x AS (SELECT (SELECT count(*) FROM s a JOIN s b ON a.source < b.source WHERE {INTER} > 1) AS scene_pairs, (SELECT count(*) FROM tiles a JOIN tiles b ON a.tile_id < b.tile_id AND a.source <> b.source AND {MEET} WHERE {INTER} > 1) AS tile_pairs)
+ SELECT *, CASE WHEN scene_pairs > 0 OR tile_pairs > 0 THEN 'SPATIAL' ELSE 'BY_TIF' END AS mode FROM x""",
+        "set_bounds": f"WITH {TILES} SELECT min(xmin) AS xmin, min(ymin) AS ymin, max(xmax) AS xmax, max(ymax) AS ymax FROM tiles",
+        "layer_union": f"WITH {CANDS} SELECT CASE WHEN cand_id % 2 = 0 THEN 'first' ELSE 'second' END AS layer, cand_id, area, CASE WHEN cand_id % 2 = 1 THEN confidence END AS confidence FROM cands",
+        "threshold_report": f"""WITH {CANDS}, {THRESHOLDS}, d AS (SELECT threshold, count(*) AS n, min(area) AS lo, max(area) AS hi, median(confidence) AS m FROM cands JOIN th ON confidence >= threshold GROUP BY threshold),
+ l AS (SELECT threshold, 0 AS line_no, 'threshold=' || printf('%.2f', threshold) AS line FROM d UNION ALL SELECT threshold, 1, 'instances=' || n FROM d UNION ALL SELECT threshold, 2, printf('area min=%.2f max=%.2f', lo, hi) FROM d UNION ALL SELECT threshold, 3, 'median confidence=' || printf('%.5f', m) FROM d) SELECT * FROM l""",
+        "shared_tile_names": f"WITH {CUTS}, a AS (SELECT split, printf('tile_%02d', tile_id % 60) AS name FROM asg) SELECT name FROM a WHERE split = 'train' INTERSECT SELECT name FROM a WHERE split = 'val'",
+        "leak_examples": f"WITH {SPLIT} SELECT a.tile_id AS val, b.tile_id AS train, row_number() OVER (PARTITION BY a.tile_id ORDER BY b.tile_id) AS rank FROM rs a JOIN rs b ON a.split = 'val' AND b.split = 'train' AND {MEET.replace('<', '<=')} QUALIFY rank <= 5",
         "confidence_windows": f"WITH c AS (SELECT ts, ((7919 * event_id) % 10000)::DOUBLE / 10000 AS confidence FROM events) SELECT date_trunc('day', ts)::TIMESTAMP AS start, count(*) AS n, {_bins()} FROM c GROUP BY 1",
     }

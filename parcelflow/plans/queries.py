@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import tables as t
 from ..functions import geom
-from ..operators import detect, evaluate, greedy, infer, labels, polygons, raster, spatial, split
+from ..operators import detect, evaluate, greedy, infer, labels, polygons, raster, records, spatial, split
 from ..streaming import bins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -354,5 +354,142 @@ def confidence_windows(s: SparkSession, d: str) -> DataFrame:
     return bins.binned(e, width="1 day")
 
 
+def _shaped(s: SparkSession, d: str) -> DataFrame:
+    c = t.candidates(s, d).withColumn("perimeter", 4 * F.col("side"))
+    return c.withColumns({"compactness": geom.compactness(F.col("area"), F.col("perimeter")), "vertex_count": F.lit(4)})
+
+
+@_query
+def attribute_projection(s: SparkSession, d: str) -> DataFrame:
+    return records.attributes(_shaped(s, d)).withColumns({c: F.format_string("%.4f", c) for c in ("compactness", "circularity")})
+
+
+@_query
+def least_area(s: SparkSession, d: str) -> DataFrame:
+    small = t.candidates(s, d).withColumn("area", F.col("area") / 1000)
+    return small.agg(F.count_if(records.large_enough("v1")).alias("v1"), F.count_if(records.large_enough("v2")).alias("v2"))
+
+
+@_query
+def surrogate_ids(s: SparkSession, d: str) -> DataFrame:
+    return records.with_ids(t.candidates(s, d).select("cand_id", "confidence"), "confidence", "cand_id").select("id", "cand_id")
+
+
+@_query
+def utm_check(s: SparkSession, d: str) -> DataFrame:
+    return t.tiles(s, d).groupBy(records.plausible_utm().alias("plausible")).agg(F.count("*").alias("n"))
+
+
+@_query
+def valid_pixel_share(s: SparkSession, d: str) -> DataFrame:
+    return records.valid_share(t.window_pixels(s, d))
+
+
+@_query
+def scene_pixel_totals(s: SparkSession, d: str) -> DataFrame:
+    masks = t.load(s, d, "orders").groupBy((F.col("o_orderkey") % 7).alias("scene"), (F.col("o_orderkey") % 211).alias("window")).agg(F.count_if(F.col("o_orderkey") % 3 == 0).alias("n"))
+    return records.scene_totals(t.window_pixels(s, d), masks)
+
+
+@_query
+def window_bounds(s: SparkSession, d: str) -> DataFrame:
+    scenes = _scenes(s, d)
+    corners = scenes.select("scene", (500000.0 + 5120 * F.col("scene")).alias("x0"), (4400000.0 - 5120 * F.col("scene")).alias("y0"))
+    return records.window_bounds(raster.grid(scenes, clamped=True), corners)
+
+
+@_query
+def tile_names(s: SparkSession, d: str) -> DataFrame:
+    g = raster.grid(_scenes(s, d), clamped=True)
+    return g.select("scene", "row", "col", records.tile_name(F.col("scene") % 100, F.concat(F.lit("scene-"), "scene"), F.col("row"), F.col("col")).alias("name"))
+
+
+@_query
+def first_per_source(s: SparkSession, d: str) -> DataFrame:
+    return records.first_of(t.tiles(s, d).select("tile_id", "source"), "source", 5, "tile_id")
+
+
+@_query
+def qc_sample(s: SparkSession, d: str) -> DataFrame:
+    images = t.tiles(s, d).join(split.random_split(t.tiles(s, d)), "tile_id").select(F.col("tile_id").alias("image"), "split", (1 - F.col("is_negative")).alias("n_inst"))
+    return records.quality_sample(images)
+
+
+@_query
+def yield_stop(s: SparkSession, d: str) -> DataFrame:
+    windows = raster.grid(_scenes(s, d), clamped=False).withColumn("has_mask", (F.col("row") + F.col("col")) % 1024 == 0)
+    return records.until_yield(windows, 5)
+
+
+@_query
+def vertex_thinning(s: SparkSession, d: str) -> DataFrame:
+    ring = F.transform(F.sequence(F.lit(0), (F.col("cand_id") % 40).cast("int") + 2), lambda i: F.struct(i.cast("double").alias("x"), (i * i).cast("double").alias("y")))
+    thin = records.thinned(ring, 12)
+    return t.candidates(s, d).select("cand_id", F.size(thin).alias("n"), F.array_join(F.transform(thin, lambda p: p["x"].cast("int").cast("string")), " ").alias("points"))
+
+
+@_query
+def shape_parts(s: SparkSession, d: str) -> DataFrame:
+    """Shapes of one or two parts, closed, with a hole; every seventh part has too few points."""
+    c = t.candidates(s, d)
+    ring = lambda shift: F.transform(geom.box_ring(), lambda p: F.struct((p["x"] + shift).alias("x"), p["y"].alias("y")))
+    closed = lambda r: F.concat(r, F.slice(r, 1, 1))
+    one = F.array(F.when(F.col("cand_id") % 7 == 0, F.slice(ring(0), 1, 2)).otherwise(closed(ring(0))), F.slice(ring(1), 1, 3))
+    parts = F.when(F.col("cand_id") % 3 == 0, F.array(one, F.array(closed(ring(1000))))).otherwise(F.array(one))
+    return records.polygon_parts(c.select(F.col("cand_id").alias("shape_id"), parts.alias("parts")))
+
+
+@_query
+def conservation(s: SparkSession, d: str) -> DataFrame:
+    return records.conservation(split.random_split(t.tiles(s, d)), t.tiles(s, d))
+
+
+@_query
+def paired_audit(s: SparkSession, d: str) -> DataFrame:
+    listing = lambda name: t.load(s, d, name).select(F.col("doc_id").alias("key"), F.when(F.col("doc_id") % 5 == 0, "val").otherwise("train").alias("split"))
+    return records.paired_audit(listing("documents"), listing("labels"))
+
+
+@_query
+def split_mode(s: SparkSession, d: str) -> DataFrame:
+    tiles = t.tiles(s, d)
+    return records.split_mode(split.scene_overlaps(tiles), cross_source_overlap(s, d))
+
+
+@_query
+def set_bounds(s: SparkSession, d: str) -> DataFrame:
+    return t.tiles(s, d).agg(*(f(c).alias(c) for c, f in (("xmin", F.min), ("ymin", F.min), ("xmax", F.max), ("ymax", F.max))))
+
+
+@_query
+def layer_union(s: SparkSession, d: str) -> DataFrame:
+    a, b = _sides(s, d)
+    return records.layers({"first": a.select("cand_id", "area"), "second": b.select("cand_id", "area", "confidence")}).select("layer", "cand_id", "area", "confidence")
+
+
+@_query
+def threshold_report(s: SparkSession, d: str) -> DataFrame:
+    return records.report_lines(detect.distribution(evaluate.thresholds(t.candidates(s, d)), "threshold"))
+
+
+@_query
+def shared_tile_names(s: SparkSession, d: str) -> DataFrame:
+    """Names that two splits hold: tiles number 0 to 59 of each source, so names repeat between sources."""
+    a = _assigned(s, d).select("split", F.format_string("tile_%02d", (F.col("tile_id") % 60).cast("int")).alias("name"))
+    one, two = (a.where(F.col("split") == x).select("name") for x in ("train", "val"))
+    return one.intersect(two)
+
+
+@_query
+def leak_examples(s: SparkSession, d: str) -> DataFrame:
+    """The first five train tiles that each val tile meets."""
+    tiles = t.tiles(s, d)
+    assigned = tiles.join(split.random_split(tiles), "tile_id")
+    cols = ["tile_id", "xmin", "ymin", "xmax", "ymax"]
+    val, train = (assigned.where(F.col("split") == x).select(cols) for x in ("val", "train"))
+    pairs = spatial.box_join(val, train, t.TILE, closed=True)
+    return records.first_of(pairs.select(F.col("a_tile_id").alias("val"), F.col("b_tile_id").alias("train")), "val", 5, "train")
+
+
 def queries() -> dict[str, Query]:
     return dict(_ALL)

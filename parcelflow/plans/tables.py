@@ -40,6 +40,13 @@ def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.where("l_discount > 0").select(F.col("l_returnflag").alias("scene"), F.col("l_linenumber").alias("band"), F.col("l_extendedprice").alias("value"))
 
 
+def window_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(scene, window, pixel, band, value) from lineitem; a value is masked where there is no discount."""
+    k = F.col("l_orderkey")
+    rows = load(spark, sf_dir, "lineitem")
+    return rows.select((k % 7).alias("scene"), (k % 211).alias("window"), F.floor(k / 211).alias("pixel"), F.col("l_linenumber").alias("band"), F.when(F.col("l_discount") > 0.01, F.col("l_extendedprice")).alias("value"))
+
+
 def label_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(file, line_no, text) from events; event_id % 9 says which fault the line has."""
     digits = lambda n: F.concat(F.lit("0."), F.lpad((F.col("event_id") * n % 80).cast("string"), 2, "0"))
