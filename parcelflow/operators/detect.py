@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .greedy import greedy_dropped
+from .polygons import polygon_iou, polygon_overlap
 from .spatial import box_join
-from ..functions.geom import box_iou, overlap_area
+from ..functions.geom import box_iou, box_ring, overlap_area
 from ..plans.storage import cut
 
 #: Fixed values of the filters: areas in square metres, compactness, share of a polygon that must be visible.
@@ -15,10 +16,11 @@ MIN_AREA, MAX_AREA, MIN_COMPACT, VISIBLE = 10000.0, 600000.0, 0.35, 0.70
 CELL = 400.0
 
 
-def tile_polygons(tiles: DataFrame, boxes: DataFrame, cell: float = 6400.0) -> DataFrame:
-    """Pairs of tiles and boxes that share area, with the share of the box that is inside."""
-    pairs = box_join(tiles.select("tile_id", "xmin", "ymin", "xmax", "ymax"), boxes.select("cand_id", "area", "xmin", "ymin", "xmax", "ymax"), cell)
-    return pairs.select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), overlap_area().alias("inter"), (overlap_area() / F.col("b_area")).alias("visible"))
+def tile_polygons(tiles: DataFrame, boxes: DataFrame, cell: float = 6400.0, ring: str | None = None) -> DataFrame:
+    """Pairs of tiles and boxes that share area, with the share of the box that is inside; `ring` names the polygons in the boxes."""
+    pairs = box_join(tiles.select("tile_id", "xmin", "ymin", "xmax", "ymax"), boxes.select("cand_id", "area", "xmin", "ymin", "xmax", "ymax", *filter(None, [ring])), cell)
+    pairs = pairs.withColumn("inter", polygon_overlap(box_ring("a_"), F.col(f"b_{ring}")) if ring else overlap_area()).where(F.col("inter") > 0)
+    return pairs.select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), "inter", (F.col("inter") / F.col("b_area")).alias("visible"))
 
 
 def tile_decisions(tiles: DataFrame, joined: DataFrame, min_pixels: float = 4.0, keep: float = 0.10, res: float = 10.0) -> DataFrame:
@@ -43,13 +45,14 @@ def quality_reason(least: float, area: str = "area", compact: str = "compact") -
     return F.when(F.col("confidence") < least, "low_conf").when(F.col(area) < MIN_AREA, "too_small").when(F.col(area) > MAX_AREA, "too_large").when(F.col(compact) < MIN_COMPACT, "low_compactness")
 
 
-def conflicts(cands: DataFrame, iou: float = 0.70, edge_iou: float | None = 0.50, scope: list[str] = [], strict: bool = False) -> DataFrame:  # noqa: B006
+def conflicts(cands: DataFrame, iou: float = 0.70, edge_iou: float | None = 0.50, scope: list[str] = [], strict: bool = False, ring: str | None = None) -> DataFrame:  # noqa: B006
     """(late, early, kind, iou): candidates that an earlier one may drop.
 
     Rank: off-edge before edge, then confidence and area down, then cand_id; with edge_iou None by
     confidence alone.  `scope` names columns within which conflicts arise, none for the whole table.
+    `ring` names the polygons in the boxes; their IoU is rounded to nine places, so that ties don't hang on arithmetic.
     """
-    use = cands.select("cand_id", "is_edge", "confidence", "area", "xmin", "ymin", "xmax", "ymax", *scope)
+    use = cands.select("cand_id", "is_edge", "confidence", "area", "xmin", "ymin", "xmax", "ymax", *scope, *filter(None, [ring]))
     parts = ["is_edge", "-confidence", "-area", "cand_id"] if edge_iou is not None else ["-confidence", "cand_id"]
     part = lambda p, c: -F.col(p + c[1:]) if c[0] == "-" else F.col(p + c)
     key = lambda p: F.struct(*(part(p, c) for c in parts))
@@ -57,7 +60,7 @@ def conflicts(cands: DataFrame, iou: float = 0.70, edge_iou: float | None = 0.50
     earlier = F.lit(False)
     for c in reversed(parts):
         earlier = (part("b_", c) < part("a_", c)) | ((part("b_", c) == part("a_", c)) & earlier)
-    pairs = box_join(use, use, CELL, earlier, equal=scope).withColumn("iou", box_iou())
+    pairs = box_join(use, use, CELL, earlier, equal=scope).withColumn("iou", F.round(polygon_iou(F.col(f"a_{ring}"), F.col(f"b_{ring}")), 9) if ring else box_iou())
     hit = F.col("iou") > iou if strict else F.col("iou") >= iou
     kind = F.when(hit, "nms_dropped")
     if edge_iou is not None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .greedy import greedy_dropped
+from .polygons import polygon_iou
 from .spatial import box_join
 from ..functions.geom import box_iou
 from ..plans.storage import cut
@@ -35,10 +36,10 @@ def per_image(images: DataFrame, cands: DataFrame) -> DataFrame:
     return rows.groupBy("threshold").agg(F.avg("c").alias("mean"), F.median("c").alias("median"), F.max("c").alias("most"))
 
 
-def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5) -> DataFrame:
-    """(image, p, g, iou) of an image's boxes that overlap enough."""
-    cols = ["cand_id", "image", "xmin", "ymin", "xmax", "ymax"]
-    pairs = box_join(pred.select(cols), gt.select(cols), 400.0, equal=["image"]).withColumn("iou", box_iou())
+def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | None = None) -> DataFrame:
+    """(image, p, g, iou) of an image's boxes, or of the polygons that `ring` names, that overlap enough."""
+    cols = ["cand_id", "image", "xmin", "ymin", "xmax", "ymax", *filter(None, [ring])]
+    pairs = box_join(pred.select(cols), gt.select(cols), 400.0, equal=["image"]).withColumn("iou", F.round(polygon_iou(F.col(f"a_{ring}"), F.col(f"b_{ring}")), 9) if ring else box_iou())
     return pairs.where(F.col("iou") >= least).select(F.col("a_image").alias("image"), F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), "iou")
 
 

@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame
 SCHEMA = "scene string, row int, col int, confidence double, xmin double, ymin double, xmax double, ymax double"
 
 
+def checked_task(description: dict, task: str = "segment") -> dict:
+    """A model's description; one that does another task is an error."""
+    if description.get("task") != task:
+        raise ValueError(f"the model does {description.get('task')!r}, not {task!r}")
+    return description
+
+
 def detect(windows: DataFrame, load_model: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], batch: int = 8) -> DataFrame:
     """Runs a model over windows; it is loaded once a task and gets `batch` windows at a time."""
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import polygons
+from .spatial import box_join
+from ..functions import geom
+
 NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|nan|NaN|inf|infinity)$"
 
 
@@ -65,6 +69,21 @@ def qc_record(lines: DataFrame) -> DataFrame:
     return out.select("file", *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_inst", "n_rect4", "n_8p", "oob", "bad_lines")))
 
 
+def shape_record(lines: DataFrame, size: float = 640.0) -> DataFrame:
+    """One row a file with instances: how many touch the border, pairs of equal ones, mean circularity, how many are far
+    from a circle, mean short over long side.  Instances with a value that is no finite number have no shape and don't count."""
+    rows = instances(lines).where(F.forall("points", lambda p: ~F.isnan(p["x"]) & ~F.isnan(p["y"]) & (F.abs(p["x"]) != float("inf")) & (F.abs(p["y"]) != float("inf"))))
+    rows = rows.select("file", "line_no", F.transform("points", lambda p: F.struct((p["x"] * size).alias("x"), (p["y"] * size).alias("y"))).alias("ring"))
+    axis = lambda c: F.transform("ring", lambda p: p[c])
+    rows = rows.withColumns({c + k: f(axis(c)) for c in "xy" for k, f in (("min", F.array_min), ("max", F.array_max))})
+    a, p = geom.ring_area(F.col("ring")), geom.ring_perimeter(F.col("ring"))
+    each = rows.withColumns({"border": geom.near_edge(3, True, size), "circ": geom.compactness(a, p), "aniso": polygons.aspect(F.col("ring"))})
+    per = each.groupBy("file").agg(F.count_if("border").alias("n_border"), F.avg("circ").alias("mean_circ"), F.count_if(F.col("circ") < 0.60).alias("n_low_circ"), F.avg("aniso").alias("mean_aniso"))
+    pairs = box_join(rows, rows, 64.0, F.col("a_line_no") < F.col("b_line_no"), equal=["file"])
+    same = pairs.where(polygons.polygon_iou(F.col("a_ring"), F.col("b_ring")) > 0.9).groupBy(F.col("a_file").alias("file")).agg(F.count("*").alias("n_dup"))
+    return per.join(same, "file", "left").select("file", "n_border", F.coalesce("n_dup", F.lit(0)).alias("n_dup"), "mean_circ", "n_low_circ", "mean_aniso")
+
+
 def vertex_stats(lines: DataFrame) -> DataFrame:
     n = F.col("n_points")
     return instances(lines).agg(F.count("*").alias("n"), F.min(n).alias("least"), F.max(n).alias("most"), F.avg(n).alias("mean"), F.median(n).alias("median"), F.avg((n == 4).cast("double")).alias("share4"), F.avg((n >= 8).cast("double")).alias("share8"))

@@ -1,97 +1,187 @@
-"""Geometry that SQL cannot express, over Arrow batches: areas shared by polygons, rotated rectangles, cleaning."""
+"""Geometry that SQL cannot express, over Arrow batches: areas shared by polygons, rotated rectangles, cleaning.
+
+Rings of a batch are padded matrices (rows, points, 2) with a count each, in blocks of ROWS, and every step works
+on all rows of a block at once.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 _RING = ArrayType(StructType().add("x", DoubleType()).add("y", DoubleType()))
+#: Rows of a block, and pairs of triangles clipped at once.
+ROWS, PAIRS = 256, 16384
+
+
+def _next(count: np.ndarray, width: int) -> np.ndarray:
+    at = np.arange(width)
+    return np.where(at + 1 < count[:, None], at + 1, 0)
+
+
+def _take(m: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.take_along_axis(m, at[:, :, None] if m.ndim == 3 else at, 1)
+
+
+def _compact(points: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The kept points of each row, moved to its front."""
+    count = keep.sum(1)
+    order = np.argsort(~keep, axis=1, kind="stable")[:, : max(1, int(count.max(initial=0)))]
+    return _take(points, order), count
+
+
+def _signed(points: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Shoelace areas, positive for counter-clockwise rings; taken from the first point, so large coordinates lose nothing."""
+    p = points - points[:, :1]
+    q = _take(p, _next(count, p.shape[1]))
+    cross = p[:, :, 0] * q[:, :, 1] - q[:, :, 0] * p[:, :, 1]
+    return np.where(np.arange(p.shape[1]) < count[:, None], cross, 0.0).sum(1) / 2
+
+
+def _turned(points: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Clockwise rings reversed."""
+    at = np.arange(points.shape[1])
+    back = np.where(at < count[:, None], count[:, None] - 1 - at, at)
+    return np.where((_signed(points, count) < 0)[:, None, None], _take(points, back), points)
+
+
+def _convex(points: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Which simple rings turn one way only."""
+    q = _take(points, _next(count, points.shape[1]))
+    e = q - points
+    f = _take(e, _next(count, points.shape[1]))
+    cross = np.where(np.arange(points.shape[1]) < count[:, None], e[:, :, 0] * f[:, :, 1] - e[:, :, 1] * f[:, :, 0], 0.0)
+    return (cross >= 0).all(1) | (cross <= 0).all(1)
+
+
+def _shared(p: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Areas that convex rings share, row by row: p is cut along each side of q, both counter-clockwise."""
+    for j in range(q.shape[1]):
+        a = q[:, j]
+        b = np.where((j < m)[:, None], q[np.arange(len(q)), _next(m, q.shape[1])[:, j]], a)  # no side: nothing is cut
+        d = b - a
+        side = d[:, :1] * (p[:, :, 1] - a[:, 1:]) - d[:, 1:] * (p[:, :, 0] - a[:, :1])
+        after = _next(n, p.shape[1])
+        other = _take(side, after)
+        real = np.arange(p.shape[1]) < n[:, None]
+        cross = real & (side * other < 0)
+        part = np.where(cross, side / np.where(cross, side - other, 1.0), 0.0)
+        met = p + (_take(p, after) - p) * part[:, :, None]
+        both = np.stack([p, met], 2).reshape(len(p), -1, 2)
+        p, n = _compact(both, np.stack([real & (side >= 0), cross], 2).reshape(len(p), -1))
+    return np.abs(_signed(p, n))
+
+
+def _fans(p: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Areas that simple rings share: signed triangle fans, clipped pair by pair in blocks of PAIRS."""
+    a, b = np.maximum(n - 2, 0), np.maximum(m - 2, 0)
+    ends = np.cumsum(a * b)
+    total = np.zeros(len(p))
+    three = np.array([3])
+    for start in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):
+        k = np.arange(start, min(start + PAIRS, int(ends[-1])))
+        row = np.searchsorted(ends, k, "right")
+        local = k - (ends[row] - (a * b)[row])
+        i, j = local // b[row] + 1, local % b[row] + 1
+        s = np.stack([p[row, 0], p[row, i], p[row, i + 1]], 1)
+        t = np.stack([q[row, 0], q[row, j], q[row, j + 1]], 1)
+        c = np.repeat(three, len(k))
+        sign = np.sign(_signed(s, c)) * np.sign(_signed(t, c))
+        ok = sign != 0
+        area = _shared(_turned(s[ok], c[ok]), c[ok], _turned(t[ok], c[ok]), c[ok])
+        np.add.at(total, row[ok], sign[ok] * area)
+    return np.abs(total)
+
+
+def shared_areas(p: np.ndarray, n: np.ndarray, q: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Areas that simple rings share, row by row; convex rings are clipped whole, others as fans."""
+    out = np.zeros(len(p))
+    whole = (n > 2) & (m > 2)
+    plain = whole & _convex(p, n) & _convex(q, m)
+    if plain.any():
+        out[plain] = _shared(_turned(p[plain], n[plain]), n[plain], _turned(q[plain], m[plain]), m[plain])
+    rest = whole & ~plain
+    if rest.any():
+        out[rest] = _fans(p[rest], n[rest], q[rest], m[rest])
+    return out
 
 
-def _area(p: np.ndarray) -> float:
-    q = np.roll(p, -1, 0)
-    return float((p[:, 0] * q[:, 1] - q[:, 0] * p[:, 1]).sum()) / 2
+def intersection_area(p: np.ndarray, q: np.ndarray) -> float:
+    """Area shared by two simple polygons, convex or not."""
+    return float(shared_areas(p[None], np.array([len(p)]), q[None], np.array([len(q)]))[0])
 
 
-def _clip(poly: np.ndarray, tri: np.ndarray) -> np.ndarray:
-    """A convex polygon cut to a counter-clockwise triangle."""
-    for a, b in zip(tri, np.roll(tri, -1, 0), strict=True):
-        if not len(poly):
-            break
-        side = (b[0] - a[0]) * (poly[:, 1] - a[1]) - (b[1] - a[1]) * (poly[:, 0] - a[0])
-        out = []
-        for i in range(len(poly)):
-            j = (i + 1) % len(poly)
-            if side[i] >= 0:
-                out.append(poly[i])
-            if side[i] * side[j] < 0:
-                out.append(poly[i] + (poly[j] - poly[i]) * side[i] / (side[i] - side[j]))
-        poly = np.array(out).reshape(-1, 2)
-    return poly
+def _blocks(rings: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Padded points and counts of an Arrow array of rings, ROWS at a time; a null ring has no points."""
+    for at in range(0, len(rings), ROWS):
+        part = rings.slice(at, ROWS)
+        flat = part.flatten()
+        xy = np.stack([flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], 1).astype(float).reshape(-1, 2)
+        count = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        inside = np.arange(max(1, int(count.max(initial=0)))) < count[:, None]
+        points = np.zeros((*inside.shape, 2))
+        points[inside] = xy
+        yield points, count
 
 
-def intersection_area(p: np.ndarray, q: np.ndarray) -> float:
-    """Area shared by two simple polygons, convex or not: signed triangle fans, clipped pair by pair."""
-    total = 0.0
-    for i in range(1, len(p) - 1):
-        s = np.array([p[0], p[i], p[i + 1]])
-        for j in range(1, len(q) - 1):
-            t = np.array([q[0], q[j], q[j + 1]])
-            a, b = _area(s), _area(t)
-            if a and b:
-                cut = _clip(s if a > 0 else s[::-1], t if b > 0 else t[::-1])
-                if len(cut) > 2:
-                    total += np.sign(a) * np.sign(b) * abs(_area(cut))
-    return abs(total)
-
-
-def _ring(points) -> np.ndarray:  # noqa: ANN001
-    return np.array([(p["x"], p["y"]) for p in points], float).reshape(-1, 2)
-
-
-@F.pandas_udf(DoubleType())
-def polygon_iou(a: pd.Series, b: pd.Series) -> pd.Series:
+def _rings(blocks: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    counts = np.concatenate([c for _, c in blocks]) if blocks else np.zeros(0, np.int64)
+    xy = np.concatenate([p[np.arange(p.shape[1]) < c[:, None]] for p, c in blocks]) if blocks else np.zeros((0, 2))
+    points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), points)
+
+
+@F.arrow_udf(DoubleType())
+def polygon_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Area that two rings share; zero where one is null or has fewer than three points."""
+    return pa.array(np.concatenate([np.zeros(0), *(shared_areas(p, n, q, m) for (p, n), (q, m) in zip(_blocks(a), _blocks(b), strict=True))]))
+
+
+@F.arrow_udf(DoubleType())
+def polygon_iou(a: pa.Array, b: pa.Array) -> pa.Array:
     """Intersection over union of two rings; zero for a union of nothing."""
-    out = []
-    for p, q in zip(a, b, strict=True):
-        p, q = _ring(p), _ring(q)
-        inter = intersection_area(p, q) if len(p) > 2 and len(q) > 2 else 0.0
-        union = abs(_area(p)) + abs(_area(q)) - inter
-        out.append(inter / union if union > 1e-12 else 0.0)
-    return pd.Series(out)
+    out = [np.zeros(0)]
+    for (p, n), (q, m) in zip(_blocks(a), _blocks(b), strict=True):
+        inter = shared_areas(p, n, q, m)
+        union = np.abs(_signed(p, n)) + np.abs(_signed(q, m)) - inter
+        out.append(np.where(union > 1e-12, inter / np.where(union > 1e-12, union, 1.0), 0.0))
+    return pa.array(np.concatenate(out))
 
 
-@F.pandas_udf(_RING)
-def cleaned(rings: pd.Series) -> pd.Series:
-    """Rings without repeated and collinear points."""
+@F.arrow_udf(_RING)
+def cleaned(rings: pa.Array) -> pa.Array:
+    """Rings without repeated and collinear points; a null ring becomes an empty one."""
     out = []
-    for points in rings:
-        p = _ring(points)
-        if len(p):
-            p = p[np.abs(p - np.roll(p, 1, 0)).max(1) > 1e-9] if len(p) > 1 else p
-            a, b = p - np.roll(p, 1, 0), np.roll(p, -1, 0) - p
-            p = p[np.abs(a[:, 0] * b[:, 1] - a[:, 1] * b[:, 0]) > 1e-9]
-        out.append([{"x": x, "y": y} for x, y in p])
-    return pd.Series(out)
-
-
-@F.pandas_udf(DoubleType())
-def aspect(rings: pd.Series) -> pd.Series:
+    for p, n in _blocks(rings):
+        before = lambda p, n: _take(p, np.where(np.arange(p.shape[1]) > 0, np.arange(p.shape[1]) - 1, np.maximum(n - 1, 0)[:, None]))
+        real = np.arange(p.shape[1]) < n[:, None]
+        p, n = _compact(p, real & ((np.abs(p - before(p, n)).max(2) > 1e-9) | (n == 1)[:, None]))
+        a, b = p - before(p, n), _take(p, _next(n, p.shape[1])) - p
+        turn = np.abs(a[:, :, 0] * b[:, :, 1] - a[:, :, 1] * b[:, :, 0]) > 1e-9
+        out.append(_compact(p, (np.arange(p.shape[1]) < n[:, None]) & turn))
+    return _rings(out)
+
+
+@F.arrow_udf(DoubleType())
+def aspect(rings: pa.Array) -> pa.Array:
     """Short over long side of the smallest rotated rectangle around a ring; null where there is none."""
-    out = []
-    for points in rings:
-        p = _ring(points)
-        best = None
-        for d in np.roll(p, -1, 0) - p:
-            n = np.hypot(*d)
-            if n == 0:
-                continue
-            u = d / n
-            along, across = p @ u, p @ np.array([-u[1], u[0]])
-            w, h = np.ptp(along), np.ptp(across)
-            if best is None or w * h < best[0]:
-                best = (w * h, min(w, h) / max(w, h))
-        out.append(best[1] if best else None)
-    return pd.Series(out, dtype=float)
+    out = [np.zeros(0)]
+    for p, n in _blocks(rings):
+        real = np.arange(p.shape[1]) < n[:, None]
+        d = _take(p, _next(n, p.shape[1])) - p
+        length = np.where(real, np.hypot(d[:, :, 0], d[:, :, 1]), 0.0)
+        best, ratio = np.full(len(p), np.inf), np.full(len(p), np.nan)
+        for j in range(p.shape[1]):
+            ok = length[:, j] > 0
+            u = d[:, j] / np.where(ok, length[:, j], 1.0)[:, None]
+            span = lambda v: np.where(real, v, -np.inf).max(1) - np.where(real, v, np.inf).min(1)  # noqa: B023, E731
+            w, h = span(p[:, :, 0] * u[:, :1] + p[:, :, 1] * u[:, 1:]), span(p[:, :, 1] * u[:, :1] - p[:, :, 0] * u[:, 1:])
+            better = ok & (w * h < best)
+            best[better], ratio[better] = (w * h)[better], (np.minimum(w, h) / np.maximum(w, h))[better]
+        out.append(ratio)
+    all_ = np.concatenate(out)
+    return pa.array(all_, mask=np.isnan(all_))

@@ -33,6 +33,28 @@ par AS (SELECT scene, band, lo + a * (hi - lo) / 2048 AS p_lo, lo + b * (hi - lo
 VALID = """px AS (SELECT l_orderkey % 7 AS scene, l_orderkey % 211 AS "window", l_orderkey // 211 AS pixel, bool_and(l_discount > 0.01) AS valid FROM lineitem GROUP BY ALL), w AS (SELECT scene, "window", avg(valid::INTEGER) AS share FROM px GROUP BY ALL)"""
 
 
+def _utm() -> str:
+    """Boxes of degrees in metres of the zone around 105 degrees, sides in 22 steps; hyperbolic functions by ln and exp."""
+    n = 1 / 298.257223563 / (2 - 1 / 298.257223563)
+    radius, e = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64), 2 * n**0.5 / (1 + n)
+    x, y = "eta", "xi"
+    for j, a in enumerate((n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240), 1):
+        x += f" + {a!r}::DOUBLE * cos({2 * j} * xi) * (exp({2 * j} * eta) - exp(-{2 * j} * eta)) / 2"
+        y += f" + {a!r}::DOUBLE * sin({2 * j} * xi) * (exp({2 * j} * eta) + exp(-{2 * j} * eta)) / 2"
+    return f"""WITH b AS (SELECT s_suppkey AS scene, 104.0::DOUBLE + (s_suppkey % 100) / 50.0::DOUBLE AS west, 36.0::DOUBLE + (s_suppkey % 70) / 35.0::DOUBLE AS south FROM supplier),
+f AS (SELECT unnest(range(23)) / 22.0::DOUBLE AS f),
+pts AS (SELECT scene, west + 0.5 * f AS lon, south AS lat FROM b, f UNION ALL SELECT scene, west + 0.5 * f, south + 0.25 FROM b, f UNION ALL SELECT scene, west, south + 0.25 * f FROM b, f UNION ALL SELECT scene, west + 0.5, south + 0.25 * f FROM b, f),
+s AS (SELECT scene, radians(lon - 105) AS d, sin(radians(lat)) AS s FROM pts),
+q AS (SELECT scene, d, 0.5 * ln((1 + s) / (1 - s)) - {e!r}::DOUBLE * 0.5 * ln((1 + {e!r}::DOUBLE * s) / (1 - {e!r}::DOUBLE * s)) AS z FROM s),
+t AS (SELECT scene, d, (exp(z) - exp(-z)) / 2 AS t FROM q),
+k AS (SELECT scene, atan2(t, cos(d)) AS xi, 0.5 * ln((1 + sin(d) / sqrt(1 + t * t)) / (1 - sin(d) / sqrt(1 + t * t))) AS eta FROM t),
+m AS (SELECT scene, 500000 + 0.9996 * {radius!r}::DOUBLE * ({x}) AS x, 0.9996 * {radius!r}::DOUBLE * ({y}) AS y FROM k)
+SELECT scene, round(min(x), 3) AS xmin, round(min(y), 3) AS ymin, round(max(x), 3) AS xmax, round(max(y), 3) AS ymax FROM m GROUP BY scene"""
+
+
+UTM = _utm()
+
+
 def _digits(n: int) -> str:
     return f"('0.' || lpad((event_id * {n} % 80)::VARCHAR, 2, '0'))"
 
@@ -50,6 +72,19 @@ p AS (SELECT *, len(list_filter(v, lambda x : x IS NULL)) = 0 AS num, len(list_f
 OK_QC = "n >= 6 AND n % 2 = 0 AND num"
 
 
+
+
+def _reach(axis: str) -> str:
+    """Length that two diamonds share along an axis, given by the boxes' centres along it."""
+    a, b = axis.replace("$", "a"), axis.replace("$", "b")
+    return f"greatest(least({a} + a.side / 2, {b} + b.side / 2) - greatest({a} - a.side / 2, {b} - b.side / 2), 0)"
+
+
+_DU, _DV = _reach("($.xmin + $.ymin + $.side)"), _reach("($.xmin - $.ymin)")
+#: IoU of the diamonds in two boxes: boxes in x + y and x - y, twice as large.
+DIAMOND = f"round(({_DU} * {_DV} / 2) / (a.side * a.side / 2 + b.side * b.side / 2 - {_DU} * {_DV} / 2), 9)"
+
+
 def _greedy(pairs: str, with_: str) -> str:
     """Kept items by a scan in rank order; `pairs` gives (late, early) ranks, kept ranks end in kept(r)."""
     return f"""{with_}, pairs AS ({pairs}),
@@ -196,5 +231,14 @@ def oracle_sql() -> dict[str, str]:
  l AS (SELECT threshold, 0 AS line_no, 'threshold=' || printf('%.2f', threshold) AS line FROM d UNION ALL SELECT threshold, 1, 'instances=' || n FROM d UNION ALL SELECT threshold, 2, printf('area min=%.2f max=%.2f', lo, hi) FROM d UNION ALL SELECT threshold, 3, 'median confidence=' || printf('%.5f', m) FROM d) SELECT * FROM l""",
         "shared_tile_names": f"WITH {CUTS}, a AS (SELECT split, printf('tile_%02d', tile_id % 60) AS name FROM asg) SELECT name FROM a WHERE split = 'train' INTERSECT SELECT name FROM a WHERE split = 'val'",
         "leak_examples": f"WITH {SPLIT} SELECT a.tile_id AS val, b.tile_id AS train, row_number() OVER (PARTITION BY a.tile_id ORDER BY b.tile_id) AS rank FROM rs a JOIN rs b ON a.split = 'val' AND b.split = 'train' AND {MEET.replace('<', '<=')} QUALIFY rank <= 5",
+        "nms_polygons": _nms(f"{DIAMOND} >= 0.7", f"(a.is_edge = 1 AND b.is_edge = 0 AND {DIAMOND} >= 0.5)", _V3[0]) + " SELECT cand_id, status FROM res",
+        "greedy_match_polygons": _matched(0).replace(IOU, DIAMOND) + " SELECT image, p, g FROM r WHERE r NOT IN (SELECT r FROM gone)",
+        "mask_candidates": f"""WITH {CANDS} SELECT cand_id % 7 AS scene, 512 * (cand_id % 5) AS window_row, 512 * (cand_id % 3) AS window_col, cand_id AS k, CASE WHEN cand_id % 4 <> 0 THEN round(confidence, 4) ELSE 0.0::DOUBLE END AS confidence, area AS area_m2, 4 * side AS perimeter,
+ 0.7854::DOUBLE AS compactness, 0.7854::DOUBLE AS circularity, 4 AS vertex_count, CASE WHEN xmin % 600 < 10 OR ymin % 600 < 10 OR xmin % 600 + side / 10 > 630 OR ymin % 600 + side / 10 > 630 THEN 1 ELSE 0 END AS is_edge FROM cands WHERE cand_id % 5 <> 0""",
+        "window_outcomes": f"""WITH {CANDS}, w AS (SELECT cand_id % 7 AS scene, cand_id % 5 AS r, cand_id % 3 AS c, count(*) FILTER (cand_id % 5 <> 0) AS n FROM cands GROUP BY ALL)
+ SELECT scene, count(*) FILTER (n > 0) AS with_masks, count(*) FILTER (n = 0) AS no_mask, sum(n)::BIGINT AS candidates FROM w GROUP BY scene""",
+        "scene_bounds_utm": UTM,
+        "shapefile_roundtrip": f"WITH {CANDS} SELECT source::VARCHAR AS layer, count(*) AS n, 4 * count(*) AS points, sum(area / 2) AS area FROM cands GROUP BY source",
+        "png_roundtrip": "SELECT o_orderkey::VARCHAR AS name, 4 AS height, 4 AS width, 3 AS channels, md5(array_to_string(list_transform(range(48), lambda i : printf('%02X', (o_orderkey * 7 + i * 13) % 256)), '')) AS digest FROM orders",
         "confidence_windows": f"WITH c AS (SELECT ts, ((7919 * event_id) % 10000)::DOUBLE / 10000 AS confidence FROM events) SELECT date_trunc('day', ts)::TIMESTAMP AS start, count(*) AS n, {_bins()} FROM c GROUP BY 1",
     }

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tables as t
-from ..functions import geom
-from ..operators import detect, evaluate, greedy, infer, labels, polygons, raster, records, spatial, split
+from ..functions import geom, projection
+from ..operators import detect, evaluate, greedy, infer, labels, masks, polygons, raster, records, spatial, split
+from ..sources import png, shapes
 from ..streaming import bins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,5 +492,84 @@ def leak_examples(s: SparkSession, d: str) -> DataFrame:
     return records.first_of(pairs.select(F.col("a_tile_id").alias("val"), F.col("b_tile_id").alias("train")), "val", 5, "train")
 
 
+def _diamonds(s: SparkSession, d: str) -> DataFrame:
+    """Candidates as the diamonds in their boxes, whose shared areas are boxes once turned by 45 degrees."""
+    c, r = t.candidates(s, d), F.col("side") / 2
+    x, y = F.col("xmin") + r, F.col("ymin") + r
+    at = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    return c.withColumns({"ring": F.array(at(x + r, y), at(x, y + r), at(x - r, y), at(x, y - r)), "area": F.col("area") / 2})
+
+
+@_query
+def nms_polygons(s: SparkSession, d: str) -> DataFrame:
+    return detect.suppressed(_diamonds(s, d), ring="ring").select("cand_id", "status")
+
+
+@_query
+def greedy_match_polygons(s: SparkSession, d: str) -> DataFrame:
+    c = _diamonds(s, d)
+    return evaluate.greedy_matches(evaluate.iou_pairs(c.where("cand_id % 2 = 0"), c.where("cand_id % 2 = 1"), 0.1, ring="ring")).select("image", "p", "g")
+
+
+@_query
+def tile_polygon_exact(s: SparkSession, d: str) -> DataFrame:
+    return detect.tile_polygons(t.tiles(s, d), _diamonds(s, d), ring="ring").withColumns({c: F.round(c, 6) for c in ("inter", "visible")})
+
+
+@_query
+def label_shape_record(s: SparkSession, d: str) -> DataFrame:
+    return labels.shape_record(t.label_lines(s, d)).withColumns({c: F.round(c, 9) for c in ("mean_circ", "mean_aniso")})
+
+
+def _outlines(s: SparkSession, d: str) -> DataFrame:
+    """Outlines of windows: every fifth has two points, every fifth is closed, every fourth has no confidence."""
+    k, at = F.col("cand_id"), lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    x, y, w = F.col("xmin") % 600, F.col("ymin") % 600, F.col("side") / 10
+    ring = F.array(at(x, y), at(x + w, y), at(x + w, y + w), at(x, y + w))
+    ring = F.when(k % 5 == 0, F.slice(ring, 1, 2)).when(k % 5 == 1, F.concat(ring, F.slice(ring, 1, 1))).otherwise(ring)
+    scene = k % 7
+    return t.candidates(s, d).select(
+        scene.alias("scene"), (512 * (k % 5)).alias("row"), (512 * (k % 3)).alias("col"), k.alias("k"), ring.alias("ring"), F.when(k % 4 != 0, F.col("confidence")).alias("confidence"),
+        (500000.0 + 5120 * scene).alias("x0"), (4400000.0 - 5120 * scene).alias("y0"),
+    )
+
+
+@_query
+def mask_candidates(s: SparkSession, d: str) -> DataFrame:
+    return masks.mask_candidates(_outlines(s, d)).drop("ring")
+
+
+@_query
+def window_outcomes(s: SparkSession, d: str) -> DataFrame:
+    o = _outlines(s, d)
+    return masks.window_outcomes(o, o.select("scene", "row", "col").distinct())
+
+
+@_query
+def scene_bounds_utm(s: SparkSession, d: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    west, south = 104.0 + (k % 100) / 50.0, 36.0 + (k % 70) / 35.0
+    box = projection.bounds_to_utm(west, south, west + 0.5, south + 0.25, 105.0)
+    rows = t.load(s, d, "supplier").select(k.alias("scene"), box.alias("b"))
+    return rows.select("scene", *(F.round(f"b.{c}", 3).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")))
+
+
+@_query
+def shapefile_roundtrip(s: SparkSession, d: str) -> DataFrame:
+    """Layers by source, written as shapefiles and read back."""
+    files = shapes.encode(_diamonds(s, d), "source", ["cand_id", "confidence"])
+    back = shapes.decode(files.select(F.col("layer").alias("path"), F.col("shp").alias("content")))
+    parts = records.polygon_parts(back.select(F.col("path").alias("shape_id"), "parts"))
+    return parts.groupBy(F.col("shape_id").alias("layer")).agg(F.count("*").alias("n"), F.sum("n_points").alias("points"), F.sum("area").alias("area"))
+
+
+@_query
+def png_roundtrip(s: SparkSession, d: str) -> DataFrame:
+    """A small image a tile, written as PNG and read back."""
+    pixel = F.transform(F.sequence(F.lit(0), F.lit(47)), lambda i: ((F.col("tile_id") * 7 + i * 13) % 256).cast("int"))
+    images = t.tiles(s, d).select(F.col("tile_id").cast("string").alias("name"), F.lit(4).alias("height"), F.lit(4).alias("width"), F.lit(3).alias("channels"), pixel.alias("pixels"))
+    return png.decoded(png.encoded(images)).select("name", "height", "width", "channels", F.md5(F.hex("pixels").cast("binary")).alias("digest"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_ALL)

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 #: The fields of a tile index.
 INDEX = "tile_name string, source_tif string, source_crs string, target_crs string, utm_xmin double, utm_ymin double, utm_xmax double, utm_ymax double, pixel_size_m double, split string, instance_count int, is_negative int"
 
+#: Names of rasters and of polygon layers.
+RASTERS, LAYERS = "*.{tif,tiff,TIF,TIFF}", "*.{shp,SHP}"
+
 
 def find(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(path, stem) of files that match, each once."""
@@ -28,6 +31,23 @@ def write_index(df: DataFrame, path: str) -> None:
     df.select([f.split()[0] for f in INDEX.split(", ")]).write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_training_log(spark: SparkSession, path: str) -> DataFrame:
+    """The table that training leaves, a row an epoch; names and values lose the blanks around them."""
+    rows = spark.read.option("header", True).option("inferSchema", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)
+    return rows.toDF(*(c.strip() for c in rows.columns))
+
+
+def reports_done(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether every report is there and names its threshold and its true positives."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        texts = spark.read.text(paths, wholetext=True)
+    except AnalysisException:  # one of them is missing
+        return False
+    return texts.where(F.col("value").contains("threshold=") & F.col("value").contains("TP=")).count() == len(set(paths))
+
+
 def read_labels(spark: SparkSession, folder: str) -> DataFrame:
     """(file, line_no, text): every line of every label file, also of empty files."""
     sc = spark.sparkContext  # file sources of DataFrames skip files of no length, which mark tiles without instances
