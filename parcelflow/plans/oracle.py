@@ -153,7 +153,7 @@ def oracle_sql() -> dict[str, str]:
         "leak_gate": f"WITH {CUTS} SELECT count(*) AS leaks FROM asg a JOIN asg b ON a.tile_id < b.tile_id AND a.split <> b.split AND a.split <> 'DROPPED_BUFFER' AND b.split <> 'DROPPED_BUFFER' AND {MEET} WHERE {INTER} > 1",
         "leak_val_train": f"WITH {SPLIT} SELECT a.tile_id, count(*) AS n_train, sum({INTER}) AS area, min(b.tile_id) AS first_train FROM rs a JOIN rs b ON a.split = 'val' AND b.split = 'train' AND {MEET.replace('<', '<=')} GROUP BY a.tile_id",
         "pair_missing_label": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-        "pair_missing_image": "SELECT doc_id FROM labels WHERE doc_id NOT IN (SELECT page_id FROM pages)",
+        "pair_missing_image": "SELECT doc_id FROM labels WHERE doc_id NOT IN (SELECT s_suppkey FROM supplier)",
         "pair_status": "SELECT CASE WHEN d.doc_id IS NULL THEN 'no_image' WHEN l.doc_id IS NULL THEN 'no_label' ELSE 'paired' END AS state, count(*) AS n FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id GROUP BY 1",
         "shared_keys": f"WITH {CUTS} SELECT source FROM asg WHERE split = 'train' INTERSECT SELECT source FROM asg WHERE split = 'val'",
         "tile_grid_clamped": _grid(True),

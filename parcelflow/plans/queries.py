@@ -116,8 +116,8 @@ def pair_missing_label(s: SparkSession, d: str) -> DataFrame:
 
 @_query
 def pair_missing_image(s: SparkSession, d: str) -> DataFrame:
-    """Pages stand for images; there are fewer of them than labels."""
-    return t.load(s, d, "labels").select("doc_id").join(t.load(s, d, "pages").select(F.col("page_id").alias("doc_id")), "doc_id", "left_anti")
+    """Scenes stand for images; there are fewer of them than labels."""
+    return t.load(s, d, "labels").select("doc_id").join(_scenes(s, d).select(F.col("scene").alias("doc_id")), "doc_id", "left_anti")
 
 
 @_query
