@@ -3,52 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow.llm import exact, minhash, pack, pii, toxicity
-from parcelflow.llm.common import forget, materialize, written
+from parcelflow.llm.common import materialize, temporary
 
-_left: list = []
-
-
-def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that first deletes the working tables of the one before, whose result has been written by then."""
-
-    @wraps(f)
-    def call(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        forget(_left)
-        before = written()
-        out = f(spark, docs, sf_dir)
-        _left[:] = [t for t in written() if t not in before]
-        return out
-
-    return call
-
-
-@_stage
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-@_stage
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact(docs)
 
 
-@_stage
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return minhash.drop_near(docs, words=5, percent=80)
 
 
-@_stage
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.sanitised(docs)
 
 
-@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=False).drop("ids")
 
@@ -73,5 +50,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with temporary() as keep:  # the working tables of a stage go once its result is written
+            docs = keep(materialize(stage(spark, docs, sf_dir), name))
     return docs
