@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +22,24 @@ ROW_OVERHEAD = 64
 #: Bytes of an Arrow batch that a task works on at once.
 BATCH_BYTES = 2 << 20
 
-_written: list[tuple[SparkSession, str]] = []
+#: Deletes the shuffle files of a query once its result is written.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@dataclass
+class _Table:
+    """A folder in shared storage; `seen` is a weak reference of the JVM to what every plan that reads it holds."""
+
+    spark: SparkSession
+    path: str
+    seen: object = None
+
+
+#: Tables without an owner: they go once no plan can read them, or with the process.
+_left: list[_Table] = []
+_guard = threading.Lock()
+#: The tables of the innermost `temporary` block of this thread of control; another thread has its own.
+_own: ContextVar[list[_Table] | None] = ContextVar("parcelflow_tables", default=None)
 _folders: list[tuple[SparkSession, str]] = []
 
 
@@ -45,9 +65,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
+    """A new folder in shared storage, owned by the `temporary` block around the call."""
+    sweep()
+    table = _Table(spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    own = _own.get()
+    if own is None:
+        with _guard:
+            _left.append(table)
+    else:
+        own.append(table)
+    return table.path
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -56,9 +83,19 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def sweep() -> None:
+    """Deletes tables without an owner that no plan of the JVM refers to any more, so nothing can read them again."""
+    with _guard:
+        gone = [t for t in _left if t.seen is not None and t.seen.get() is None]
+        for t in gone:
+            _left.remove(t)
+    for t in gone:
+        remove(t.spark, t.path)
+
+
 @atexit.register
 def _clean() -> None:
-    for spark, path in _written + _folders:
+    for spark, path in [(t.spark, t.path) for t in _left] + _folders:
         try:
             remove(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone; the folder is temporary
@@ -67,40 +104,47 @@ def _clean() -> None:
 
 @contextmanager
 def temporary() -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """Deletes the tables that are written inside when it ends, but for those that are passed to what it gives."""
-    start, kept = len(_written), set()
+    """Deletes the tables that this thread writes inside when it ends, but for those passed to what it gives.
+
+    Those pass to the block around it, or live as long as some plan reads them.
+    """
+    outer, own, kept = _own.get(), [], set()
+    token = _own.set(own)
 
     def keep(df: DataFrame) -> DataFrame:
         kept.add(df._parcelflow_path)
         return df
 
-    yield keep
-    for at in _written[start:]:
-        if at[1] not in kept:
-            remove(*at)
-            _written.remove(at)
-
-
-def written() -> list[tuple[SparkSession, str]]:
-    """Tables of this process in the shared folder, in the order of writing."""
-    return list(_written)
-
-
-def forget(tables: list[tuple[SparkSession, str]]) -> None:
-    """Deletes tables that nothing will read again."""
-    for at in tables:
-        if at in _written:
-            remove(*at)
-            _written.remove(at)
+    try:
+        yield keep
+    finally:
+        _own.reset(token)
+        for t in own:
+            if t.path not in kept:
+                remove(t.spark, t.path)
+            elif outer is not None:
+                outer.append(t)
+            else:
+                with _guard:
+                    _left.append(t)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it again: lineage ends, lost executors lose nothing."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._parcelflow_path = path
+    files = out._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().location()
+    for t in [*(_own.get() or ()), *_left]:
+        if t.path == path:
+            t.seen = spark._jvm.java.lang.ref.WeakReference(files)
     return out
 
 

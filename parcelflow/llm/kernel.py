@@ -108,10 +108,10 @@ def _hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) ->
 LANES = (0x243F6A8885A308D3, 0x13198A2E03707344)
 
 
-def words(col: pa.Array, lanes: int = 1) -> tuple[np.ndarray, ...]:
+def words(col: pa.Array, lanes: int = 1, fold: bool = True) -> tuple[np.ndarray, ...]:
     """(64-bit hash of each word in order, a second independent one with lanes=2, first word of each text and then the number of words).
 
-    A word is a maximal run of characters other than blanks and U+0009 to U+000D; A-Z count as a-z.
+    A word is a maximal run of characters other than blanks and U+0009 to U+000D; with `fold`, A-Z count as a-z.
     """
     data, offsets = buffers(col)
     lower, space = worker_cache("bytes", _byte_table)
@@ -126,7 +126,7 @@ def words(col: pa.Array, lanes: int = 1) -> tuple[np.ndarray, ...]:
                 gap, stop = np.flatnonzero(space[data[stop:more]]) + stop - at, more
             if len(gap):
                 stop = at + int(gap[-1]) + 1
-        part = lower[data[at:stop]]
+        part = lower[data[at:stop]] if fold else data[at:stop]
         inside = np.zeros(len(part) + 2, bool)
         inside[1:-1] = ~space[part]
         cuts = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, stop, "right")] - at

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, minhash, pack, pii, pq, secrets, toxicity, warc
+from . import align, bpe, chat, exact, minhash, negatives, pack, pii, pq, repeats, secrets, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,10 +55,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(_table(spark, sf_dir, "documents"), 35)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
-    ops = [op1_pii, op2_chat, op3_embedding_dedup, op4_packing, op5_exact_dedup, op6_bpe, op7_minhash, op8_toxicity, op9_warc, op10_secrets]
+    ops = [op1_pii, op2_chat, op3_embedding_dedup, op4_packing, op5_exact_dedup, op6_bpe, op7_minhash, op8_toxicity, op9_warc, op10_secrets, op11_hard_negatives, op12_alignment, op13_repeats]
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
@@ -96,5 +111,30 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN low ON low.node = w.doc_id
 """
 
 
+#: A window of 35 words is one string here: words hold no blank, so equal strings are equal windows.
+_REPEATS = """
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x : x <> '') AS w FROM documents),
+x AS (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM t WHERE len(w) >= 35),
+y AS (SELECT r, i, array_to_string(w[i : i + 34], ' ') AS s FROM x),
+many AS (SELECT s FROM y GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT DISTINCT y.r, y.i + k.k AS j FROM y JOIN many ON y.s = many.s, (SELECT unnest(range(0, 35)) AS k) k),
+gone AS (SELECT r, list(j) AS js FROM hit GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(len(js), 0) AS n_removed,
+    sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda j : NOT list_contains(js, j)), lambda j : w[j]) END, ' ')) AS kept_sha256
+FROM t LEFT JOIN gone ON t.r = gone.r
+"""
+
+_NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x : floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+p AS (SELECT a, b AS p, score AS ps FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.p AS positive_id, CAST(row_number() OVER (PARTITION BY p.a, p.p ORDER BY s.score DESC, s.b) AS INTEGER) AS rank, s.b AS negative_id, p.ps AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 100 * s.score BETWEEN 30 * p.ps AND 90 * p.ps
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": chat.SQL, "op3_embedding_dedup": _VECTORS, "op5_exact_dedup": _EXACT, "op7_minhash": _SHINGLES}
+    return {"op2_chat": chat.SQL, "op3_embedding_dedup": _VECTORS, "op5_exact_dedup": _EXACT, "op7_minhash": _SHINGLES, "op11_hard_negatives": _NEGATIVES, "op13_repeats": _REPEATS}
