@@ -26,6 +26,8 @@ from .pack import _kinds
 HEAD = 400_000
 #: Links that a task counts up before it hands on their sums.
 PENDING = 1 << 21
+#: What the piece vocabulary writes for a blank, and the most digits of an id.
+MARK, WIDTH = "\u2581", 9
 
 
 class Vocabularies:
@@ -46,29 +48,55 @@ class Vocabularies:
 
         self.encode_a = PieceEncoder(ids_of, np.repeat(kinds[1], kinds[0]))
         letters = _byte_letters()
-        self.bytes_a = [b""] * (max(t.get_vocab().values(), default=-1) + 1)
+        words = [""] * (max(t.get_vocab().values(), default=-1) + 1)
         for word, i in t.get_vocab().items():
-            self.bytes_a[i] = bytes(letters[c] for c in word) if all(c in letters for c in word) else word.encode()
-        self.bytes_b = [self._bytes_of(i) for i in range(self.pieces.get_piece_size())]
-        self.size_a, self.size_b = (np.array([len(x) for x in v], np.int64) for v in (self.bytes_a, self.bytes_b))
-        self.text_a, self.text_b = ([str(i) for i in range(len(v))] for v in (self.bytes_a, self.bytes_b))
+            words[i] = word
+        self.a = Tokens([bytes(letters[c] for c in w) if all(c in letters for c in w) else w.encode() for w in words])
+        self.b = Tokens([self._bytes_of(i) for i in range(self.pieces.get_piece_size())])
 
     def _bytes_of(self, i: int) -> bytes:
         piece = self.pieces.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace("▁", " ").encode()
+        return bytes([int(piece[3:5], 16)]) if self.pieces.is_byte(i) else piece.replace(MARK, " ").encode()
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """ids of both for each text; none for texts that are empty or whose bytes either does not give back."""
         a = self.encode_a([" " + t for t in texts])
         b = [np.array(x, np.int32) for x in self.pieces.encode(texts, num_threads=1)]
+        want = [b" " + t.encode("utf-8", "surrogatepass") for t in texts]
+        good = self.a.spell(a, want) & self.b.spell(b, want)
         none = np.zeros(0, np.int32)
-        for k, t in enumerate(texts):
-            want = b" " + t.encode("utf-8", "surrogatepass")
-            if not t or b"".join(map(self.bytes_a.__getitem__, a[k].tolist())) != want or b"".join(map(self.bytes_b.__getitem__, b[k].tolist())) != want:
-                a[k] = b[k] = none
+        for k in np.flatnonzero(~good | np.array([not t for t in texts], bool)):
+            a[k] = b[k] = none
         return a, b
 
 
+class Tokens:
+    """The bytes and the decimal name of each id of a vocabulary, laid out for whole arrays of ids."""
+
+    def __init__(self, entries: list[bytes]) -> None:
+        self.size = np.array([len(x) for x in entries], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(entries), np.uint8)
+        names = [str(i).encode() for i in range(len(entries))]
+        self.digits = np.array([len(x) for x in names], np.int64)
+        self.name = np.frombuffer(b"".join(x.ljust(WIDTH) for x in names), np.uint8).reshape(-1, WIDTH)
+
+    def spell(self, ids: list[np.ndarray], want: list[bytes]) -> np.ndarray:
+        """Whether the ids of each text stand for its bytes."""
+        flat = np.concatenate([np.zeros(0, np.int32), *ids])
+        owner = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+        length = np.array([len(w) for w in want], np.int64)
+        ok = np.bincount(owner, self.size[flat], len(ids)).astype(np.int64) == length
+        flat = flat[ok[owner]]
+        size = self.size[flat]
+        spelt = self.flat[np.repeat(self.start[flat] - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        text = np.frombuffer(b"".join(w for w, good in zip(want, ok.tolist(), strict=True) if good), np.uint8)
+        first = np.cumsum(length[ok]) - length[ok]
+        if len(first):
+            ok[ok] = np.logical_and.reduceat(spelt == text, first)  # no text is without bytes: each has its blank
+        return ok
+
+
 def _byte_letters() -> dict[str, int]:
     """The letter that byte-level vocabularies write for each byte: itself where it prints, else the next free one from U+0100."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -83,34 +111,46 @@ def vocabularies(path_a: str, path_b: str, kinds: tuple) -> Vocabularies:
 class Alignment:
     """Links and groups of a batch of texts, from the ends of their tokens; every text has its own stretch of bytes."""
 
-    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], size_a: np.ndarray, size_b: np.ndarray) -> None:
+    def __init__(self, a: list[np.ndarray], b: list[np.ndarray], of_a: Tokens, of_b: Tokens) -> None:
         self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
         self.a, self.b = (np.concatenate([np.zeros(0, np.int32), *side]) for side in (a, b))
-        end_a, end_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])  # both sides of a text are equally long
-        ends = np.union1d(end_a, end_b)
+        end_a, end_b = np.cumsum(of_a.size[self.a]), np.cumsum(of_b.size[self.b])  # both sides of a text are equally long
+        ends_a, ends_b = (np.zeros(int(end_a[-1]) + 1 if len(end_a) else 1, bool) for _ in range(2))
+        ends_a[end_a], ends_b[end_b] = True, True
         # between two neighbouring ends lies the common stretch of exactly one pair
-        self.link_a, self.link_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
-        self.text = np.repeat(np.arange(len(a)), self.n_a)[self.link_a] if len(ends) else np.zeros(0, np.int64)
-        self.last_a, self.last_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
+        ends = np.flatnonzero(ends_a | ends_b)
+        self.link_a, self.link_b = (np.cumsum(e)[ends] - e[ends] for e in (ends_a, ends_b))
+        owner = np.repeat(np.arange(len(a)), self.n_a)
+        self.text = owner[self.link_a]
+        self.last_a, self.last_b = ends_b[end_a], ends_a[end_b]
         self.n_links = np.bincount(self.text, minlength=len(a))
-        self.n_groups = np.bincount(np.repeat(np.arange(len(a)), self.n_a)[self.last_a], minlength=len(a))
+        self.n_groups = np.bincount(owner[self.last_a], minlength=len(a))
 
     def keys(self) -> np.ndarray:
         """The pair of ids of each link, as one number."""
         return self.a[self.link_a].astype(np.int64) << 32 | self.b[self.link_b]
 
-    def groups(self, text_a: list[str], text_b: list[str]) -> Iterator[str]:
-        """`a1,a2|b1;a3|b2,b3` for each text."""
-        group_a, group_b = np.cumsum(self.last_a) - self.last_a, np.cumsum(self.last_b) - self.last_b
-        place = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        ids = [*map(text_a.__getitem__, self.a.tolist()), *map(text_b.__getitem__, self.b.tolist())]
-        ends = np.concatenate([self.last_a, self.last_b + 2 * np.ones(len(self.b), np.int64)])
-        signs = [",", "|", ",", ";"]
-        parts = [ids[p] + signs[e] for p, e in zip(place.tolist(), ends[place].tolist(), strict=True)]
-        at = 0
-        for n in (self.n_a + self.n_b).tolist():
-            yield "".join(parts[at : at + n])[:-1]
-            at += n
+    def groups(self, of_a: Tokens, of_b: Tokens) -> Iterator[bytes]:
+        """`a1,a2|b1;a3|b2,b3` for each text, in bytes."""
+        n_a, n_b = len(self.a), len(self.b)
+        first_a, first_b = (np.append(0, np.flatnonzero(last) + 1) for last in (self.last_a, self.last_b))
+        # the A tokens of a group stand behind the B tokens of those before it, its B tokens behind its own A tokens
+        place = np.concatenate([np.arange(n_a) + first_b[np.cumsum(self.last_a) - self.last_a], np.arange(n_b) + first_a[np.cumsum(self.last_b) - self.last_b + 1]]) if n_a else np.zeros(0, np.int64)
+        order = np.empty(n_a + n_b, np.int64)
+        order[place] = np.arange(n_a + n_b)
+        name, digits = np.concatenate([of_a.name[self.a], of_b.name[self.b]]), np.concatenate([of_a.digits[self.a], of_b.digits[self.b]])
+        sign = np.frombuffer(b",|,;", np.uint8)[np.concatenate([self.last_a.astype(np.int64), self.last_b + np.int64(2)])]
+        name, digits = name[order], digits[order]
+        end = np.cumsum(digits + 1)
+        out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+        for k in range(WIDTH):
+            has = digits > k
+            out[(end - digits - 1 + k)[has]] = name[has, k]
+        out[end - 1] = sign[order]
+        cuts = np.append(0, end)[np.append(0, np.cumsum(self.n_a + self.n_b))].tolist()
+        raw = out.tobytes()
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            yield raw[lo : hi - 1] if hi > lo else b""
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -134,9 +174,9 @@ def tokenised(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for b in small(batches):
             texts = b.column(1).to_pylist()
             ids = v.encode(texts)
-            got = Alignment(*ids, v.size_a, v.size_b)
-            sha = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in got.groups(v.text_a, v.text_b)]
-            packed = [pa.array([x.astype("<u4" if s > 1 << 16 else "<u2").tobytes() for x in side], pa.binary()) for side, s in zip(ids, (len(v.size_a), len(v.size_b)), strict=True)]
+            got = Alignment(*ids, v.a, v.b)
+            sha = [hashlib.sha256(g).hexdigest() if g else "" for g in got.groups(v.a, v.b)]
+            packed = [pa.array([x.astype(_kind(of)).tobytes() for x in side], pa.binary()) for side, of in zip(ids, (v.a, v.b), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *packed, *map(pa.array, (got.n_a, got.n_b, got.n_groups, got.n_links, sha))], ["name", "times", "a", "b", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
 
     return texts.select(_name(F.col("text")).alias("name"), "text", "times").mapInArrow(work, "name binary, times long, a binary, b binary, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string")
@@ -144,8 +184,12 @@ def tokenised(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 def _links(path_a: str, path_b: str, kinds: tuple, a: pa.Array, b: pa.Array) -> Alignment:
     v = vocabularies(path_a, path_b, kinds)
-    ids = ([np.frombuffer(x, "<u4" if len(s) > 1 << 16 else "<u2").astype(np.int32) for x in side.to_pylist()] for side, s in ((a, v.size_a), (b, v.size_b)))
-    return Alignment(*ids, v.size_a, v.size_b)
+    ids = ([np.frombuffer(x, _kind(of)).astype(np.int32) for x in side.to_pylist()] for side, of in ((a, v.a), (b, v.b)))
+    return Alignment(*ids, v.a, v.b)
+
+
+def _kind(of: Tokens) -> str:
+    return "<u4" if len(of.size) > 1 << 16 else "<u2"
 
 
 def pair_counts(table: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -208,10 +252,10 @@ def measures(table: DataFrame, pairs: DataFrame, path_a: str, path_b: str) -> Da
 
     def look(got: Alignment) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         pair, count, best = sent.value
-        keys = got.keys()
+        keys, link = np.unique(got.keys(), return_inverse=True)
         at = np.minimum(np.searchsorted(pair, keys), max(len(pair) - 1, 0))
         hit = pair[at] == keys if len(pair) else np.zeros(len(keys), bool)
-        return keys, hit, np.where(hit, count[at] if len(pair) else 0, 0), np.where(hit, best[at] if len(pair) else False, False)
+        return keys[link], hit[link], np.where(hit, count[at] if len(pair) else 0, 0)[link], np.where(hit, best[at] if len(pair) else False, False)[link]
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
