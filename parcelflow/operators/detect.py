@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import overlay
 from .greedy import greedy_dropped
 from .polygons import polygon_iou, polygon_overlap
+from .selection import medians
 from .spatial import box_join
 from ..functions.geom import box_iou, box_ring, overlap_area
 from ..plans.storage import cut
@@ -23,6 +25,23 @@ def tile_polygons(tiles: DataFrame, boxes: DataFrame, cell: float = 6400.0, ring
     return pairs.select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), "inter", (F.col("inter") / F.col("b_area")).alias("visible"))
 
 
+def tile_shapes(tiles: DataFrame, shapes: DataFrame, cell: float = 6400.0) -> DataFrame:
+    """(tile_id, cand_id, inter, visible) of tiles and shapes (cand_id, rings) with holes and parts that share area.
+
+    Shapes whose box lies in a tile are whole there; only the others are cut at its sides.
+    """
+    ends = lambda f, v: f(F.transform(F.flatten("rings"), lambda p: p[v]))
+    boxed = shapes.select("cand_id", "rings", *(ends(f, v).alias(f"{v}{n}") for v in "xy" for n, f in (("min", F.array_min), ("max", F.array_max)))).where("xmin IS NOT NULL")
+    pairs = box_join(tiles.select("tile_id", "xmin", "ymin", "xmax", "ymax"), boxed, cell)
+    within = F.expr("b_xmin >= a_xmin AND b_xmax <= a_xmax AND b_ymin >= a_ymin AND b_ymax <= a_ymax")
+    whole = pairs.where(within).select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"))
+    size = overlay.areas(shapes.join(whole.select("cand_id").distinct(), "cand_id"), ["cand_id"])
+    whole = whole.join(size, "cand_id").select("tile_id", "cand_id", F.col("area").alias("inter"), F.lit(1.0).alias("visible"))
+    across = pairs.where(~within).select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), F.array(box_ring("a_")).alias("a"), F.col("b_rings").alias("b"))
+    part = overlay.shared(across, ["tile_id", "cand_id"]).where("inter > 0")
+    return whole.unionByName(part.select("tile_id", "cand_id", "inter", (F.col("inter") / F.col("area_b")).alias("visible")))
+
+
 def tile_decisions(tiles: DataFrame, joined: DataFrame, min_pixels: float = 4.0, keep: float = 0.10, res: float = 10.0) -> DataFrame:
     """(tile_id, n_labels, decision): a partly visible polygon skips the tile, then labels make it positive,
     polygons below the least size alone skip it, and of empty tiles a tenth is kept by hash."""
@@ -78,6 +97,11 @@ def suppressed(cands: DataFrame, **rules) -> DataFrame:  # noqa: ANN003
 
 
 def distribution(cands: DataFrame, *by: str) -> DataFrame:
-    """Least, largest, mean and exact median of area and confidence, and the share at an edge."""
-    stats = [f(c).alias(f"{n}_{c}") for c in ("area", "confidence") for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg), ("median", F.median))]
-    return cands.groupBy(*by).agg(F.count("*").alias("n"), *stats, F.avg(F.col("is_edge").cast("double")).alias("edge_share"))
+    """Least, largest, mean and exact median of area, confidence and, where there is one, compactness, and the share at an edge."""
+    cols = [c for c in ("area", "confidence", "compactness") if c in cands.columns]
+    stats = [f(c).alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max), ("mean", F.avg))]
+    out = cands.groupBy(*by).agg(F.count("*").alias("n"), *stats, F.avg(F.col("is_edge").cast("double")).alias("edge_share")).withColumn("__one", F.lit(1))
+    for c in cols:
+        middle = medians(cands, list(by), c).withColumnRenamed("median", f"median_{c}")
+        out = out.join(middle.withColumn("__one", F.lit(1)), [*by, "__one"], "left")
+    return out.drop("__one")

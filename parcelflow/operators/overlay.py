@@ -48,6 +48,11 @@ def edges(shapes: DataFrame, key: list[str], rings: str = "rings", side: int = 1
     return each.select(*key, F.lit(side).alias("side"), "ring", (F.size("r") - 1).alias("last"), F.posexplode(ends).alias("at", "e")).select(*key, "side", "ring", "at", "last", "e.*")
 
 
+def _gathered(e: DataFrame, key: list[str]) -> DataFrame:
+    """Edges computed once and dealt by shape; what follows finds them so."""
+    return cut(e.repartition(*key))
+
+
 def _meeting(e: DataFrame, key: list[str]) -> DataFrame:
     """Pairs of edges of a shape that share a cell of its grid, with the turns of their ends; a pair may come once a cell."""
     own = Window.partitionBy(*key)
@@ -90,7 +95,10 @@ def validity(shapes: DataFrame, key: list[str], rings: str = "rings") -> DataFra
     A ring is simple if its edges meet in the vertices between neighbours only: no crossing, no vertex passed
     twice, no stretch walked twice.  Rings of one shape may touch in points.  Shapes without an edge have no row.
     """
-    e = edges(shapes, key, rings)
+    return _validity(_gathered(edges(shapes, key, rings), key), key)
+
+
+def _validity(e: DataFrame, key: list[str]) -> DataFrame:
     own = F.col("aring") == F.col("bring")
     beside = own & ((F.col("bat") - F.col("aat") == 1) | ((F.col("aat") == 0) & (F.col("bat") == F.col("alast"))))
     bad = _crossing() | _overlapping() | (own & ~beside & _touching())
@@ -127,13 +135,17 @@ def trapezoids(p: DataFrame, key: list[str]) -> DataFrame:
 @_keys_apart
 def areas(shapes: DataFrame, key: list[str], rings: str = "rings") -> DataFrame:
     """(key, area): what an odd number of rings enclose, whether rings cross or not; shapes without area have no row."""
-    return trapezoids(pieces(edges(shapes, key, rings), key), key).groupBy(*key).agg(F.sum("area").alias("area"))
+    return _areas(_gathered(edges(shapes, key, rings), key), key)
+
+
+def _areas(e: DataFrame, key: list[str]) -> DataFrame:
+    return trapezoids(pieces(e, key), key).groupBy(*key).agg(F.sum("area").alias("area"))
 
 
 @_keys_apart
 def shared(pairs: DataFrame, key: list[str], a: str = "a", b: str = "b") -> DataFrame:
     """(key, area_a, area_b, inter) of pairs of shapes with any rings; pairs of shapes without area have no row."""
-    e = edges(pairs, key, a, 1).unionByName(edges(pairs, key, b, 2))
+    e = _gathered(edges(pairs, key, a, 1).unionByName(edges(pairs, key, b, 2)), key)
     t = trapezoids(pieces(e, key), key)
     total = lambda c: F.coalesce(F.sum(F.when(c, F.col("area"))), F.lit(0.0))
     return t.groupBy(*key).agg(total(F.col("in1")).alias("area_a"), total(F.col("in2")).alias("area_b"), total(F.col("in1") & F.col("in2")).alias("inter"))
@@ -146,9 +158,9 @@ def iou(pairs: DataFrame, key: list[str], a: str = "a", b: str = "b") -> DataFra
     return shared(pairs, key, a, b).where("inter > 0").select(*key, "inter", F.when(union > 1e-12, F.col("inter") / union).otherwise(0.0).alias("iou"))
 
 
-def _parted(shapes: DataFrame, key: list[str], rings: str) -> DataFrame:
+def _parted(e: DataFrame, key: list[str]) -> DataFrame:
     """Trapezoids inside, with `part`: the smallest place (slab, at) that touching sides lead to."""
-    t = trapezoids(pieces(edges(shapes, key, rings), key), key).where(F.col("in1") & (F.col("area") > NEAR * NEAR)).drop("in1", "in2")
+    t = trapezoids(pieces(e, key), key).where(F.col("in1") & (F.col("area") > NEAR * NEAR)).drop("in1", "in2")
     t = cut(t.withColumn("node", F.struct(*key, "slab", "at")))
     left = t.select(*key, F.col("slab").alias("s"), F.col("node").alias("a"), F.col("yhi").alias("y1"), F.col("zhi").alias("z1"))
     right = t.select(*key, (F.col("slab") - 1).alias("s"), F.col("node").alias("b"), F.col("ylo").alias("y2"), F.col("zlo").alias("z2"))
@@ -217,7 +229,11 @@ def parts(shapes: DataFrame, key: list[str], rings: str = "rings") -> DataFrame:
     What lines alone join, or points, are parts of their own, so crossing rings fall apart where they cross
     and stretches without width go.  Areas add up to that of the shape.
     """
-    t = cut(_parted(shapes, key, rings))
+    return _parts(_gathered(edges(shapes, key, rings), key), key)
+
+
+def _parts(e: DataFrame, key: list[str]) -> DataFrame:
+    t = cut(_parted(e, key))
     of = [*key, "part"]
     lines = _outline(t, key).groupBy(*of).agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("lines"))  # the edges of one part
 
@@ -240,13 +256,12 @@ def repaired(shapes: DataFrame, key: list[str], rings: str = "rings", keep: str
     """
     if keep not in ("all", "largest", "single"):
         raise ValueError(f"unknown rule {keep}")
-    known = cut(validity(shapes, key, rings))
-    good = known.where("valid").select(key)
-    whole = shapes.select(*key, F.col(rings).alias("rings")).join(good, key)
-    size = areas(whole, key)
-    fine = whole.join(size, key).select(*key, F.lit(0).alias("part"), "area", "rings")
-    broken = shapes.select(*key, F.col(rings).alias("rings")).join(known.where("not valid").select(key), key)
-    mended = parts(broken, key)
+    e = _gathered(edges(shapes, key, rings), key)
+    known = cut(_validity(e, key))
+    good, bad = (known.where(c).select(key) for c in ("valid", "not valid"))
+    size = _areas(e.join(good, key), key)
+    fine = shapes.select(*key, F.col(rings).alias("rings")).join(size, key).select(*key, F.lit(0).alias("part"), "area", "rings")
+    mended = _parts(e.join(bad, key), key)
     if keep == "largest":
         mended = mended.where("part = 0")
     if keep == "single":
@@ -260,8 +275,9 @@ def cleaning(shapes: DataFrame, key: list[str], rings: str = "rings") -> DataFra
     empty shapes are null or have no edge, mended ones were invalid and have area once repaired, lost ones
     were invalid and have none.
     """
-    known = validity(shapes, key, rings)
-    size = areas(shapes.join(known.where("not valid").select(key), key), key)
+    e = _gathered(edges(shapes, key, rings), key)
+    known = cut(_validity(e, key))
+    size = _areas(e.join(known.where("not valid").select(key), key), key)
     rows = shapes.select(*key).join(known, key, "left").join(size, key, "left")
     bad = ~F.col("valid")
     return rows.agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .greedy import components
 from .spatial import box_join, overlaps
 from ..functions.geom import overlap_area
 from ..plans.storage import cut
@@ -114,6 +115,21 @@ def band_assign(tiles: DataFrame, cuts: DataFrame) -> DataFrame:
     return rows.withColumn("split", split).drop("c1", "c2")
 
 
+def assigned_by_mode(tiles: DataFrame, mode: DataFrame) -> DataFrame:
+    """`tiles` with split: by bands where the one row of `mode` says SPATIAL, else by whole components of scenes.
+
+    Both ways are in the plan and the row lets one of them have the tiles, so nothing is decided on the driver.
+    Scenes whose bounds share area stay together, under the smallest of them.
+    """
+    rows = tiles.join(F.broadcast(mode.select("mode")))  # one row
+    spatial, apart = (rows.where(F.col("mode") == m).drop("mode") for m in ("SPATIAL", "BY_TIF"))
+    linked = components(apart.select(F.col("source").alias("node")).distinct(), scene_overlaps(apart).select("a", "b"))
+    whole = apart.join(linked.select(F.col("node").alias("source"), "component"), "source")
+    chosen = source_split(whole.withColumn("source", F.col("component"))).select(F.col("source").alias("component"), "split")
+    by_source = whole.join(chosen, "component").drop("component")
+    return band_assign(spatial, band_cuts(spatial)).unionByName(by_source)
+
+
 def split_audit(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("split").agg(F.count("*").alias("rows"), F.count_if(F.col("is_negative") == 0).alias("positives"), F.count_if(F.col("is_negative") == 1).alias("negatives"), F.count_distinct("source").alias("sources"))
 

@@ -240,5 +240,26 @@ def oracle_sql() -> dict[str, str]:
         "scene_bounds_utm": UTM,
         "shapefile_roundtrip": f"WITH {CANDS} SELECT source::VARCHAR AS layer, count(*) AS n, 4 * count(*) AS points, sum(area / 2) AS area FROM cands GROUP BY source",
         "png_roundtrip": "SELECT o_orderkey::VARCHAR AS name, 4 AS height, 4 AS width, 3 AS channels, md5(array_to_string(list_transform(range(48), lambda i : printf('%02X', (o_orderkey * 7 + i * 13) % 256)), '')) AS digest FROM orders",
+        "shape_repair": f"""WITH {CANDS}, k AS (SELECT *, cand_id % 5 AS kind FROM cands WHERE cand_id % 101 <> 0 AND cand_id % 103 <> 0),
+ r AS (SELECT cand_id, CASE WHEN kind IN (1, 3) THEN 2 ELSE 1 END AS n_parts, CASE kind WHEN 1 THEN area / 2 WHEN 3 THEN area / 2 WHEN 4 THEN area * 3 / 4 ELSE area END AS area FROM k) SELECT *, area / n_parts AS largest FROM r""",
+        "shape_parts_rings": f"""WITH {CANDS}, k AS (SELECT *, cand_id % 5 AS kind FROM cands WHERE cand_id % 101 <> 0 AND cand_id % 103 <> 0)
+ SELECT cand_id, part, CASE kind WHEN 1 THEN area / 4 WHEN 3 THEN area / 4 WHEN 4 THEN area * 3 / 4 ELSE area END AS area, CASE kind WHEN 4 THEN 2 ELSE 1 END AS n_rings, CASE kind WHEN 1 THEN 3 WHEN 4 THEN 8 ELSE 4 END AS n_points
+ FROM k, (SELECT unnest([0, 1]) AS part) WHERE part = 0 OR kind IN (1, 3)""",
+        "layer_cleaning": f"""WITH {CANDS}, k AS (SELECT cand_id % 5 AS kind, cand_id % 101 = 0 OR cand_id % 103 = 0 AS none FROM cands)
+ SELECT count(*) AS n, count(*) FILTER (none) AS empty, count(*) FILTER (NOT none AND kind IN (1, 2, 3)) AS invalid, count(*) FILTER (NOT none AND kind IN (1, 2, 3)) AS mended, 0 AS lost, count(*) FILTER (NOT none) AS kept FROM k""",
+        "tile_shapes_exact": f"""WITH {TILES}, {CANDS}, b AS (SELECT cand_id, area, xmin, ymin, xmax, ymax, 1 AS sign FROM cands UNION ALL SELECT cand_id, area, xmin + side / 4, ymin + side / 4, xmax - side / 4, ymax - side / 4, -1 FROM cands UNION ALL SELECT cand_id, area, xmin + 1000, ymin, xmax + 1000, ymax, 1 FROM cands),
+ i AS (SELECT a.tile_id, b.cand_id, any_value(b.area) AS area, sum(sign * {INTER}) AS inter FROM tiles a JOIN b ON {MEET} GROUP BY ALL) SELECT tile_id, cand_id, round(inter, 6) AS inter, round(inter / (area * 7 / 4), 6) AS visible FROM i WHERE inter > 0""",
+        "iou_concave": f"""WITH {CANDS}, q AS (SELECT cand_id, image, area, unnest([{{'x': 0, 'y': 0}}, {{'x': 1, 'y': 0}}, {{'x': 0, 'y': 1}}, {{'x': 1, 'y': 1}}]) AS u, xmin + u.x * side / 2 AS xmin, ymin + u.y * side / 2 AS ymin, xmin + side / 2 * (u.x + 1) AS xmax, ymin + side / 2 * (u.y + 1) AS ymax, u.x + u.y AS s FROM (SELECT cand_id, image, area, side, xmin, ymin FROM cands)),
+ i AS (SELECT a.cand_id AS p, b.cand_id AS g, any_value(a.area) AS area_a, any_value(b.area) AS area_b, sum({INTER}) AS inter FROM q a JOIN q b ON a.image = b.image AND a.cand_id % 2 = 0 AND b.cand_id % 2 = 1 AND a.s < 2 AND b.s > 0 AND {MEET} GROUP BY ALL)
+ SELECT p, g, inter, round(inter / (0.75 * area_a + 0.75 * area_b - inter), 9) AS iou FROM i""",
+        "window_read": """WITH px AS (SELECT o_orderkey % 3 AS scene, o_orderkey // 192 AS r, (o_orderkey // 3) % 64 AS c, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice::DOUBLE END AS b2, o_custkey AS b3 FROM orders),
+ w AS (SELECT DISTINCT s_suppkey % 3 AS scene, 20 * (s_suppkey % 97) AS row, 20 * (s_suppkey % 4) AS col FROM supplier)
+ SELECT w.scene, w.row, w.col, count(px.scene) AS n, count(*) FILTER (b2 IS NOT NULL AND b3 IS NOT NULL) AS n_valid, count(*) FILTER (b2 IS NOT NULL AND b3 IS NOT NULL) / 576.0::DOUBLE >= 0.2 AS used, coalesce(sum(round(b2 * 100)::BIGINT) FILTER (b3 IS NOT NULL), 0)::BIGINT AS cents
+ FROM w LEFT JOIN px ON px.scene = w.scene AND r >= w.row AND r < w.row + 24 AND c >= w.col AND c < w.col + 24 GROUP BY ALL""",
+        "assigned_by_mode": f"WITH {CUTS} SELECT tile_id, split FROM asg",
+        "assigned_by_mode_apart": f"""WITH {TILES}, s AS (SELECT source, count(*) FILTER (is_negative = 0) > 0 AS good, md5(source::VARCHAR || ':42') AS h FROM tiles GROUP BY source), r AS (SELECT source, good, row_number() OVER (PARTITION BY good ORDER BY h) AS r FROM s)
+ SELECT tile_id, CASE WHEN good AND r = 1 THEN 'val' WHEN good AND r = 2 THEN 'test' ELSE 'train' END AS split FROM tiles JOIN r USING (source)""",
+        "shape_distribution": f"""WITH {CANDS}, c AS (SELECT *, round(16 * area / ((4 * side + 10 * (cand_id % 9)) * (4 * side + 10 * (cand_id % 9))), 9) AS compactness FROM cands)
+ SELECT source, count(*) AS n, median(area) AS median_area, median(confidence) AS median_confidence, min(compactness) AS min_compactness, max(compactness) AS max_compactness, median(compactness) AS median_compactness FROM c GROUP BY source""",
         "confidence_windows": f"WITH c AS (SELECT ts, ((7919 * event_id) % 10000)::DOUBLE / 10000 AS confidence FROM events) SELECT date_trunc('day', ts)::TIMESTAMP AS start, count(*) AS n, {_bins()} FROM c GROUP BY 1",
     }

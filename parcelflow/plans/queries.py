@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import storage
 from . import tables as t
 from ..functions import geom, projection
-from ..operators import detect, evaluate, greedy, infer, labels, masks, polygons, raster, records, spatial, split
-from ..sources import png, shapes
+from ..operators import detect, evaluate, greedy, infer, labels, masks, overlay, polygons, raster, records, spatial, split
+from ..sources import blocks, png, shapes
 from ..streaming import bins
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -572,5 +573,102 @@ def png_roundtrip(s: SparkSession, d: str) -> DataFrame:
     return png.decoded(png.encoded(images)).select("name", "height", "width", "channels", F.md5(F.hex("pixels").cast("binary")).alias("digest"))
 
 
+def _at(x: Column, y: Column) -> Column:
+    return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+
+
+def _faulty(s: SparkSession, d: str) -> DataFrame:
+    """Candidates by kind: box, bow tie, box with a spike, two squares that touch, box with a hole; some null or without a ring."""
+    x, y, w, h, k = F.col("xmin"), F.col("ymin"), F.col("side"), F.col("side") / 2, F.col("cand_id")
+    box = F.array(_at(x, y), _at(x + w, y), _at(x + w, y + w), _at(x, y + w))
+    tie = F.array(_at(x, y), _at(x + w, y), _at(x, y + w), _at(x + w, y + w))
+    spike = F.array(_at(x, y), _at(x + w, y), _at(x + w, y + h), _at(x + 2 * w, y + h), _at(x + w, y + h), _at(x + w, y + w), _at(x, y + w))
+    touch = F.array(_at(x, y), _at(x + h, y), _at(x + h, y + h), _at(x + w, y + h), _at(x + w, y + w), _at(x + h, y + w), _at(x + h, y + h), _at(x, y + h))
+    hole = F.array(_at(x + w / 4, y + w / 4), _at(x + w / 4, y + 3 * w / 4), _at(x + 3 * w / 4, y + 3 * w / 4), _at(x + 3 * w / 4, y + w / 4))
+    rings = F.when(k % 5 == 0, F.array(box)).when(k % 5 == 1, F.array(tie)).when(k % 5 == 2, F.array(spike)).when(k % 5 == 3, F.array(touch)).otherwise(F.array(box, hole))
+    rings = F.when(k % 101 == 0, F.lit(None)).when(k % 103 == 0, F.slice(rings, 1, 0)).otherwise(rings)
+    return t.candidates(s, d).select("cand_id", "side", rings.alias("rings"))
+
+
+@_query
+def shape_repair(s: SparkSession, d: str) -> DataFrame:
+    """What repair leaves of each shape: parts, area in all, area of the largest."""
+    rows = overlay.repaired(_faulty(s, d), ["cand_id"])
+    return rows.groupBy("cand_id").agg(F.count("*").alias("n_parts"), F.sum("area").alias("area"), F.max("area").alias("largest"))
+
+
+@_query
+def shape_parts_rings(s: SparkSession, d: str) -> DataFrame:
+    """Parts of faulty shapes with the points of their rings."""
+    rows = overlay.parts(_faulty(s, d), ["cand_id"])
+    return rows.select("cand_id", "part", "area", F.size("rings").alias("n_rings"), F.size(F.flatten("rings")).alias("n_points"))
+
+
+@_query
+def layer_cleaning(s: SparkSession, d: str) -> DataFrame:
+    return overlay.cleaning(_faulty(s, d), ["cand_id"])
+
+
+def _holed(s: SparkSession, d: str) -> DataFrame:
+    """Candidates as boxes with a hole, each with a second part 1000 to the east."""
+    x, y, w = F.col("xmin"), F.col("ymin"), F.col("side")
+    box = lambda x, y, w: F.array(_at(x, y), _at(x + w, y), _at(x + w, y + w), _at(x, y + w))
+    return t.candidates(s, d).select("cand_id", F.array(box(x, y, w), box(x + w / 4, y + w / 4, w / 2), box(x + 1000, y, w)).alias("rings"))
+
+
+@_query
+def tile_shapes_exact(s: SparkSession, d: str) -> DataFrame:
+    return detect.tile_shapes(t.tiles(s, d), _holed(s, d)).withColumns({c: F.round(c, 6) for c in ("inter", "visible")})
+
+
+@_query
+def iou_concave(s: SparkSession, d: str) -> DataFrame:
+    """Shapes like an L: boxes without their upper right quarter against boxes without their lower left one."""
+    x, y, w, h = F.col("xmin"), F.col("ymin"), F.col("side"), F.col("side") / 2
+    one = F.array(_at(x, y), _at(x + w, y), _at(x + w, y + h), _at(x + h, y + h), _at(x + h, y + w), _at(x, y + w))
+    two = F.array(_at(x + h, y), _at(x + w, y), _at(x + w, y + w), _at(x, y + w), _at(x, y + h), _at(x + h, y + h))
+    cols = ["cand_id", "image", "xmin", "ymin", "xmax", "ymax"]
+    a, b = (side.select(*cols, F.array(ring).alias("rings")) for side, ring in zip(_sides(s, d), (one, two), strict=True))
+    pairs = spatial.box_join(a, b, 400.0, equal=["image"]).select(F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), F.col("a_rings").alias("a"), F.col("b_rings").alias("b"))
+    return overlay.iou(pairs, ["p", "g"]).withColumn("iou", F.round("iou", 9))
+
+
+@_query
+def window_read(s: SparkSession, d: str) -> DataFrame:
+    """Windows of 24 pixels, read over the borders of blocks of 16, with their common valid pixels."""
+    k = F.col("o_orderkey")
+    pixels = t.load(s, d, "orders").select((k % 3).alias("scene"), F.floor(k / 192).alias("r"), (F.floor(k / 3) % 64).alias("c"), F.when(k % 11 != 0, F.col("o_totalprice").cast("double")).alias("b2"), F.col("o_custkey").cast("double").alias("b3"))
+    path = storage.folder(s, "blocks")
+    blocks.write_blocks(pixels, path, ["b2", "b3"], 16)
+    n = F.col("s_suppkey")
+    windows = t.load(s, d, "supplier").select((n % 3).alias("scene"), (20 * (n % 97)).alias("row"), (20 * (n % 4)).alias("col"), F.lit(24).alias("height"), F.lit(24).alias("width"))
+    read = blocks.read_windows(s, path, windows, 16)
+    cents = F.aggregate(blocks.common_valid("px", ["b2", "b3"]), F.lit(0).cast("long"), lambda a, p: a + F.round(p["b2"] * 100).cast("long"))
+    return read.select("scene", "row", "col", F.size("px").alias("n"), F.size(blocks.common_valid("px", ["b2", "b3"])).alias("n_valid"), (blocks.valid_share("px", ["b2", "b3"]) >= 0.2).alias("used"), cents.alias("cents"))
+
+
+@_query
+def assigned_by_mode(s: SparkSession, d: str) -> DataFrame:
+    """Scenes that overlap are split by bands."""
+    return split.assigned_by_mode(t.tiles(s, d), split_mode(s, d)).select("tile_id", "split")
+
+
+@_query
+def assigned_by_mode_apart(s: SparkSession, d: str) -> DataFrame:
+    """The same tiles with each scene moved away from the others: whole scenes are split."""
+    far = F.col("source") * 1e6
+    tiles = t.tiles(s, d).withColumns({c: F.col(c) + far for c in ("xmin", "xmax")})
+    cross = spatial.overlaps(tiles, "tile_id", t.TILE, F.col("a_source") != F.col("b_source"))
+    return split.assigned_by_mode(tiles, records.split_mode(split.scene_overlaps(tiles), cross)).select("tile_id", "split")
+
+
+@_query
+def shape_distribution(s: SparkSession, d: str) -> DataFrame:
+    """Summary of each source with compactness, of rings that are longer than those of squares."""
+    longer = 4 * F.col("side") + 10 * (F.col("cand_id") % 9)
+    c = t.candidates(s, d).withColumn("compactness", F.round(16 * F.col("area") / (longer * longer), 9))
+    return detect.distribution(c, "source").select("source", "n", "median_area", "median_confidence", "min_compactness", "max_compactness", "median_compactness")
+
+
 def queries() -> dict[str, Query]:
     return dict(_ALL)

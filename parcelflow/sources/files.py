@@ -19,12 +19,18 @@ def find(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str, required: list[str] | None = None) -> DataFrame:
-    """A tile index; missing required columns are an error."""
-    header = spark.read.option("header", True).csv(path)
-    missing = [c for c in (required or ["tile_name", "source_tif", "split"]) if c not in [h.lstrip("\ufeff") for h in header.columns]]
+    """A tile index, its columns found by the names in its header; missing required columns are an error.
+
+    Order doesn't matter, a byte order mark and blanks around names are taken off, other columns are left
+    out, and known ones that the file lacks are null.
+    """
+    rows = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    rows = rows.toDF(*(c.lstrip("\ufeff").strip() for c in rows.columns))
+    missing = [c for c in (required or ["tile_name", "source_tif", "split"]) if c not in rows.columns]
     if missing:
         raise ValueError(f"the tile index lacks {missing}")
-    return spark.read.schema(INDEX).option("header", True).option("enforceSchema", True).csv(path)
+    fields = [f.split() for f in INDEX.split(", ")]
+    return rows.select(*((F.col(f"`{c}`") if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in fields))
 
 
 def write_index(df: DataFrame, path: str) -> None:
