@@ -58,7 +58,7 @@ def medians(df: DataFrame, by: list[str], value: str, bins: int = BINS, few: int
     ranked = inside(done.where("__lo < __hi")).withColumn("__rank", rank)
     middle = ranked.where((F.col("__rank") == F.floor((F.col("__n") - 1) / 2)) | (F.col("__rank") == F.floor(F.col("__n") / 2)))
     ranked = one.unionByName(middle.groupBy(*by).agg((F.min("__v") / 2 + F.max("__v") / 2).alias("median")))
-    return ranked if found is None else ranked.unionByName(found)
+    return (ranked if found is None else ranked.unionByName(found)).where("median IS NOT NULL")
 
 
 def _settled(few: int):

@@ -249,7 +249,8 @@ def oracle_sql() -> dict[str, str]:
  SELECT count(*) AS n, count(*) FILTER (none) AS empty, count(*) FILTER (NOT none AND kind IN (1, 2, 3)) AS invalid, count(*) FILTER (NOT none AND kind IN (1, 2, 3)) AS mended, 0 AS lost, count(*) FILTER (NOT none) AS kept FROM k""",
         "tile_shapes_exact": f"""WITH {TILES}, {CANDS}, b AS (SELECT cand_id, area, xmin, ymin, xmax, ymax, 1 AS sign FROM cands UNION ALL SELECT cand_id, area, xmin + side / 4, ymin + side / 4, xmax - side / 4, ymax - side / 4, -1 FROM cands UNION ALL SELECT cand_id, area, xmin + 1000, ymin, xmax + 1000, ymax, 1 FROM cands),
  i AS (SELECT a.tile_id, b.cand_id, any_value(b.area) AS area, sum(sign * {INTER}) AS inter FROM tiles a JOIN b ON {MEET} GROUP BY ALL) SELECT tile_id, cand_id, round(inter, 6) AS inter, round(inter / (area * 7 / 4), 6) AS visible FROM i WHERE inter > 0""",
-        "iou_concave": f"""WITH {CANDS}, q AS (SELECT cand_id, image, area, unnest([{{'x': 0, 'y': 0}}, {{'x': 1, 'y': 0}}, {{'x': 0, 'y': 1}}, {{'x': 1, 'y': 1}}]) AS u, xmin + u.x * side / 2 AS xmin, ymin + u.y * side / 2 AS ymin, xmin + side / 2 * (u.x + 1) AS xmax, ymin + side / 2 * (u.y + 1) AS ymax, u.x + u.y AS s FROM (SELECT cand_id, image, area, side, xmin, ymin FROM cands)),
+        "iou_concave": f"""WITH {CANDS}, u AS (SELECT unnest([0, 1, 0, 1]) AS ux, unnest([0, 0, 1, 1]) AS uy), c AS (SELECT cand_id, image, area, side / 2 AS h, xmin AS x, ymin AS y FROM cands),
+ q AS (SELECT cand_id, image, area, x + ux * h AS xmin, y + uy * h AS ymin, x + ux * h + h AS xmax, y + uy * h + h AS ymax, ux + uy AS s FROM c, u),
  i AS (SELECT a.cand_id AS p, b.cand_id AS g, any_value(a.area) AS area_a, any_value(b.area) AS area_b, sum({INTER}) AS inter FROM q a JOIN q b ON a.image = b.image AND a.cand_id % 2 = 0 AND b.cand_id % 2 = 1 AND a.s < 2 AND b.s > 0 AND {MEET} GROUP BY ALL)
  SELECT p, g, inter, round(inter / (0.75 * area_a + 0.75 * area_b - inter), 9) AS iou FROM i""",
         "window_read": """WITH px AS (SELECT o_orderkey % 3 AS scene, o_orderkey // 192 AS r, (o_orderkey // 3) % 64 AS c, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice::DOUBLE END AS b2, o_custkey AS b3 FROM orders),

@@ -52,7 +52,8 @@ def test_medians(spark, bins, few):
     got = {r.g: r.median for r in selection.medians(df, ["g"], "v", bins, few).collect()}
     assert got == {g: pytest.approx(statistics.median(vs), rel=1e-12) for g, vs in groups.items()}
     whole = [v for _, v in rows if v is not None and not math.isnan(v)]
-    assert selection.medians(df, [], "v", bins, few).first().median == pytest.approx(statistics.median(whole))
+    (all_,) = selection.medians(df, [], "v", bins, few).collect()
+    assert all_.median == pytest.approx(statistics.median(whole)) and selection.medians(df.where("false"), [], "v").count() == 0
     assert selection.medians(df.where("false"), ["g"], "v").count() == 0
 
 
