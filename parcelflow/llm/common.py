@@ -154,12 +154,14 @@ def drop_table(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
-def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
+def maybe_broadcast(df: DataFrame, row_bytes: int, more: Column | None = None) -> DataFrame:
     """Hint a broadcast only if the counted rows fit the bound; beyond it Spark shuffles both sides.
 
-    `df` must be cheap to count: a table that `materialize` wrote.
+    `df` must be cheap to count: a table that `materialize` wrote.  `more` gives the bytes that a row holds
+    besides `row_bytes`, where it has values of any length.
     """
-    return F.broadcast(df) if df.count() * (row_bytes + ROW_OVERHEAD) <= BROADCAST_BYTES else df
+    rows, held = df.agg(F.count("*"), F.coalesce(F.sum(more), F.lit(0)) if more is not None else F.lit(0)).first()
+    return F.broadcast(df) if rows * (row_bytes + ROW_OVERHEAD) + held <= BROADCAST_BYTES else df
 
 
 def text_of(name: str = "text") -> Column:

@@ -162,7 +162,14 @@ def kneser_ney(texts, discount=0.75):
     return single, double
 
 
-def disclosing(texts, generalise=0.85, remove=0.999, least=0.5, support=2):
+def _alike(docs):
+    """The mean share of its runs of three words that a document has in common with another."""
+    runs = [{tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))} for w in docs if w]
+    times = Counter(r for own in runs for r in own)
+    return sum(c * (c - 1) for c in times.values()) / (len(docs) - 1) / max(1, sum(times.values()))
+
+
+def disclosing(texts, generalise=0.85, remove=0.999, least=0.5, support=2, covers=0.8):
     """{row: [(start, end, put)]} of the terms that disclose an entity of their row."""
     held, words, n_term, n_entity, first = {}, {}, Counter(), Counter(), {}
     for row, text in texts.items():
@@ -173,24 +180,29 @@ def disclosing(texts, generalise=0.85, remove=0.999, least=0.5, support=2):
         n_term.update(set(re.findall(r"[^\W\d_]+", (text or "").lower())))
         found = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^\W\d_]{3,}", text or "")]
         words[row] = [w for w in found if not any(a < w[1] and w[0] < b for a, b, _ in at)]
-        for k, (_, _, term) in enumerate(words[row]):
-            first.setdefault((row, term), words[row][k - 1][2] if k else None)
-    n, share = len(texts), {}
+        own = [w[2] for w in words[row]]
+        for k, term in enumerate(own):
+            first.setdefault((row, term), (own[k - 1] if k else None, (own[max(0, k - 8) : k], own[k + 1 : k + 9])))
+    n, share, both_of = len(texts), {}, {}
     for entity in n_entity:
         if support <= n_entity[entity] < n:
             rows = [r for r in held if entity in held[r]]
+            apart = _alike([[w[2] for w in words[r]] for r in rows]) < 0.5
             for term, both in Counter(t for r in rows for t in {w[2] for w in words[r]}).items():
-                follows = {first[r, term] for r in rows if (r, term) in first}
-                if both >= support and len(follows) > 1:
+                seen = [first[r, term] for r in rows if (r, term) in first]
+                if both >= support and (len({b for b, _ in seen}) > 1 or (apart and any(w != seen[0][1] for _, w in seen))):
                     share[term, entity] = math.log(both * n / (n_term[term] * n_entity[entity])) / -math.log(n_entity[entity] / n)
+                    both_of[term, entity] = both
     out = {}
     for row in texts:
         put = {}
         for (term, entity), s in share.items():
             if entity in held[row] and s >= generalise:
-                safe = [(t, n_term[w], w) for (w, e), t in share.items() if e == entity and least <= t < generalise]
+                k = n_entity[entity]
+                safe = [(t, n_term[w], w, both_of[w, e]) for (w, e), t in share.items() if e == entity and least <= t < generalise and both_of[w, e] >= covers * k]
                 best = max(safe, default=None)
-                new = "" if s >= remove else best[2] if best and best[1] > n_term[term] else "[TERM]"
+                good = best and best[1] > n_term[term] and both_of[term, entity] + best[3] - k >= covers * n_term[term]
+                new = "" if s >= remove else best[2] if good else "[TERM]"
                 put[term] = min(put.get(term, new), new)
         out[row] = [(a, b, put[w]) for a, b, w in words[row] if w in put]
     return out

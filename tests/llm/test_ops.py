@@ -89,6 +89,48 @@ def test_disclosure(spark):
     assert not any("Zanzibar" in rows[i][a:b] for i, t in told.items() for a, b, _ in t)
 
 
+def test_disclosure_in_templates(spark):
+    """Names between the same words in letters that differ elsewhere are found; copies and near copies of a text lose nothing."""
+    rng = random.Random(12)
+    some = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(4)) for _ in range(n))
+    names = ["N" + "".join(rng.choice("qrstuvwxyz") for _ in range(9)) for _ in range(20)]
+    rows = [some(30) for _ in range(200)]
+    rows += [f"{some(20)} Dear {n} please write to user{k}@corp.example.com {some(20)}" for k, n in enumerate(names) for _ in range(4)]
+    for k in range(5):
+        one = f"{some(30)} mail copy{k}@corp.example.com {some(30)}".split()
+        rows += [" ".join(one)] * 5
+        for _ in range(3):  # near copies: one word changed, the words before all others the same
+            w = list(one)
+            w[-1] = some(1)
+            rows.append(" ".join(w))
+    want = dict(enumerate(rows))
+    docs = spark.createDataFrame(list(want.items()), "doc_id long, text string")
+    got = {r.doc_id: [(t.start, t.end, t.put) for t in r.terms] for r in pii.analysed(secrets.bodies_of(docs)).collect()}
+    assert got == brute.disclosing(want)
+    letters, copies = range(200, 280), range(280, len(rows))
+    assert all(any(rows[i][a:b] == names[(i - 200) // 4] for a, b, _ in got[i]) for i in letters)
+    assert sum(len(got[i]) for i in letters) <= 1.05 * len(letters) and not any(got[i] for i in [*range(200), *copies])
+
+
+def test_many_addresses_in_a_text(spark, monkeypatch):
+    """Addresses that stand together make the pairs of a text once, not its terms times its addresses."""
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    terms, mails = [word() for _ in range(600)], [f"u{k}@corp.example.com" for k in range(600)]
+    texts = [" ".join(rng.sample(terms, 600) + mails) for _ in range(2)] + [" ".join(word() for _ in range(20)) for _ in range(50)]
+    sizes, write = {}, pii.materialize
+
+    def spy(df, name):
+        out = write(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(pii, "materialize", spy)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.terms for r in pii.analysed(secrets.bodies_of(docs)).collect()}
+    assert sizes["pairs"] <= 1200 and len(rows[0]) == len(rows[1]) == len(set(terms))
+
+
 @pytest.mark.parametrize("use", [pii.digest, secrets.digest, lambda d: bpe.digests(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))])
 def test_odd_rows(use, odd, none):
     """Repeated rows, null ids, clashing columns and an empty table."""
