@@ -10,16 +10,20 @@ over trapezoids.  Work follows edges and the slabs they span, not pairs of edges
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 from functools import wraps
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.storage import cut
 from .greedy import components
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need no copy of the package
+
 #: Metres within which edges count as one and sides as not touching.
 NEAR = 1e-6
 #: Edges that a cell of the grid should hold.
