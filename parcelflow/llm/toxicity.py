@@ -1,48 +1,48 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-Two interpolated bigram models are counted over all labelled rows outside the held-out third, but for a
-quarter of them that sets the weights.  Words and bigrams are smoothed by absolute discounts; what both
-classes discount is pooled, so a rare expression backs off to its word and a rare word to a shared
-distribution.  Log-ratios of the two likelihoods are summed by sign and by how many standard errors they
-measure, and the score is a logistic of these length-normalised sums.
+"""Toxicity by class-conditional models of words and bigrams that share their backoff.
+
+An expression is a word or a bigram.  For each class it is counted in how many labelled texts it stands, over
+all labelled rows outside the held-out third.  As in Kneser-Ney smoothing these are counts of contexts, not of
+occurrences, and they are discounted absolutely: of what an expression has in a class beyond or below its
+share by the shared backoff, a number of standard errors is taken away.  So a rare bigram has the likelihoods
+of its word, and a rare word those of both classes together.  A text's score is a logistic of the difference
+of its two log-likelihoods over its number of words; the scale and the offset are fitted on likelihoods that
+leave the text itself out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import materialize, maybe_broadcast, small, temporary, text_of
+from .common import fresh, materialize, maybe_broadcast, numbered, small, temporary, text_of
 from .kernel import HashIndex, U, mix, words
 
-#: The weights are fitted on at most so many labelled rows of each class, in the order of a hash.  Counts have no such bound.
+#: Scale and offset are fitted on at most so many labelled rows of each class, in the order of a hash.  Counts have no such bound.
 SAMPLE_ROWS = 6000
-#: Of so many parts of the labelled rows one sets the weights, the others are counted.
-PARTS = 4
 #: Rejected from this score on.
 THRESHOLD = 0.7
-DISCOUNT = 0.75
-#: Standard errors from which a word speaks by itself, and an expression besides its word; below, both back off.
-WORD_LEAST, PAIR_LEAST = 1.0, 2.0
-#: Words and expressions that the model has at most, those with the most standard errors; the rest backs off.
-MODEL = 1 << 20
-#: Standard errors that part the log-ratios into tiers; each sign of each tier has a fitted weight.
-TIERS = np.array([1.0, 2.0, 3.0, 4.0, 6.0])
-KINDS = 2 * (len(TIERS) + 1)
-#: Powers of the number of words that divide the sums.
-POWERS = (1.0, 0.5)
-#: Features of a text: sums of bigrams and of words by tier and power, and one.
-FEATURES = 2 * KINDS * len(POWERS) + 1
-#: Classes weigh as their shares to this power: 1 as they are, 0 alike.
-RIDGE, BALANCE = 1.0, 0.5
-_START = U(0x53544152)
+#: Standard errors that are discounted from words and from bigrams, and the variance that stands for a count of nothing.
+WORD_DISCOUNT, PAIR_DISCOUNT, LEAST = 3.0, 3.5, 0.2
+#: Texts that the shared backoff counts for besides those that hold the expression.
+VIRTUAL = 0.5
+#: In the fit classes weigh as their shares to this power: 1 as they are, 0 alike.
+BALANCE = 0.5
+#: Expressions that are sent to every task, the most frequent first; the others are joined.
+SENT = 1 << 18
+#: Log-likelihoods are whole numbers of this unit, so their sums don't depend on the order.
+UNIT = 1e-6
+_START, _WORD = U(0x53544152), U(0x574F5244)
 _LOW = U(0xFFFFFFFF)
-#: Pairs that a task counts before it passes them on.
+#: Expressions that a task counts before it passes them on.
 _HELD = 1 << 20
+#: Log-likelihoods of both classes by all counts, and without a text of the ordinary or of the toxic class.
+ALL, WITHOUT = ("t", "o"), (("t0", "o0"), ("t1", "o1"))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -51,240 +51,250 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def labelled(labels: DataFrame) -> DataFrame:
-    """(doc_id, y, part) outside the held-out third; an id that is labelled more than once has its largest label."""
+    """(doc_id, y) outside the held-out third; an id that is labelled more than once has its largest label."""
     y = F.col("toxic").cast("int")
     rows = labels.select("doc_id", y.alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).where(~held_out())
-    return rows.groupBy("doc_id").agg(F.max("y").alias("y")).withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(PARTS)))
-
+    return rows.groupBy("doc_id").agg(F.max("y").alias("y"))
 
-def _codes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit codes of words, which are statistics and need not be apart, and the first of each text."""
-    hashed, first = words(col)
-    return hashed >> U(32), first
 
+def _expressions(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the word and of the bigram at each place, and the first place of each text.
 
-def _bigrams(code: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The word before and the word, in one 64-bit number, at each place."""
+    A key is the code of the word before, or a mark, and the code of the word.  Codes have 32 bits: they
+    are statistics and need not be apart.
+    """
+    hashed, first = words(col)
+    code = hashed >> U(32)
     before = np.append(_START, code[:-1])[: len(code)]
     before[first[:-1][np.diff(first) > 0]] = _START
-    return before << U(32) | code
+    return _WORD << U(32) | code, before << U(32) | code, first
 
 
-def pair_counts(rows: DataFrame) -> DataFrame:
-    """(pair, n0, n1) from (y, text): texts of each class that hold each bigram, counted in tasks before they move."""
+def _of_texts(col: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text its different expressions, and how often it has each."""
+    word, pair, first = _expressions(col)
+    for a, z in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield np.unique(np.concatenate([word[a:z], pair[a:z]]), return_counts=True)
+
+
+def text_counts(rows: DataFrame) -> DataFrame:
+    """(key, n0, n1) from (y, text): texts of each class that hold each expression, counted in tasks before they move."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def flush() -> pa.RecordBatch:
-            pair, y = (np.concatenate([h[k] for h in held]) for k in (0, 1))
-            distinct, of = np.unique(pair, return_inverse=True)
+            key, y = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            distinct, of = np.unique(key, return_inverse=True)
             counts = [np.bincount(of[y == c], minlength=len(distinct)).astype(np.int32) for c in (0, 1)]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, counts)], ["pair", "n0", "n1"])
+            return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, counts)], ["key", "n0", "n1"])
 
         for b in small(batches):
-            code, first = _codes(b.column(1))
-            pairs, y = _bigrams(code, first), b.column(0).to_numpy()
-            for i, a, z in zip(range(len(y)), first[:-1].tolist(), first[1:].tolist(), strict=True):
-                own = np.unique(pairs[a:z])
-                held.append((own, np.full(len(own), y[i], np.int8)))
+            for y, (own, _) in zip(b.column(0).to_pylist(), _of_texts(b.column(1)), strict=True):
+                held.append((own, np.full(len(own), y, np.int8)))
                 size += len(own)
-            if size >= _HELD:
-                yield flush()
-                size = 0
+                if size >= _HELD:
+                    yield flush()
+                    size = 0
         if held:
             yield flush()
 
-    counted = rows.select("y", "text").mapInArrow(work, "pair long, n0 int, n1 int")
-    return counted.groupBy("pair").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counted = rows.select("y", "text").mapInArrow(work, "key long, n0 int, n1 int")
+    return counted.groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+
+
+def _share(n0: Column, n1: Column, back: Column, errors: float) -> Column:
+    """The toxic part of an expression: its counts, discounted towards what the backoff gives."""
+    n = n0 + n1
+    more, discount = n1 - n * back, errors * F.sqrt(n * back * (1 - back) + LEAST)
+    toxic = F.greatest(n * back + more - F.signum(more) * discount, F.lit(0.0)) + VIRTUAL * back
+    ordinary = F.greatest(n - n * back - more + F.signum(more) * discount, F.lit(0.0)) + VIRTUAL * (1 - back)
+    return F.when(F.abs(more) <= discount, back).otherwise(toxic / (toxic + ordinary))
 
 
-def ratios(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, ratio, z) of words and of bigrams: log-ratio of toxic to ordinary likelihood, and its standard errors.
+def likelihoods(counts: DataFrame) -> DataFrame:
+    """(key, n, t, o, t0, o0, t1, o1): what an expression adds to the log-likelihoods of both classes, in UNIT.
 
-    The model of a class c gives a word w after v
-        max(n_c(v w) - D, 0) / n_c(v) + D t(v) / n(v) * P_c(w),   P_c(w) = max(k_c(w) - D, 0) / k_c + s
-    where k_c(w) counts the distinct words before w, t(v) the distinct words after v, and s shares what all
-    words discount.  A bigram's ratio is what it says besides its word.  Bigrams of a single text have no
-    ratio of their own, they count for their words and contexts.
+    With r the toxic part of a word w, q that of the bigram v w and R that of all words, the class models are
+        P_toxic(w | v) = P(w | v) q / R,   P_ordinary(w | v) = P(w | v) (1 - q) / (1 - R)
+    and P(w | v), which both share, cancels where they are compared.  A word adds log r / R and log (1 - r) / (1 - R),
+    a bigram what q has besides r.  t0, o0 and t1, o1 are the same without one text of a class that holds the
+    expression.  Expressions that add nothing, because they have just their backoff, have no row.
     """
-    before, word = F.shiftrightunsigned("pair", 32).alias("before"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).alias("word")
-    table = pairs.select("pair", before, word, "n0", "n1")
-    kinds = table.groupBy("word").agg(*(F.count_if(F.col(f"n{c}") > 0).alias(f"k{c}") for c in (0, 1)))
-    kinds = materialize(kinds, "words")
-    contexts = table.groupBy("before").agg(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.count("*").alias("t"))
-    got = kinds.agg(F.count("*"), F.sum("k0"), F.sum("k1"), F.count_if(F.col("k0") > 0) + F.count_if(F.col("k1") > 0)).first()
-    size, t0, t1 = got[0], max(got[1] or 0, 1), max(got[2] or 0, 1)
-    spread = DISCOUNT * got[3] / (t0 + t1) / (size + 1)
-    over = lambda n: F.greatest(F.col(n) - DISCOUNT, F.lit(0.0))
-    uni = [(over(k) / t + spread).alias(u) for k, t, u in (("k0", t0, "u0"), ("k1", t1, "u1"))]
-    prior = [spread * t0, spread * t1]  # what a count of nothing stands for
-    error = lambda a, b: F.sqrt(1 / (F.col(a) + prior[0]) + 1 / (F.col(b) + prior[1]))
-    single = kinds.select(F.col("word").alias("key"), "k0", "k1", *uni).withColumn("ratio", F.log(F.col("u1") / F.col("u0")))
-    single = single.select("key", "ratio", (F.abs("ratio") / error("k0", "k1")).alias("z"))
-    rows = table.where("n0 + n1 > 1").join(contexts, "before").join(kinds.select("word", *uni), "word")
-    back = DISCOUNT * F.col("t") / (F.col("s0") + F.col("s1"))
-    full = [over(f"n{c}") / F.greatest(F.col(f"s{c}"), F.lit(1)) + back * F.col(f"u{c}") for c in (0, 1)]
-    rows = rows.withColumn("ratio", F.log(full[1] / full[0]) - F.log(F.col("u1") / F.col("u0")))
-    return single, rows.select(F.col("pair").alias("key"), "ratio", (F.abs("ratio") / error("n0", "n1")).alias("z"))
-
-
-def _strongest(table: DataFrame, least: float, most: int) -> pa.Table:
-    """Rows from `least` standard errors on; where they are more than `most`, from a higher bound on that a histogram gives."""
-    table = materialize(table.where(F.col("z") >= least), "ratios")
-    if table.count() > most:
-        bins = table.groupBy(F.floor(F.least(F.col("z") * 16, F.lit(4096))).alias("b")).count().orderBy(F.desc("b")).collect()  # 4097 rows at most
-        total = 0
+    before, word = F.shiftrightunsigned("key", 32), F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))
+    table = counts.select("key", word.alias("word"), (before == int(_WORD)).alias("single"), *(F.col(c).cast("double").alias(c) for c in ("n0", "n1")))
+    total = table.where("single").agg(*((F.coalesce(F.sum(c), F.lit(0.0)) + 1).alias(c) for c in ("n0", "n1"))).first()
+    base = F.lit(total["n1"] / (total["n0"] + total["n1"]))
+    n0, n1 = F.col("n0"), F.col("n1")
+    less = [(n0, n1), (F.greatest(n0 - 1, F.lit(0.0)), n1), (n0, F.greatest(n1 - 1, F.lit(0.0)))]
+
+    def added(rows: DataFrame, back: list[Column], errors: float) -> DataFrame:
+        rows = rows.withColumns({f"q{i}": _share(*less[i], back[i], errors) for i in range(3)})
+        out = []
+        for i, (t, o) in enumerate((ALL, *WITHOUT)):
+            q = F.col(f"q{i}")
+            out += [F.round(F.log(q / back[i]) / UNIT).cast("int").alias(t), F.round(F.log((1 - q) / (1 - back[i])) / UNIT).cast("int").alias(o)]
+        return rows.select("key", "word", (n0 + n1).cast("long").alias("n"), *out, *(f"q{i}" for i in range(3)))
+
+    single = added(table.where("single"), [base] * 3, WORD_DISCOUNT)
+    back = [F.col(f"r{i}") for i in range(3)]
+    parts = single.select("word", *(F.col(f"q{i}").alias(f"r{i}") for i in range(3)))
+    double = added(table.where("NOT single").join(parts, "word"), back, PAIR_DISCOUNT)
+    names = [*ALL, *WITHOUT[0], *WITHOUT[1]]
+    return single.unionByName(double).where(" OR ".join(f"{c} <> 0" for c in names)).select("key", "n", *names)
+
+
+@dataclass
+class Model:
+    """Expressions that are sent, those that are joined (none, where all could be sent), and the line of the score."""
+
+    sent: tuple[np.ndarray, np.ndarray]
+    joined: DataFrame | None
+    names: tuple[str, str] = ALL
+    scale: float = 0.0
+    offset: float = 0.0
+
+    @classmethod
+    def of(cls, table: DataFrame, names: tuple[str, str], most: int) -> Model:
+        """From a table that is written: of its most frequent expressions at most `most` are sent."""
+        rows = table.where(" OR ".join(f"{c} <> 0" for c in names)).select("key", "n", *names)
+        bins = rows.groupBy(F.floor(F.log2("n") * 4).alias("b")).count().orderBy(F.desc("b")).collect()  # 256 rows at most
+        least, total = None, 0
         for b, n in bins:
             total += n
             if total > most:
                 break
-            least = b / 16
-        table = table.where(F.col("z") >= least)
-    return table.select("key", F.col("ratio").cast("float").alias("ratio"), F.col("z").cast("float").alias("z")).toArrow()
-
-
-class KneserNey:
-    """Log-likelihood ratios of bigrams and of words that speak, and the weights of their sums."""
-
-    def __init__(self, pairs: pa.Table, singles: pa.Table) -> None:
-        self.tables = [_table(mix(_numbers(pairs)) | U(1), pairs), _table(_numbers(singles) + U(1), singles)]
-        self.line = np.zeros(FEATURES)
-
-    def state(self) -> tuple:
-        """Plain arrays, which any worker can read."""
-        return [(i.keys, i.values, v, k) for i, v, k in self.tables], self.line
-
-    @classmethod
-    def load(cls, state: tuple) -> KneserNey:
-        out = cls.__new__(cls)
-        tables, out.line = state
-        out.tables = []
-        for keys, values, v, k in tables:
-            index = HashIndex(0)
-            index.keys, index.values = keys, values
-            out.tables.append((index, v, k))
-        return out
+            least = b
+        split = F.floor(F.log2("n") * 4) >= F.lit(least) if least is not None else F.lit(False)
+        got = rows.where(split).orderBy("key").toArrow()
+        sent = got["key"].to_numpy().astype(np.int64).view(U), np.stack([got[c].to_numpy().astype(np.int64) for c in names], 1)
+        return cls(sent, rows.where(~split).drop("n") if total > most else None, names)
 
-    def features(self, col: pa.Array) -> np.ndarray:
-        """For each text the sums of log-ratios by tier over powers of its number of words; and one."""
-        code, first = _codes(col)
-        size = np.diff(first)
-        text = np.repeat(np.arange(len(size)), size) * KINDS
-        n, out = np.maximum(size, 1)[:, None], []
-        for (index, value, kind), keys in zip(self.tables, (mix(_bigrams(code, first)) | U(1), code + U(1)), strict=True):
-            at = index.get(keys)
-            total = np.bincount(text + kind[at], value[at], len(size) * KINDS).reshape(len(size), KINDS)
-            out += [total / n**p for p in POWERS]
-        return np.concatenate([*out, np.ones((len(size), 1))], 1)
+    def score(self, toxic: Column, ordinary: Column, n: Column) -> Column:
+        line = self.scale * UNIT * (toxic - ordinary) / F.greatest(n, F.lit(1)) + self.offset
+        return 1 / (1 + F.exp(-F.least(F.greatest(line, F.lit(-30.0)), F.lit(30.0))))
 
-    def score(self, col: pa.Array) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.features(col) @ self.line, -30, 30)))
 
-
-def _numbers(table: pa.Table) -> np.ndarray:
-    return table["key"].to_numpy().astype(np.int64).view(U)
+def _index(keys: np.ndarray) -> HashIndex:
+    index = HashIndex(4)
+    index.add(mix(keys) | U(1), np.arange(len(keys)))
+    return index
 
 
-def _table(keys: np.ndarray, rows: pa.Table) -> tuple[HashIndex, np.ndarray, np.ndarray]:
-    """Values and their tiers by key; what is not held finds the zero at the end."""
-    keys, first = np.unique(keys, return_index=True)
-    value, z = rows["ratio"].to_numpy()[first], rows["z"].to_numpy()[first]
-    kind = 2 * np.searchsorted(TIERS, z, "right") + (value > 0)
-    index = HashIndex(4)
-    index.add(keys, np.arange(len(keys)))
-    return index, np.append(value, 0).astype(np.float32), np.append(kind, 0).astype(np.int8)
+def with_likelihoods(docs: DataFrame, text: str, model: Model, toxic: str, ordinary: str, n: str) -> DataFrame:
+    """`docs` with three columns: the log-likelihoods of both classes in UNIT, by what both share, and the number of words."""
+    new = (toxic, ordinary, n)
+    sent = docs.sparkSession.sparkContext.broadcast(model.sent)  # SENT rows at most
+    rows = docs if model.joined is None else numbered(docs, fresh("_row", docs))
+    at = rows.columns.index(text)
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, value = _index(sent.value[0]), np.vstack([sent.value[1], np.zeros((1, 2), np.int64)])
+        for b in small(batches):
+            word, pair, first = _expressions(b.column(at).cast(pa.string()).fill_null(""))
+            found = value[index.get(mix(word) | U(1))] + value[index.get(mix(pair) | U(1))]
+            upto = np.vstack([np.zeros((1, 2), np.int64), np.cumsum(found, 0)])
+            total = upto[first[1:]] - upto[first[:-1]]
+            more = [pa.array(total[:, 0]), pa.array(total[:, 1]), pa.array(np.diff(first).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, *new])
+
+    schema = StructType([*rows.schema.fields, *(StructField(c, LongType()) for c in new)])
+    out = rows.mapInArrow(work, schema)
+    if model.joined is None:
+        return out
+    row, id_at = rows.columns[-1], len(rows.columns) - 1
 
-def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """Weighted logistic regression by bounded Newton steps; the ridge is on features of unit size, not on the constant."""
-    unit = np.sqrt((x**2).mean(0)) + 1e-9
-    unit[-1] = 1
-    x, ridge = x / unit, np.append(np.full(x.shape[1] - 1, RIDGE), 1e-3)
-    line = np.zeros(x.shape[1])
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(sent.value[0])
+        for b in small(batches):
+            for r, (key, often) in zip(b.column(id_at).to_pylist(), _of_texts(b.column(at).cast(pa.string()).fill_null("")), strict=True):
+                left = index.get(mix(key) | U(1)) < 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(left.sum(), r, np.int64)), pa.array(key[left].view(np.int64)), pa.array(often[left].astype(np.int64))], ["r", "key", "often"])
+
+    # frequent expressions are sent, so no key of this join is hot
+    found = rows.mapInArrow(keys, "r long, key long, often long").join(model.joined, "key")
+    t, o = model.names
+    rest = found.groupBy("r").agg(F.sum(F.col("often") * F.col(t)).alias("t"), F.sum(F.col("often") * F.col(o)).alias("o"))
+    rest = rest.select(F.struct("r", "t", "o").alias(fresh("_rest", out)))
+    own = rest.columns[0]
+    both = out.join(rest, out[row] == F.col(f"{own}.r"), "left")
+    sums = {c: F.col(c) + F.coalesce(F.col(f"{own}.{p}"), F.lit(0)) for c, p in ((toxic, "t"), (ordinary, "o"))}
+    return both.withColumns(sums).drop(row, own)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
+    """Scale and offset by weighted logistic regression in bounded Newton steps."""
+    unit = np.sqrt((x**2).mean()) + 1e-9
+    x = np.stack([x / unit, np.ones(len(x))], 1)
+    line = np.zeros(2)
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ line, -30, 30)))
-        grad = x.T @ (w * (p - y)) + ridge * line
-        hess = (x * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(ridge)
+        grad = x.T @ (w * (p - y)) + 1e-3 * line
+        hess = (x * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-3 * np.eye(2)
         step = np.linalg.solve(hess, grad)
         step *= min(1, 5 / max(np.abs(step).max(), 1e-9))
         line -= step
         if np.abs(step).max() < 1e-8:
             break
-    return line / unit
+    return float(line[0] / unit), float(line[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> KneserNey:
+def fit(docs: DataFrame, labels: DataFrame, most: int = SENT) -> Model:
     """The model of all labelled rows outside the held-out third; without labels of both classes it gives one score to all."""
-    with temporary():
-        return _fit(docs, labels)
-
-
-def _fit(docs: DataFrame, labels: DataFrame) -> KneserNey:
-    ids = materialize(labelled(labels), "labelled")
-    prior = ids.agg(F.avg(F.col("y").cast("double"))).first()[0]
-    rows = docs.select("doc_id", text_of().alias("text"))
-    counted = rows.join(maybe_broadcast(ids.where("part > 0"), 24), "doc_id")
-    single, double = ratios(materialize(pair_counts(counted), "pairs"))
-    model = KneserNey(_strongest(double, PAIR_LEAST, MODEL), _strongest(single, WORD_LEAST, MODEL))
-    order = F.xxhash64(F.lit("toxicity"), "doc_id")
-    one, two = (ids.where("part = 0").where(F.col("y") == y).orderBy(order, "doc_id").limit(SAMPLE_ROWS) for y in (0, 1))
-    sample = rows.join(F.broadcast(one.unionByName(two)), "doc_id")  # at most 2 * SAMPLE_ROWS ids
-    sent = docs.sparkSession.sparkContext.broadcast(model.state())  # bounded by MODEL
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = KneserNey.load(sent.value)
-        for b in small(batches):
-            raw = [x.tobytes() for x in m.features(b.column(0))]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(raw, pa.binary())], ["doc_id", "y", "x"])
-
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    seen = sample.select("text", "doc_id", "y").mapInArrow(work, f"doc_id {id_type}, y int, x binary")
-    # rows that repeat an id count once, and in one order whatever the partitions
-    got = sorted((r["x"], r["y"]) for r in seen.groupBy("doc_id", "y").agg(F.min("x").alias("x")).collect())
-    y = np.array([c for _, c in got], float)
+    with temporary() as keep:
+        ids = materialize(labelled(labels), "labelled")
+        prior = ids.agg(F.avg(F.col("y").cast("double"))).first()[0]
+        rows = docs.select("doc_id", text_of().alias("text"))
+        counts = materialize(text_counts(rows.join(maybe_broadcast(ids, 24), "doc_id")), "counts")
+        table = keep(materialize(likelihoods(counts), "likelihoods"))
+        order = F.xxhash64(F.lit("toxicity"), "doc_id")
+        x, y = [], []
+        for c in (0, 1):
+            sample = ids.where(F.col("y") == c).orderBy(order, "doc_id").limit(SAMPLE_ROWS).select("doc_id")
+            texts = rows.join(F.broadcast(sample), "doc_id")  # SAMPLE_ROWS ids at most
+            seen = with_likelihoods(texts, "text", Model.of(table, WITHOUT[c], most), "t", "o", "n")
+            # rows that repeat an id count once, and in one order whatever the partitions
+            got = seen.groupBy("doc_id").agg(F.min((F.col("t") - F.col("o")) / F.greatest("n", F.lit(1))).alias("x")).select("x").collect()
+            x += sorted(r["x"] * UNIT for r in got)
+            y += [c] * len(got)
+        model = Model.of(table, ALL, most)
+    x, y = np.array(x), np.array(y, float)
     if len(y) and 0 < y.mean() < 1:
-        x = np.frombuffer(b"".join(bytes(v) for v, _ in got)).reshape(len(y), FEATURES)
         weight = np.where(y == 1, prior**BALANCE / y.mean(), (1 - prior) ** BALANCE / (1 - y.mean()))
-        model.line = _logistic(x, y, weight * len(y) / weight.sum())
+        model.scale, model.offset = _logistic(x, y, weight * len(y) / weight.sum())
     else:  # no labels, or labels of one kind
         p = min(max(prior or 0.0, 1e-6), 1 - 1e-6)
-        model.line[-1] = np.log(p / (1 - p))
+        model.offset = float(np.log(p / (1 - p)))
     return model
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted): one row per row of `docs`.
+def score_documents(docs: DataFrame, labels: DataFrame, most: int = SENT) -> DataFrame:
+    """(doc_id, held_out, score, predicted, toxic_likelihood, ordinary_likelihood): one row per row of `docs`.
 
-    Every row is scored by its text alone, so ties, repeated rows and rows without id need no rule; a null
-    text counts as empty, and an empty one gets the score of no evidence.  Ids that are labelled but not
-    in `docs`, null labels and labels other than 0 and 1 are ignored.
+    The likelihoods are logarithms per word, by the likelihood that both classes share.  Every row is scored by
+    its text alone, so ties, repeated rows and rows without id need no rule, and columns besides doc_id and text
+    play no part, whatever their names; a null text counts as empty, and an empty one gets the score of no
+    evidence.  An empty table gives no rows.  Ids that are labelled but not in `docs`, null labels and labels
+    other than 0 and 1 are ignored.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels).state())  # bounded by MODEL
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = KneserNey.load(sent.value)
-        for b in small(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(m.score(b.column(1)))], ["doc_id", "score"])
-
-    out = docs.select("doc_id", text_of().alias("text")).mapInArrow(work, f"doc_id {id_type}, score double")
-    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    model = fit(docs, labels, most)
+    rows = with_likelihoods(docs.select("doc_id", text_of().alias("text")), "text", model, "t", "o", "n").drop("text")
+    rows = rows.withColumn("score", model.score(F.col("t"), F.col("o"), F.col("n")))
+    per = lambda c: F.col(c) * UNIT / F.greatest("n", F.lit(1))
+    return rows.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        per("t").alias("toxic_likelihood"), per("o").alias("ordinary_likelihood"),
+    )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = SENT) -> DataFrame:
     """`docs` without the rows that the model rejects; all columns stay.
 
-    The score is made beside the row, without a join, so rows that repeat an id are judged each by itself.
+    Rows are judged each by its own text, so rows that repeat an id are told apart, null and empty texts have the
+    score of no evidence, an empty table stays empty, and columns of any other name pass.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(fit(docs, labels).state())  # bounded by MODEL
-    at = docs.columns.index("text")
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = KneserNey.load(sent.value)
-        for b in small(batches):
-            text = b.column(at).cast(pa.string()).fill_null("")
-            yield b.filter(pa.array(m.score(text) < THRESHOLD))
-
-    return docs.mapInArrow(work, docs.schema)
+    model = fit(docs, labels, most)
+    names = [fresh(c, docs) for c in ("toxic_part", "ordinary_part", "n_words")]
+    rows = with_likelihoods(docs, "text", model, *names)
+    return rows.where(model.score(*map(F.col, names)) < THRESHOLD).select(*docs.columns)

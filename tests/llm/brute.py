@@ -136,30 +136,36 @@ def warc(pages):
     return out
 
 
-def kneser_ney(texts, discount=0.75):
-    """({word: ratio}, {(before, word): ratio}) of (words, label) pairs; a bigram's ratio is what it says besides its word."""
+def likelihoods(texts):
+    """{(word,) or (before, word): [toxic, ordinary] by all texts, less an ordinary one, less a toxic one} of (words, label) pairs, in millionths."""
     n = [Counter(), Counter()]
     for w, y in texts:
-        n[y].update(set(zip([None, *w], w, strict=False)))
-    pairs = set(n[0]) | set(n[1])
-    vocab = {w for _, w in pairs}
-    kinds = [Counter(w for _, w in n[c]) for c in (0, 1)]
-    total = [max(1, sum(k.values())) for k in kinds]
-    spread = discount * sum(map(len, kinds)) / sum(total) / (len(vocab) + 1)
-    uni = [{w: max(kinds[c][w] - discount, 0) / total[c] + spread for w in vocab} for c in (0, 1)]
-    seen = [Counter(), Counter()]
-    for c in (0, 1):
-        for (v, _), k in n[c].items():
-            seen[c][v] += k
-    types = Counter(v for v, _ in pairs)
-    single = {w: math.log(uni[1][w] / uni[0][w]) for w in vocab}
-    double = {}
-    for v, w in pairs:
-        back = discount * types[v] / (seen[0][v] + seen[1][v])
-        full = [max(n[c][v, w] - discount, 0) / max(seen[c][v], 1) + back * uni[c][w] for c in (0, 1)]
-        if n[0][v, w] + n[1][v, w] > 1:
-            double[v, w] = math.log(full[1] / full[0]) - single[w]
-    return single, double
+        n[y].update({(x,) for x in w} | set(zip([None, *w], w, strict=False)))
+    total = [1 + sum(k for e, k in n[c].items() if len(e) == 1) for c in (0, 1)]
+
+    def part(counts, back, errors):
+        size = sum(counts)
+        share, discount = [size * (1 - back), size * back], errors * math.sqrt(size * back * (1 - back) + 0.2)
+        if abs(counts[1] - share[1]) <= discount:
+            return back
+        if counts[1] > share[1]:
+            left = [max(counts[0] + discount, 0), max(counts[1] - discount, 0)]
+        else:
+            left = [max(counts[0] - discount, 0), max(counts[1] + discount, 0)]
+        ordinary, toxic = left[0] + 0.5 * (1 - back), left[1] + 0.5 * back
+        return toxic / (toxic + ordinary)
+
+    out = {}
+    for e in set(n[0]) | set(n[1]):
+        out[e] = []
+        for less in ((0, 0), (1, 0), (0, 1)):
+            counts = lambda x: [max(n[c][x] - less[c], 0) for c in (0, 1)]  # noqa: B023, E731
+            base = total[1] / sum(total)
+            back, own = base, part(counts(e[-1:]), base, 3.0)
+            if len(e) == 2:
+                back, own = own, part(counts(e), own, 3.5)
+            out[e] += [round(1e6 * math.log(own / back)), round(1e6 * math.log((1 - own) / (1 - back)))]
+    return out
 
 
 def _alike(docs):

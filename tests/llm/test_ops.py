@@ -4,6 +4,7 @@ import base64
 import gzip
 import io
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -336,35 +337,55 @@ def test_toxicity(spark, none):
     assert toxicity.score_documents(docs, empty).count() == 601 and toxicity.score_documents(none, empty).count() == 0
 
 
-def test_toxicity_model(spark):
-    """Ratios of words and bigrams against brute force; labels of any type, null, repeated or of unknown rows."""
+def _corpus():
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 40)))) for i in range(80)]
     y = {i: int(i % 3 == 0) for i, _ in rows}
-    pairs = toxicity.pair_counts(spark.createDataFrame([(y[i], t) for i, t in rows], "y int, text string"))
-    single, double = toxicity.ratios(pairs)
+    return [(i, t + " foul" * y[i] + " quite vile" * (y[i] and i % 2)) for i, t in rows], y
+
+
+def test_toxicity_model(spark):
+    """What words and bigrams add, with all texts and without one, against brute force; every row counts once in each text."""
     import pyarrow as pa
 
-    code = {w: int(toxicity._codes(pa.array([w]))[0][0]) for w in WORDS} | {None: int(toxicity._START)}
-    one, two = brute.kneser_ney([(t.split(), y[i]) for i, t in rows])
-    got = {r.key: r.ratio for r in single.collect()}
-    assert got == {code[w]: pytest.approx(v, abs=1e-9) for w, v in one.items()}
-    got = {r.key & (1 << 64) - 1: r.ratio for r in double.collect()}
-    assert got == {code[v] << 32 | code[w]: pytest.approx(x, abs=1e-9) for (v, w), x in two.items()}
-    labels = spark.createDataFrame([*y.items(), (0, 0), (7, None), (None, 1), (12345, 1), (8, 9)], "doc_id long, toxic long")
-    docs = spark.createDataFrame([*rows, (1, rows[1][1]), (None, "a null id"), (500, "")], "doc_id long, text string")
-    out = toxicity.score_documents(docs, labels).collect()
-    assert len(out) == 83 and len({r.score for r in out if r.doc_id == 1}) == 1 and all(0 <= r.score <= 1 for r in out)
-    kept = toxicity.drop_toxic(docs.select(F.lit("z").alias("score"), "text", "doc_id"), labels)
-    assert kept.columns == ["score", "text", "doc_id"] and kept.count() == sum(r.score < toxicity.THRESHOLD for r in out)
+    rows, y = _corpus()
+    counts = toxicity.text_counts(spark.createDataFrame([(y[i], t) for i, t in rows], "y int, text string"))
+    code = {w: int(toxicity._expressions(pa.array([w]))[0][0]) & 0xFFFFFFFF for w in [*WORDS, "foul", "quite", "vile"]} | {None: int(toxicity._START)}
+    want = brute.likelihoods([(t.split(), y[i]) for i, t in rows])
+    keys = {(int(toxicity._WORD) << 32 | code[e[0]]) if len(e) == 1 else code[e[0]] << 32 | code[e[1]]: v for e, v in want.items()}
+    got = {r.key & (1 << 64) - 1: [r.t, r.o, r.t0, r.o0, r.t1, r.o1] for r in toxicity.likelihoods(counts).collect()}
+    assert got and {k: pytest.approx(v, abs=1.1) for k, v in keys.items() if any(v)} == got
 
 
-def test_toxicity_bound(spark):
-    """Beyond its bound a table keeps the entries of the most standard errors."""
-    table = spark.range(1000).select(F.col("id").alias("key"), F.lit(1.0).alias("ratio"), (F.col("id") / 100).alias("z"))
-    assert sorted(toxicity._strongest(table, 2.0, 10000)["key"].to_pylist()) == list(range(200, 1000))
-    got = sorted(toxicity._strongest(table, 2.0, 100)["key"].to_pylist())
-    assert got == list(range(got[0], 1000)) and 90 <= len(got) <= 107
+def test_toxicity_rows(spark):
+    """Scores by brute force from scale and offset; labels of any type, null, repeated or of unknown rows; clashing columns."""
+    rows, y = _corpus()
+    labels = spark.createDataFrame([*y.items(), (0, 0), (7, None), (None, 1), (12345, 1), (8, 9)], "doc_id long, toxic long")
+    docs = spark.createDataFrame([*rows, (1, rows[1][1]), (None, "a null id"), (500, ""), (501, "vile quite " * 30000)], "doc_id long, text string")
+    out = toxicity.score_documents(docs, labels).collect()
+    assert len(out) == 84 and len({r.score for r in out if r.doc_id == 1}) == 1 and all(0 <= r.score <= 1 for r in out)
+    learned = [(t.split(), y[i]) for i, t in [*rows, (1, rows[1][1])] if zlib.crc32(str(i).encode()) % 3 != 1]
+    model, table = toxicity.fit(docs, labels), brute.likelihoods(learned)
+    assert model.scale > 0
+    for r, t in zip(sorted(out, key=lambda r: (r.doc_id is None, r.doc_id)), [t for _, t in sorted([*rows, (1, rows[1][1])])] + ["", "vile quite " * 30000, "a null id"], strict=True):
+        w = t.split()
+        parts = [table[e] for e in [*((x,) for x in w), *zip([None, *w], w)] if e in table]
+        line = model.scale * toxicity.UNIT * sum(p[0] - p[1] for p in parts) / max(len(w), 1) + model.offset
+        assert r.score == pytest.approx(1 / (1 + np.exp(-line)), abs=1e-4)
+    kept = toxicity.drop_toxic(docs.select(F.lit("z").alias("score"), "text", F.lit(1).alias("n_words"), "doc_id"), labels)
+    assert kept.columns == ["score", "text", "n_words", "doc_id"] and kept.count() == sum(r.score < toxicity.THRESHOLD for r in out)
+
+
+@pytest.mark.parametrize("most", [0, 1])
+def test_toxicity_joined(spark, most):
+    """Expressions that are joined give the same as those that are sent, to the last digit."""
+    rows, y = _corpus()
+    labels = spark.createDataFrame([*y.items()], "doc_id long, toxic int")
+    docs = spark.createDataFrame([*rows, (1, rows[1][1]), (None, None), (None, None)], "doc_id long, text string")
+    assert sorted(map(str, toxicity.score_documents(docs, labels, most).collect())) == sorted(map(str, toxicity.score_documents(docs, labels).collect()))
+    assert sorted(map(str, toxicity.drop_toxic(docs, labels, most).collect())) == sorted(map(str, toxicity.drop_toxic(docs, labels).collect()))
+    model = toxicity.fit(docs, labels, most)
+    assert len(model.sent[0]) == most and model.joined is not None and toxicity.fit(docs, labels).joined is None
 
 
 def test_warc(spark):
