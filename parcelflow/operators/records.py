@@ -84,9 +84,15 @@ def first_of(df: DataFrame, by: str, most: int, *order: str) -> DataFrame:
 
 
 def quality_sample(images: DataFrame) -> DataFrame:
-    """Images to look at: of those with instances, so many of each split by a hash of their name."""
+    """Images to look at: of those with instances, so many of each split by a hash of their name.
+
+    A split is ranked within bins of the first digits of the hash and each bin keeps its first rows, so what
+    is ranked as a whole has a row limit times 256, whatever the table.
+    """
     most = F.when(F.col("split") == "train", SAMPLE["train"]).when(F.col("split") == "val", SAMPLE["val"]).otherwise(0)
-    ranked = images.where("n_inst > 0").withColumn("h", hash_rank("image")).withColumn("rank", F.row_number().over(Window.partitionBy("split").orderBy("h", "image")))
+    rows = images.where("n_inst > 0").withColumn("h", hash_rank("image")).withColumn("bin", F.substring("h", 1, 2))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("split", "bin").orderBy("h", "image"))).where(F.col("place") <= most)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("split").orderBy("h", "image")))
     return ranked.where(F.col("rank") <= most).select("split", "image", "rank")
 
 

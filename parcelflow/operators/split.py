@@ -58,52 +58,109 @@ def source_split(tiles: DataFrame) -> DataFrame:
     return ranked.select("source", "positives", chosen.alias("split"))
 
 
-def band_cuts(tiles: DataFrame) -> DataFrame:
-    """One row: the best pair of cuts (k1, k2, c1, c2), counts of each band, and the score.
+def _running(rows: DataFrame, x: str, columns: list[str]) -> DataFrame:
+    """`rows` (one for each x) with their columns summed up to and with each x.
 
-    Tiles are counted by centre.  Each cut knows from running totals how many tiles end at or before it or begin at or after it, so a pair of cuts is scored from its two ends;
-    tiles that cross both cuts are counted by pair.
+    Ranges of x are summed apart and carry what the ranges before them hold, so no task sees all rows.
     """
-    half = (F.col("xmax") - F.col("xmin")) / 2
-    centres = tiles.groupBy(((F.col("xmin") + F.col("xmax")) / 2).alias("c"), half.alias("hw")).agg(F.count("*").alias("n"), F.count_if(F.col("is_negative") == 0).alias("pos"))
-    centres = cut(centres)
-    order = centres.select("c").distinct().withColumn("k", F.row_number().over(Window.orderBy("c")) - 1).withColumn("many", F.count("*").over(Window.partitionBy()))
-    order = cut(order)  # one row a distinct centre
-    ends = F.array(
-        F.struct((F.col("c") - F.col("hw")).alias("x"), F.lit(1).alias("kind"), "n", "pos"),
-        F.struct((F.col("c") + F.col("hw")).alias("x"), F.lit(2).alias("kind"), "n", "pos"),
-    )
-    marks = centres.select(F.explode(ends).alias("e")).select("e.*")
-    asked = order.select(F.col("c").alias("x"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("pos"))
-    marks = marks.unionByName(asked)
+    rows = cut(rows.repartitionByRange(x).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    sums = rows.groupBy("part").agg(*(F.sum(c).alias(f"part_{c}") for c in columns))
+    carried = sums.select("part", *(F.coalesce(F.sum(f"part_{c}").over(before), F.lit(0)).alias(f"before_{c}") for c in columns))
+    upto = Window.partitionBy("part").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(F.broadcast(carried), "part")
+    return out.select(*(c for c in rows.columns if c not in columns and c != "part"), *(F.col(c).alias(f"own_{c}") for c in columns), *((F.sum(c).over(upto) + F.col(f"before_{c}")).alias(c) for c in columns))
+
+
+def _cut_points(centres: DataFrame) -> DataFrame:
+    """(c, k, many, and for n and pos: begun, ended): each distinct centre as a cut, with the tiles that begin before it and end by it.
+
+    A tile without width ends after the cut at its own centre, since it lies in the band that begins there.
+    """
+    kinds, half = ("begun", "ended", "flat"), F.col("hw")
+    at = {"begun": F.col("c") - half, "ended": F.col("c") + half, "flat": F.col("c")}
+    none = F.lit(0).cast("long")
+    marks = None
+    for kind in kinds:
+        holds = F.when(half <= 0, F.lit(1)).otherwise(0) if kind == "flat" else F.lit(1)
+        values = [(F.col(v) * holds if k == kind else none).alias(f"{k}_{v}") for k in kinds for v in ("n", "pos")]
+        rows = centres.select(at[kind].alias("x"), *values, F.lit(int(kind == "flat")).alias("centre"))
+        marks = rows if marks is None else marks.unionByName(rows)
+    columns = [f"{k}_{v}" for k in kinds for v in ("n", "pos")]
+    marks = marks.groupBy("x").agg(*(F.sum(c).alias(c) for c in columns), F.max("centre").cast("long").alias("centre"))
+    rows = _running(marks, "x", [*columns, "centre"]).where("own_centre = 1")
     # strictly before the cut: tiles that begin; at or before it: tiles that end
-    upto = lambda kind, v, by: F.sum(F.when(F.col("kind") == kind, F.col(v)).otherwise(0)).over(by)
-    below = Window.orderBy("x").rangeBetween(Window.unboundedPreceding, 0)
-    here = Window.partitionBy("x")
-    strict = lambda kind, v: upto(kind, v, below) - upto(kind, v, here)
-    at = marks.select("x", "kind", *(strict(1, v).alias(f"begun_{v}") for v in ("n", "pos")), *(upto(2, v, below).alias(f"ended_{v}") for v in ("n", "pos")))
-    at = cut(order.join(at.where("kind = 0").drop("kind").withColumnRenamed("x", "c"), "c"))
-    stats = [c for c in at.columns if "_" in c]
-    one, two = (at.select(F.col("k").alias(f"k{i}"), F.col("c").alias(f"c{i}"), *(F.col(c).alias(f"{c}{i}") for c in stats), *(["many"] if i == 1 else [])) for i in (1, 2))
-    pairs = one.join(two, (F.col("k2") >= F.col("k1") + 2) & (F.col("k1") >= 1) & (F.col("k1") < F.col("many") - 3) & (F.col("k2") < F.col("many") - 1))
-    # tiles that cross both cuts of a pair are few: only centres between lie as near to both
-    crossing = lambda x: (F.col("c") - F.col("hw") < F.col(x)) & (F.col("c") + F.col("hw") > F.col(x))
-    both = order.select(F.col("k").alias("k1"), F.col("c").alias("c1")).join(centres, crossing("c1")).join(order.select(F.col("k").alias("k2"), F.col("c").alias("c2")), crossing("c2") & (F.col("k2") > F.col("k1")))
-    both = both.groupBy("k1", "k2").agg(*(F.sum(v).alias(f"b_{v}") for v in ("n", "pos")))
-    total = centres.agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
-    rows = pairs.join(both, ["k1", "k2"], "left").na.fill(0).join(F.broadcast(total))  # one row
-    scored = rows
+    begun, ended = ([(F.col(f"{k}_{v}") - F.col(f"own_{o}_{v}")).alias(f"{k}_{v}") for v in ("n", "pos")] for k, o in (("begun", "begun"), ("ended", "flat")))
+    rows = cut(rows.select(F.col("x").alias("c"), (F.col("centre") - 1).alias("k"), *begun, *ended))
+    return rows.join(F.broadcast(rows.agg(F.count("*").alias("many"))))  # one row
+
+
+def _crossing_both(one: DataFrame, two: DataFrame, centres: DataFrame, width: float) -> DataFrame:
+    """(k1, k2, b_n, b_pos): tiles that cross both cuts; tiles and cuts meet by cells of twice the widest half."""
+    near = lambda x: F.explode(F.sequence(F.floor((F.col(x) - width / 2) / width), F.floor((F.col(x) + width / 2) / width)))
+    crosses = lambda x: (F.col("c") - F.col("hw") < F.col(x)) & (F.col("c") + F.col("hw") > F.col(x))
+    tiles = centres.withColumn("cell", F.floor(F.col("c") / width))
+    first = one.select("k1", "c1", near("c1").alias("cell")).join(tiles, "cell").where(crosses("c1"))
+    both = first.join(two.select("k2", "c2", near("c2").alias("cell")), "cell").where(crosses("c2") & (F.col("k2") > F.col("k1")))
+    return both.groupBy("k1", "k2").agg(*(F.sum(v).alias(f"b_{v}") for v in ("n", "pos")))
+
+
+def _scored_cuts(one: DataFrame, two: DataFrame, centres: DataFrame, width: float, total: DataFrame) -> DataFrame:
+    """Pairs of cuts that leave no band empty, nor val and test without positives, with counts and score."""
+    pairs = one.join(two, F.col("k2") >= F.col("k1") + 2)
+    rows = pairs.join(_crossing_both(one, two, centres, width), ["k1", "k2"], "left").na.fill(0).join(F.broadcast(total))  # one row
     for v in ("n", "pos"):
         crosses1, crosses2 = (F.col(f"begun_{v}{i}") - F.col(f"ended_{v}{i}") for i in (1, 2))
         dropped = crosses1 + crosses2 - F.col(f"b_{v}")
         # a band's tiles: before the first cut those that end by it, after the second those that begin there
-        scored = scored.withColumns({f"{v}0": F.col(f"ended_{v}1"), f"{v}2": F.col(f"all_{v}") - F.col(f"begun_{v}2"), f"dropped_{v}": dropped})
-        scored = scored.withColumn(f"{v}1", F.col(f"all_{v}") - F.col(f"{v}0") - F.col(f"{v}2") - F.col(f"dropped_{v}"))
-    scored = scored.withColumnRenamed("dropped_n", "dropped")
-    total = F.col("n0") + F.col("n1") + F.col("n2")
-    score = sum((F.abs(F.col(f"n{b}") / total - SHARES[b]) for b in range(3)), F.lit(0.0)) + DROP_WEIGHT * F.col("dropped") / F.col("all_n")
-    good = scored.where("pos1 > 0 and pos2 > 0 and n0 > 0 and n1 > 0 and n2 > 0").withColumn("score", score)
-    return good.orderBy("score", "k1", "k2").limit(1)
+        rows = rows.withColumns({f"{v}0": F.col(f"ended_{v}1"), f"{v}2": F.col(f"all_{v}") - F.col(f"begun_{v}2"), f"dropped_{v}": dropped})
+        rows = rows.withColumn(f"{v}1", F.col(f"all_{v}") - F.col(f"{v}0") - F.col(f"{v}2") - F.col(f"dropped_{v}"))
+    rows = rows.withColumnRenamed("dropped_n", "dropped")
+    kept = F.col("n0") + F.col("n1") + F.col("n2")
+    score = sum((F.abs(F.col(f"n{b}") / kept - SHARES[b]) for b in range(3)), F.lit(0.0)) + DROP_WEIGHT * F.col("dropped") / F.col("all_n")
+    return rows.where("pos1 > 0 and pos2 > 0 and n0 > 0 and n1 > 0 and n2 > 0").withColumn("score", score)
+
+
+def band_cuts(tiles: DataFrame, probes: int = 32) -> DataFrame:
+    """One row: the best pair of cuts (k1, k2, c1, c2), counts of each band, and the score.
+
+    Tiles are counted by centre; from running totals each cut knows what ends by it and what begins at or after it,
+    so a pair is scored from its two ends.  A first cut alone says what share train gets, up to the tiles that a
+    second one drops, and a second what test gets.  The deviations of the three shares add up to nothing, so a score
+    is at least twice the largest of them, which bounds it for each cut.  First the `probes` cuts of the lowest
+    bounds are paired, as many more as it takes to find a pair that may be; then all cuts whose bound does not
+    exceed its score.  No pair as good is lost, and ties go to the smallest k1, then k2.
+    """
+    half = (F.col("xmax") - F.col("xmin")) / 2
+    centres = tiles.groupBy(((F.col("xmin") + F.col("xmax")) / 2).alias("c"), half.alias("hw")).agg(F.count("*").alias("n"), F.count_if(F.col("is_negative") == 0).alias("pos"))
+    centres = cut(centres)
+    total = centres.agg(F.sum("n").alias("all_n"), F.sum("pos").alias("all_pos"))
+    width = 2 * max(centres.agg(F.max("hw")).first()[0] or 0.0, 1e-6)
+    at = _cut_points(centres)
+    crosses, all_n = F.col("begun_n") - F.col("ended_n"), F.col("all_n")
+    worst = at.agg(F.max(crosses).alias("worst"))
+    at = at.join(F.broadcast(worst)).join(F.broadcast(total.select("all_n")))  # one row each
+
+    def bounded(got: Column, share: float) -> Column:
+        least, most = got / F.greatest(all_n - crosses, F.lit(1)), got / F.greatest(all_n - crosses - F.col("worst"), F.lit(1))
+        return 2 * F.greatest(F.lit(0.0), least - share, share - most) + DROP_WEIGHT * crosses / all_n
+
+    at = cut(at.withColumns({"bound1": bounded(F.col("ended_n"), SHARES[0]), "bound2": bounded(all_n - F.col("begun_n"), SHARES[2])}))
+    stats = ["begun_n", "begun_pos", "ended_n", "ended_pos"]
+    # a bound counts as met within rounding, so no pair is lost to the last digit
+    side = lambda i, allowed: at.where(allowed).select(F.col("k").alias(f"k{i}"), F.col("c").alias(f"c{i}"), F.col(f"bound{i}").alias(f"bound{i}"), *(F.col(c).alias(f"{c}{i}") for c in stats))
+    one, two = side(1, (F.col("k") >= 1) & (F.col("k") < F.col("many") - 3)), side(2, F.col("k") < F.col("many") - 1)
+    many = at.count()
+    while True:
+        near1, near2 = (cut(d.orderBy(f"bound{i}", f"k{i}").limit(probes)) for i, d in ((1, one), (2, two)))
+        best = _scored_cuts(near1, near2, centres, width, total).agg(F.min("score")).first()[0]
+        if best is not None or probes >= many:
+            break
+        probes *= 4
+    if best is None:  # no pair may be: an empty table of the same columns
+        return _scored_cuts(near1, near2, centres, width, total).limit(0)
+    one, two = (d.where(F.col(f"bound{i}") <= best + 1e-9) for i, d in ((1, one), (2, two)))
+    return _scored_cuts(one, two, centres, width, total).orderBy("score", "k1", "k2").limit(1)
 
 
 def band_assign(tiles: DataFrame, cuts: DataFrame) -> DataFrame:

@@ -1,9 +1,13 @@
 """Hand-made cases: suppression chains, grids, polygons, labels, a stream."""
 
+import hashlib
+import random
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import detect, greedy, polygons, raster
+from parcelflow.operators import detect, greedy, polygons, raster, records, split
 from parcelflow.sources import files
 from parcelflow.streaming import bins
 
@@ -66,3 +70,44 @@ def test_stream_and_files(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("select sum(n) from b").first()[0] == 10
+
+
+def _best_cuts(tiles):
+    """(k1, k2, n0, n1, n2, dropped) of all pairs of cuts, one by one."""
+    centres = sorted({(a + b) / 2 for a, b, _ in tiles})
+    m, found = len(centres), []
+    for i in range(1, m - 3):
+        for j in range(i + 2, m - 1):
+            n, pos, dropped = [0, 0, 0], [0, 0, 0], 0
+            for a, b, negative in tiles:
+                c, hw = (a + b) / 2, (b - a) / 2
+                if any(c - hw < x < c + hw for x in (centres[i], centres[j])):
+                    dropped += 1
+                    continue
+                band = (c >= centres[i]) + (c >= centres[j])
+                n[band] += 1
+                pos[band] += negative == 0
+            if min(n) > 0 and min(pos[1:]) > 0:
+                found.append((sum(abs(n[b] / sum(n) - split.SHARES[b]) for b in range(3)) + split.DROP_WEIGHT * dropped / len(tiles), i, j, *n, dropped))
+    return min(found)[1:] if found else None
+
+
+@pytest.mark.parametrize(("seed", "count", "side", "positive"), [(1, 60, 8, 0.5), (2, 45, 60, 0.3), (3, 40, 2, 0.05), (4, 30, 250, 0.9), (5, 12, 0, 1.0), (6, 20, 4, 0.0), (7, 3, 4, 1.0)])
+def test_cuts_by_bounds(spark, seed, count, side, positive):
+    """Narrow and wide tiles, some across both cuts, few or no positives, too few centres: the same as all pairs."""
+    rng = random.Random(seed)
+    tiles = [(x, x + rng.choice([side, 2 * side]), int(rng.random() >= positive)) for x in (float(rng.randint(0, 120)) for _ in range(count))]
+    df = spark.createDataFrame([(float(a), float(b), n) for a, b, n in tiles], "xmin double, xmax double, is_negative int")
+    got = [tuple(r) for r in split.band_cuts(df, probes=2).select("k1", "k2", "n0", "n1", "n2", "dropped").collect()]
+    want = _best_cuts(tiles)
+    assert got == ([want] if want else [])
+
+
+def test_quality_sample_of_many(spark):
+    images = spark.range(3000).select(F.concat(F.lit("i"), "id").alias("image"), F.when(F.col("id") % 3 == 0, "val").otherwise("train").alias("split"), (F.col("id") % 5).alias("n_inst"))
+    got = {}
+    for r in records.quality_sample(images).orderBy("split", "rank").collect():
+        got.setdefault(r.split, []).append(r.image)
+    for name, most in records.SAMPLE.items():
+        rows = [f"i{i}" for i in range(3000) if i % 5 and (i % 3 == 0) == (name == "val")]
+        assert got[name] == sorted(rows, key=lambda x: hashlib.md5(f"{x}:42".encode()).hexdigest())[:most]
