@@ -23,6 +23,8 @@ from .kernel import mix
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Keys that one filter holds on average, and the fewest shards; more keys mean more shards.
 SHARD_KEYS, SHARDS = 50_000, 16
+#: A digest of more than this share of all rows is hot; the keys over which its rows are spread.
+HOT, PARTS = 1024, 64
 _U = np.uint64
 
 
@@ -175,15 +177,17 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     of a group stays.  Rows that repeat a doc_id all count in group_size and share its decision; a null
     doc_id is kept only where the whole group has none.  Rows with an even xxhash64(doc_id) are the
     immutable snapshot, the others the incoming batch: the answer doesn't depend on that split.  A
-    digest that a third of all rows share is reduced to one row per task before it moves.
+    digest that a third of all rows share is reduced to one row per task before it is counted, and its rows
+    are spread over PARTS keys where they meet their group.  An empty table gives no rows; other columns are ignored.
     """
     with temporary() as keep:
         rows = materialize(digests(docs).withColumn("old", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0), "digests")
         snapshot = Snapshot.write(_grouped(rows.where("old"), "digest"), new_path(docs.sparkSession, "snapshot"))
         groups = materialize(snapshot.merged(_grouped(rows.where("not old"), "digest")), "groups")
-        out = rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
+        total = rows.count()
+        out = _by_digest(rows, groups, total).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
         out = keep(materialize(out, "exact"))
-        differ = not _differing(docs, out).isEmpty()
+        differ = not _differing(docs, groups, total).isEmpty()
     if differ:  # two texts with one SHA-256: group by the bytes themselves
         texts = docs.select("doc_id", normalised().alias("norm"))
         by_text = _grouped(texts, "norm")
@@ -191,15 +195,22 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def _differing(docs: DataFrame, out: DataFrame) -> DataFrame:
-    """Rows whose bytes differ from those of the row that stays.  Only members of groups move texts."""
-    many = out.where("group_size > 1 and keep_id is not null")
-    members = materialize(many.where("not kept").select("doc_id", "keep_id"), "members")
-    texts = docs.select("doc_id", normalised().alias("norm"))
-    keepers = materialize(many.where("kept").select("doc_id").distinct(), "keepers")
-    mine = texts.join(maybe_broadcast(members, 16), "doc_id").select("keep_id", "norm")
-    kept = texts.join(maybe_broadcast(keepers, 8), "doc_id").select(F.col("doc_id").alias("keep_id"), F.col("norm").alias("kept_norm")).dropDuplicates(["keep_id"])
-    return mine.join(kept, "keep_id").where("norm <> kept_norm")
+def _by_digest(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
+    """`rows` with the group of their digest.  A digest of more than a HOT-th of all rows is spread over PARTS keys."""
+    much = F.col("group_size") * HOT > total
+    hot = groups.where(much).select("digest", F.lit(True).alias("hot"))  # fewer than HOT rows, as sizes add up to total
+    part = F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(PARTS))).otherwise(0).cast("int")
+    left = rows.join(F.broadcast(hot), "digest", "left").withColumn("part", part).drop("hot")
+    parts = F.when(much, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    return left.join(maybe_broadcast(groups.withColumn("part", F.explode(parts)), 60), ["digest", "part"]).drop("part")
+
+
+def _differing(docs: DataFrame, groups: DataFrame, total: int) -> DataFrame:
+    """Digests that stand for texts of different bytes.  Only members of groups move texts, and each task first
+    reduces equal ones to one, so a group of any size arrives as one text a task."""
+    texts = docs.select(normalised().alias("norm")).select(F.unhex(F.sha2("norm", 256)).alias("digest"), "norm")
+    held = _by_digest(texts, groups.where("group_size > 1").select("digest", "group_size"), total)
+    return held.groupBy("digest", "norm").agg(F.lit(1)).groupBy("digest").count().where("count > 1").select("digest")
 
 
 def drop_exact(docs: DataFrame) -> DataFrame:

@@ -60,3 +60,16 @@ def test_nothing_is_left(spark, docs):
         if not set(os.listdir(folder)) - before:
             break
     assert not set(os.listdir(folder)) - before
+
+
+def test_hot_group_is_spread_and_compared(spark):
+    """Half of all rows are one text, in two spellings; ids that repeat for other texts make no false difference."""
+    rows = [(i, "Same Text" if i % 4 else "same text") for i in range(4000)] + [(4000 + i % 1500, f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    got = exact.exact_groups(docs).groupBy("group_size").count().collect()
+    assert sorted((r.group_size, r["count"]) for r in got) == [(1, 3000), (4000, 4000)]
+    code = exact.digests(docs)
+    groups = common.materialize(exact._grouped(code, "digest"), "groups")
+    assert exact._differing(docs, groups, 7000).isEmpty()
+    joined = exact._by_digest(code.select("digest"), groups, 7000)
+    assert joined.count() == 7000 and "group_size" in joined.columns
