@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .greedy import components
 from .spatial import box_join, overlaps
+from .uneven import uneven_join
 from ..functions.geom import overlap_area
 from ..plans.storage import cut
 from ..plans.tables import TILE
@@ -29,10 +30,9 @@ def source_stats(tiles: DataFrame) -> DataFrame:
 
 
 def scene_overlaps(tiles: DataFrame) -> DataFrame:
-    """Pairs of scenes whose bounds share area, in square kilometres.  Scenes are few: one row each is broadcast."""
+    """Pairs of scenes whose bounds share area, in square kilometres.  Bounds of any size meet by a pyramid of cells."""
     stats = source_stats(tiles).select("source", "xmin", "ymin", "xmax", "ymax")
-    a, b = (stats.select(*(F.col(c).alias(p + c) for c in stats.columns)) for p in ("a_", "b_"))
-    pairs = a.join(b, F.col("a_source") < F.col("b_source")).withColumn("area", overlap_area()).where("area > 1.0")
+    pairs = uneven_join(stats, stats, F.col("a_source") < F.col("b_source")).withColumn("area", overlap_area()).where("area > 1.0")
     return pairs.select(F.col("a_source").alias("a"), F.col("b_source").alias("b"), (F.col("area") / 1e6).alias("km2"))
 
 

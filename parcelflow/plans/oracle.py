@@ -9,6 +9,12 @@ CANDS = """cands AS (SELECT event_id AS cand_id, event_id % 6 AS source, (event_
 PIXELS = "px AS (SELECT l_returnflag AS scene, l_linenumber AS band, l_extendedprice AS value FROM lineitem WHERE l_discount > 0)"
 SPLIT = f"""{TILES}, ranked AS (SELECT *, row_number() OVER (ORDER BY md5(tile_id::VARCHAR || ':42'), tile_id) AS r, count(*) OVER () AS n FROM tiles),
 rs AS (SELECT * EXCLUDE (r, n), CASE WHEN r <= greatest(1, round_even(n * 0.2, 0)) THEN 'val' ELSE 'train' END AS split FROM ranked)"""
+REGROUP = f"""{SPLIT}, im AS (SELECT DISTINCT l_orderkey AS tile, CASE WHEN l_quantity < 25 THEN 'train' ELSE 'val' END AS split FROM lineitem),
+lb AS (SELECT DISTINCT event_id AS tile, CASE WHEN event_id % 3 = 0 THEN 'train' ELSE 'val' END AS split FROM events),
+asgn AS (SELECT tile_id AS tile, split, CASE WHEN is_negative = 0 THEN 'train' ELSE 'val' END AS old, CASE WHEN is_negative = 0 THEN 'val' ELSE 'train' END AS alt FROM rs),
+fr AS (SELECT tile, split, CASE WHEN (tile, old) IN (SELECT (tile, split) FROM im) THEN old WHEN (tile, alt) IN (SELECT (tile, split) FROM im) THEN alt END AS image_from,
+ CASE WHEN (tile, old) IN (SELECT (tile, split) FROM lb) THEN old WHEN (tile, alt) IN (SELECT (tile, split) FROM lb) THEN alt END AS label_from FROM asgn),
+st AS (SELECT *, CASE WHEN image_from IS NULL AND label_from IS NULL THEN 'missing_both' WHEN image_from IS NULL THEN 'missing_image' WHEN label_from IS NULL THEN 'missing_label' ELSE 'copied' END AS status FROM fr)"""
 CUTS = f"""{TILES}, cen AS (SELECT (xmin + xmax) / 2 AS c, any_value((xmax - xmin) / 2) AS hw, count(*) AS n, count(*) FILTER (is_negative = 0) AS pos FROM tiles GROUP BY 1),
 k AS (SELECT c, row_number() OVER (ORDER BY c) - 1 AS k, count(*) OVER () AS m FROM cen),
 cut AS (SELECT a.k AS k1, b.k AS k2, a.c AS c1, b.c AS c2 FROM k a JOIN k b ON b.k >= a.k + 2 WHERE a.k >= 1 AND a.k < a.m - 3 AND b.k < a.m - 1),
@@ -142,6 +148,11 @@ def oracle_sql() -> dict[str, str]:
         "scene_components": """WITH RECURSIVE l AS (SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND abs(a.s_suppkey - b.s_suppkey) <= 7),
  w AS (SELECT a AS node, b FROM l UNION SELECT w.node, l.b FROM w JOIN l ON w.b = l.a) SELECT node, min(b) AS component FROM w GROUP BY node""",
         "cross_source_overlap": f"WITH {TILES} SELECT a.tile_id AS a, b.tile_id AS b, {INTER} AS area FROM tiles a JOIN tiles b ON a.tile_id < b.tile_id AND a.source <> b.source AND {MEET} WHERE {INTER} > 1",
+        "uneven_overlap_pairs": f"""WITH {TILES}, u AS (SELECT tile_id, source, xmin, ymin, xmin + 1280.0::DOUBLE * pow(2, source) AS xmax, ymin + 1280.0::DOUBLE * pow(2, source) AS ymax FROM tiles)
+ SELECT a.tile_id AS a, b.tile_id AS b, {INTER} AS area FROM u a JOIN u b ON a.tile_id < b.tile_id AND a.source <> b.source AND {MEET}""",
+        "pair_regroup": f"WITH {REGROUP} SELECT tile, split, image_from, label_from, status FROM st",
+        "pair_regroup_report": f"""WITH {REGROUP} SELECT split, count(*) AS n, count(*) FILTER (status = 'copied') AS copied, count(*) FILTER (status = 'missing_image') AS missing_image, count(*) FILTER (status = 'missing_label') AS missing_label,
+ count(*) FILTER (status = 'missing_both') AS missing_both, count(*) FILTER (status = 'copied' AND image_from <> label_from) AS mixed FROM st GROUP BY ROLLUP (split)""",
         "random_split": f"WITH {SPLIT} SELECT tile_id, split FROM rs",
         "source_split": f"""WITH {TILES}, s AS (SELECT source, count(*) FILTER (is_negative = 0) AS positives FROM tiles GROUP BY source), r AS (SELECT *, row_number() OVER (PARTITION BY positives > 0 ORDER BY md5(source::VARCHAR || ':42')) AS k FROM s)
  SELECT source, positives, CASE WHEN positives > 0 AND k = 1 THEN 'val' WHEN positives > 0 AND k = 2 THEN 'test' ELSE 'train' END AS split FROM r""",

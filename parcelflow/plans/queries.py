@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import storage
 from . import tables as t
 from ..functions import geom, projection
-from ..operators import detect, evaluate, greedy, infer, labels, masks, overlay, polygons, raster, records, spatial, split
+from ..operators import detect, evaluate, greedy, infer, labels, masks, overlay, polygons, raster, records, regroup, spatial, split, uneven
 from ..sources import blocks, png, shapes
 from ..streaming import bins
 
@@ -62,6 +62,36 @@ def cross_source_overlap(s: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a_tile_id").alias("a"), F.col("b_tile_id").alias("b"), "area")
 
 
+@_query
+def uneven_overlap_pairs(s: SparkSession, d: str) -> DataFrame:
+    """Tiles whose side depends on their scene, from 1280 m to 41 km, where those of two scenes share ground."""
+    side = 1280.0 * F.pow(F.lit(2.0), F.col("source"))
+    rows = t.tiles(s, d).select("tile_id", "source", "xmin", "ymin", (F.col("xmin") + side).alias("xmax"), (F.col("ymin") + side).alias("ymax"))
+    pairs = uneven.uneven_join(rows, rows, (F.col("a_tile_id") < F.col("b_tile_id")) & (F.col("a_source") != F.col("b_source")))
+    return pairs.select(F.col("a_tile_id").alias("a"), F.col("b_tile_id").alias("b"), geom.overlap_area().alias("area"))
+
+
+def _regrouped(s: SparkSession, d: str) -> DataFrame:
+    """Orders are tiles, with the images of their lines and the labels of events of their number."""
+    side = lambda test: F.when(test, "train").otherwise("val").alias("split")
+    tiles = t.tiles(s, d)
+    assigned = tiles.select("tile_id", F.when(F.col("is_negative") == 0, "train").otherwise("val").alias("old_split")).join(split.random_split(tiles), "tile_id").withColumnRenamed("tile_id", "tile")
+    images = t.load(s, d, "lineitem").select(F.col("l_orderkey").alias("tile"), side(F.col("l_quantity") < 25))
+    labels = t.load(s, d, "events").select(F.col("event_id").alias("tile"), side(F.col("event_id") % 3 == 0))
+    return regroup.plan_pairs(assigned, images, labels)
+
+
+@_query
+def pair_regroup(s: SparkSession, d: str) -> DataFrame:
+    return _regrouped(s, d)
+
+
+@_query
+def pair_regroup_report(s: SparkSession, d: str) -> DataFrame:
+    """What was copied to each split and what is missing there, with totals."""
+    return _regrouped(s, d).rollup("split").agg(F.count("*").alias("n"), *(F.count_if(F.col("status") == k).alias(k) for k in ("copied", "missing_image", "missing_label", "missing_both")), F.count_if((F.col("status") == "copied") & (F.col("image_from") != F.col("label_from"))).alias("mixed"))
+
+
 @_query
 def random_split(s: SparkSession, d: str) -> DataFrame:
     return split.random_split(t.tiles(s, d))
