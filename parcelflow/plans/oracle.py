@@ -159,6 +159,22 @@ def oracle_sql() -> dict[str, str]:
         "band_cut_search": f"WITH {CUTS} SELECT k1, k2, c1, c2, n0, n1, n2, dropped, round(score, 9) AS score FROM best",
         "band_assign": f"WITH {CUTS} SELECT tile_id, split FROM asg",
         "split_audit": f"WITH {CUTS} SELECT split, count(*) AS rows, count(*) FILTER (is_negative = 0) AS positives, count(*) FILTER (is_negative = 1) AS negatives, count(DISTINCT source) AS sources FROM asg GROUP BY split",
+        "split_report": f"""WITH {CUTS}, ss AS (SELECT source, list_sort(list(DISTINCT split)) AS sp, count(*) AS n FROM asg WHERE split <> 'DROPPED_BUFFER' GROUP BY source),
+ lk AS (SELECT count(*) AS n FROM asg a JOIN asg b ON a.tile_id < b.tile_id AND a.split <> b.split AND a.split <> 'DROPPED_BUFFER' AND b.split <> 'DROPPED_BUFFER' AND {MEET} WHERE {INTER} > 1),
+ ct AS (SELECT k, s, count(tile_id) AS n, count(*) FILTER (is_negative = 0) AS p, count(*) FILTER (is_negative = 1) AS q FROM (VALUES (0, 'train'), (1, 'val'), (2, 'test')) v(k, s) LEFT JOIN asg ON split = s GROUP BY k, s)
+ SELECT 0 AS section, k::VARCHAR AS item, printf('  %-5s: rows %4d | positives %4d | negatives %4d', s, n, p, q) AS line FROM ct UNION ALL SELECT 1, '', '  buffer: ' || count(*) FROM asg WHERE split = 'DROPPED_BUFFER'
+ UNION ALL SELECT 2, source::VARCHAR, '  ' || source || ': ' || array_to_string(sp, ',') || ' (' || n || ')' FROM ss UNION ALL SELECT 3, '', '  train and val share: ' || count(*) FROM ss WHERE list_has_all(sp, ['train', 'val'])
+ UNION ALL SELECT 4, '', '  train and test share: ' || count(*) FROM ss WHERE list_has_all(sp, ['train', 'test']) UNION ALL SELECT 5, '', '  val and test share: ' || count(*) FROM ss WHERE list_has_all(sp, ['val', 'test'])
+ UNION ALL SELECT 6, '', '  overlapping pairs across sets: ' || n FROM lk UNION ALL SELECT 7, '', CASE WHEN n = 0 THEN '  PASS' ELSE '  FAIL' END FROM lk""",
+        "leakage_report": f"""WITH {SPLIT}, sc AS (SELECT source, bool_or(split = 'train') AS t, bool_or(split = 'val') AS v FROM rs GROUP BY source),
+ du AS (SELECT count(*) AS n FROM (SELECT tile_id % 60 AS name FROM rs WHERE split = 'train' INTERSECT SELECT tile_id % 60 FROM rs WHERE split = 'val')),
+ ov AS (SELECT count(DISTINCT a.tile_id) AS n FROM rs a JOIN rs b ON a.split = 'val' AND b.split = 'train' AND {MEET.replace('<', '<=')}), sh AS (SELECT count(*) AS n FROM sc WHERE t AND v)
+ SELECT 0 AS section, '' AS item, 'train source_tif: ' || count(*) AS line FROM sc WHERE t UNION ALL SELECT 1, source::VARCHAR, '  ' || source FROM sc WHERE t UNION ALL SELECT 2, '', 'val source_tif: ' || count(*) FROM sc WHERE v UNION ALL SELECT 3, source::VARCHAR, '  ' || source FROM sc WHERE v
+ UNION ALL SELECT 4, '', 'shared source_tif: ' || n FROM sh UNION ALL SELECT 5, source::VARCHAR, '  ' || source FROM sc WHERE t AND v UNION ALL SELECT 6, '', 'dup tile_name count: ' || n FROM du
+ UNION ALL SELECT 7, '', 'val tiles overlapping train: ' || n || '/' || (SELECT count(*) FROM rs WHERE split = 'val') FROM ov
+ UNION ALL SELECT 8, '', CASE WHEN sh.n + du.n + ov.n > 0 THEN 'DATA LEAKAGE RISK: YES' ELSE 'DATA LEAKAGE RISK: NO' END FROM sh, du, ov""",
+        "evaluation_report": f"""WITH e AS ({_prf()}), l AS (SELECT threshold, 0 AS line_no, 'conf >= ' || printf('%.2f', threshold) AS line FROM e UNION ALL SELECT threshold, 1, 'TP / FP / FN: ' || tp || ' / ' || fp || ' / ' || fn FROM e
+ UNION ALL SELECT threshold, 2, '  Precision : ' || printf('%.3f', precision) FROM e UNION ALL SELECT threshold, 3, '  Recall    : ' || printf('%.3f', recall) FROM e UNION ALL SELECT threshold, 4, '  F1        : ' || printf('%.3f', f1) FROM e) SELECT * FROM l""",
         "split_sources": f"WITH {CUTS} SELECT source, array_to_string(list_sort(list(DISTINCT split)), ',') AS splits, count(*) AS n FROM asg WHERE split <> 'DROPPED_BUFFER' GROUP BY source",
         "leak_pairs": f"WITH {SPLIT} SELECT a.tile_id AS a, b.tile_id AS b, {INTER} AS area FROM rs a JOIN rs b ON a.tile_id < b.tile_id AND a.split <> b.split AND {MEET} WHERE {INTER} > 1",
         "leak_gate": f"WITH {CUTS} SELECT count(*) AS leaks FROM asg a JOIN asg b ON a.tile_id < b.tile_id AND a.split <> b.split AND a.split <> 'DROPPED_BUFFER' AND b.split <> 'DROPPED_BUFFER' AND {MEET} WHERE {INTER} > 1",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import storage
 from . import tables as t
 from ..functions import geom, projection
-from ..operators import detect, evaluate, greedy, infer, labels, masks, overlay, polygons, raster, records, regroup, spatial, split, uneven
+from ..operators import detect, evaluate, greedy, infer, labels, masks, overlay, polygons, raster, records, regroup, reports, spatial, split, uneven
 from ..sources import blocks, png, shapes
 from ..streaming import bins
 
@@ -122,6 +122,24 @@ def split_sources(s: SparkSession, d: str) -> DataFrame:
     return split.split_sources(_assigned(s, d))
 
 
+@_query
+def split_report(s: SparkSession, d: str) -> DataFrame:
+    return reports.splitting(_assigned(s, d))
+
+
+@_query
+def leakage_report(s: SparkSession, d: str) -> DataFrame:
+    """The audit of a random split: tile names repeat every 60 tiles."""
+    tiles = t.tiles(s, d)
+    rows = tiles.join(split.random_split(tiles), "tile_id")
+    return reports.leakage(rows.withColumn("tile_name", F.format_string("tile_%02d", F.col("tile_id") % 60)))
+
+
+@_query
+def evaluation_report(s: SparkSession, d: str) -> DataFrame:
+    return reports.evaluation(evaluate.scores(*_sides(s, d), 0.1))
+
+
 @_query
 def leak_pairs(s: SparkSession, d: str) -> DataFrame:
     """Leaks of a random split, which the bands avoid."""
