@@ -64,36 +64,73 @@ def quality_reason(least: float, area: str = "area", compact: str = "compact") -
     return F.when(F.col("confidence") < least, "low_conf").when(F.col(area) < MIN_AREA, "too_small").when(F.col(area) > MAX_AREA, "too_large").when(F.col(compact) < MIN_COMPACT, "low_compactness")
 
 
-def conflicts(cands: DataFrame, iou: float = 0.70, edge_iou: float | None = 0.50, scope: list[str] = [], strict: bool = False, ring: str | None = None) -> DataFrame:  # noqa: B006
-    """(late, early, kind, iou): candidates that an earlier one may drop.
+def _rank(edge_iou: float | None) -> list[str]:
+    return ["is_edge", "-confidence", "-area", "cand_id"] if edge_iou is not None else ["-confidence", "cand_id"]
 
-    Rank: off-edge before edge, then confidence and area down, then cand_id; with edge_iou None by
-    confidence alone.  `scope` names columns within which conflicts arise, none for the whole table.
-    `ring` names the polygons in the boxes; their IoU is rounded to nine places, so that ties don't hang on arithmetic.
-    """
+
+def _part(p: str, c: str) -> Column:
+    return -F.col(p + c[1:]) if c[0] == "-" else F.col(p + c)
+
+
+def _kind(share: Column, late_edge: Column, early_edge: Column, iou: float, edge_iou: float | None, strict: bool) -> Column:
+    kind = F.when(share > iou if strict else share >= iou, "nms_dropped")
+    return kind if edge_iou is None else kind.when((late_edge == 1) & (early_edge == 0) & (share >= edge_iou), "edge_dropped")
+
+
+def _near(cands: DataFrame, iou: float, edge_iou: float | None, scope: list[str], strict: bool, ring: str | None) -> DataFrame:
+    """(late, early, earlier, kind, kind0, kind1, rank): pairs whose boxes share enough, themselves included; `kind0` and
+    `kind1` are what `early` makes of anything in the place of `late` that is off or at an edge."""
     use = cands.select("cand_id", "is_edge", "confidence", "area", "xmin", "ymin", "xmax", "ymax", *scope, *filter(None, [ring]))
-    parts = ["is_edge", "-confidence", "-area", "cand_id"] if edge_iou is not None else ["-confidence", "cand_id"]
-    part = lambda p, c: -F.col(p + c[1:]) if c[0] == "-" else F.col(p + c)
-    key = lambda p: F.struct(*(part(p, c) for c in parts))
-    # the order of key("b_") and key("a_") column by column, which compiles where that of structs does not
+    parts = _rank(edge_iou)
+    # the order of the ranks of b and a column by column, which compiles where that of structs does not
     earlier = F.lit(False)
     for c in reversed(parts):
-        earlier = (part("b_", c) < part("a_", c)) | ((part("b_", c) == part("a_", c)) & earlier)
-    pairs = box_join(use, use, CELL, earlier, equal=scope).withColumn("iou", F.round(polygon_iou(F.col(f"a_{ring}"), F.col(f"b_{ring}")), 9) if ring else box_iou())
-    hit = F.col("iou") > iou if strict else F.col("iou") >= iou
-    kind = F.when(hit, "nms_dropped")
-    if edge_iou is not None:
-        kind = kind.when((F.col("a_is_edge") == 1) & (F.col("b_is_edge") == 0) & (F.col("iou") >= edge_iou), "edge_dropped")
-    return pairs.select(F.col("a_cand_id").alias("late"), F.col("b_cand_id").alias("early"), kind.alias("kind"), key("b_").alias("rank")).where("kind is not null")
+        earlier = (_part("b_", c) < _part("a_", c)) | ((_part("b_", c) == _part("a_", c)) & earlier)
+    share = F.round(polygon_iou(F.col(f"a_{ring}"), F.col(f"b_{ring}")), 9) if ring else box_iou()
+    # one plain test of all pairs, which compiles where the kinds do not
+    pairs = box_join(use, use, CELL, equal=scope).withColumn("iou", share).where(F.col("iou") >= min(iou, iou if edge_iou is None else edge_iou))
+    kinds = {n: _kind(F.col("iou"), e, F.col("b_is_edge"), iou, edge_iou, strict) for n, e in (("kind", F.col("a_is_edge")), ("kind0", F.lit(0)), ("kind1", F.lit(1)))}
+    rank = F.struct(*(_part("b_", c) for c in parts))
+    return pairs.select(F.col("a_cand_id").alias("late"), F.col("b_cand_id").alias("early"), F.coalesce(earlier, F.lit(False)).alias("earlier"), *(k.alias(n) for n, k in kinds.items()), rank.alias("rank"))
+
 
+def suppressed(cands: DataFrame, iou: float = 0.70, edge_iou: float | None = 0.50, scope: list[str] = [], strict: bool = False, ring: str | None = None) -> DataFrame:  # noqa: B006
+    """`cands` with status: kept, or why its best-ranked kept neighbour drops it.
+
+    Rank: off-edge before edge, then confidence and area down, then cand_id; with edge_iou None by
+    confidence alone.  `scope` names columns within which conflicts arise, none for the whole table.
+    `ring` names the polygons in the boxes; their IoU is rounded to nine places, so that ties don't hang on arithmetic.
 
-def suppressed(cands: DataFrame, **rules) -> DataFrame:  # noqa: ANN003
-    """`cands` with status: kept, or why its best-ranked kept neighbour drops it."""
-    edges = cut(conflicts(cands, **rules))
-    dropped = greedy_dropped(edges).select(F.col("late").alias("d"))
-    kept = edges.join(dropped, edges["early"] == dropped["d"], "left_anti")
-    why = kept.groupBy(F.col("late").alias("cand_id")).agg(F.min_by("kind", "rank").alias("why"))
-    return cands.join(why, "cand_id", "left").withColumn("status", F.coalesce("why", F.lit("kept"))).drop("why")
+    Candidates in one place have the same neighbours, and what drops the best of them drops the others, as does the
+    best itself if it stays.  So only the best of each place meets its neighbours, and work follows places.
+    """
+    rules = (iou, edge_iou, scope, strict, ring)
+    place = ["xmin", "ymin", "xmax", "ymax", *scope, *filter(None, [ring])]
+    names = [c.lstrip("-") for c in _rank(edge_iou)]
+    own = F.round(polygon_iou(F.col(ring), F.col(ring)), 9) if ring else box_iou("", "")
+    known = lambda columns: F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in columns))
+    alike = known([*scope, *names]) & _kind(own, F.lit(0), F.lit(0), iou, edge_iou, strict).isNotNull()
+    if edge_iou is not None:
+        alike = alike & F.col("is_edge").isin(0, 1)
+    best = F.min_by(F.struct("is_edge", "confidence", "area", "cand_id"), F.struct(*(_part("", c) for c in _rank(edge_iou))))
+
+    def placed(test: Column) -> tuple[DataFrame, DataFrame]:
+        rows = cands.withColumn("__own", F.struct(F.when(~F.coalesce(test, F.lit(False)), F.col("cand_id")).alias("id")))
+        return rows, cut(rows.groupBy(*place, "__own").agg(best.alias("r")).select(*place, "__own", "r.*"))
+
+    rows, first = placed(alike)
+    if not first.where(~known(names)).isEmpty():  # what has no full rank is not before or after all of a place
+        rows, first = placed(F.lit(False))
+    near = cut(_near(first, *rules))
+    dropped = greedy_dropped(near.where("earlier AND kind IS NOT NULL")).select(F.col("late").alias("d"))
+    kept = near.join(dropped, near["early"] == dropped["d"], "left_anti")
+    lowest = lambda kind, test: F.min(F.when(F.col(kind).isNotNull() & test, F.struct("rank", kind)))[kind]
+    why = kept.groupBy(F.col("late").alias("cand_id")).agg(lowest("kind", F.col("earlier")).alias("why"), *(lowest(k, F.lit(True)).alias(k) for k in ("kind0", "kind1")))
+    of = first.select(*place, "__own", "cand_id").join(why, "cand_id").withColumnRenamed("cand_id", "__best")
+    # merged: places are too many to be sent to every task
+    out = rows.join(of.hint("merge"), [*place, "__own"], "left")
+    status = F.when(F.col("cand_id") == F.col("__best"), F.col("why")).otherwise(F.when(F.col("is_edge") == 1, F.col("kind1")).otherwise(F.col("kind0")))
+    return out.withColumn("status", F.coalesce(status, F.lit("kept"))).select(*cands.columns, "status")
 
 
 def distribution(cands: DataFrame, *by: str) -> DataFrame:

@@ -111,3 +111,45 @@ def test_quality_sample_of_many(spark):
     for name, most in records.SAMPLE.items():
         rows = [f"i{i}" for i in range(3000) if i % 5 and (i % 3 == 0) == (name == "val")]
         assert got[name] == sorted(rows, key=lambda x: hashlib.md5(f"{x}:42".encode()).hexdigest())[:most]
+
+
+@pytest.mark.parametrize("edge_iou", [0.5, None])
+def test_suppression_of_many_in_one_place(spark, edge_iou, monkeypatch):
+    """Places with many candidates, off and at edges, some without a confidence or area: as a scan of all pairs, of which only places meet."""
+    rng = random.Random(8)
+    rows = [(i, 40.0 * rng.randint(0, 12), 0.0, rng.choice([200.0, 240.0, 0.0]), rng.randint(0, 1), rng.randint(0, 9) / 10) for i in range(400)]
+    for odd in (False, True):
+        data = [(i, x, y, x + w, y + w, w * w, e, None if odd and i % 50 == 0 else c) for i, x, y, w, e, c in rows]
+        df = spark.createDataFrame(data, "cand_id long, xmin double, ymin double, xmax double, ymax double, area double, is_edge int, confidence double")
+
+        def share(a, b):
+            w, h = min(a[3], b[3]) - max(a[1], b[1]), min(a[4], b[4]) - max(a[2], b[2])
+            inter = max(w, 0) * max(h, 0)
+            union = a[5] + b[5] - inter
+            return inter / union if union else 0
+
+        def earlier(b, a):
+            if edge_iou is not None and b[6] != a[6]:
+                return b[6] < a[6]
+            if b[7] is None or a[7] is None:
+                return False
+            key = (lambda r: (-r[7], -r[5], r[0])) if edge_iou is not None else (lambda r: (-r[7], r[0]))
+            return key(b) < key(a)
+
+        def kind(a, b):
+            v = share(a, b)
+            return "nms_dropped" if v >= 0.7 else "edge_dropped" if edge_iou is not None and a[6] == 1 and b[6] == 0 and v >= edge_iou else None
+
+        want, kept = {}, []
+        for r in sorted(data, key=lambda r: (r[6] if edge_iou is not None else 0, -(r[7] if r[7] is not None else 2.0), -r[5], r[0]) if edge_iou is not None else (-(r[7] if r[7] is not None else 2.0), r[0])):
+            by = [k for k in kept if earlier(k, r) and kind(r, k)]
+            want[r[0]] = kind(r, by[0]) if by else "kept"
+            if not by:
+                kept.append(r)
+        seen = []
+        near = detect._near
+        monkeypatch.setattr(detect, "_near", lambda c, *rules: seen.append(c.count()) or near(c, *rules))
+        got = {r.cand_id: r.status for r in detect.suppressed(df, edge_iou=edge_iou).collect()}
+        monkeypatch.setattr(detect, "_near", near)
+        assert got == want
+        assert odd or seen[0] < 250  # 26 places and 128 or so without area
