@@ -94,3 +94,13 @@ def test_logs_reports_models(spark, tmp_path):
     assert infer.checked_task({"task": "segment"})
     with pytest.raises(ValueError, match="segment"):
         infer.checked_task({"task": "detect"})
+
+
+def test_png_read_in_batches(spark, monkeypatch):
+    """Many small images are passed on together, not one by one."""
+    files = spark.createDataFrame([(f"i{k}", png.to_png(np.full((2, 3, 1), k, np.uint8))) for k in range(50)], "name string, content binary").coalesce(1)
+    seen = []
+    monkeypatch.setattr(type(files), "mapInPandas", lambda self, f, schema: seen.append(list(f(iter([self.toPandas()])))) or self)
+    png.decoded(files)
+    assert [len(b) for b in seen[0]] == [50]
+    assert [p[0] for p in seen[0][0]["pixels"]] == list(range(50))
