@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .greedy import greedy_dropped
 from .polygons import polygon_iou
 from .spatial import box_join
 from ..functions.geom import box_iou
@@ -43,22 +42,88 @@ def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | No
     return pairs.where(F.col("iou") >= least).select(F.col("a_image").alias("image"), F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), "iou")
 
 
+def _heads(state: DataFrame, members: DataFrame, key: list[str], side: str) -> DataFrame:
+    """The first free member of each class that has one."""
+    at = members.withColumnRenamed("n", f"{side}_n")
+    return state.join(at, [*key, side, f"{side}_n"])
+
+
+def _matched(pairs: DataFrame, left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """(by, p, p_n, g, g_n, taken): members p_n, p_n + 1, ... of class p are taken with g_n, g_n + 1, ... of class g.
+
+    `pairs` has (by, p, g, iou) of classes, `left` and `right` have (by, p or g, n, id), members of a class by id from 0 on.
+    Members of a class have the same pairs and the smallest id comes first, so its members are used up in that order and
+    only its first free one meets others.  Each round takes the pairs that come first on both sides, which
+    a scan of all pairs would take too (locally dominant pairs); where no other pair of either class is as good, all that both have left.
+    """
+    state, size = {}, {}
+    for side, members in (("p", left), ("g", right)):
+        size[side] = members.groupBy(*by, side).agg(F.count("*").alias(f"{side}_size"))
+        state[side] = cut(_heads(size[side].withColumn(f"{side}_n", F.lit(0)), members.withColumnRenamed("id", f"{side}_id"), by, side))
+    live, out = pairs.select(*by, "p", "g", "iou"), None
+    while True:
+        live = cut(live.join(state["p"], [*by, "p"]).join(state["g"], [*by, "g"]))
+        best = []
+        for one, two in (("p", "g"), ("g", "p")):
+            top = live.groupBy(*by, one).agg(F.min(F.struct(-F.col("iou"), f"{two}_id", two)).alias("low"), F.max(F.struct("iou", f"{two}_id")).alias("high"))
+            best.append(top.select(*by, one, F.col(f"low.{two}").alias(two), (F.col(f"low.{two}_id") == F.col(f"high.{two}_id")).alias(f"only_{one}")))
+        both = best[0].join(best[1], [*by, "p", "g"])
+        now = both.join(state["p"], [*by, "p"]).join(state["g"], [*by, "g"])
+        most = F.least(F.col("p_size") - F.col("p_n"), F.col("g_size") - F.col("g_n"))
+        now = cut(now.select(*by, "p", "p_n", "g", "g_n", F.when(F.col("only_p") & F.col("only_g"), most).otherwise(1).cast("int").alias("taken")))
+        if now.isEmpty():
+            return now if out is None else out
+        out = now if out is None else out.unionByName(now)
+        for side, members in (("p", left), ("g", right)):
+            used = now.select(*by, side, "taken")
+            rest = state[side].join(used.select(*by, side), [*by, side], "left_anti")
+            on = state[side].join(used, [*by, side]).select(*by, side, f"{side}_size", (F.col(f"{side}_n") + F.col("taken")).cast("int").alias(f"{side}_n")).where(F.col(f"{side}_n") < F.col(f"{side}_size"))
+            state[side] = cut(rest.unionByName(_heads(on, members.withColumnRenamed("id", f"{side}_id"), by, side)))
+        live = live.select(*by, "p", "g", "iou")
+
+
+def _ranked(rows: DataFrame, by: list[str], side: str) -> DataFrame:
+    """(by, side, n, id): members of classes (by, side) by id from 0 on."""
+    n = F.row_number().over(Window.partitionBy(*by, side).orderBy("id")) - 1
+    return cut(rows.select(*by, side, n.alias("n"), "id"))
+
+
 def greedy_matches(pairs: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
     """Pairs taken by IoU down, then prediction, then truth, where both sides are free; `by` names columns that part separate matchings."""
-    pairs = cut(pairs.withColumn("id", F.struct(*by, -F.col("iou"), "p", "g")))
-    edges = []
-    for side in ("p", "g"):
-        a = pairs.select(*by, "image", side, F.col("id").alias("late"))
-        b = pairs.select(*by, "image", side, F.col("id").alias("early"))
-        edges.append(a.join(b, [*by, "image", side]).where("early < late").select("late", "early"))
-    gone = greedy_dropped(edges[0].unionByName(edges[1])).select(F.col("late").alias("id"))
-    return pairs.join(gone, "id", "left_anti").select(*by, "image", "p", "g", "iou")
+    pairs, of = cut(pairs.select(*by, "image", "p", "g", "iou")), [*by, "image"]
+    left, right = (cut(pairs.select(*of, side).distinct().select(*of, side, F.lit(0).alias("n"), F.col(side).alias("id"))) for side in "pg")
+    return pairs.join(_matched(pairs, left, right, of), [*of, "p", "g"]).select(*by, "image", "p", "g", "iou")
+
+
+def _classes(rows: DataFrame, side: str, ring: str | None, levels: bool) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Boxes of an image that differ, each by its smallest cand_id, and their members."""
+    shape = ["image", "xmin", "ymin", "xmax", "ymax", *filter(None, [ring])]
+    own = cut(rows.groupBy(*shape).agg(F.min("cand_id").alias("cand_id")))
+    of = rows.join(own.withColumnRenamed("cand_id", side).hint("merge"), shape)
+    if levels:
+        of = thresholds(of) if side == "p" else of.withColumn("threshold", F.explode(F.array(*map(F.lit, THRESHOLDS))))
+    by = ["threshold", "image"] if levels else ["image"]
+    return own, _ranked(of.withColumn("id", F.col("cand_id")), by, side), by
+
+
+def match(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | None = None, levels: bool = False) -> DataFrame:
+    """(image, p, g): what `greedy_matches` takes of all `iou_pairs`, with `levels` at each threshold apart.
+
+    Only boxes that differ are paired, so pairs follow places and not the square of the candidates.
+    """
+    (a, left, by), (b, right, _) = _classes(pred, "p", ring, levels), _classes(gt, "g", ring, levels)
+    pairs = iou_pairs(a, b, least, ring)
+    if levels:
+        pairs = pairs.withColumn("threshold", F.explode(F.array(*map(F.lit, THRESHOLDS))))
+    took = _matched(pairs, left, right, by).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("taken") - 1)))
+    for side, members in (("p", left), ("g", right)):
+        took = took.withColumn("n", F.col(f"{side}_n") + F.col("k")).join(members.withColumnRenamed("id", f"{side}_id"), [*by, side, "n"]).drop("n", side)
+    return took.select(*by, F.col("p_id").alias("p"), F.col("g_id").alias("g"))
 
 
 def scores(pred: DataFrame, gt: DataFrame, least: float = 0.5) -> DataFrame:
     """(threshold, tp, fp, fn, precision, recall, f1) over all images."""
-    pairs = thresholds(iou_pairs(pred, gt, least).join(pred.select(F.col("cand_id").alias("p"), "confidence"), "p"))
-    tp = greedy_matches(pairs.drop("confidence"), ["threshold"]).groupBy("threshold").agg(F.count("*").alias("tp"))
+    tp = match(pred, gt, least, levels=True).groupBy("threshold").agg(F.count("*").alias("tp"))
     n = thresholds(pred).groupBy("threshold").agg(F.count("*").alias("n_pred"))
     rows = pred.sparkSession.createDataFrame([(t,) for t in THRESHOLDS], "threshold double")
     rows = rows.join(tp, "threshold", "left").join(n, "threshold", "left").join(gt.agg(F.count("*").alias("n_gt"))).na.fill(0)

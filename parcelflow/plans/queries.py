@@ -376,7 +376,7 @@ def iou_pairs(s: SparkSession, d: str) -> DataFrame:
 
 @_query
 def greedy_match(s: SparkSession, d: str) -> DataFrame:
-    return evaluate.greedy_matches(evaluate.iou_pairs(*_sides(s, d), 0.1)).select("image", "p", "g")
+    return evaluate.match(*_sides(s, d), 0.1)
 
 
 @_query
@@ -558,7 +558,7 @@ def nms_polygons(s: SparkSession, d: str) -> DataFrame:
 @_query
 def greedy_match_polygons(s: SparkSession, d: str) -> DataFrame:
     c = _diamonds(s, d)
-    return evaluate.greedy_matches(evaluate.iou_pairs(c.where("cand_id % 2 = 0"), c.where("cand_id % 2 = 1"), 0.1, ring="ring")).select("image", "p", "g")
+    return evaluate.match(c.where("cand_id % 2 = 0"), c.where("cand_id % 2 = 1"), 0.1, ring="ring")
 
 
 @_query

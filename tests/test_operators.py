@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import detect, greedy, polygons, raster, records, split
+from parcelflow.operators import detect, evaluate, greedy, polygons, raster, records, split
 from parcelflow.sources import files
 from parcelflow.streaming import bins
 
@@ -153,3 +153,35 @@ def test_suppression_of_many_in_one_place(spark, edge_iou, monkeypatch):
         monkeypatch.setattr(detect, "_near", near)
         assert got == want
         assert odd or seen[0] < 250  # 26 places and 128 or so without area
+
+
+def test_match_of_many_in_one_place(spark, monkeypatch):
+    """Boxes that many predictions and truths share, with ties between places: as a scan of all pairs, of which only places are made."""
+    rng = random.Random(3)
+    rows = [(i, rng.randint(0, 1), 40.0 * rng.randint(0, 1), rng.choice([200.0, 240.0]), rng.randint(30, 99) / 100) for i in range(48)]
+    df = spark.createDataFrame([(i, m, x, 0.0, x + w, w, c) for i, m, x, w, c in rows], "cand_id long, image int, xmin double, ymin double, xmax double, ymax double, confidence double")
+    pred, gt = df.where("cand_id % 2 = 0"), df.where("cand_id % 2 = 1")
+
+    def share(a, b):
+        inter = max(0.0, min(a[2] + a[3], b[2] + b[3]) - max(a[2], b[2])) * min(a[3], b[3])
+        return inter / (a[3] * a[3] + b[3] * b[3] - inter)
+
+    def scan(least):
+        pairs = sorted((-share(p, g), p[0], g[0], p[1]) for p in rows[::2] for g in rows[1::2] if p[4] >= least and p[1] == g[1] and share(p, g) >= 0.3)
+        used, out = set(), set()
+        for _, p, g, m in pairs:
+            if p not in used and g not in used:
+                used |= {p, g}
+                out.add((m, p, g))
+        return out
+
+    made = []
+    pairs = evaluate.iou_pairs
+    monkeypatch.setattr(evaluate, "iou_pairs", lambda *a: made.append(pairs(*a).count()) or pairs(*a))
+    assert {(r.image, r.p, r.g) for r in evaluate.match(pred, gt, 0.3).collect()} == scan(0)
+    assert made[0] <= 2 * 4 * 4
+    got = {}
+    for r in evaluate.match(pred, gt, 0.3, levels=True).collect():
+        got.setdefault(r.threshold, set()).add((r.image, r.p, r.g))
+    assert got == {t: scan(t) for t in evaluate.THRESHOLDS}
+    assert {(r.image, r.p, r.g) for r in evaluate.greedy_matches(pairs(pred, gt, 0.3)).collect()} == scan(0)
