@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import polygons
 from .spatial import box_join
 from ..functions import geom
+from ..plans.storage import cut
 
 NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|nan|NaN|inf|infinity)$"
 
@@ -71,16 +72,23 @@ def qc_record(lines: DataFrame) -> DataFrame:
 
 def shape_record(lines: DataFrame, size: float = 640.0) -> DataFrame:
     """One row a file with instances: how many touch the border, pairs of equal ones, mean circularity, how many are far
-    from a circle, mean short over long side.  Instances with a value that is no finite number have no shape and don't count."""
+    from a circle, mean short over long side.  Instances with a value that is no finite number have no shape and don't count.
+    A number names one line of its file; lines without one make no pairs."""
     rows = instances(lines).where(F.forall("points", lambda p: ~F.isnan(p["x"]) & ~F.isnan(p["y"]) & (F.abs(p["x"]) != float("inf")) & (F.abs(p["y"]) != float("inf"))))
-    rows = rows.select("file", "line_no", F.transform("points", lambda p: F.struct((p["x"] * size).alias("x"), (p["y"] * size).alias("y"))).alias("ring"))
+    rows = rows.select("file", F.col("line_no").isNotNull().cast("long").alias("numbered"), F.transform("points", lambda p: F.struct((p["x"] * size).alias("x"), (p["y"] * size).alias("y"))).alias("ring"))
+    # equal rings of a file are measured once and weigh as many as they are
+    rows = cut(rows.groupBy("file", "ring").agg(F.count("*").alias("n"), F.sum("numbered").alias("numbered")))
     axis = lambda c: F.transform("ring", lambda p: p[c])
     rows = rows.withColumns({c + k: f(axis(c)) for c in "xy" for k, f in (("min", F.array_min), ("max", F.array_max))})
     a, p = geom.ring_area(F.col("ring")), geom.ring_perimeter(F.col("ring"))
     each = rows.withColumns({"border": geom.near_edge(3, True, size), "circ": geom.compactness(a, p), "aniso": polygons.aspect(F.col("ring"))})
-    per = each.groupBy("file").agg(F.count_if("border").alias("n_border"), F.avg("circ").alias("mean_circ"), F.count_if(F.col("circ") < 0.60).alias("n_low_circ"), F.avg("aniso").alias("mean_aniso"))
-    pairs = box_join(rows, rows, 64.0, F.col("a_line_no") < F.col("b_line_no"), equal=["file"])
-    same = pairs.where(polygons.polygon_iou(F.col("a_ring"), F.col("b_ring")) > 0.9).groupBy(F.col("a_file").alias("file")).agg(F.count("*").alias("n_dup"))
+    mean = lambda c: F.sum(F.col(c) * F.col("n")) / F.sum(F.when(F.col(c).isNotNull(), F.col("n")))
+    number = lambda test: F.coalesce(F.sum(F.when(test, F.col("n"))), F.lit(0)).cast("long")
+    per = each.groupBy("file").agg(number(F.col("border")).alias("n_border"), mean("circ").alias("mean_circ"), number(F.col("circ") < 0.60).alias("n_low_circ"), mean("aniso").alias("mean_aniso"))
+    # a ring and itself make pairs of their lines, two rings a pair of each line of one and each of the other
+    met = box_join(rows, rows, 64.0, F.col("a_ring") <= F.col("b_ring"), equal=["file"]).where(polygons.polygon_iou(F.col("a_ring"), F.col("b_ring")) > 0.9)
+    n, m = F.col("a_numbered"), F.col("b_numbered")
+    same = met.groupBy(F.col("a_file").alias("file")).agg(F.sum(F.when(F.col("a_ring") == F.col("b_ring"), F.expr("a_numbered * (a_numbered - 1) div 2")).otherwise(n * m)).alias("n_dup"))
     return per.join(same, "file", "left").select("file", "n_border", F.coalesce("n_dup", F.lit(0)).alias("n_dup"), "mean_circ", "n_low_circ", "mean_aniso")
 
 

@@ -64,6 +64,13 @@ def test_shape_record(spark):
     assert (got["b"].n_border, got["b"].n_dup) == (1, 0)
 
 
+def test_shape_record_of_copies(spark):
+    """Two hundred thousand equal lines, and a few that nearly equal them, make pairs that are counted and not stored."""
+    near = F.when(F.col("id") < 3, "0 0.1 0.1 0.2 0.1 0.2 0.201 0.1 0.2").otherwise("0 0.1 0.1 0.2 0.1 0.2 0.2 0.1 0.2")
+    got, = labels.shape_record(spark.range(200_000).select(F.lit("a").alias("file"), F.col("id").alias("line_no"), near.alias("text"))).collect()
+    assert got.n_dup == 200_000 * 199_999 // 2 and got.n_border == 0 and got.mean_aniso == pytest.approx(1, abs=1e-3)
+
+
 def test_polygons_in_tiles(spark):
     """Triangles across a tile's side; a box that meets the tile only with its empty corner is no pair."""
     tiles = spark.createDataFrame([(1, 0.0, 0.0, 10.0, 10.0)], "tile_id long, xmin double, ymin double, xmax double, ymax double")
