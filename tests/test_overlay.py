@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from parcelflow.operators import overlay, polygons
 
@@ -117,3 +118,20 @@ def test_shared_areas(spark):
     assert got[100].inter == pytest.approx(2.5 * 4 - 0.5 * 2) and got[101].inter == 0 and got[102].inter == 0 and got[103].inter == 16
     assert got[104].inter == pytest.approx(polygons.intersection_area(*map(np.array, big)), rel=1e-9)
     assert {r.k: r.iou for r in overlay.iou(df.where("k in (101, 103)"), ["k"]).collect()} == {103: 1.0}
+
+
+def test_worked_on_where_it_lies(spark, shapes, monkeypatch):
+    """Shapes are neither shuffled nor stored, and blocks of any size give the same (whole coordinates, so to the last digit)."""
+    wide = shapes.where("k <> 'pentagram'").crossJoin(spark.range(40).select((100.0 * F.col("id")).alias("d"))).select(
+        F.concat("k", F.col("d").cast("int").cast("string")).alias("k"), F.transform("rings", lambda r: F.transform(r, lambda p: F.struct((p["x"] + F.col("d")).alias("x"), p["y"].alias("y")))).alias("rings")
+    ).coalesce(1).cache()
+    pairs = wide.withColumn("b", F.transform("rings", lambda r: F.transform(r, lambda p: F.struct((p["x"] + 0.5).alias("x"), p["y"].alias("y")))))
+    whole = {}
+    for points, items in ((overlay.POINTS, overlay.ITEMS), (7, 5)):
+        monkeypatch.setattr(overlay, "POINTS", points)
+        monkeypatch.setattr(overlay, "ITEMS", items)
+        made = [overlay.validity(wide, ["k"]), overlay.areas(wide, ["k"]), overlay.parts(wide, ["k"]), overlay.repaired(wide, ["k"]), overlay.shared(pairs, ["k"], "rings", "b")]
+        for n, df in enumerate(made):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString().split("InMemoryTableScan")[0]
+            rows = sorted(map(str, df.collect()))
+            assert rows and whole.setdefault(n, rows) == rows
