@@ -133,8 +133,8 @@ def paired_audit(images: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def split_mode(scene_pairs: DataFrame, tile_pairs: DataFrame) -> DataFrame:
-    """(scene_pairs, tile_pairs, mode): SPATIAL where scenes or tiles of different sources overlap, else BY_TIF."""
-    rows = scene_pairs.agg(F.count("*").alias("scene_pairs")).join(tile_pairs.agg(F.count("*").alias("tile_pairs")))  # one row each
+    """(scene_pairs, tile_pairs, mode): SPATIAL where scenes or tiles of different sources overlap, else BY_TIF; `tile_pairs` has their number n."""
+    rows = scene_pairs.agg(F.count("*").alias("scene_pairs")).join(tile_pairs.select(F.col("n").alias("tile_pairs")))  # one row each
     return rows.withColumn("mode", F.when((F.col("scene_pairs") > 0) | (F.col("tile_pairs") > 0), "SPATIAL").otherwise("BY_TIF"))
 
 

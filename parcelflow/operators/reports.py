@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .regroup import DROPPED
-from .split import leak_pairs, split_audit, split_sources, val_train_overlap
+from .split import count_leaks, split_audit, split_sources, val_train_overlap
 
 SETS = ("train", "val", "test")
 
@@ -61,7 +61,7 @@ def splitting(assigned: DataFrame) -> DataFrame:
     of = lambda s: F.array_contains(F.split("splits", ","), s)
     pairs = [(a, b) for i, a in enumerate(SETS) for b in SETS[i + 1 :]]
     shared = scenes.agg(*(F.count_if(of(a) & of(b)).alias(f"n{i}") for i, (a, b) in enumerate(pairs)))
-    leaks = leak_pairs(assigned).agg(F.count("*").alias("n"))
+    leaks = count_leaks(assigned)
     return _all([
         _lines(counts, 0, F.format_string("  %-5s: rows %4d | positives %4d | negatives %4d", "split", "rows", "positives", "negatives"), F.col("k")),
         _lines(dropped, 1, F.concat(F.lit("  buffer: "), F.col("n"))),

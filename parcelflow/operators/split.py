@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .greedy import components
-from .spatial import box_join, overlaps
+from .spatial import box_join, count_overlaps, overlaps
 from .uneven import uneven_join
 from ..functions.geom import overlap_area
 from ..plans.storage import cut
@@ -178,7 +178,7 @@ def assigned_by_mode(tiles: DataFrame, mode: DataFrame) -> DataFrame:
     Both ways are in the plan and the row lets one of them have the tiles, so nothing is decided on the driver.
     Scenes whose bounds share area stay together, under the smallest of them.
     """
-    rows = tiles.join(F.broadcast(mode.select("mode")))  # one row
+    rows = tiles.join(F.broadcast(cut(mode.select("mode"))))  # one row, found once
     spatial, apart = (rows.where(F.col("mode") == m).drop("mode") for m in ("SPATIAL", "BY_TIF"))
     linked = components(apart.select(F.col("source").alias("node")).distinct(), scene_overlaps(apart).select("a", "b"))
     whole = apart.join(linked.select(F.col("node").alias("source"), "component"), "source")
@@ -200,7 +200,12 @@ def split_sources(assigned: DataFrame) -> DataFrame:
 def leak_pairs(assigned: DataFrame, cell: float = TILE) -> DataFrame:
     """Pairs of tiles in different splits that share more than 1 square metre."""
     kept = assigned.where("split <> 'DROPPED_BUFFER'").select("tile_id", "split", "xmin", "ymin", "xmax", "ymax")
-    return overlaps(kept, "tile_id", cell, F.col("a_split") != F.col("b_split"))
+    return overlaps(kept, "tile_id", cell, "split")
+
+
+def count_leaks(assigned: DataFrame, cell: float = TILE) -> DataFrame:
+    """One row, n: how many pairs `leak_pairs` has."""
+    return count_overlaps(assigned.where("split <> 'DROPPED_BUFFER'"), cell, "split")
 
 
 def val_train_overlap(assigned: DataFrame, cell: float = TILE) -> DataFrame:
