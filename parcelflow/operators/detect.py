@@ -9,7 +9,7 @@ from . import overlay
 from .greedy import greedy_dropped
 from .polygons import polygon_iou, polygon_overlap
 from .selection import medians
-from .spatial import box_join
+from .spatial import box_join, gathered, places, spread
 from ..functions.geom import box_iou, box_ring, overlap_area
 from ..plans.storage import cut
 
@@ -20,9 +20,17 @@ CELL = 400.0
 
 def tile_polygons(tiles: DataFrame, boxes: DataFrame, cell: float = 6400.0, ring: str | None = None) -> DataFrame:
     """Pairs of tiles and boxes that share area, with the share of the box that is inside; `ring` names the polygons in the boxes."""
-    pairs = box_join(tiles.select("tile_id", "xmin", "ymin", "xmax", "ymax"), boxes.select("cand_id", "area", "xmin", "ymin", "xmax", "ymax", *filter(None, [ring])), cell)
-    pairs = pairs.withColumn("inter", polygon_overlap(box_ring("a_"), F.col(f"b_{ring}")) if ring else overlap_area()).where(F.col("inter") > 0)
-    return pairs.select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), "inter", (F.col("inter") / F.col("b_area")).alias("visible"))
+    of = ["area", *filter(None, [ring])]
+    spots, found = gathered(tiles, "tile_id"), gathered(boxes, "cand_id", of)
+    met = box_join(places(spots), places(found, of), cell).withColumn("inter", polygon_overlap(box_ring("a_"), F.col(f"b_{ring}")) if ring else overlap_area()).where(F.col("inter") > 0)
+    met = met.select("a_place", "b_place", "inter", (F.col("inter") / F.col("b_area")).alias("visible"))
+    return _of_tiles(met, spots, found)
+
+
+def _of_tiles(met: DataFrame, spots: DataFrame, found: DataFrame) -> DataFrame:
+    """What places share, for each of their tiles and candidates."""
+    pairs = spread(met, spots, found, "tile_id", to="cand_id")
+    return pairs.select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), "inter", "visible")
 
 
 def tile_shapes(tiles: DataFrame, shapes: DataFrame, cell: float = 6400.0) -> DataFrame:
@@ -32,14 +40,15 @@ def tile_shapes(tiles: DataFrame, shapes: DataFrame, cell: float = 6400.0) -> Da
     """
     ends = lambda f, v: f(F.transform(F.flatten("rings"), lambda p: p[v]))
     boxed = shapes.select("cand_id", "rings", *(ends(f, v).alias(f"{v}{n}") for v in "xy" for n, f in (("min", F.array_min), ("max", F.array_max)))).where("xmin IS NOT NULL")
-    pairs = box_join(tiles.select("tile_id", "xmin", "ymin", "xmax", "ymax"), boxed, cell)
+    spots, found = gathered(tiles, "tile_id"), gathered(boxed, "cand_id", ["rings"])
+    shaped = places(found, ["rings"])
+    pairs = box_join(places(spots), shaped, cell)
     within = F.expr("b_xmin >= a_xmin AND b_xmax <= a_xmax AND b_ymin >= a_ymin AND b_ymax <= a_ymax")
-    whole = pairs.where(within).select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"))
-    size = overlay.areas(shapes.join(whole.select("cand_id").distinct(), "cand_id"), ["cand_id"])
-    whole = whole.join(size, "cand_id").select("tile_id", "cand_id", F.col("area").alias("inter"), F.lit(1.0).alias("visible"))
-    across = pairs.where(~within).select(F.col("a_tile_id").alias("tile_id"), F.col("b_cand_id").alias("cand_id"), F.array(box_ring("a_")).alias("a"), F.col("b_rings").alias("b"))
-    part = overlay.shared(across, ["tile_id", "cand_id"]).where("inter > 0")
-    return whole.unionByName(part.select("tile_id", "cand_id", "inter", (F.col("inter") / F.col("area_b")).alias("visible")))
+    size = overlay.areas(shaped.select(F.col("place").alias("b_place"), "rings"), ["b_place"])
+    whole = pairs.where(within).select("a_place", "b_place").join(size, "b_place").select("a_place", "b_place", F.col("area").alias("inter"), F.lit(1.0).alias("visible"))
+    across = pairs.where(~within).select("a_place", "b_place", F.array(box_ring("a_")).alias("a"), F.col("b_rings").alias("b"))
+    part = overlay.shared(across, ["a_place", "b_place"]).where("inter > 0")
+    return _of_tiles(whole.unionByName(part.select("a_place", "b_place", "inter", (F.col("inter") / F.col("area_b")).alias("visible"))), spots, found)
 
 
 def tile_decisions(tiles: DataFrame, joined: DataFrame, min_pixels: float = 4.0, keep: float = 0.10, res: float = 10.0) -> DataFrame:

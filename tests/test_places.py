@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import spatial
+from parcelflow.operators import detect, spatial
 
 BOX = "id long, kind string, xmin double, ymin double, xmax double, ymax double"
 
@@ -39,3 +39,18 @@ def test_crowd(spark):
     assert spatial.count_overlaps(df, 6.0, "kind").first().n == 10**10
     got = spatial.first_met(df.where("kind = 'a'"), df.where("kind = 'b'"), "id", 6.0, 3).groupBy("rank").agg(F.count("*"), F.min("b_id"), F.max("b_id")).orderBy("rank").collect()
     assert [tuple(r) for r in got] == [(1, 100_000, 1, 1), (2, 100_000, 3, 3), (3, 100_000, 5, 5)]
+
+
+def test_crowded_tiles(spark):
+    """300 equal tiles and 3000 equal candidates: 900,000 pairs whose area is found once; one list of a place holds no more than its share."""
+    at = lambda n, name, box: spark.range(n).select(F.col("id").alias(name), *(F.lit(v).alias(c) for c, v in zip(spatial.SIDES, box, strict=True)))
+    tiles, cands = at(300, "tile_id", (0.0, 0.0, 10.0, 10.0)), at(3000, "cand_id", (8.0, 0.0, 14.0, 6.0))
+    ring = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((8.0, 0.0), (14.0, 0.0), (14.0, 6.0))))
+    lists = spatial.gathered(cands, "cand_id").select(F.size("ids").alias("n")).collect()
+    assert sum(r.n for r in lists) == 3000 and len(lists) == 3
+    seen = []
+    for got in (detect.tile_polygons(tiles, cands.withColumn("area", F.lit(18.0)).withColumn("ring", ring), ring="ring"), detect.tile_shapes(tiles, cands.select("cand_id", F.array(ring).alias("rings")))):
+        assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]  # not on pairs of rows
+        seen.append(got.agg(F.count("*"), F.count_distinct("tile_id", "cand_id"), F.min("inter"), F.max("inter")).first())
+    for n, pairs, least, most in seen:
+        assert n == pairs == 900_000 and least == pytest.approx(2.0) and most == pytest.approx(2.0)
