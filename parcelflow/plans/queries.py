@@ -395,7 +395,9 @@ def polygon_iou(s: SparkSession, d: str) -> DataFrame:
 @_query
 def infer_stub(s: SparkSession, d: str) -> DataFrame:
     windows = raster.grid(_scenes(s, d), clamped=False).select(F.col("scene").cast("string").alias("scene"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"))
-    return infer.detect(windows, infer.stub_model)
+    # one small table is one split, and a task of its own would find everything
+    tasks = max(4 * s.sparkContext.defaultParallelism, int(s.conf.get("spark.sql.shuffle.partitions")))
+    return infer.detect(windows.repartition(tasks, "scene", "row", "col"), infer.stub_model)
 
 
 @_query

@@ -1,13 +1,16 @@
 """Shapefiles, PNG, logs and reports: what is written is read back, and what is no such file is an error."""
 
+import os
 import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.operators import infer
+from parcelflow.plans import queries
 from parcelflow.sources import files, png, shapes
 
 ELL = [(0.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0), (2.0, 4.0), (0.0, 4.0)]
@@ -104,3 +107,25 @@ def test_png_read_in_batches(spark, monkeypatch):
     png.decoded(files)
     assert [len(b) for b in seen[0]] == [50]
     assert [p[0] for p in seen[0][0]["pixels"]] == list(range(50))
+
+
+def test_batches_leave_together(spark):
+    """The model gets few windows at a time, what it finds leaves in large tables, and a one-task table is dealt out by the query."""
+    sizes = spark.sparkContext.accumulator(0)
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def model(frame):
+            calls.add(1)
+            sizes.add(int(len(frame) > 8))
+            return infer.stub_model()(frame)
+
+        return model
+
+    windows = spark.range(3000).coalesce(1).selectExpr("cast(id % 7 as string) scene", "cast(id * 512 as int) row", "cast(id * 1024 as int) col")
+    found = infer.detect(windows, load)
+    tables = found.mapInPandas(lambda frames: (pd.DataFrame({"n": [len(f)]}) for f in frames), "n long").collect()
+    assert sum(r.n for r in tables) == 3000 and len(tables) <= 6
+    assert calls.value == 375 and sizes.value == 0
+    stub = queries.queries()["infer_stub"](spark, "/root/testdata/sf0.001") if os.path.isdir("/root/testdata/sf0.001") else None
+    assert stub is None or stub.rdd.getNumPartitions() >= 4
