@@ -22,8 +22,11 @@ def mask_candidates(results: DataFrame, res: float = 10.0) -> DataFrame:
     hi = lambda c: F.array_max(F.transform("ring", lambda p: p[c]))
     rows = results.where(F.size("ring") >= 3).withColumns({"xmin": lo("x"), "ymin": lo("y"), "xmax": hi("x"), "ymax": hi("y")})
     rows = rows.withColumn("is_edge", geom.near_edge(EDGE, False).cast("int"))
-    rows = rows.withColumn("ring", geom.exterior(F.array(geom.to_ground(F.col("ring"), x, y, res)))).where(F.size("ring") >= 3)
-    rows = rows.withColumns({"area": geom.ring_area(F.col("ring")), "perimeter": geom.ring_perimeter(F.col("ring"))}).where(F.col("area") >= LEAST)
+    # names bound by lambdas: a ring is made once, where a column that is filtered by would be made again for each use
+    ground = F.transform(F.array(geom.to_ground(F.col("ring"), x, y, res)), lambda r: geom.exterior(F.array(r)))
+    measured = F.transform(ground, lambda r: F.struct(r.alias("ring"), geom.ring_area(r).alias("area"), geom.ring_perimeter(r).alias("perimeter")))
+    found = F.filter(measured, lambda m: (F.size(m["ring"]) >= 3) & (m["area"] >= LEAST))
+    rows = rows.select("scene", "row", "col", "k", "confidence", "is_edge", F.inline_outer(found)).where("ring IS NOT NULL")
     shape = F.round(geom.compactness(F.col("area"), F.col("perimeter")), 4)
     return rows.select(
         "scene", F.col("row").alias("window_row"), F.col("col").alias("window_col"), "k", "ring", F.round(F.coalesce("confidence", F.lit(0.0)), 4).alias("confidence"),

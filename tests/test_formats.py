@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import infer
+from parcelflow.operators import infer, masks
 from parcelflow.plans import queries
 from parcelflow.sources import files, png, shapes
 
@@ -129,3 +129,14 @@ def test_batches_leave_together(spark):
     assert calls.value == 375 and sizes.value == 0
     stub = queries.queries()["infer_stub"](spark, "/root/testdata/sf0.001") if os.path.isdir("/root/testdata/sf0.001") else None
     assert stub is None or stub.rdd.getNumPartitions() >= 4
+
+
+def test_rings_of_masks_are_made_once(spark):
+    """Of a ring the plan has one area and one perimeter, however often they are used."""
+    ring = F.transform(F.sequence(F.lit(0), (F.col("id") % 5).cast("int")), lambda i: F.struct((10.0 * i + F.col("id")).alias("x"), (i * i * 10.0).alias("y")))
+    zero, k = F.lit(0), F.col("id")
+    rows = spark.range(50).select(zero.alias("scene"), zero.alias("row"), zero.alias("col"), k.alias("k"), ring.alias("ring"), F.lit(0.5).alias("confidence"), F.lit(0.0).alias("x0"), F.lit(0.0).alias("y0"))
+    got = masks.mask_candidates(rows)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("zip_with(") <= 2
+    assert sorted(r.k for r in got.collect()) == [k for k in range(50) if k % 5 >= 2]
+    assert masks.mask_candidates(rows.withColumn("ring", F.when(F.col("k") > 9, F.col("ring")))).count() == sum(k > 9 and k % 5 >= 2 for k in range(50))
