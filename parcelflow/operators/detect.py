@@ -10,7 +10,7 @@ from .greedy import greedy_dropped
 from .polygons import polygon_iou, polygon_overlap
 from .selection import medians
 from .spatial import box_join, gathered, places, spread
-from ..functions.geom import box_iou, box_ring, overlap_area
+from ..functions.geom import box_iou, box_ring, overlap_area, ring_area
 from ..plans.storage import cut
 
 #: Fixed values of the filters: areas in square metres, compactness, share of a polygon that must be visible.
@@ -96,8 +96,14 @@ def _near(cands: DataFrame, iou: float, edge_iou: float | None, scope: list[str]
     for c in reversed(parts):
         earlier = (_part("b_", c) < _part("a_", c)) | ((_part("b_", c) == _part("a_", c)) & earlier)
     share = F.round(polygon_iou(F.col(f"a_{ring}"), F.col(f"b_{ring}")), 9) if ring else box_iou()
+    least = min(iou, iou if edge_iou is None else edge_iou)
+    use = use.withColumn("__size", ring_area(F.col(ring))) if ring else use
+    pairs = box_join(use, use, CELL, equal=scope)
+    if ring:  # simple polygons share no more than their boxes do, which leaves few pairs to be cut
+        rest = F.col("a___size") + F.col("b___size") - overlap_area()
+        pairs = pairs.where(F.coalesce((rest <= 0) | (overlap_area() >= (least - 1e-6) * rest), F.lit(True)))
     # one plain test of all pairs, which compiles where the kinds do not
-    pairs = box_join(use, use, CELL, equal=scope).withColumn("iou", share).where(F.col("iou") >= min(iou, iou if edge_iou is None else edge_iou))
+    pairs = pairs.withColumn("iou", share).where(F.col("iou") >= least)
     kinds = {n: _kind(F.col("iou"), e, F.col("b_is_edge"), iou, edge_iou, strict) for n, e in (("kind", F.col("a_is_edge")), ("kind0", F.lit(0)), ("kind1", F.lit(1)))}
     rank = F.struct(*(_part("b_", c) for c in parts))
     return pairs.select(F.col("a_cand_id").alias("late"), F.col("b_cand_id").alias("early"), F.coalesce(earlier, F.lit(False)).alias("earlier"), *(k.alias(n) for n, k in kinds.items()), rank.alias("rank"))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelflow.operators import detect, spatial
+from parcelflow.operators import detect, polygons, spatial
 
 BOX = "id long, kind string, xmin double, ymin double, xmax double, ymax double"
 
@@ -54,3 +54,22 @@ def test_crowded_tiles(spark):
         seen.append(got.agg(F.count("*"), F.count_distinct("tile_id", "cand_id"), F.min("inter"), F.max("inter")).first())
     for n, pairs, least, most in seen:
         assert n == pairs == 900_000 and least == pytest.approx(2.0) and most == pytest.approx(2.0)
+
+
+def test_few_pairs_are_cut(spark):
+    """Rings whose boxes share too little are not cut by the kernel, and no pair that shares enough is lost."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(60):
+        turn, far = np.sort(rng.uniform(0, 2 * np.pi, 7)), rng.uniform(40, 60, 7)
+        xy = np.stack([far * np.cos(turn), far * np.sin(turn)], 1) + rng.uniform(0, 60, 2)
+        rows.append((k, 0, float(k), 1.0, *map(float, (*xy.min(0), *xy.max(0))), [tuple(map(float, p)) for p in xy]))
+    df = spark.createDataFrame(rows, "cand_id long, is_edge int, confidence double, area double, xmin double, ymin double, xmax double, ymax double, ring array<struct<x:double,y:double>>")
+    near = detect._near(df, 0.5, 0.3, [], False, "ring")
+    plan = near._jdf.queryExecution().optimizedPlan().toString()
+    assert "__size" in plan[plan.index("ArrowEvalPython") :]
+    rings = [np.array(r[-1]) for r in rows]
+    size = [polygons.intersection_area(r, r) for r in rings]
+    share = {(i, j): polygons.intersection_area(a, b) for i, a in enumerate(rings) for j, b in enumerate(rings)}
+    want = {(i, j) for (i, j), s in share.items() if s / (size[i] + size[j] - s) >= 0.3}
+    assert {(r.late, r.early) for r in near.collect()} == want and 60 < len(want) < 3600
