@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,20 +23,36 @@ def _header(length: int, box: list[float]) -> bytes:
     return struct.pack(">7i", CODE, 0, 0, 0, 0, 0, length // 2) + struct.pack("<2i8d", VERSION, POLYGON, *box, 0, 0, 0, 0)
 
 
-def _closed(ring: np.ndarray, clockwise: bool) -> np.ndarray:
-    q = np.roll(ring, -1, 0)
-    area = (ring[:, 0] * q[:, 1] - q[:, 0] * ring[:, 1]).sum()
-    ring = ring[::-1] if (area > 0) == clockwise else ring
-    return np.concatenate([ring, ring[:1]])
-
-
 def _record(rings: list[np.ndarray]) -> tuple[bytes, list[float]]:
+    """A polygon of closed rings, and its box."""
     points = np.concatenate(rings)
     box = [*points.min(0), *points.max(0)]
     starts = np.concatenate([[0], np.cumsum([len(r) for r in rings])[:-1]])
     return struct.pack("<i4d2i", POLYGON, *box, len(rings), len(points)) + starts.astype("<i4").tobytes() + points.astype("<f8").tobytes(), box
 
 
+def _records(x: np.ndarray, y: np.ndarray, count: np.ndarray) -> tuple[list[bytes], np.ndarray, list[float]]:
+    """Records of rings without closing points, made clockwise and closed; their lengths in words, and the box of all."""
+    start = np.cumsum(count) - count
+    after = np.arange(len(x)) + 1
+    after[start + count - 1] = start
+    back = np.add.reduceat(x * y[after] - x[after] * y, start) > 0
+    box = np.stack([f.reduceat(v, start) for f in (np.minimum, np.maximum) for v in (x, y)], 1)
+    words = 24 + 8 * (count + 1)
+    out: list[bytes] = [b""] * len(count)
+    for n in np.unique(count):  # rings of one length are one matrix
+        at = np.flatnonzero(count == n)
+        k = np.append(np.arange(n), 0)
+        of = start[at, None] + np.where(back[at, None], n - 1 - k, k)
+        record = np.zeros(len(at), [("number", ">i4"), ("words", ">i4"), ("kind", "<i4"), ("box", "<f8", 4), ("parts", "<i4"), ("points", "<i4"), ("start", "<i4"), ("xy", "<f8", (n + 1, 2))])
+        record["number"], record["words"], record["kind"], record["parts"], record["points"] = at + 1, words[at], POLYGON, 1, n + 1
+        record["box"], record["xy"] = box[at], np.stack([x[of], y[of]], 2)
+        data, size = record.tobytes(), record.itemsize
+        for i, j in enumerate(at.tolist()):
+            out[j] = data[i * size : (i + 1) * size]
+    return out, words, [*box[:, :2].min(0), *box[:, 2:].max(0)]
+
+
 def _table(rows: pd.DataFrame, columns: list[str]) -> bytes:
     """dBASE III: numbers of 24 places, six of them decimal."""
     fields = b"".join(struct.pack("<11sc4xBB14x", c[:10].encode(), b"N", 24, 6) for c in columns)
@@ -54,20 +72,17 @@ def encode(df: DataFrame, layer: str, columns: list[str]) -> DataFrame:
     rows = df.where(F.size("ring") >= 3).select(F.col(layer).cast("string").alias("layer"), "ring", *(F.col(c).cast("double").alias(c) for c in columns))
     rows = rows.withColumn("part", F.pmod(F.xxhash64("ring", *columns), F.lit(parts)).cast("int"))
 
-    def write(pdf: pd.DataFrame) -> pd.DataFrame:
-        shp, shx, at, boxes = [], [], 50, []
-        for k, ring in enumerate(pdf["ring"], 1):
-            body, box = _record([_closed(np.array([(p["x"], p["y"]) for p in ring]), True)])
-            shp.append(struct.pack(">2i", k, len(body) // 2) + body)
-            shx.append(struct.pack(">2i", at, len(body) // 2))
-            at += 4 + len(body) // 2
-            boxes.append(box)
-        b = np.array(boxes)
-        box = [*b[:, :2].min(0), *b[:, 2:].max(0)]
-        files = [_header(100 + sum(map(len, x)), box) + b"".join(x) for x in (shp, shx)]
-        return pd.DataFrame({"layer": [pdf["layer"].iat[0]], "part": [pdf["part"].iat[0]], "shp": [files[0]], "shx": [files[1]], "dbf": [_table(pdf, columns)]})
+    def write(table: pa.Table) -> pa.Table:
+        rings = pa.concat_arrays(table.column("ring").chunks)
+        x, y = (c.to_numpy(zero_copy_only=False).astype(float) for c in rings.flatten().flatten())
+        shp, words, box = _records(x, y, rings.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        places = np.zeros(len(words), [("at", ">i4"), ("words", ">i4")])
+        places["at"], places["words"] = 50 + np.cumsum(words + 4) - (words + 4), words
+        files = [_header(100 + len(body), box) + body for body in (b"".join(shp), places.tobytes())]
+        own = {"layer": table.column("layer")[0].as_py(), "part": table.column("part")[0].as_py(), "shp": files[0], "shx": files[1], "dbf": _table(table.select(columns).to_pandas(), columns)}
+        return pa.table([pa.array([v], t) for v, t in zip(own.values(), (pa.string(), pa.int32(), *(pa.binary(),) * 3), strict=True)], names=list(own))
 
-    return rows.groupBy("layer", "part").applyInPandas(write, "layer string, part int, shp binary, shx binary, dbf binary")
+    return rows.groupBy("layer", "part").applyInArrow(write, "layer string, part int, shp binary, shx binary, dbf binary")
 
 
 def empty() -> bytes:
@@ -84,6 +99,8 @@ def _inside(point: np.ndarray, ring: np.ndarray) -> bool:
 
 def _parts(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
     """Clockwise rings begin parts; the others are holes of the first part that holds them, or parts if none does."""
+    if len(rings) == 1:
+        return [rings]
     turn = [float((r[:-1, 0] * r[1:, 1] - r[1:, 0] * r[:-1, 1]).sum()) for r in rings]
     out = [[r] for r, t in zip(rings, turn, strict=True) if t <= 0]
     for r, t in zip(rings, turn, strict=True):
@@ -119,18 +136,20 @@ def polygons_of(content: bytes) -> Iterator[tuple[int, list[list[np.ndarray]]]]:
 def decode(files: DataFrame) -> DataFrame:
     """(path, record, parts) of (path, content); the format ends a file at 2 GB, and a task reads one at a time."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = lambda groups, values: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, groups)]).astype(np.int32)), values)
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                rows: list = []
-                for number, parts in polygons_of(content):
-                    rows.append((path, number, [[[{"x": x, "y": y} for x, y in r.tolist()] for r in p] for p in parts]))
-                    if len(rows) == 1000:
-                        yield pd.DataFrame(rows, columns=["path", "record", "parts"])
-                        rows = []
-                yield pd.DataFrame(rows, columns=["path", "record", "parts"])
-
-    return files.select("path", "content").mapInPandas(read, f"path string, record int, parts array<array<array<{POINT}>>>")
+            for path, content in zip(*batch.columns, strict=True):
+                records = polygons_of(content.as_py())
+                while some := list(islice(records, 4096)):
+                    parts = [p for _, own in some for p in own]
+                    rings = [r for p in parts for r in p]
+                    xy = np.concatenate([np.zeros((0, 2)), *rings])
+                    points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"])
+                    nested = lists([own for _, own in some], lists(parts, lists(rings, points)))
+                    yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(some), pa.string()), pa.array([n for n, _ in some], pa.int32()), nested], ["path", "record", "parts"])
+
+    return files.select("path", "content").mapInArrow(read, f"path string, record int, parts array<array<array<{POINT}>>>")
 
 
 def read_layers(spark: SparkSession, folder: str, system: str) -> DataFrame:

@@ -140,3 +140,19 @@ def test_rings_of_masks_are_made_once(spark):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("zip_with(") <= 2
     assert sorted(r.k for r in got.collect()) == [k for k in range(50) if k % 5 >= 2]
     assert masks.mask_candidates(rows.withColumn("ring", F.when(F.col("k") > 9, F.col("ring")))).count() == sum(k > 9 and k % 5 >= 2 for k in range(50))
+
+
+def test_records_as_one_by_one(spark):
+    """Rings of many lengths, turning both ways, give the bytes that one at a time give, and come back closed and clockwise."""
+    rng = np.random.default_rng(2)
+    rings = [rng.integers(0, 1000, (int(n), 2)).astype(float) for n in rng.integers(3, 9, 300)]
+    signed = lambda r: float((r[:, 0] * np.roll(r[:, 1], -1) - np.roll(r[:, 0], -1) * r[:, 1]).sum())
+    turned = [r[::-1] if signed(r) > 0 else r for r in rings]
+    closed = [np.concatenate([r, r[:1]]) for r in turned]
+    bodies = [shapes._record([r])[0] for r in closed]
+    got, words, box = shapes._records(*np.concatenate(rings).T, np.array([len(r) for r in rings]))
+    assert got == [struct.pack(">2i", k, len(b) // 2) + b for k, b in enumerate(bodies, 1)] and words.tolist() == [len(b) // 2 for b in bodies]
+    assert box == [*np.concatenate(rings).min(0), *np.concatenate(rings).max(0)]
+    df = spark.createDataFrame([("one", [tuple(p) for p in r.tolist()], float(k)) for k, r in enumerate(rings)], "layer string, ring array<struct<x:double,y:double>>, v double").coalesce(1)
+    back = shapes.decode(shapes.encode(df, "layer", ["v"]).selectExpr("layer as path", "shp as content")).orderBy("record").collect()
+    assert [[tuple(p) for p in r.parts[0][0]] for r in back] == [[tuple(p) for p in r.tolist()] for r in closed] and {len(r.parts) for r in back} == {1}
