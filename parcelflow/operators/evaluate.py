@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from heapq import heapify, heappop, heappush
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +17,8 @@ from ..plans.storage import cut
 
 #: Fixed values of the reports.
 THRESHOLDS = [0.35, 0.50, 0.65, 0.75]
+#: Sides of boxes that a cell of the first round of matching has, and pairs that one task of a cell takes.
+SIDES, CELL_PAIRS = 32, 2**18
 
 
 def thresholds(df: DataFrame) -> DataFrame:
@@ -35,90 +42,159 @@ def per_image(images: DataFrame, cands: DataFrame) -> DataFrame:
     return rows.groupBy("threshold").agg(F.avg("c").alias("mean"), F.median("c").alias("median"), F.max("c").alias("most"))
 
 
-def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | None = None) -> DataFrame:
-    """(image, p, g, iou) of an image's boxes, or of the polygons that `ring` names, that overlap enough."""
+def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | None = None, of: list[str] = []) -> DataFrame:  # noqa: B006
+    """(image, p, g, iou, of) of an image's boxes, or of the polygons that `ring` names, that overlap enough; `of` names columns of pred."""
     cols = ["cand_id", "image", "xmin", "ymin", "xmax", "ymax", *filter(None, [ring])]
     pairs = box_join(pred.select(cols), gt.select(cols), 400.0, equal=["image"]).withColumn("iou", F.round(polygon_iou(F.col(f"a_{ring}"), F.col(f"b_{ring}")), 9) if ring else box_iou())
-    return pairs.where(F.col("iou") >= least).select(F.col("a_image").alias("image"), F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), "iou")
-
+    return pairs.where(F.col("iou") >= least).select(F.col("a_image").alias("image"), F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), "iou", *(F.col(f"a_{c}").alias(c) for c in of))
 
-def _heads(state: DataFrame, members: DataFrame, key: list[str], side: str) -> DataFrame:
-    """The first free member of each class that has one."""
-    at = members.withColumnRenamed("n", f"{side}_n")
-    return state.join(at, [*key, side, f"{side}_n"])
 
+def _matched(pairs: DataFrame, left: DataFrame, right: DataFrame, by: list[str], side: float = 1.0, levels: int = 1) -> DataFrame:
+    """(by, level, p, g): members that a scan by IoU down, then p, then g takes, for each level apart.
 
-def _matched(pairs: DataFrame, left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    """(by, p, p_n, g, g_n, taken): members p_n, p_n + 1, ... of class p are taken with g_n, g_n + 1, ... of class g.
+    `pairs` has (by, p, g, iou, x, y) of classes, `left` (by, p, x, y, ids, lv) and `right` (by, g, ids): members of a class by id,
+    in level 0 up to lv - 1; x and y say where p is.  Members of a class have the same pairs and are used up by id.
 
-    `pairs` has (by, p, g, iou) of classes, `left` and `right` have (by, p or g, n, id), members of a class by id from 0 on.
-    Members of a class have the same pairs and the smallest id comes first, so its members are used up in that order and
-    only its first free one meets others.  Each round takes the pairs that come first on both sides, which
-    a scan of all pairs would take too (locally dominant pairs); where no other pair of either class is as good, all that both have left.
+    Each round deals classes p with all their pairs to cells of some SIDES sides, each scanned by a task.  Only a class g can have pairs
+    in other cells; it is told the first of those, and what hangs on them stays open for the next round, whose cells
+    are larger and lie elsewhere.  The first open pair of all hangs on no other, so every round ends some, and mostly all
+    but what lies at the sides of cells.  A cell with over CELL_PAIRS pairs falls into parts by p.
     """
-    state, size = {}, {}
-    for side, members in (("p", left), ("g", right)):
-        size[side] = members.groupBy(*by, side).agg(F.count("*").alias(f"{side}_size"))
-        state[side] = cut(_heads(size[side].withColumn(f"{side}_n", F.lit(0)), members.withColumnRenamed("id", f"{side}_id"), by, side))
-    live, out = pairs.select(*by, "p", "g", "iou"), None
+    zeros = F.array(*(F.lit(0) for _ in range(levels)))
+    pairs = cut(pairs.select(*by, "p", "g", "iou", F.col("x").cast("double"), F.col("y").cast("double"))).withColumns({"head": F.col("p"), "mask": F.lit((1 << levels) - 1)})
+    left, right = left.withColumn("ptr", zeros), right.withColumn("ptr", zeros)
+    one = {f.name: f.dataType.simpleString() for f in pairs.schema}
+    types = {c: one[c] for c in by} | {"kind": "int", "level": "int", "p": one["p"], "g": one["g"], "iou": "double", "x": "double", "y": "double"}
+    types |= {"head": one["p"], "mask": "int", "ids": f"array<{one['p']}>", "lv": "array<int>", "ptr": "array<int>"}
+    whole = types | {"first_iou": "double", "first_head": one["p"]}
+    round_, out = 0, None
     while True:
-        live = cut(live.join(state["p"], [*by, "p"]).join(state["g"], [*by, "g"]))
-        best = []
-        for one, two in (("p", "g"), ("g", "p")):
-            top = live.groupBy(*by, one).agg(F.min(F.struct(-F.col("iou"), f"{two}_id", two)).alias("low"), F.max(F.struct("iou", f"{two}_id")).alias("high"))
-            best.append(top.select(*by, one, F.col(f"low.{two}").alias(two), (F.col(f"low.{two}_id") == F.col(f"high.{two}_id")).alias(f"only_{one}")))
-        both = best[0].join(best[1], [*by, "p", "g"])
-        now = both.join(state["p"], [*by, "p"]).join(state["g"], [*by, "g"])
-        most = F.least(F.col("p_size") - F.col("p_n"), F.col("g_size") - F.col("g_n"))
-        now = cut(now.select(*by, "p", "p_n", "g", "g_n", F.when(F.col("only_p") & F.col("only_g"), most).otherwise(1).cast("int").alias("taken")))
-        if now.isEmpty():
-            return now if out is None else out
-        out = now if out is None else out.unionByName(now)
-        for side, members in (("p", left), ("g", right)):
-            used = now.select(*by, side, "taken")
-            rest = state[side].join(used.select(*by, side), [*by, side], "left_anti")
-            on = state[side].join(used, [*by, side]).select(*by, side, f"{side}_size", (F.col(f"{side}_n") + F.col("taken")).cast("int").alias(f"{side}_n")).where(F.col(f"{side}_n") < F.col(f"{side}_size"))
-            state[side] = cut(rest.unionByName(_heads(on, members.withColumnRenamed("id", f"{side}_id"), by, side)))
-        live = live.select(*by, "p", "g", "iou")
-
-
-def _ranked(rows: DataFrame, by: list[str], side: str) -> DataFrame:
-    """(by, side, n, id): members of classes (by, side) by id from 0 on."""
-    n = F.row_number().over(Window.partitionBy(*by, side).orderBy("id")) - 1
-    return cut(rows.select(*by, side, n.alias("n"), "id"))
+        size, cell = side * SIDES * 2**round_, [*by, "cx", "cy"]
+        at = {f"c{v}": F.floor(F.col(v) / size + round_ % 2 / 2) for v in "xy"}
+        many = F.broadcast(pairs.withColumns(at).groupBy(*cell).agg(F.ceil(F.count("*") / CELL_PAIRS).alias("parts")).where("parts > 1"))
+        dealt = lambda rows: rows.withColumns(at).join(many, cell, "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("p"), F.col("parts")), F.lit(0)))  # noqa: B023, E731
+        spots, task = dealt(pairs), [*cell, "part"]
+        order = Window.partitionBy(*by, "g").orderBy("low")
+        reach = spots.groupBy(*by, "g", *task[len(by) :]).agg(F.min(F.struct((-F.col("iou")).alias("v"), "head")).alias("low"))
+        reach = reach.withColumn("low", F.when(F.row_number().over(order) == 1, F.lead("low").over(order)).otherwise(F.first("low").over(order)))
+        reach = reach.join(right, [*by, "g"]).withColumns({"first_iou": -F.col("low.v"), "first_head": F.col("low.head")})
+        rows = None
+        for kind, df in enumerate((spots, dealt(left), reach)):
+            df = df.select(*task[len(by) :], *((F.lit(kind) if c == "kind" else F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in whole.items()))
+            rows = df if rows is None else rows.unionByName(df)
+        done = cut(rows.groupBy(*task).applyInArrow(_scanned(by, levels), ", ".join(f"`{c}` {t}" for c, t in types.items())))
+        took = done.where(F.col("kind") == 3).select(*by, "level", "p", "g")
+        out = took if out is None else out.unionByName(took)
+        pairs = done.where(F.col("kind") == 0).select(*by, "p", "g", "iou", "x", "y", "head", "mask")
+        if pairs.isEmpty():
+            return out
+        left = done.where(F.col("kind") == 1).select(*by, "p", "x", "y", "ids", "lv", "ptr")
+        right = done.where(F.col("kind") == 2).groupBy(*by, "g").agg(F.first("ids").alias("ids"), F.array(*(F.max(F.col("ptr")[i]) for i in range(levels))).alias("ptr"))
+        round_ += 1
+
+
+def _scanned(by: list[str], levels: int) -> Callable[[pa.Table], pa.Table]:
+    def scan(table: pa.Table) -> pa.Table:
+        names = [c for c in table.column_names if c not in ("cx", "cy", "part", "first_iou", "first_head")]
+        kind = table["kind"].to_numpy()
+        pairs, left, right = (table.filter(pa.array(kind == k)) for k in range(3))
+        order = np.argsort(-pairs["iou"].to_numpy(), kind="stable")
+        pairs = pairs.take(pa.array(order))
+        iou, mask = pairs["iou"].to_numpy(), pairs["mask"].to_pylist()
+        ends = np.append(np.flatnonzero(np.diff(iou)) + 1, len(iou)).tolist() if len(iou) else []
+        place = [{c: i for i, c in enumerate(side[n].to_pylist())} for side, n in ((left, "p"), (right, "g"))]
+        ps, gs = ([at[c] for c in pairs[n].to_pylist()] for at, n in zip(place, "pg", strict=True))
+        ids, lv, g_ids = left["ids"].to_pylist(), left["lv"].to_pylist(), right["ids"].to_pylist()
+        next_p, next_g = left["ptr"].to_pylist(), right["ptr"].to_pylist()
+        first = [(-1.0 if v is None else v, h) for v, h in zip(right["first_iou"].to_pylist(), right["first_head"].to_pylist(), strict=True)]
+        open_, heads, took = [0] * len(iou), [None] * len(iou), []
+        values = iou.tolist()
+        g_size = [len(m) for m in g_ids]
+        for level in range(levels):
+            members = [[m for m, n in zip(i, v, strict=True) if n > level] for i, v in zip(ids, lv, strict=True)]
+            size = [len(m) for m in members]
+            pn, gn = [n[level] for n in next_p], [n[level] for n in next_g]
+            unsure_p, unsure_g = bytearray(len(pn)), bytearray(len(gn))
+            start = 0
+            for end in ends:  # pairs as good as each other
+                v, near = values[start], {}
+                for k in range(start, end):
+                    if mask[k] >> level & 1 and pn[ps[k]] < size[ps[k]] and gn[gs[k]] < g_size[gs[k]]:
+                        near.setdefault(ps[k], []).append(k)
+                start = end
+                heap = [(members[i][pn[i]], i) for i in near]
+                heapify(heap)
+                while heap:
+                    head, i = heappop(heap)
+                    free = near[i] = [k for k in near[i] if gn[gs[k]] < g_size[gs[k]]]
+                    if not free:
+                        continue
+                    # p hangs on pairs that are open, or on pairs of other cells that come before
+                    if unsure_p[i] or any(unsure_g[g] or first[g][0] > v or (first[g][0] == v and first[g][1] < head) for g in map(gs.__getitem__, free)):
+                        unsure_p[i] = 1
+                        for k in free:
+                            unsure_g[gs[k]] = 1
+                        continue
+                    g = min((g_ids[g][gn[g]], g) for g in map(gs.__getitem__, free))[1]
+                    took.append((level, head, g_ids[g][gn[g]]))
+                    pn[i] += 1
+                    gn[g] += 1
+                    if pn[i] < size[i]:
+                        heappush(heap, (members[i][pn[i]], i))
+                for i, ks in near.items():
+                    if pn[i] < size[i]:
+                        for k in ks:
+                            if gn[gs[k]] < g_size[gs[k]]:
+                                open_[k] |= 1 << level
+                                heads[k] = members[i][pn[i]] if heads[k] is None else min(heads[k], members[i][pn[i]])
+            for state, n in ((next_p, pn), (next_g, gn)):
+                for x, y in zip(state, n, strict=True):
+                    x[level] = y
+        still = [k for k, m in enumerate(open_) if m]
+        put = lambda rows, **new: pa.table({c: pa.array(new[c], table.schema.field(c).type) if c in new else rows[c] for c in names})
+        some = lambda rows, at: rows.take(pa.array(at, pa.int64()))
+        out = [put(some(pairs, still), mask=[open_[k] for k in still], head=[heads[k] for k in still])]
+        at = sorted({ps[k] for k in still})
+        out.append(put(some(left, at), ptr=[next_p[i] for i in at]))
+        used = [i for i, (now, was) in enumerate(zip(next_g, right["ptr"].to_pylist(), strict=True)) if now != was]
+        at = sorted({gs[k] for k in still} | set(used))
+        out.append(put(some(right, at), ptr=[next_g[i] for i in at]))
+        blank = {c: [None] * len(took) for c in ("iou", "x", "y", "head", "mask", "ids", "lv", "ptr")}
+        level, p, g = zip(*took, strict=True) if took else ((), (), ())
+        out.append(put(some(table, [0] * len(took)), **blank, kind=[3] * len(took), level=level, p=p, g=g))
+        return pa.concat_tables(out)
+
+    return scan
 
 
 def greedy_matches(pairs: DataFrame, by: list[str] = []) -> DataFrame:  # noqa: B006
     """Pairs taken by IoU down, then prediction, then truth, where both sides are free; `by` names columns that part separate matchings."""
     pairs, of = cut(pairs.select(*by, "image", "p", "g", "iou")), [*by, "image"]
-    left, right = (cut(pairs.select(*of, side).distinct().select(*of, side, F.lit(0).alias("n"), F.col(side).alias("id"))) for side in "pg")
-    return pairs.join(_matched(pairs, left, right, of), [*of, "p", "g"]).select(*by, "image", "p", "g", "iou")
+    spot = {"x": F.lit(0.0), "y": F.lit(0.0)}
+    left, right = (pairs.select(*of, side).distinct().withColumns({"ids": F.array(side), "lv": F.array(F.lit(1)), **spot}) for side in "pg")
+    return pairs.join(_matched(pairs.withColumns(spot), left, right, of).drop("level"), [*of, "p", "g"]).select(*by, "image", "p", "g", "iou")
 
 
-def _classes(rows: DataFrame, side: str, ring: str | None, levels: bool) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Boxes of an image that differ, each by its smallest cand_id, and their members."""
+def _classes(rows: DataFrame, ring: str | None, levels: bool) -> DataFrame:
+    """(image, box, cand_id, ids, lv): boxes of an image that differ, each by its smallest cand_id, with their members by id and how many thresholds each reaches."""
     shape = ["image", "xmin", "ymin", "xmax", "ymax", *filter(None, [ring])]
-    own = cut(rows.groupBy(*shape).agg(F.min("cand_id").alias("cand_id")))
-    of = rows.join(own.withColumnRenamed("cand_id", side).hint("merge"), shape)
-    if levels:
-        of = thresholds(of) if side == "p" else of.withColumn("threshold", F.explode(F.array(*map(F.lit, THRESHOLDS))))
-    by = ["threshold", "image"] if levels else ["image"]
-    return own, _ranked(of.withColumn("id", F.col("cand_id")), by, side), by
+    reached = sum(((F.col("confidence") >= t).cast("int") for t in THRESHOLDS), F.lit(0)) if levels else F.lit(1)
+    of = rows.withColumn("lv", reached).where("lv > 0").groupBy(*shape).agg(F.array_sort(F.collect_list(F.struct("cand_id", "lv"))).alias("m"))
+    return cut(of.select(*shape, F.col("m")[0]["cand_id"].alias("cand_id"), F.col("m.cand_id").alias("ids"), F.col("m.lv").alias("lv")))
 
 
 def match(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | None = None, levels: bool = False) -> DataFrame:
     """(image, p, g): what `greedy_matches` takes of all `iou_pairs`, with `levels` at each threshold apart.
 
-    Only boxes that differ are paired, so pairs follow places and not the square of the candidates.
+    Only boxes that differ are paired, so pairs follow places and not the square of the candidates; the members of one box of an image must fit a task.
     """
-    (a, left, by), (b, right, _) = _classes(pred, "p", ring, levels), _classes(gt, "g", ring, levels)
-    pairs = iou_pairs(a, b, least, ring)
-    if levels:
-        pairs = pairs.withColumn("threshold", F.explode(F.array(*map(F.lit, THRESHOLDS))))
-    took = _matched(pairs, left, right, by).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("taken") - 1)))
-    for side, members in (("p", left), ("g", right)):
-        took = took.withColumn("n", F.col(f"{side}_n") + F.col("k")).join(members.withColumnRenamed("id", f"{side}_id"), [*by, side, "n"]).drop("n", side)
-    return took.select(*by, F.col("p_id").alias("p"), F.col("g_id").alias("g"))
+    a, b = _classes(pred, ring, levels), _classes(gt, ring, False)
+    side = a.agg(F.avg(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).first()[0]
+    spot = {"xmin": "x", "ymin": "y"}
+    pairs = iou_pairs(a, b, least, ring, list(spot)).withColumnsRenamed(spot)
+    left, right = a.select("image", F.col("cand_id").alias("p"), F.col("xmin").alias("x"), F.col("ymin").alias("y"), "ids", "lv"), b.select("image", F.col("cand_id").alias("g"), "ids")
+    took = _matched(pairs, left, right, ["image"], side or 1.0, len(THRESHOLDS) if levels else 1)
+    return took.select(*([F.array(*map(F.lit, THRESHOLDS))[F.col("level")].alias("threshold")] if levels else []), "image", "p", "g")
 
 
 def scores(pred: DataFrame, gt: DataFrame, least: float = 0.5) -> DataFrame:
