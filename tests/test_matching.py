@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from parcelflow.operators import evaluate
+from parcelflow.operators import evaluate, reports
 
 BOX = "cand_id long, image int, xmin double, ymin double, xmax double, ymax double, confidence double"
 
@@ -57,3 +57,15 @@ def test_cells_and_parts(spark, monkeypatch, sides, most):
     for r in evaluate.match(*sides_, 0.2, levels=True).collect():
         by_level.setdefault(r.threshold, set()).add((r.image, r.p, r.g))
     assert by_level == {t: scanned(rows, 0.2, t) for t in evaluate.THRESHOLDS}
+
+
+def test_report_of_a_chain(spark, monkeypatch):
+    """The report of the scores, of pairs that hang on one another and of no pairs at all."""
+    rows = [(k, 0, 45.0 * k - k * k / 8, 0.0, 45.0 * k - k * k / 8 + 100.0, 100.0, 0.9 - k % 4 / 5) for k in range(50)]
+    cuts, cut = [], evaluate.cut
+    monkeypatch.setattr(evaluate, "cut", lambda df: cuts.append(1) or cut(df))
+    pred, gt = split(spark, rows)
+    got = {r.threshold: r.tp for r in evaluate.scores(pred, gt, 0.3).collect()}
+    assert got == {t: len(scanned(rows, 0.3, t)) for t in evaluate.THRESHOLDS}
+    assert reports.evaluation(evaluate.scores(pred, gt, 0.3)).count() == 20 and len(cuts) < 24
+    assert {r.threshold: (r.tp, r.fn) for r in evaluate.scores(pred.where("false"), gt, 0.3).collect()} == {t: (0, 25) for t in evaluate.THRESHOLDS}
