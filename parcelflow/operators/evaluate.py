@@ -7,6 +7,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,75 +94,89 @@ def _matched(pairs: DataFrame, left: DataFrame, right: DataFrame, by: list[str],
         round_ += 1
 
 
+def _flat(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of lists one after the other, and where each list begins and the last one ends."""
+    lists = lists.combine_chunks()
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False), np.append(0, ends)
+
+
 def _scanned(by: list[str], levels: int) -> Callable[[pa.Table], pa.Table]:
     def scan(table: pa.Table) -> pa.Table:
         names = [c for c in table.column_names if c not in ("cx", "cy", "part", "first_iou", "first_head")]
         kind = table["kind"].to_numpy()
         pairs, left, right = (table.filter(pa.array(kind == k)) for k in range(3))
-        order = np.argsort(-pairs["iou"].to_numpy(), kind="stable")
-        pairs = pairs.take(pa.array(order))
-        iou, mask = pairs["iou"].to_numpy(), pairs["mask"].to_pylist()
-        ends = np.append(np.flatnonzero(np.diff(iou)) + 1, len(iou)).tolist() if len(iou) else []
-        place = [{c: i for i, c in enumerate(side[n].to_pylist())} for side, n in ((left, "p"), (right, "g"))]
-        ps, gs = ([at[c] for c in pairs[n].to_pylist()] for at, n in zip(place, "pg", strict=True))
-        ids, lv, g_ids = left["ids"].to_pylist(), left["lv"].to_pylist(), right["ids"].to_pylist()
-        next_p, next_g = left["ptr"].to_pylist(), right["ptr"].to_pylist()
-        first = [(-1.0 if v is None else v, h) for v, h in zip(right["first_iou"].to_pylist(), right["first_head"].to_pylist(), strict=True)]
-        open_, heads, took = [0] * len(iou), [None] * len(iou), []
-        values = iou.tolist()
-        g_size = [len(m) for m in g_ids]
+        pairs = pairs.take(pa.array(np.argsort(-pairs["iou"].to_numpy(), kind="stable")))
+        iou, mask = pairs["iou"].to_numpy(), pairs["mask"].to_numpy().tolist()
+        ends = (np.append(np.flatnonzero(np.diff(iou)) + 1, len(iou)) if len(iou) else iou).tolist()
+        ps, gs = (pc.index_in(pairs[n], value_set=side[n].combine_chunks()).to_numpy().tolist() for side, n in ((left, "p"), (right, "g")))
+        (ids, starts), lv, (g_ids, g_at) = _flat(left["ids"]), _flat(left["lv"])[0], _flat(right["ids"])
+        next_p, next_g = (_flat(side["ptr"])[0].reshape(-1, levels).copy() for side in (left, right))
+        was_g = next_g.copy()
+        first_v, first_h = right["first_iou"].fill_null(-1.0).to_numpy().tolist(), pc.coalesce(right["first_head"], right["g"]).to_numpy().tolist()
+        g_ids, g_end = g_ids.tolist(), g_at[1:].tolist()
+        values, open_, heads, took = iou.tolist(), [0] * len(iou), [None] * len(iou), []
         for level in range(levels):
-            members = [[m for m, n in zip(i, v, strict=True) if n > level] for i, v in zip(ids, lv, strict=True)]
-            size = [len(m) for m in members]
-            pn, gn = [n[level] for n in next_p], [n[level] for n in next_g]
+            inside = lv > level
+            at = np.append(0, np.cumsum(inside))[starts]
+            p_ids, p_end = ids[inside].tolist(), at[1:].tolist()
+            # where the first free member of each class is
+            pn, gn = (at[:-1] + next_p[:, level]).tolist(), (g_at[:-1] + next_g[:, level]).tolist()
             unsure_p, unsure_g = bytearray(len(pn)), bytearray(len(gn))
             start = 0
             for end in ends:  # pairs as good as each other
-                v, near = values[start], {}
+                v, near, late = values[start], {}, []
                 for k in range(start, end):
-                    if mask[k] >> level & 1 and pn[ps[k]] < size[ps[k]] and gn[gs[k]] < g_size[gs[k]]:
-                        near.setdefault(ps[k], []).append(k)
+                    i, g = ps[k], gs[k]
+                    if pn[i] < p_end[i] and gn[g] < g_end[g] and mask[k] >> level & 1:
+                        if i in near:
+                            near[i].append(k)
+                        else:
+                            near[i] = [k]
                 start = end
-                heap = [(members[i][pn[i]], i) for i in near]
+                heap = [(p_ids[pn[i]], i) for i in near]
                 heapify(heap)
                 while heap:
                     head, i = heappop(heap)
-                    free = near[i] = [k for k in near[i] if gn[gs[k]] < g_size[gs[k]]]
-                    if not free:
+                    best, unsure, free = None, unsure_p[i], []
+                    for k in near[i]:
+                        g = gs[k]
+                        if gn[g] < g_end[g]:
+                            free.append(k)
+                            # p hangs on pairs that are open, or on pairs of other cells that come before
+                            unsure = unsure or unsure_g[g] or first_v[g] > v or (first_v[g] == v and first_h[g] < head)
+                            if best is None or g_ids[gn[g]] < g_ids[gn[best]]:
+                                best = g
+                    if best is None:
                         continue
-                    # p hangs on pairs that are open, or on pairs of other cells that come before
-                    if unsure_p[i] or any(unsure_g[g] or first[g][0] > v or (first[g][0] == v and first[g][1] < head) for g in map(gs.__getitem__, free)):
+                    near[i] = free
+                    if unsure:
                         unsure_p[i] = 1
+                        late.append(i)
                         for k in free:
                             unsure_g[gs[k]] = 1
                         continue
-                    g = min((g_ids[g][gn[g]], g) for g in map(gs.__getitem__, free))[1]
-                    took.append((level, head, g_ids[g][gn[g]]))
+                    took.append((level, head, g_ids[gn[best]]))
                     pn[i] += 1
-                    gn[g] += 1
-                    if pn[i] < size[i]:
-                        heappush(heap, (members[i][pn[i]], i))
-                for i, ks in near.items():
-                    if pn[i] < size[i]:
-                        for k in ks:
-                            if gn[gs[k]] < g_size[gs[k]]:
-                                open_[k] |= 1 << level
-                                heads[k] = members[i][pn[i]] if heads[k] is None else min(heads[k], members[i][pn[i]])
-            for state, n in ((next_p, pn), (next_g, gn)):
-                for x, y in zip(state, n, strict=True):
-                    x[level] = y
-        still = [k for k, m in enumerate(open_) if m]
+                    gn[best] += 1
+                    if pn[i] < p_end[i]:
+                        heappush(heap, (p_ids[pn[i]], i))
+                for i in late:
+                    head = p_ids[pn[i]]
+                    for k in near[i]:
+                        if gn[gs[k]] < g_end[gs[k]]:
+                            open_[k] |= 1 << level
+                            heads[k] = head if heads[k] is None else min(heads[k], head)
+            next_p[:, level], next_g[:, level] = pn - at[:-1], gn - g_at[:-1]
+        still = np.flatnonzero(open_)
         put = lambda rows, **new: pa.table({c: pa.array(new[c], table.schema.field(c).type) if c in new else rows[c] for c in names})
-        some = lambda rows, at: rows.take(pa.array(at, pa.int64()))
-        out = [put(some(pairs, still), mask=[open_[k] for k in still], head=[heads[k] for k in still])]
-        at = sorted({ps[k] for k in still})
-        out.append(put(some(left, at), ptr=[next_p[i] for i in at]))
-        used = [i for i, (now, was) in enumerate(zip(next_g, right["ptr"].to_pylist(), strict=True)) if now != was]
-        at = sorted({gs[k] for k in still} | set(used))
-        out.append(put(some(right, at), ptr=[next_g[i] for i in at]))
-        blank = {c: [None] * len(took) for c in ("iou", "x", "y", "head", "mask", "ids", "lv", "ptr")}
+        some = lambda rows, at, ptr: put(rows.take(pa.array(at)), ptr=pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * levels), pa.array(ptr[at].ravel())))
+        out = [put(pairs.take(pa.array(still)), mask=[open_[k] for k in still], head=[heads[k] for k in still])]
+        out.append(some(left, np.unique(np.array(ps, np.int64)[still]), next_p))
+        out.append(some(right, np.union1d(np.array(gs, np.int64)[still], np.flatnonzero((next_g != was_g).any(1))).astype(np.int64), next_g))
+        blank = {c: pa.nulls(len(took), table.schema.field(c).type) for c in ("iou", "x", "y", "head", "mask", "ids", "lv", "ptr")}
         level, p, g = zip(*took, strict=True) if took else ((), (), ())
-        out.append(put(some(table, [0] * len(took)), **blank, kind=[3] * len(took), level=level, p=p, g=g))
+        out.append(put(table.take(pa.array([0] * len(took), pa.int64())), **blank, kind=[3] * len(took), level=level, p=p, g=g))
         return pa.concat_tables(out)
 
     return scan
