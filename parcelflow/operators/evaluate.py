@@ -8,11 +8,11 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .polygons import polygon_iou
-from .spatial import box_join
+from .polygons import aspect, cleaned, polygon_iou
+from .spatial import box_join, gathered
 from ..functions.geom import box_iou
 from ..plans.storage import cut
 
@@ -50,6 +50,18 @@ def iou_pairs(pred: DataFrame, gt: DataFrame, least: float = 0.5, ring: str | No
     return pairs.where(F.col("iou") >= least).select(F.col("a_image").alias("image"), F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), "iou", *(F.col(f"a_{c}").alias(c) for c in of))
 
 
+def polygon_ious(pred: DataFrame, gt: DataFrame, ring: Callable[[str], Column], cell: float = 400.0) -> DataFrame:
+    """(p, g, iou, aspect) of all boxes of an image that share area, by the polygons that `ring` makes of them.
+
+    The kernels see each two places and each place of pred once; pairs of rows are made of their lists, which go along with the places.
+    """
+    a, b = (gathered(rows, "cand_id", ["image"]) for rows in (pred, gt))
+    a = a.withColumns({"ring": cleaned(ring("")), "aspect": F.round(aspect(ring("")), 6)})
+    met = box_join(a.drop("place"), b.drop("place"), cell, equal=["image"])
+    met = met.select("a_ids", "b_ids", F.round(polygon_iou("a_ring", ring("b_")), 6).alias("iou"), F.col("a_aspect").alias("aspect"))
+    return met.select("b_ids", "iou", "aspect", F.explode("a_ids").alias("p")).select("p", F.explode("b_ids").alias("g"), "iou", "aspect")
+
+
 def _matched(pairs: DataFrame, left: DataFrame, right: DataFrame, by: list[str], side: float = 1.0, levels: int = 1) -> DataFrame:
     """(by, level, p, g): members that a scan by IoU down, then p, then g takes, for each level apart.
 

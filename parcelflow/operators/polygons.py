@@ -1,7 +1,7 @@
 """Geometry that SQL cannot express, over Arrow batches: areas shared by polygons, rotated rectangles, cleaning.
 
-Rings of a batch are padded matrices (rows, points, 2) with a count each, in blocks of ROWS, and every step works
-on all rows of a block at once.
+Rings of a batch are padded matrices (rows, points, 2) with a count each, in blocks of ROWS rows or POINTS points at most,
+and every step works on all rows of a block at once.
 """
 
 from __future__ import annotations
@@ -10,12 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 _RING = ArrayType(StructType().add("x", DoubleType()).add("y", DoubleType()))
-#: Rows of a block, and pairs of triangles clipped at once.
-ROWS, PAIRS = 256, 16384
+#: Rows and points of a block, and pairs of triangles clipped at once.
+ROWS, POINTS, PAIRS = 4096, 16384, 16384
 
 
 def _next(count: np.ndarray, width: int) -> np.ndarray:
@@ -115,10 +116,16 @@ def intersection_area(p: np.ndarray, q: np.ndarray) -> float:
     return float(shared_areas(p[None], np.array([len(p)]), q[None], np.array([len(q)]))[0])
 
 
-def _blocks(rings: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Padded points and counts of an Arrow array of rings, ROWS at a time; a null ring has no points."""
-    for at in range(0, len(rings), ROWS):
-        part = rings.slice(at, ROWS)
+def _rows(*rings: pa.Array) -> int:
+    """Rows of a block: the longer the longest ring, the fewer."""
+    return max(1, min(ROWS, POINTS // max(1, *(pc.max(r.value_lengths()).as_py() or 0 for r in rings))))
+
+
+def _blocks(rings: pa.Array, rows: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Padded points and counts of an Arrow array of rings, some rows at a time; a null ring has no points."""
+    rows = rows or _rows(rings)
+    for at in range(0, len(rings), rows):
+        part = rings.slice(at, rows)
         flat = part.flatten()
         xy = np.stack([flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)], 1).astype(float).reshape(-1, 2)
         count = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -138,14 +145,14 @@ def _rings(blocks: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
 @F.arrow_udf(DoubleType())
 def polygon_overlap(a: pa.Array, b: pa.Array) -> pa.Array:
     """Area that two rings share; zero where one is null or has fewer than three points."""
-    return pa.array(np.concatenate([np.zeros(0), *(shared_areas(p, n, q, m) for (p, n), (q, m) in zip(_blocks(a), _blocks(b), strict=True))]))
+    return pa.array(np.concatenate([np.zeros(0), *(shared_areas(p, n, q, m) for (p, n), (q, m) in zip(_blocks(a, _rows(a, b)), _blocks(b, _rows(a, b)), strict=True))]))
 
 
 @F.arrow_udf(DoubleType())
 def polygon_iou(a: pa.Array, b: pa.Array) -> pa.Array:
     """Intersection over union of two rings; zero for a union of nothing."""
     out = [np.zeros(0)]
-    for (p, n), (q, m) in zip(_blocks(a), _blocks(b), strict=True):
+    for (p, n), (q, m) in zip(_blocks(a, _rows(a, b)), _blocks(b, _rows(a, b)), strict=True):
         inter = shared_areas(p, n, q, m)
         union = np.abs(_signed(p, n)) + np.abs(_signed(q, m)) - inter
         out.append(np.where(union > 1e-12, inter / np.where(union > 1e-12, union, 1.0), 0.0))

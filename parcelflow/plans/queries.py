@@ -386,10 +386,7 @@ def eval_prf(s: SparkSession, d: str) -> DataFrame:
 @_query
 def polygon_iou(s: SparkSession, d: str) -> DataFrame:
     """The Arrow kernel on boxes, so that SQL can say what it must give."""
-    a, b = _sides(s, d)
-    pairs = spatial.box_join(a.select("cand_id", "image", "xmin", "ymin", "xmax", "ymax"), b.select("cand_id", "image", "xmin", "ymin", "xmax", "ymax"), 400.0, equal=["image"])
-    iou = polygons.polygon_iou(polygons.cleaned(geom.box_ring("a_")), geom.box_ring("b_"))
-    return pairs.select(F.col("a_cand_id").alias("p"), F.col("b_cand_id").alias("g"), F.round(iou, 6).alias("iou"), F.round(polygons.aspect(geom.box_ring("a_")), 6).alias("aspect"))
+    return evaluate.polygon_ious(*_sides(s, d), geom.box_ring)
 
 
 @_query

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from parcelflow.functions import geom
 from parcelflow.operators import evaluate, reports
 
 BOX = "cand_id long, image int, xmin double, ymin double, xmax double, ymax double, confidence double"
@@ -69,3 +70,15 @@ def test_report_of_a_chain(spark, monkeypatch):
     assert got == {t: len(scanned(rows, 0.3, t)) for t in evaluate.THRESHOLDS}
     assert reports.evaluation(evaluate.scores(pred, gt, 0.3)).count() == 20 and len(cuts) < 24
     assert {r.threshold: (r.tp, r.fn) for r in evaluate.scores(pred.where("false"), gt, 0.3).collect()} == {t: (0, 25) for t in evaluate.THRESHOLDS}
+
+
+def test_polygons_of_places(spark, monkeypatch):
+    """60 equal predictions over 60 equal truths, and one of another place: 3660 pairs, of which the kernel sees two."""
+    box = lambda k, x: (k, 0, x, 0.0, x + 200.0, 100.0, 0.9)
+    rows = [box(k, 0.0 if k % 2 else 100.0) for k in range(120)] + [box(120, 0.0), (122, 1, 0.0, 0.0, 200.0, 100.0, 0.9)]
+    made, join = [], evaluate.box_join
+    monkeypatch.setattr(evaluate, "box_join", lambda *a, **k: made.append(join(*a, **k)) or made[-1])
+    got = evaluate.polygon_ious(*split(spark, rows), geom.box_ring).collect()
+    want = {(p, g, 1.0 if p == 120 else round(1 / 3, 6), 0.5) for p in range(0, 122, 2) for g in range(1, 120, 2)}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+    assert made[0].count() == 2
