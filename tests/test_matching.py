@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from parcelflow.functions import geom
 from parcelflow.operators import evaluate, reports
@@ -82,3 +83,24 @@ def test_polygons_of_places(spark, monkeypatch):
     want = {(p, g, 1.0 if p == 120 else round(1 / 3, 6), 0.5) for p in range(0, 122, 2) for g in range(1, 120, 2)}
     assert len(got) == len(want) and {tuple(r) for r in got} == want
     assert made[0].count() == 2
+
+
+def test_polygons_in_cells(spark, monkeypatch):
+    """Diamonds over many cells, some of them equal: a scan of all pairs, in few rounds."""
+    monkeypatch.setattr(evaluate, "SIDES", 1)
+    rng, rows = random.Random(9), []
+    for k in range(120):
+        x, y, w = 20.0 * rng.randint(0, 12) if k < 60 else 20.0 * k - k * k / 16, 20.0 * rng.randint(0, 1), 100.0
+        rows.append((k, 0, x, y, x + w, y + w, 0.9))
+    at = lambda x, y: F.struct(F.expr(x).alias("x"), F.expr(y).alias("y"))
+    ring = F.array(at("xmax", "ymin + 50"), at("xmin + 50", "ymax"), at("xmin", "ymin + 50"), at("xmin + 50", "ymin"))
+    pred, gt = (side.withColumn("ring", ring) for side in split(spark, rows))
+    used, want = set(), set()
+    for r in sorted(evaluate.iou_pairs(pred, gt, 0.2, "ring").collect(), key=lambda r: (-r.iou, r.p, r.g)):
+        if r.p not in used and r.g not in used:
+            used |= {r.p, r.g}
+            want.add((r.image, r.p, r.g))
+    cuts, cut = [], evaluate.cut
+    monkeypatch.setattr(evaluate, "cut", lambda df: cuts.append(1) or cut(df))
+    assert {tuple(r) for r in evaluate.match(pred, gt, 0.2, "ring").collect()} == want and len(want) > 30
+    assert len(cuts) < 14
